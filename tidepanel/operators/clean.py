@@ -33,7 +33,7 @@ def tolerant_cast(df: DataFrame, col: str, drop: bool = True) -> DataFrame:
 
 def parse_date_coerce(df: DataFrame, col: str, fmt: str | None = None) -> DataFrame:
     """Unparseable dates become NULL and the row is dropped."""
-    parsed = F.try_to_date(F.col(col).cast("string"), F.lit(fmt)) if fmt else \
+    parsed = F.try_to_date(F.col(col).cast("string"), fmt) if fmt else \
         F.coalesce(F.try_to_date(F.col(col).cast("string")), F.to_date(F.try_to_timestamp(F.col(col).cast("string"))))
     return df.withColumn(col, parsed).dropna(subset=[col])
 

@@ -28,14 +28,20 @@ def register(name: str):
     return deco
 
 
+# Values exactly on a half unit of the 6th decimal are common here (cents
+# divided by powers of two); engines summing in another order land an ulp
+# either side of them.  Both sides nudge by the same relative 1e-11 first.
+NUDGE = 1.0 + 1e-11
+
+
 def r6(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.bround(c, 6)
+    return F.bround(c * F.lit(NUDGE), 6)
 
 
 def round_doubles(df: DataFrame, scale: int = 6) -> DataFrame:
     """Round every DOUBLE column half-even (output hygiene for comparison)."""
-    return df.select(*[F.bround(F.col(f.name), scale).alias(f.name)
+    return df.select(*[F.bround(F.col(f.name) * F.lit(NUDGE), scale).alias(f.name)
                        if f.dataType.typeName() in ("double", "float") else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -49,3 +55,294 @@ def q_entity_profile(spark: SparkSession, d: str) -> DataFrame:
     pivot -> per-entity profile (1 decimal)."""
     wide = enriched_wide(spark, d, "segment")
     return A.entity_profile(wide, PROFILE_COLS)
+
+
+# ---------------------------------------------------------------------------
+# shared sub-plans
+# ---------------------------------------------------------------------------
+from ..functions import scalar as S  # noqa: E402
+from ..operators import clean as C  # noqa: E402
+from ..operators import joins as J  # noqa: E402
+from ..operators import reshape as R  # noqa: E402
+from ..sources import long as SL  # noqa: E402
+from ..sources import nested as SN  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+from ..sources import wide as SW  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from .inputs import (MAX_NM, REF_LAT, REF_LON, event_documents, named_events,  # noqa: E402
+                     order_panel_long, order_panel_wide, shock_by_year, table, track_points)
+from .panels import exposure_rows, shock_annual_long  # noqa: E402
+
+EXCLUDE_START, EXCLUDE_END = "1997-03-01", "1997-05-31"
+YEAR_LO, YEAR_HI = 1996, 2000
+
+
+def pn_wide(spark, d):
+    return order_panel_wide(spark, d, "nation")
+
+
+def pn_long(spark, d):
+    return order_panel_long(spark, d, "nation")
+
+
+def state_series(spark, d, metric="avg_price"):
+    """Cross-entity mean per date (the state-average role)."""
+    return A.period_mean(pn_wide(spark, d).where(F.col(metric).isNotNull()), ["date"], [metric]) \
+        .withColumnRenamed(f"{metric}_mean", "value")
+
+
+def order_years(spark, d):
+    return table(spark, d, "orders").select(F.year("o_orderdate").alias("year")).distinct()
+
+
+def located_points(spark, d):
+    tp = track_points(spark, d)
+    return tp.withColumn("dist", S.haversine_nm("lat", "lon", F.lit(REF_LAT), F.lit(REF_LON))) \
+        .withColumn("yr", F.substring("date", 1, 4).cast("int")) \
+        .withColumn("in_range", F.col("yr").between(YEAR_LO, YEAR_HI))
+
+
+# ---------------------------------------------------------------------------
+# 2.1 scans, sources, sinks
+# ---------------------------------------------------------------------------
+@register("scan_wide_dates")
+def q_scan_wide_dates(spark, d):
+    """Every order metric as a wide text matrix (one column per month, as a
+    CSV would give) and back through the wide reader."""
+    wide = pn_wide(spark, d)
+    dates = J.domain_values(wide, "date", 5000)
+    out = None
+    for m in ORDER_METRICS:
+        mat = (wide.groupBy(F.col("entity").alias("RegionName"))
+               .pivot("date", dates).agg(F.first(F.col(m).cast("string"))))
+        mat = mat.select("RegionName", F.lit("nation").alias("RegionType"),
+                         *[F.col(f"`{c}`") for c in mat.columns if c != "RegionName"])
+        part = SW.wide_to_long(mat, m)
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("value", r6("value"))
+
+
+@register("scan_header_detail")
+def q_scan_header_detail(spark, d):
+    return round_doubles(track_points(spark, d))
+
+
+@register("scan_nested_json")
+def q_scan_nested_json(spark, d):
+    return round_doubles(SN.explode_events(event_documents(spark, d), "json"))
+
+
+@register("scan_typed_long")
+def q_scan_typed_long(spark, d):
+    text = pn_long(spark, d).select(F.col("entity"), F.date_format("date", "yyyy-MM-dd").alias("date"),
+                                    "metric", F.col("value").cast("string").alias("value"))
+    return SL.typed_long(text).withColumn("value", r6("value"))
+
+
+@register("schema_contract")
+def q_schema_contract(spark, d):
+    return round_doubles(SL.schema_contract(pn_wide(spark, d), ["entity", "date", "avg_price"],
+                                            ["urgent_price", "median_price"], "nation panel"))
+
+
+@register("sink_long")
+def q_sink_long(spark, d):
+    path = scratch_path(spark, "sink_long")
+    SK.sink_long(pn_long(spark, d), path)
+    back = spark.read.parquet(path)
+    return back.select("entity", "date", "metric", r6("value").alias("value"))
+
+
+@register("dataset_metadata")
+def q_dataset_metadata(spark, d):
+    return SK.dataset_metadata(pn_long(spark, d))
+
+
+@register("column_dictionary")
+def q_column_dictionary(spark, d):
+    return round_doubles(SK.column_dictionary(pn_wide(spark, d), "nation_panel", ["entity", "date"]))
+
+
+# ---------------------------------------------------------------------------
+# 2.2 projections, filters, cleaning
+# ---------------------------------------------------------------------------
+@register("filter_equality_and")
+def q_filter_equality_and(spark, d):
+    li = table(spark, d, "lineitem")
+    return C.filter_equality_and(li, {"l_returnflag": "R", "l_linestatus": "F"}) \
+        .select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+def doc_lines(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+
+
+@register("drop_empty_key")
+def q_drop_empty_key(spark, d):
+    """Whole documents split into lines; blank lines dropped; lines kept per doc."""
+    kept = C.drop_empty_key(doc_lines(spark, d), "line")
+    return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"),
+                                      F.sum(F.length("line")).alias("n_chars"))
+
+
+@register("tolerant_cast")
+def q_tolerant_cast(spark, d):
+    w = pn_wide(spark, d).select("entity", "date", F.coalesce(F.col("urgent_price").cast("string"),
+                                                              F.lit("n/a")).alias("urgent_price"))
+    return C.tolerant_cast(w, "urgent_price").withColumn("urgent_price", r6("urgent_price"))
+
+
+@register("sentinel_to_null")
+def q_sentinel_to_null(spark, d):
+    tp = track_points(spark, d)
+    return tp.groupBy("storm_id").agg(F.count("max_wind").alias("n_wind"), F.count("min_pressure").alias("n_pressure"),
+                                      F.max("max_wind").alias("max_wind"), F.min("min_pressure").alias("min_pressure"),
+                                      F.count(F.lit(1)).alias("n_points"))
+
+
+@register("signed_coordinate")
+def q_signed_coordinate(spark, d):
+    tp = track_points(spark, d)
+    return tp.groupBy("storm_id").agg(r6(F.min("lat")).alias("min_lat"), r6(F.max("lat")).alias("max_lat"),
+                                      r6(F.min("lon")).alias("min_lon"), r6(F.max("lon")).alias("max_lon"))
+
+
+@register("parse_date_coerce")
+def q_parse_date_coerce(spark, d):
+    tp = track_points(spark, d).select("storm_id", "time", "date")
+    return C.parse_date_coerce(tp, "date", "yyyyMMdd")
+
+
+@register("drop_null_measure")
+def q_drop_null_measure(spark, d):
+    with_nulls = R.unpivot_long(pn_wide(spark, d), ["entity", "date"], list(ORDER_METRICS))
+    return C.drop_null_measure(with_nulls).withColumn("value", r6("value"))
+
+
+@register("complete_cases")
+def q_complete_cases(spark, d):
+    return round_doubles(C.complete_cases(pn_wide(spark, d), ["avg_price", "urgent_price"]))
+
+
+@register("filter_year_range")
+def q_filter_year_range(spark, d):
+    return C.filter_year_range(pn_long(spark, d), "date", YEAR_LO, YEAR_HI).withColumn("value", r6("value"))
+
+
+@register("exclude_window")
+def q_exclude_window(spark, d):
+    return C.exclude_window(pn_long(spark, d), "date", EXCLUDE_START, EXCLUDE_END).withColumn("value", r6("value"))
+
+
+@register("project_rename_drop")
+def q_project_rename_drop(spark, d):
+    out = C.project_rename_drop(pn_wide(spark, d), rename={"entity": "region", "date": "period",
+                                                          "order_count": "orders"}, drop=["avg_qty", "avg_extprice"])
+    return round_doubles(out)
+
+
+@register("zero_fill")
+def q_zero_fill(spark, d):
+    return round_doubles(C.zero_fill(pn_wide(spark, d), ["urgent_price"]))
+
+
+@register("winsorize")
+def q_winsorize(spark, d):
+    return C.winsorize(pn_long(spark, d), flag="clipped").withColumn("value", r6("value"))
+
+
+@register("cleaning_audit")
+def q_cleaning_audit(spark, d):
+    raw = R.unpivot_long(pn_wide(spark, d), ["entity", "date"], list(ORDER_METRICS))
+    kept = C.drop_null_measure(raw)
+    dedup = C.dedupe_keep_first(kept, ["entity", "date", "metric"], ["value"])
+    win = C.winsorize(dedup)
+    return round_doubles(C.cleaning_audit({"raw": raw, "non_null": kept, "deduped": dedup,
+                                           "winsorized": win}, ["value"]))
+
+
+@register("key_not_null_check")
+def q_key_not_null_check(spark, d):
+    return C.key_not_null_check(pn_long(spark, d), ["entity", "date"]).withColumn("value", r6("value"))
+
+
+@register("threshold_category")
+def q_threshold_category(spark, d):
+    per = A.period_mean(pn_wide(spark, d), ["entity"], ["avg_price"])
+    return C.threshold_category(per, "avg_price_mean").withColumn("avg_price_mean", r6("avg_price_mean"))
+
+
+# ---------------------------------------------------------------------------
+# 2.3 joins
+# ---------------------------------------------------------------------------
+@register("join_name_year")
+def q_join_name_year(spark, d):
+    storms = track_points(spark, d).select("storm_id", "storm_name").distinct() \
+        .join(table(spark, d, "orders").select(F.concat(F.lit("AL"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0")).alias("storm_id"),
+                                               F.year("o_orderdate").alias("year")), ["storm_id"])
+    ev = named_events(spark, d).withColumn("event_key", S.normalize_event_name("event_name"))
+    out = J.join_name_year(storms, ev, "storm_name", "event_key", "year", ["event_name", "cost", "deaths"])
+    return out.withColumn("cost", r6("cost"))
+
+
+@register("left_join_zero")
+def q_left_join_zero(spark, d):
+    return round_doubles(J.left_join_zero(order_years(spark, d), shock_by_year(spark, d), ["year"], list(SHOCK_METRICS)))
+
+
+@register("scaffold_left_join")
+def q_scaffold_left_join(spark, d):
+    return shock_annual_long(spark, d, order_years(spark, d)).withColumn("value", r6("value"))
+
+
+@register("cross_scaffold")
+def q_cross_scaffold(spark, d):
+    return J.cross_scaffold(order_years(spark, d), list(SHOCK_METRICS))
+
+
+@register("expand_period")
+def q_expand_period(spark, d):
+    long = pn_long(spark, d)
+    years = long.select(F.year("date").alias("year")).distinct()
+    return exposure_rows(long, shock_annual_long(spark, d, years)).withColumn("value", r6("value"))
+
+
+@register("balanced_semi_join")
+def q_balanced_semi_join(spark, d):
+    return J.balanced_semi_join(pn_long(spark, d)).withColumn("value", r6("value"))
+
+
+@register("balanced_dates")
+def q_balanced_dates(spark, d):
+    return J.balanced_dates(pn_long(spark, d))
+
+
+@register("subsample_semi_join")
+def q_subsample_semi_join(spark, d):
+    long = pn_long(spark, d)
+    wide = pn_wide(spark, d)
+    groups = A.grouped_median_split(wide, "entity", "avg_price").where(F.col("group") == "high")
+    return J.subsample_semi_join(long, groups).withColumn("value", r6("value"))
+
+
+# Fixed event list of the event study: a plain date, one half-way between two
+# month-ends (a tie), and one with no data within 24 months.
+EVENTS = (("e1_1999_02", "1999-02-01"), ("e2_tie_1997_06", "1997-06-15"), ("e3_empty_2010", "2010-01-01"))
+
+
+def event_table(spark):
+    return spark.createDataFrame([(k, v) for k, v in EVENTS], "event string, event_date string") \
+        .withColumn("event_date", F.to_date("event_date"))
+
+
+@register("range_join_window")
+def q_range_join_window(spark, d):
+    win = J.range_join_window(state_series(spark, d), event_table(spark))
+    return win.select("event", "date", r6("value").alias("value"))
+
+
+@register("nearest_asof")
+def q_nearest_asof(spark, d):
+    win = J.range_join_window(state_series(spark, d), event_table(spark))
+    return J.nearest_asof(win, "value").withColumn("base_value", r6("base_value"))

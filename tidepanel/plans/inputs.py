@@ -92,3 +92,100 @@ def shock_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.max("l_extendedprice").alias("shock_max_price"),
                  F.min("l_discount").alias("shock_min_discount"),
                  (F.sum("l_extendedprice") / F.lit(1e6)).alias("shock_total")))
+
+
+# ---------------------------------------------------------------------------
+# Text, JSON, names and geo derived from the tables (rules, not samples).
+# Every order is a "storm": a header line, then one detail line per lineitem.
+# Rules put the format's edge cases into the text: sentinel wind/pressure,
+# southern/eastern hemispheres, a bad latitude, a short line and a bad date.
+# ---------------------------------------------------------------------------
+LINE_SLOTS = 8          # positions per order: header + up to 7 lines
+BLOCK_SPAN = 1 << 16    # coarse ordered cut of the positions (split role)
+
+
+def _detail_fields() -> dict:
+    l_ = F.col
+    date = F.when(l_("l_linenumber") == 6,
+                  F.concat(F.year("l_shipdate").cast("string"), F.lit("1345"))) \
+        .otherwise(F.date_format("l_shipdate", "yyyyMMdd"))
+    lat_txt = F.concat(F.pmod(l_("l_partkey"), F.lit(60)).cast("string"), F.lit("."),
+                       F.pmod(l_("l_suppkey"), F.lit(10)).cast("string"))
+    lat = F.when((l_("l_linenumber") == 5) & (F.pmod(l_("l_partkey"), F.lit(3)) == 0),
+                 F.concat(F.lit("?"), lat_txt, F.lit("N"))) \
+        .otherwise(F.concat(lat_txt, F.when(F.pmod(l_("l_partkey"), F.lit(5)) != 0, F.lit("N"))
+                            .otherwise(F.lit("S"))))
+    lon = F.concat(F.pmod(l_("l_suppkey"), F.lit(100)).cast("string"), F.lit("."),
+                   F.pmod(l_("l_partkey"), F.lit(10)).cast("string"),
+                   F.when(F.pmod(l_("l_suppkey"), F.lit(4)) != 0, F.lit("W")).otherwise(F.lit("E")))
+    wind = (F.when(l_("l_quantity") < 3, F.lit("-99")).when(l_("l_quantity") < 5, F.lit(""))
+            .when(l_("l_quantity") < 6, F.lit("x"))
+            .otherwise((l_("l_quantity") * 3).cast("int").cast("string")))
+    pres = F.when(l_("l_discount") == 0, F.lit("-999")) \
+        .otherwise((F.lit(1010) - (l_("l_discount") * 100).cast("int")).cast("string"))
+    return {"date": date,
+            "time": F.lpad((l_("l_linenumber") * 100).cast("string"), 4, "0"),
+            "record_id": F.when(l_("l_returnflag") == "R", F.lit("L")).otherwise(F.lit("")),
+            "status": l_("l_linestatus"), "lat": lat, "lon": lon, "wind": wind, "pressure": pres}
+
+
+def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, block, pos, line): header/detail text for every order."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    oc = o.join(c, o.o_custkey == c.c_custkey)
+    file = F.concat(F.lit("tracks_"), F.year("o_orderdate").cast("string"), F.lit(".txt"))
+    head = oc.select(file.alias("file"), (F.col("o_orderkey") * LINE_SLOTS).alias("pos"),
+                     F.concat(F.lit("AL"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"), F.lit(", "),
+                              F.col("c_name"), F.lit(", "), F.year("o_orderdate").cast("string"),
+                              F.lit(",")).alias("line"))
+    li = table(spark, sf_dir, "lineitem")
+    f = _detail_fields()
+    full = F.concat_ws(", ", *[f[k] for k in ("date", "time", "record_id", "status", "lat", "lon", "wind", "pressure")])
+    short = F.concat_ws(", ", *[f[k] for k in ("date", "time", "record_id", "status", "lat", "lon")])
+    det = (li.join(o.select("o_orderkey", "o_orderdate"), li.l_orderkey == o.o_orderkey)
+           .select(file.alias("file"), (F.col("o_orderkey") * LINE_SLOTS + F.col("l_linenumber")).alias("pos"),
+                   F.when(F.col("l_linenumber") == 7, short).otherwise(full).alias("line")))
+    lines = head.unionByName(det)
+    return lines.withColumn("block", F.floor(F.col("pos") / F.lit(BLOCK_SPAN)))
+
+
+def track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.text import parse_header_detail
+    return parse_header_detail(track_lines(spark, sf_dir))
+
+
+def event_documents(spark: SparkSession, sf_dir: str, per_doc: int = 64) -> DataFrame:
+    """JSON documents ``{"data": [...]}``, each holding at most ``per_doc``
+    consecutive events (bounded documents; null fields are omitted)."""
+    ev = table(spark, sf_dir, "events")
+    day = F.date_format("ts", "yyyyMMdd").cast("long")
+    rec = F.struct(F.col("event_type").alias("name"),
+                   F.when(F.col("event_id") % 13 == 0, F.floor(day / 100)).otherwise(day).alias("begDate"),
+                   day.alias("endDate"),
+                   F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("adjCost"),
+                   F.get_json_object("props", "$.k").cast("int").alias("deaths"))
+    return (ev.groupBy(F.floor(F.col("event_id") / per_doc).alias("doc"))
+            .agg(F.to_json(F.struct(F.collect_list(rec).alias("data"))).alias("json")))
+
+
+NAME_PREFIX_RULE = ("Hurricane ", "Tropical Storm ", "")
+
+
+def named_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer and ship year of returned items: a labelled event
+    (prefix by rule + customer name + '(year)'), cost and count."""
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == SHOCK_FLAG)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    g = j.groupBy("c_custkey", "c_name", F.year("l_shipdate").alias("year")).agg(
+        F.sum("l_extendedprice").alias("cost"), F.count(F.lit(1)).alias("deaths"))
+    k = F.pmod(F.col("c_custkey"), F.lit(3))
+    prefix = F.when(k == 0, F.lit(NAME_PREFIX_RULE[0])).when(k == 1, F.lit(NAME_PREFIX_RULE[1])).otherwise(F.lit(""))
+    return g.select(F.concat(prefix, F.col("c_name"), F.lit(" ("), F.col("year").cast("string"), F.lit(")")).alias("event_name"),
+                    "year", "cost", "deaths")
+
+
+# Fixed reference point and radius of the geo filter (the coast role).
+REF_LAT, REF_LON, MAX_NM = 27.8, -81.7, 600.0

@@ -101,3 +101,42 @@ def with_(*ctes: str) -> str:
 
 def r6(expr: str) -> str:
     return f"round_even({expr}, 6)"
+
+
+def track_ctes() -> str:
+    """CTE ``tp``: the track points the text parser must produce, computed
+    straight from the tables (plus ``tp_loc`` with distance and year)."""
+    return """
+tp_src AS (
+  SELECT 'AL' || lpad(CAST(o.o_orderkey AS VARCHAR), 8, '0') AS storm_id, c.c_name AS storm_name,
+         l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_discount, l.l_returnflag,
+         l.l_linestatus, l.l_shipdate
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE l.l_linenumber <> 7 AND NOT (l.l_linenumber = 5 AND l.l_partkey % 3 = 0)),
+tp AS (
+  SELECT storm_id, storm_name,
+    CASE WHEN l_linenumber = 6 THEN CAST(year(l_shipdate) AS VARCHAR) || '1345'
+         ELSE strftime(l_shipdate, '%Y%m%d') END AS date,
+    lpad(CAST(l_linenumber * 100 AS VARCHAR), 4, '0') AS time,
+    CASE WHEN l_returnflag = 'R' THEN 'L' ELSE '' END AS record_id,
+    l_linestatus AS status,
+    (CASE WHEN l_partkey % 5 <> 0 THEN 1.0 ELSE -1.0 END)
+      * CAST(CAST(l_partkey % 60 AS VARCHAR) || '.' || CAST(l_suppkey % 10 AS VARCHAR) AS DOUBLE) AS lat,
+    (CASE WHEN l_suppkey % 4 <> 0 THEN -1.0 ELSE 1.0 END)
+      * CAST(CAST(l_suppkey % 100 AS VARCHAR) || '.' || CAST(l_partkey % 10 AS VARCHAR) AS DOUBLE) AS lon,
+    CASE WHEN l_quantity < 6 THEN NULL ELSE CAST(floor(l_quantity * 3) AS INTEGER) END AS max_wind,
+    CASE WHEN l_discount = 0 THEN NULL ELSE 1010 - CAST(floor(l_discount * 100) AS INTEGER) END AS min_pressure
+  FROM tp_src),
+tp_loc AS (
+  SELECT *, 2 * 3440.065 * asin(sqrt(pow(sin((radians(27.8) - radians(lat)) / 2), 2)
+            + cos(radians(lat)) * cos(radians(27.8)) * pow(sin((radians(-81.7) - radians(lon)) / 2), 2))) AS dist,
+         CAST(substr(date, 1, 4) AS INTEGER) AS yr
+  FROM tp)"""
+
+
+def z6(expr: str) -> str:
+    """round half-even to 6 places and fold -0.0 into 0.0"""
+    return f"(round_even(({expr}) * (1.0 + 1e-11), 6) + 0.0)"
+
+
+ORDER_LONG_COLS = "entity, date, metric, " + z6("value") + " AS value"

@@ -20,3 +20,126 @@ def _profile_select(src: str, cols, decimals: int = 1) -> str:
 
 
 ORACLES["entity_profile"] = with_(enriched_ctes("segment")) + "\n" + _profile_select("enr_wide", PROFILE_COLS)
+
+
+# ---------------------------------------------------------------------------
+from .oracle_sql import (ORDER_LONG_COLS, ORDER_METRICS, SHOCK_METRICS,  # noqa: E402
+                         order_panel_ctes, shock_ctes, track_ctes, winsor_ctes, balanced_ctes, z6)
+
+PN = order_panel_ctes("nation", "pn")
+PN_WIDE_COLS = "entity, date, " + ", ".join(f"{z6(m)} AS {m}" for m in ORDER_METRICS)
+EVENTS_SQL = "(VALUES ('e1_1999_02', DATE '1999-02-01'), ('e2_tie_1997_06', DATE '1997-06-15'), ('e3_empty_2010', DATE '2010-01-01')) ev(event, event_date)"
+STATE = "state AS (SELECT date, avg(avg_price) AS value FROM pn_wide WHERE avg_price IS NOT NULL GROUP BY date)"
+YEARS = "yrs AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)"
+SHOCK_GRID = ", ".join(f"('{m}')" for m in SHOCK_METRICS)
+
+ORACLES.update({
+    "scan_wide_dates": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
+    "scan_header_detail": with_(track_ctes()) +
+        "\nSELECT storm_id, storm_name, date, time, record_id, status, " + z6("lat") + " AS lat, " +
+        z6("lon") + " AS lon, max_wind, min_pressure FROM tp",
+    "scan_nested_json": """
+SELECT event_type AS name,
+       CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(strftime(ts, '%Y') AS INTEGER) END AS year,
+       CASE WHEN event_id % 13 = 0 THEN strftime(ts, '%Y%m') ELSE strftime(ts, '%Y%m%d') END AS begin_date,
+       strftime(ts, '%Y%m%d') AS end_date,
+       """ + z6("CASE WHEN event_id % 7 <> 0 THEN coalesce(value, 0.0) ELSE 0.0 END") + """ AS cost,
+       coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER), 0) AS deaths
+FROM events""",
+    "scan_typed_long": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
+    "schema_contract": with_(PN) + f"\nSELECT entity, date, {z6('avg_price')} AS avg_price, {z6('urgent_price')} AS urgent_price FROM pn_wide",
+    "sink_long": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
+    "dataset_metadata": with_(PN) + """
+SELECT count(DISTINCT entity) AS n_entities, count(DISTINCT date) AS n_periods, count(*) AS n_obs,
+       min(date) AS time_min, max(date) AS time_max, count(DISTINCT metric) AS n_variables,
+       (SELECT count(*) FROM (SELECT DISTINCT entity, date FROM pn_long)) AS n_cells,
+       CASE WHEN (SELECT count(*) FROM (SELECT DISTINCT entity, date FROM pn_long))
+                 = count(DISTINCT entity) * count(DISTINCT date) THEN 'balanced' ELSE 'unbalanced' END AS panel_type
+FROM pn_long""",
+    "column_dictionary": with_(PN) + "\n" + " UNION ALL ".join(
+        [f"SELECT 'nation_panel' AS dataset, '{c}' AS column, '{t}' AS dtype, 'key' AS role, "
+         f"{z6(f'sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*)')} AS null_pct, "
+         f"count(DISTINCT {c}) AS n_distinct, CAST(NULL AS DOUBLE) AS min, CAST(NULL AS DOUBLE) AS max FROM pn_wide"
+         for c, t in (("entity", "string"), ("date", "date"))] +
+        [f"SELECT 'nation_panel', '{m}', 'double', 'measure', "
+         f"{z6(f'sum(CASE WHEN {m} IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*)')}, count(DISTINCT {m}), "
+         f"{z6(f'min({m})')}, {z6(f'max({m})')} FROM pn_wide" for m in ORDER_METRICS]),
+    "filter_equality_and": "SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F'",
+    "drop_empty_key": """
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+WHERE line IS NOT NULL AND trim(line, ' ') <> '' GROUP BY doc_id""",
+    "tolerant_cast": with_(PN) + f"\nSELECT entity, date, {z6('urgent_price')} AS urgent_price FROM pn_wide WHERE urgent_price IS NOT NULL",
+    "sentinel_to_null": with_(track_ctes()) + """
+SELECT storm_id, count(max_wind) AS n_wind, count(min_pressure) AS n_pressure, max(max_wind) AS max_wind,
+       min(min_pressure) AS min_pressure, count(*) AS n_points FROM tp GROUP BY storm_id""",
+    "signed_coordinate": with_(track_ctes()) + f"""
+SELECT storm_id, {z6('min(lat)')} AS min_lat, {z6('max(lat)')} AS max_lat, {z6('min(lon)')} AS min_lon,
+       {z6('max(lon)')} AS max_lon FROM tp GROUP BY storm_id""",
+    "parse_date_coerce": with_(track_ctes()) + """
+SELECT storm_id, time, CAST(try_strptime(date, '%Y%m%d') AS DATE) AS date FROM tp
+WHERE try_strptime(date, '%Y%m%d') IS NOT NULL""",
+    "drop_null_measure": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
+    "complete_cases": with_(PN) + f"\nSELECT {PN_WIDE_COLS} FROM pn_wide WHERE avg_price IS NOT NULL AND urgent_price IS NOT NULL",
+    "filter_year_range": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long WHERE year(date) BETWEEN 1996 AND 2000",
+    "exclude_window": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long WHERE NOT (date BETWEEN DATE '1997-03-01' AND DATE '1997-05-31')",
+    "project_rename_drop": with_(PN) + f"""
+SELECT entity AS region, date AS period, {z6('avg_price')} AS avg_price, {z6('order_count')} AS orders,
+       {z6('urgent_price')} AS urgent_price FROM pn_wide""",
+    "zero_fill": with_(PN) + f"""
+SELECT entity, date, {z6('avg_price')} AS avg_price, {z6('order_count')} AS order_count, {z6('avg_qty')} AS avg_qty,
+       {z6('avg_extprice')} AS avg_extprice, {z6('coalesce(urgent_price, 0.0)')} AS urgent_price FROM pn_wide""",
+    "winsorize": with_(PN, winsor_ctes("pn_long", "wz")) + f"""
+SELECT w.entity, w.date, w.metric, {z6('w.value')} AS value, (w.value <> p.value) AS clipped
+FROM wz w JOIN pn_long p ON w.entity = p.entity AND w.date = p.date AND w.metric = p.metric""",
+    "cleaning_audit": with_(PN, winsor_ctes("pn_long", "wz")) + "\n" + " UNION ALL ".join(
+        f"SELECT '{st}' AS stage, count(*) AS n_rows, CAST(sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS value_missing, "
+        f"{z6('sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*)')} AS value_missing_pct FROM {src}"
+        for st, src in (("raw", "(" + " UNION ALL ".join(f"SELECT {m} AS value FROM pn_wide" for m in ORDER_METRICS) + ")"),
+                        ("non_null", "pn_long"), ("deduped", "pn_long"), ("winsorized", "wz"))),
+    "key_not_null_check": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
+    "threshold_category": with_(PN) + f"""
+, per AS (SELECT entity, avg(avg_price) AS m FROM pn_wide GROUP BY entity)
+SELECT entity, {z6('m')} AS avg_price_mean,
+       CASE WHEN m >= (SELECT quantile_cont(m, 0.5) FROM per) THEN 'Sensitive' ELSE 'Resilient' END AS category
+FROM per""",
+    "join_name_year": with_(track_ctes()) + """
+, storms AS (SELECT DISTINCT t.storm_id, t.storm_name, CAST(year(o.o_orderdate) AS INTEGER) AS year
+             FROM tp t JOIN orders o ON t.storm_id = 'AL' || lpad(CAST(o.o_orderkey AS VARCHAR), 8, '0')),
+ev AS (
+  SELECT CASE c.c_custkey % 3 WHEN 0 THEN 'Hurricane ' WHEN 1 THEN 'Tropical Storm ' ELSE '' END
+           || c.c_name || ' (' || CAST(year(l.l_shipdate) AS VARCHAR) || ')' AS event_name,
+         upper(c.c_name) AS name_key, CAST(year(l.l_shipdate) AS INTEGER) AS year,
+         sum(l.l_extendedprice) AS cost, count(*) AS deaths
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE l.l_returnflag = 'R' GROUP BY ALL)
+SELECT s.storm_id, s.storm_name, s.year, e.event_name, """ + z6("e.cost") + """ AS cost, e.deaths
+FROM storms s JOIN ev e ON upper(trim(s.storm_name)) = e.name_key AND s.year = e.year""",
+    "left_join_zero": with_(shock_ctes(), YEARS) + "\nSELECT y.year, " + ", ".join(
+        f"{z6(f'coalesce(s.{m}, 0.0)')} AS {m}" for m in SHOCK_METRICS) + " FROM yrs y LEFT JOIN shock s ON y.year = s.year",
+    "scaffold_left_join": with_(shock_ctes(), YEARS) + f"""
+SELECT y.year, m.metric, {z6('coalesce(s.value, 0.0)')} AS value
+FROM yrs y CROSS JOIN (VALUES {SHOCK_GRID}) m(metric) LEFT JOIN shock_long s ON s.year = y.year AND s.metric = m.metric""",
+    "cross_scaffold": with_(YEARS) + f"\nSELECT y.year, m.metric FROM yrs y CROSS JOIN (VALUES {SHOCK_GRID}) m(metric)",
+    "expand_period": with_(PN, shock_ctes()) + f"""
+, keys AS (SELECT DISTINCT entity, date FROM pn_long),
+grid AS (SELECT y.year, m.metric FROM (SELECT DISTINCT CAST(year(date) AS INTEGER) AS year FROM keys) y,
+                (VALUES {SHOCK_GRID}) m(metric)),
+annual AS (SELECT g.year, g.metric, coalesce(s.value, 0.0) AS value FROM grid g
+           LEFT JOIN shock_long s ON s.year = g.year AND s.metric = g.metric)
+SELECT k.entity, k.date, a.metric, {z6('a.value')} AS value FROM keys k JOIN annual a ON year(k.date) = a.year""",
+    "balanced_semi_join": with_(PN, balanced_ctes("pn_long", "bal")) + f"\nSELECT {ORDER_LONG_COLS} FROM bal",
+    "balanced_dates": with_(PN, balanced_ctes("pn_long", "bal")) + "\nSELECT date FROM bal_d",
+    "subsample_semi_join": with_(PN) + f"""
+, med AS (SELECT entity, quantile_cont(avg_price, 0.5) AS m FROM pn_wide GROUP BY entity),
+high AS (SELECT entity FROM med WHERE m >= (SELECT quantile_cont(m, 0.5) FROM med))
+SELECT {ORDER_LONG_COLS} FROM pn_long WHERE entity IN (SELECT entity FROM high)""",
+    "range_join_window": with_(PN, STATE) + f"""
+SELECT ev.event, s.date, {z6('s.value')} AS value FROM state s, {EVENTS_SQL}
+WHERE s.date BETWEEN ev.event_date - INTERVAL 24 MONTH AND ev.event_date + INTERVAL 24 MONTH""",
+    "nearest_asof": with_(PN, STATE) + f"""
+, win AS (SELECT ev.event, ev.event_date, s.date, s.value FROM state s, {EVENTS_SQL}
+          WHERE s.date BETWEEN ev.event_date - INTERVAL 24 MONTH AND ev.event_date + INTERVAL 24 MONTH),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY event ORDER BY abs(date - event_date), date DESC) AS rn FROM win)
+SELECT event, {z6('value')} AS base_value, date AS base_date FROM ranked WHERE rn = 1""",
+})
