@@ -346,3 +346,271 @@ def q_range_join_window(spark, d):
 def q_nearest_asof(spark, d):
     win = J.range_join_window(state_series(spark, d), event_table(spark))
     return J.nearest_asof(win, "value").withColumn("base_value", r6("base_value"))
+
+
+# ---------------------------------------------------------------------------
+# 2.4 aggregations
+# ---------------------------------------------------------------------------
+def qualifying_points(spark, d):
+    return A.min_distance_qualify(located_points(spark, d), "storm_id", "dist", MAX_NM, "in_range")
+
+
+def storms(spark, d):
+    pts = qualifying_points(spark, d).withColumn("_order", F.struct("date", "time")) \
+        .withColumn("landfall", F.col("record_id") == "L")
+    return A.storm_summary(pts, "storm_id", "_order", "storm_name", "yr", "max_wind", "min_pressure",
+                           "landfall", "dist")
+
+
+@register("min_distance_qualify")
+def q_min_distance_qualify(spark, d):
+    return qualifying_points(spark, d).select("storm_id", "date", "time", r6("dist").alias("dist"))
+
+
+@register("storm_summary")
+def q_storm_summary(spark, d):
+    return storms(spark, d)
+
+
+@register("annual_exposure")
+def q_annual_exposure(spark, d):
+    return A.annual_exposure(storms(spark, d), "year", {"max_wind": ("max", "max_wind"),
+                                                        "min_pressure": ("min", "min_pressure"),
+                                                        "closest_distance": ("min", "closest_distance")})
+
+
+@register("annual_cost")
+def q_annual_cost(spark, d):
+    ev = named_events(spark, d).withColumn("cost_m", F.col("cost") / 1e6)
+    return round_doubles(A.annual_sum(ev, "year", {"total_cost_m": "cost_m", "total_deaths": "deaths"}))
+
+
+@register("haversine")
+def q_haversine(spark, d):
+    c = table(spark, d, "customer")
+    lat = (F.pmod(F.col("c_custkey") * 7, F.lit(181)) - 90).cast("double")
+    lon = (F.pmod(F.col("c_custkey") * 13, F.lit(361)) - 180).cast("double")
+    return c.select("c_custkey", r6(S.haversine_nm(lat, lon, F.lit(REF_LAT), F.lit(REF_LON))).alias("dist_nm"))
+
+
+@register("panel_shape")
+def q_panel_shape(spark, d):
+    return A.panel_shape(pn_long(spark, d))
+
+
+@register("metric_profile")
+def q_metric_profile(spark, d):
+    long = R.unpivot_long(pn_wide(spark, d), ["entity", "date"], list(ORDER_METRICS))
+    return round_doubles(A.metric_profile(long))
+
+
+@register("describe_columns")
+def q_describe_columns(spark, d):
+    return round_doubles(A.describe_columns(pn_wide(spark, d), list(ORDER_METRICS)))
+
+
+@register("period_mean")
+def q_period_mean(spark, d):
+    w = pn_wide(spark, d).withColumn("year", F.year("date"))
+    return A.period_mean(w, ["year"], list(ORDER_METRICS), decimals=1)
+
+
+@register("missing_pct")
+def q_missing_pct(spark, d):
+    return round_doubles(A.missing_pct(pn_wide(spark, d), list(ORDER_METRICS)))
+
+
+@register("grouped_median_split")
+def q_grouped_median_split(spark, d):
+    return round_doubles(A.grouped_median_split(pn_wide(spark, d), "entity", "avg_price"))
+
+
+@register("corr_matrix")
+def q_corr_matrix(spark, d):
+    return A.corr_matrix(pn_wide(spark, d), list(ORDER_METRICS)).withColumn("r", r6("r"))
+
+
+@register("pairwise_corr")
+def q_pairwise_corr(spark, d):
+    return A.pairwise_corr(pn_wide(spark, d), "avg_price", "urgent_price", ["entity"]).withColumn("r", r6("r"))
+
+
+@register("linear_fit")
+def q_linear_fit(spark, d):
+    return round_doubles(A.linear_fit(pn_wide(spark, d), "avg_extprice", "avg_qty", ["entity"]))
+
+
+@register("fit_line_grid")
+def q_fit_line_grid(spark, d):
+    fits = A.linear_fit(pn_wide(spark, d), "avg_extprice", "avg_qty", ["entity"])
+    return round_doubles(A.fit_line_grid(fits, 100, ["entity"]))
+
+
+@register("time_range_total")
+def q_time_range_total(spark, d):
+    return round_doubles(A.time_range_total(pn_wide(spark, d), "date", "order_count"))
+
+
+@register("time_quantile_split")
+def q_time_quantile_split(spark, d):
+    return A.time_quantile_split(pn_long(spark, d), "date", 0.8).select("entity", "date", "metric", "split")
+
+
+# ---------------------------------------------------------------------------
+# 2.5 windows (over nation x month panel cells)
+# ---------------------------------------------------------------------------
+from ..operators import windows as W  # noqa: E402
+
+
+@register("dedupe_keep_first")
+def q_dedupe_keep_first(spark, d):
+    li = table(spark, d, "lineitem")
+    keys = ["l_orderkey", "l_linenumber"]
+    order = [c for c in li.columns if c not in keys]
+    return round_doubles(C.dedupe_keep_first(li, keys, order))
+
+
+@register("log_diff")
+def q_log_diff(spark, d):
+    return W.log_diff(pn_wide(spark, d), "avg_price", "price_growth").select("entity", "date", r6("price_growth").alias("price_growth"))
+
+
+@register("pct_change")
+def q_pct_change(spark, d):
+    out = W.pct_change(pn_wide(spark, d), "urgent_price", "urgent_growth")
+    return out.select("entity", "date", r6("urgent_growth").alias("urgent_growth"))
+
+
+@register("lag_features")
+def q_lag_features(spark, d):
+    out = W.lag_features(pn_wide(spark, d), "order_count", [1, 2, 3])
+    return out.select("entity", "date", "order_count_l1", "order_count_l2", "order_count_l3")
+
+
+@register("lead_features")
+def q_lead_features(spark, d):
+    out = W.lead_features(pn_wide(spark, d), "avg_price", list(range(13)))
+    return round_doubles(out.select("entity", "date", *[f"avg_price_f{k}" for k in range(13)]))
+
+
+@register("interaction_feature")
+def q_interaction_feature(spark, d):
+    w = W.lag_features(pn_wide(spark, d), "order_count", [1]).withColumn("qty_log", S.safe_ln("avg_qty"))
+    out = W.interaction_feature(w, "order_count_l1", "qty_log", "count_x_qty_l1")
+    return out.select("entity", "date", r6("count_x_qty_l1").alias("count_x_qty_l1"))
+
+
+@register("ffill_limit")
+def q_ffill_limit(spark, d):
+    out = W.ffill_limit(pn_wide(spark, d), "urgent_price", 3, out="urgent_filled")
+    return out.select("entity", "date", r6("urgent_filled").alias("urgent_filled"))
+
+
+@register("centered_ma")
+def q_centered_ma(spark, d):
+    out = W.centered_ma(pn_wide(spark, d), "avg_price", "trend")
+    return out.select("entity", "date", r6("trend").alias("trend"))
+
+
+@register("normalize_to_base")
+def q_normalize_to_base(spark, d):
+    from ..operators.series import event_study
+    es = event_study(state_series(spark, d), event_table(spark), "value")
+    return es.select("event", "date", r6("normalized").alias("normalized"))
+
+
+@register("relative_month")
+def q_relative_month(spark, d):
+    win = J.range_join_window(state_series(spark, d), event_table(spark))
+    return win.select("event", "date", W.relative_month("date", "event_date").alias("rel_month"))
+
+
+# ---------------------------------------------------------------------------
+# 2.6 sorts, limits, top-k, set operations
+# ---------------------------------------------------------------------------
+@register("sort_keys")
+def q_sort_keys(spark, d):
+    return R.sort_keys(pn_long(spark, d), ["entity", "date", "metric"]).withColumn("value", r6("value"))
+
+
+@register("head_n")
+def q_head_n(spark, d):
+    return R.head_n(pn_long(spark, d), ["entity", "date", "metric"], 10).withColumn("value", r6("value"))
+
+
+@register("topk_by_count")
+def q_topk_by_count(spark, d):
+    return R.topk_by_count(pn_wide(spark, d), "entity", "urgent_price", 3)
+
+
+@register("rank_by_measure")
+def q_rank_by_measure(spark, d):
+    vol = pn_wide(spark, d).groupBy("entity").agg(r6(F.stddev_samp("avg_price")).alias("price_std"))
+    return R.rank_by_measure(vol, "price_std", "entity")
+
+
+@register("union_all_long")
+def q_union_all_long(spark, d):
+    long = pn_long(spark, d)
+    years = long.select(F.year("date").alias("year")).distinct()
+    return R.union_all_long(long, exposure_rows(long, shock_annual_long(spark, d, years))).withColumn("value", r6("value"))
+
+
+@register("distinct_keys")
+def q_distinct_keys(spark, d):
+    return R.distinct_keys(pn_long(spark, d), ["entity", "date"])
+
+
+# ---------------------------------------------------------------------------
+# 2.7 scalar functions
+# ---------------------------------------------------------------------------
+@register("normalize_event_name")
+def q_normalize_event_name(spark, d):
+    ev = named_events(spark, d)
+    return ev.select("event_name", "year", S.normalize_event_name("event_name").alias("name_key"))
+
+
+@register("upper_trim_key")
+def q_upper_trim_key(spark, d):
+    p = table(spark, d, "part")
+    return p.select("p_partkey", S.upper_trim(F.concat(F.lit("  "), F.col("p_name"), F.lit(" "))).alias("name_key"))
+
+
+@register("short_name")
+def q_short_name(spark, d):
+    c = table(spark, d, "customer")
+    full = F.concat(F.col("c_name"), F.lit("-"), F.col("c_mktsegment"), F.lit(", "), F.col("c_nationkey").cast("string"))
+    return c.select("c_custkey", full.alias("full_name"), S.short_name(full).alias("short_name"))
+
+
+@register("slug")
+def q_slug(spark, d):
+    p = table(spark, d, "part")
+    label = F.concat(F.col("p_name"), F.lit(". "), F.col("p_type"))
+    return p.select("p_partkey", S.slug(label).alias("slug"))
+
+
+@register("date_parts")
+def q_date_parts(spark, d):
+    o = table(spark, d, "orders")
+    parts = S.date_parts("o_orderdate")
+    return o.select("o_orderkey", *[v.alias(k) for k, v in parts.items()])
+
+
+@register("unit_round")
+def q_unit_round(spark, d):
+    s = shock_by_year(spark, d)
+    return s.select("year", S.millions_to_billions(F.col("shock_total") * 1000.0).alias("total_billion"),
+                    S.round_half_even("shock_max_price", 1).alias("max_price_1dp"))
+
+
+@register("log_transform")
+def q_log_transform(spark, d):
+    li = table(spark, d, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", r6(S.safe_ln("l_discount")).alias("ln_discount"))
+
+
+@register("sig_stars")
+def q_sig_stars(spark, d):
+    li = table(spark, d, "lineitem")
+    return li.groupBy(S.sig_stars("l_discount").alias("stars")).agg(F.count(F.lit(1)).alias("n"))

@@ -143,3 +143,165 @@ WHERE s.date BETWEEN ev.event_date - INTERVAL 24 MONTH AND ev.event_date + INTER
 ranked AS (SELECT *, row_number() OVER (PARTITION BY event ORDER BY abs(date - event_date), date DESC) AS rn FROM win)
 SELECT event, {z6('value')} AS base_value, date AS base_date FROM ranked WHERE rn = 1""",
 })
+
+
+# ---------------------------------------------------------------------------
+# 2.4 - 2.7
+# ---------------------------------------------------------------------------
+QUAL = """
+qual_ids AS (SELECT storm_id FROM tp_loc GROUP BY storm_id
+             HAVING min(CASE WHEN yr BETWEEN 1996 AND 2000 THEN dist END) <= 600.0),
+qual AS (SELECT * FROM tp_loc WHERE storm_id IN (SELECT storm_id FROM qual_ids)),
+storms AS (
+  SELECT storm_id, arg_min(storm_name, date || '|' || time) AS storm_name, arg_min(yr, date || '|' || time) AS year,
+         max(max_wind) AS max_wind, min(min_pressure) AS min_pressure, bool_or(record_id = 'L') AS has_landfall,
+         round_even(min(dist), 1) AS closest_distance
+  FROM qual GROUP BY storm_id)"""
+W_ENT = "OVER (PARTITION BY entity ORDER BY date)"
+NMAP = ("avg_price", "order_count", "avg_qty", "avg_extprice", "urgent_price")
+
+
+def _describe(m: str) -> str:
+    return (f"SELECT '{m}' AS column, count({m}) AS count, {z6(f'avg({m})')} AS mean, {z6(f'stddev_samp({m})')} AS std, "
+            f"{z6(f'min({m})')} AS min, {z6(f'max({m})')} AS max, "
+            f"{z6(f'sum(CASE WHEN {m} IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*)')} AS missing_pct, "
+            f"{z6(f'quantile_cont({m}, 0.25)')} AS p25, {z6(f'quantile_cont({m}, 0.5)')} AS p50, "
+            f"{z6(f'quantile_cont({m}, 0.75)')} AS p75 FROM pn_wide")
+
+
+CORR_PAIRS = [(a, b) for i, a in enumerate(NMAP) for b in NMAP[: i + 1]]
+
+ORACLES.update({
+    "min_distance_qualify": with_(track_ctes(), QUAL) + f"\nSELECT storm_id, date, time, {z6('dist')} AS dist FROM qual",
+    "storm_summary": with_(track_ctes(), QUAL) + "\nSELECT * FROM storms",
+    "annual_exposure": with_(track_ctes(), QUAL) + """
+SELECT year, count(*) AS n, max(max_wind) AS max_wind, min(min_pressure) AS min_pressure,
+       min(closest_distance) AS closest_distance FROM storms GROUP BY year""",
+    "annual_cost": f"""
+SELECT CAST(year(l.l_shipdate) AS INTEGER) AS year, {z6('sum(l.l_extendedprice / 1e6)')} AS total_cost_m, count(*) AS total_deaths
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE l.l_returnflag = 'R' GROUP BY 1""",
+    "haversine": """
+WITH g AS (SELECT c_custkey, CAST(((c_custkey * 7) % 181) - 90 AS DOUBLE) AS lat,
+                  CAST(((c_custkey * 13) % 361) - 180 AS DOUBLE) AS lon FROM customer)
+SELECT c_custkey, """ + z6("2 * 3440.065 * asin(sqrt(pow(sin((radians(27.8) - radians(lat)) / 2), 2) + cos(radians(lat)) * cos(radians(27.8)) * pow(sin((radians(-81.7) - radians(lon)) / 2), 2)))") + " AS dist_nm FROM g",
+    "panel_shape": with_(PN) + """
+, pe AS (SELECT entity, count(*) AS c, count(DISTINCT date) AS p FROM pn_long GROUP BY entity),
+pem AS (SELECT entity, metric, count(*) AS c FROM pn_long GROUP BY entity, metric)
+SELECT (SELECT count(DISTINCT entity) FROM pn_long) AS n_entities,
+       (SELECT count(DISTINCT date) FROM pn_long) AS n_periods,
+       (SELECT count(*) FROM pn_long) AS n_obs,
+       (SELECT min(c) FROM pe) AS min_obs_entity, (SELECT max(c) FROM pe) AS max_obs_entity,
+       (SELECT min(c) FROM pem) AS min_obs_entity_metric, (SELECT max(c) FROM pem) AS max_obs_entity_metric,
+       (SELECT min(p) FROM pe) = (SELECT count(DISTINCT date) FROM pn_long) AS balanced""",
+    "metric_profile": with_(PN) + "\n" + " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, {z6(f'avg({m})')} AS mean, {z6(f'stddev_samp({m})')} AS std, {z6(f'min({m})')} AS min, "
+        f"{z6(f'max({m})')} AS max, CAST(sum(CASE WHEN {m} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing, "
+        f"{z6(f'sum(CASE WHEN {m} IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*)')} AS missing_pct FROM pn_wide" for m in NMAP),
+    "describe_columns": with_(PN) + "\n" + " UNION ALL ".join(_describe(m) for m in NMAP),
+    "period_mean": with_(PN) + "\nSELECT CAST(year(date) AS INTEGER) AS year, " + ", ".join(
+        f"round_even(avg({m}) * (1.0 + 1e-11), 1) AS {m}_mean" for m in NMAP) + " FROM pn_wide GROUP BY 1",
+    "missing_pct": with_(PN) + "\nSELECT " + ", ".join(
+        f"{z6(f'avg(CASE WHEN {m} IS NULL THEN 1.0 ELSE 0.0 END) * 100.0')} AS {m}_missing_pct" for m in NMAP) + " FROM pn_wide",
+    "grouped_median_split": with_(PN) + f"""
+, med AS (SELECT entity, quantile_cont(avg_price, 0.5) AS m FROM pn_wide GROUP BY entity),
+cut AS (SELECT quantile_cont(m, 0.5) AS c FROM med)
+SELECT entity, {z6('m')} AS entity_median, {z6('c')} AS cutoff, CASE WHEN m >= c THEN 'high' ELSE 'low' END AS "group"
+FROM med, cut""",
+    "corr_matrix": with_(PN) + "\n" + " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, {z6(f'CASE WHEN isnan(corr({a}, {b})) THEN NULL ELSE corr({a}, {b}) END')} AS r FROM pn_wide"
+        for a, b in CORR_PAIRS),
+    "pairwise_corr": with_(PN) + f"""
+SELECT entity, {z6('CASE WHEN isnan(corr(avg_price, urgent_price)) THEN NULL ELSE corr(avg_price, urgent_price) END')} AS r,
+       count(CASE WHEN avg_price IS NOT NULL AND urgent_price IS NOT NULL THEN 1 END) AS n
+FROM pn_wide GROUP BY entity""",
+    "linear_fit": with_(PN) + f"""
+SELECT entity, {z6('regr_slope(avg_extprice, avg_qty)')} AS slope, {z6('regr_intercept(avg_extprice, avg_qty)')} AS intercept,
+       {z6('min(CASE WHEN avg_extprice IS NOT NULL THEN avg_qty END)')} AS x_min,
+       {z6('max(CASE WHEN avg_extprice IS NOT NULL THEN avg_qty END)')} AS x_max
+FROM pn_wide GROUP BY entity""",
+    "fit_line_grid": with_(PN) + f"""
+, fits AS (SELECT entity, regr_slope(avg_extprice, avg_qty) AS slope, regr_intercept(avg_extprice, avg_qty) AS intercept,
+                 min(avg_qty) AS x_min, max(avg_qty) AS x_max FROM pn_wide GROUP BY entity)
+SELECT entity, CAST(i AS INTEGER) AS i, {z6('x_min + i * ((x_max - x_min) / 99.0)')} AS x,
+       {z6('intercept + slope * (x_min + i * ((x_max - x_min) / 99.0))')} AS y_fit
+FROM fits, range(0, 100) r(i) WHERE slope IS NOT NULL""",
+    "time_range_total": with_(PN) + f"\nSELECT min(date) AS time_min, max(date) AS time_max, {z6('sum(order_count)')} AS total FROM pn_wide",
+    "time_quantile_split": with_(PN) + """
+, cut AS (SELECT quantile_cont(CAST(epoch_us(CAST(date AS TIMESTAMP)) AS DOUBLE), 0.8) AS c FROM pn_long)
+SELECT entity, date, metric, CASE WHEN CAST(epoch_us(CAST(date AS TIMESTAMP)) AS DOUBLE) <= c THEN 'train' ELSE 'test' END AS split
+FROM pn_long, cut""",
+    "dedupe_keep_first": f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {z6('l_quantity')} AS l_quantity, {z6('l_extendedprice')} AS l_extendedprice,
+       {z6('l_discount')} AS l_discount, {z6('l_tax')} AS l_tax, l_returnflag, l_linestatus, l_shipdate
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
+             l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
+             l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS rn FROM lineitem) WHERE rn = 1""",
+    "log_diff": with_(PN) + f"""
+, lg AS (SELECT entity, date, CASE WHEN avg_price > 0 THEN ln(avg_price) END AS lx FROM pn_wide)
+SELECT entity, date, {z6(f'lx - lag(lx, 1) {W_ENT}')} AS price_growth FROM lg""",
+    "pct_change": with_(PN) + f"""
+, pd AS (SELECT entity, date, last_value(urgent_price IGNORE NULLS) OVER (PARTITION BY entity ORDER BY date
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS px FROM pn_wide),
+pv AS (SELECT entity, date, px, lag(px, 1) {W_ENT} AS prev FROM pd)
+SELECT entity, date, {z6('px / CASE WHEN prev <> 0 THEN prev END - 1.0')} AS urgent_growth FROM pv""",
+    "lag_features": with_(PN) + f"""
+SELECT entity, date, lag(order_count, 1) {W_ENT} AS order_count_l1, lag(order_count, 2) {W_ENT} AS order_count_l2,
+       lag(order_count, 3) {W_ENT} AS order_count_l3 FROM pn_wide""",
+    "lead_features": with_(PN) + "\nSELECT entity, date, " + ", ".join(
+        f"{z6(f'lead(avg_price, {k}) {W_ENT}')} AS avg_price_f{k}" for k in range(13)) + " FROM pn_wide",
+    "interaction_feature": with_(PN) + f"""
+SELECT entity, date, {z6(f'lag(order_count, 1) {W_ENT} * CASE WHEN avg_qty > 0 THEN ln(avg_qty) END')} AS count_x_qty_l1 FROM pn_wide""",
+    "ffill_limit": with_(PN) + f"""
+, rn AS (SELECT entity, date, urgent_price, row_number() {W_ENT} AS r FROM pn_wide),
+lastv AS (SELECT *, last_value(urgent_price IGNORE NULLS) OVER (PARTITION BY entity ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lv,
+                 last_value(CASE WHEN urgent_price IS NOT NULL THEN r END IGNORE NULLS) OVER (PARTITION BY entity ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lr
+          FROM rn)
+SELECT entity, date, {z6('CASE WHEN urgent_price IS NOT NULL THEN urgent_price WHEN r - lr <= 3 THEN lv END')} AS urgent_filled FROM lastv""",
+    "centered_ma": with_(PN) + f"""
+, mv AS (SELECT entity, date,
+         sum(avg_price) OVER (PARTITION BY entity ORDER BY date ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS s,
+         count(avg_price) OVER (PARTITION BY entity ORDER BY date ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS c,
+         lag(avg_price, 6) {W_ENT} AS a, lead(avg_price, 6) {W_ENT} AS b FROM pn_wide)
+SELECT entity, date, {z6('CASE WHEN c = 13 THEN (s - 0.5 * (a + b)) / 12.0 END')} AS trend FROM mv""",
+    "normalize_to_base": with_(PN, STATE) + f"""
+, win AS (SELECT ev.event, ev.event_date, s.date, s.value FROM state s, {EVENTS_SQL}
+          WHERE s.date BETWEEN ev.event_date - INTERVAL 24 MONTH AND ev.event_date + INTERVAL 24 MONTH),
+base AS (SELECT event, value AS b FROM (SELECT *, row_number() OVER (PARTITION BY event ORDER BY abs(date - event_date), date DESC) AS rn FROM win) WHERE rn = 1)
+SELECT w.event, w.date, {z6('w.value / b.b * 100.0')} AS normalized FROM win w JOIN base b ON w.event = b.event""",
+    "relative_month": with_(PN, STATE) + f"""
+SELECT ev.event, s.date, CAST(round_even((s.date - ev.event_date) / 30.44, 0) AS INTEGER) AS rel_month FROM state s, {EVENTS_SQL}
+WHERE s.date BETWEEN ev.event_date - INTERVAL 24 MONTH AND ev.event_date + INTERVAL 24 MONTH""",
+    "sort_keys": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
+    "head_n": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long ORDER BY entity, date, metric LIMIT 10",
+    "topk_by_count": with_(PN) + "\nSELECT entity, count(urgent_price) AS n_obs FROM pn_wide GROUP BY entity ORDER BY n_obs DESC, entity LIMIT 3",
+    "rank_by_measure": with_(PN) + f"\nSELECT entity, {z6('stddev_samp(avg_price)')} AS price_std FROM pn_wide GROUP BY entity",
+    "union_all_long": with_(PN, shock_ctes()) + f"""
+, keys AS (SELECT DISTINCT entity, date FROM pn_long),
+grid AS (SELECT y.year, m.metric FROM (SELECT DISTINCT CAST(year(date) AS INTEGER) AS year FROM keys) y, (VALUES {SHOCK_GRID}) m(metric)),
+annual AS (SELECT g.year, g.metric, coalesce(s.value, 0.0) AS value FROM grid g LEFT JOIN shock_long s ON s.year = g.year AND s.metric = g.metric)
+SELECT {ORDER_LONG_COLS} FROM pn_long
+UNION ALL SELECT k.entity, k.date, a.metric, {z6('a.value')} FROM keys k JOIN annual a ON year(k.date) = a.year""",
+    "distinct_keys": with_(PN) + "\nSELECT DISTINCT entity, date FROM pn_long",
+    "normalize_event_name": """
+SELECT CASE c.c_custkey % 3 WHEN 0 THEN 'Hurricane ' WHEN 1 THEN 'Tropical Storm ' ELSE '' END
+         || c.c_name || ' (' || CAST(year(l.l_shipdate) AS VARCHAR) || ')' AS event_name,
+       CAST(year(l.l_shipdate) AS INTEGER) AS year, upper(trim(c.c_name)) AS name_key
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE l.l_returnflag = 'R' GROUP BY c.c_custkey, c.c_name, year(l.l_shipdate)""",
+    "upper_trim_key": "SELECT p_partkey, upper(trim(p_name)) AS name_key FROM part",
+    "short_name": """
+SELECT c_custkey, c_name || '-' || c_mktsegment || ', ' || CAST(c_nationkey AS VARCHAR) AS full_name,
+       trim(split_part(split_part(c_name || '-' || c_mktsegment || ', ' || CAST(c_nationkey AS VARCHAR), ',', 1), '-', 1)) AS short_name
+FROM customer""",
+    "slug": "SELECT p_partkey, replace(replace(lower(p_name || '. ' || p_type), ' ', '_'), '.', '') AS slug FROM part",
+    "date_parts": """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       strftime(o_orderdate, '%Y-%m') AS year_month, strftime(o_orderdate, '%Y-%m-%d') AS iso_date FROM orders""",
+    "unit_round": with_(shock_ctes()) + """
+SELECT year, round_even(shock_total * 1000.0 / 1000.0, 2) AS total_billion, round_even(shock_max_price, 1) AS max_price_1dp FROM shock""",
+    "log_transform": f"SELECT l_orderkey, l_linenumber, {z6('CASE WHEN l_discount > 0 THEN ln(l_discount) END')} AS ln_discount FROM lineitem",
+    "sig_stars": """
+SELECT CASE WHEN l_discount IS NULL THEN '' WHEN l_discount < 0.01 THEN '***' WHEN l_discount < 0.05 THEN '**'
+            WHEN l_discount < 0.10 THEN '*' ELSE '' END AS stars, count(*) AS n FROM lineitem GROUP BY 1""",
+})
