@@ -27,18 +27,14 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def quantile_table(df: DataFrame, keys: Sequence[str], value: str,
-                   probs: Sequence[float], names: Sequence[str] | None = None,
-                   with_count: bool = True) -> DataFrame:
-    """One row per group: ``keys..., [n], <name_p>...`` exact quantiles.
-
-    NULL values are ignored.  A group with no values has no row.
-    """
+def global_rank(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows of ``df`` (NULL values dropped) with ``_rank`` (0-based position
+    of the value within its group) and ``_n`` (group size), computed from a
+    range-partitioned sort: no group is sorted in one task."""
     keys = list(keys)
-    names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
-    base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ordered = (base.repartitionByRange(*keys, "_v")
-               .sortWithinPartitions(*keys, "_v")
+    base = df.where(F.col(value).isNotNull())
+    ordered = (base.repartitionByRange(*keys, value)
+               .sortWithinPartitions(*keys, value)
                .withColumn("_mid", F.monotonically_increasing_id())
                .withColumn("_pid", F.shiftright("_mid", _IDX_BITS))
                .withColumn("_idx", F.col("_mid").bitwiseAND((1 << _IDX_BITS) - 1)))
@@ -49,19 +45,31 @@ def quantile_table(df: DataFrame, keys: Sequence[str], value: str,
             .withColumn("_off", F.coalesce(F.sum("_c").over(
                 by_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .withColumn("_n", F.sum("_c").over(by_group)))
-    pos = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
-    wanted = []
-    for h in pos:
-        wanted += [F.floor(h), F.ceil(h)]
-    runs = runs.withColumn("_want", F.array(*wanted))
-    r = runs.alias("r")
-    o = ordered.alias("o")
+    o, r = ordered.alias("o"), runs.alias("r")
     on = [F.col("o._pid") == F.col("r._pid")] + [F.col(f"o.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-    picked = (o.join(r, reduce(lambda a, b: a & b, on))
-              .select(*[F.col(f"o.{k}").alias(k) for k in keys], F.col("o._v").alias("_v"),
-                      (F.col("r._off") + F.col("o._idx") - F.col("r._i0")).alias("_rank"),
-                      F.col("r._n").alias("_n"), F.col("r._want").alias("_want"))
-              .where(F.array_contains("_want", F.col("_rank"))))
+    cols = [F.col(f"o.{c}").alias(c) for c in base.columns]
+    return (o.join(r, reduce(lambda a, b: a & b, on))
+            .select(*cols, (F.col("r._off") + F.col("o._idx") - F.col("r._i0")).alias("_rank"),
+                    F.col("r._n").alias("_n")))
+
+
+def quantile_table(df: DataFrame, keys: Sequence[str], value: str,
+                   probs: Sequence[float], names: Sequence[str] | None = None,
+                   with_count: bool = True) -> DataFrame:
+    """One row per group: ``keys..., [n], <name_p>...`` exact quantiles.
+
+    NULL values are ignored.  A group with no values has no row.  Only the
+    rows at the two ranks around each wanted position survive the filter.
+    """
+    keys = list(keys)
+    names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
+    base = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    ranked = global_rank(base, keys, "_v")
+    wanted = F.lit(False)
+    for p in probs:
+        h = F.lit(float(p)) * (F.col("_n") - 1)
+        wanted = wanted | (F.col("_rank") == F.floor(h)) | (F.col("_rank") == F.ceil(h))
+    picked = ranked.where(wanted)
     aggs = [F.max("_n").alias("n")]
     for i, p in enumerate(probs):
         h = F.lit(float(p)) * (F.col("_n") - 1)

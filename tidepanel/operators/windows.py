@@ -28,25 +28,27 @@ def log_diff(df: DataFrame, col: str, out: str, entity: str = "entity", date: st
     return df.withColumn(out, lx - F.lag(lx, 1).over(w))
 
 
-def pct_change_col(col: str, w, pad: bool = True) -> Column:
-    """W3 column: x / previous - 1, gaps padded first (pandas 2.x default)."""
+def pct_change_col(col: str, w) -> Column:
+    """W3 column without padding: x / previous row - 1 (previous 0 -> NULL).
+    Pad first (``pad_forward``) for pandas' default behaviour."""
     x = F.col(col)
-    if pad:
-        x = F.last(x, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     prev = F.lag(x, 1).over(w)
     return F.try_divide(x, F.when(prev != 0, prev)) - F.lit(1.0)
 
 
+def pad_forward(col: str, w) -> Column:
+    """Last non-null value so far (unlimited forward fill)."""
+    return F.last(F.col(col), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+
+
 def pct_change(df: DataFrame, col: str, out: str, entity: str = "entity", date: str = "date",
                pad: bool = True) -> DataFrame:
     """Percent change per entity by row; previous value 0 gives NULL."""
     w = entity_window(entity, date)
     if not pad:
-        return df.withColumn(out, pct_change_col(col, w, pad=False))
-    padded = df.withColumn("_pad", F.last(F.col(col), ignorenulls=True).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    prev = F.lag("_pad", 1).over(w)
-    return padded.withColumn(out, F.try_divide(F.col("_pad"), F.when(prev != 0, prev)) - F.lit(1.0)).drop("_pad")
+        return df.withColumn(out, pct_change_col(col, w))
+    padded = df.withColumn("_pad", pad_forward(col, w))
+    return padded.withColumn(out, pct_change_col("_pad", w)).drop("_pad")
 
 
 def lag_features(df: DataFrame, col: str, lags: Sequence[int], prefix: str | None = None,

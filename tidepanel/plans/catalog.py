@@ -614,3 +614,148 @@ def q_log_transform(spark, d):
 def q_sig_stars(spark, d):
     li = table(spark, d, "lineitem")
     return li.groupBy(S.sig_stars("l_discount").alias("stars")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# 2.8 analytics: linear models
+# ---------------------------------------------------------------------------
+import numpy as _np  # noqa: E402
+
+from ..operators import linear as L  # noqa: E402
+from .inputs import events_panel_wide  # noqa: E402
+from .panels import MODEL_CONTROLS, MODEL_Y, model_frame  # noqa: E402
+
+E_Y, E_X = "avg_value", "n_events"
+
+
+def _e_fit(spark, d):
+    return L.fe_twoway(events_panel_wide(spark, d), E_Y, [E_X])
+
+
+def _num(v):
+    return None if v is None or not _np.isfinite(v) else float(v)
+
+
+@register("fe_twoway")
+def q_fe_twoway(spark, d):
+    f = _e_fit(spark, d)
+    rows = [(n, _num(f.coef[j]), f.nobs, f.n_entities, f.n_periods, f.df_resid) for j, n in enumerate(f.names)]
+    return round_doubles(spark.createDataFrame(rows, "variable string, coef double, nobs long, n_entities long, "
+                                                     "n_periods long, df_resid long"))
+
+
+@register("fe_unadjusted_se")
+def q_fe_unadjusted_se(spark, d):
+    f = _e_fit(spark, d)
+    rows = [(n, _num(f.coef[j]), _num(f.se[j])) for j, n in enumerate(f.names)]
+    return round_doubles(spark.createDataFrame(rows, "variable string, coef double, se double"))
+
+
+@register("fe_clustered_se")
+def q_fe_clustered_se(spark, d):
+    f = _e_fit(spark, d)
+    rows = [(n, _num(f.coef[j]), _num(f.se_clustered[j])) for j, n in enumerate(f.names)]
+    return round_doubles(spark.createDataFrame(rows, "variable string, coef double, se_clustered double"))
+
+
+@register("fe_fit_stats")
+def q_fe_fit_stats(spark, d):
+    f = _e_fit(spark, d)
+    return round_doubles(spark.createDataFrame([(f.nobs, f.df_resid, _num(f.r2), _num(f.r2_within), _num(f.r2_within_adj))],
+                                               "nobs long, df_resid long, r2 double, r2_within double, r2_within_adj double"))
+
+
+@register("resid_fitted")
+def q_resid_fitted(spark, d):
+    f = _e_fit(spark, d)
+    return round_doubles(f.frame.select("entity", "date", "resid", "fitted"))
+
+
+def _ols_table(spark, fit):
+    rows = [(n, _num(c), _num(s)) for n, c, s in zip(fit.names, fit.coef, fit.se)]
+    return spark.createDataFrame(rows, "variable string, coef double, se double")
+
+
+@register("pooled_ols")
+def q_pooled_ols(spark, d):
+    fit = L.pooled_ols(pn_wide(spark, d), "avg_price", ["avg_qty", "avg_extprice"])
+    t = _ols_table(spark, fit).select("variable", "coef")
+    return round_doubles(t.withColumn("r2", F.lit(float(fit.r2))).withColumn("nobs", F.lit(fit.nobs).cast("long")))
+
+
+@register("breusch_pagan")
+def q_breusch_pagan(spark, d):
+    bp = L.breusch_pagan(pn_wide(spark, d), "avg_price", ["avg_qty"])
+    return round_doubles(spark.createDataFrame([(float(bp["lm"]), float(bp["f"]), int(bp["nobs"]))],
+                                               "lm double, f double, nobs long"))
+
+
+@register("vif")
+def q_vif(spark, d):
+    return round_doubles(spark.createDataFrame(L.vif(pn_wide(spark, d), ["avg_qty", "avg_extprice"]),
+                                               "variable string, vif double"))
+
+
+@register("qq_points")
+def q_qq_points(spark, d):
+    f = L.fe_twoway(model_frame(spark, d), MODEL_Y, ["drv_l1", *MODEL_CONTROLS])
+    return L.qq_points(f.frame, "resid")
+
+
+ROBUST_CHECKS = (
+    ("clustered_vs_unadjusted_se", "drv_l1", None),
+    ("alternative_lag", "drv_l1", None),
+    ("alternative_lag", "drv_l2", None),
+    ("alternative_lag", "drv_l3", None),
+    ("exclude_window", "drv_l1", "exclude"),
+    ("subsample_high", "drv_l1", "high"),
+    ("subsample_low", "drv_l1", "low"),
+)
+
+
+def robustness_rows(spark, d):
+    """Every spec is one residualised fit; unadjusted and clustered
+    errors come out of the same fit."""
+    from ..session import cut_lineage
+    mf = cut_lineage(model_frame(spark, d))   # built once, read by every spec
+    split = A.grouped_median_split(pn_wide(spark, d), "entity", "avg_qty")
+    out = []
+    for check, drv, variant in ROBUST_CHECKS:
+        frame = mf
+        if variant == "exclude":
+            frame = C.exclude_window(mf, "date", EXCLUDE_START, EXCLUDE_END)
+        elif variant in ("high", "low"):
+            frame = J.subsample_semi_join(mf, split.where(F.col("group") == variant))
+        f = L.fe_twoway(frame, MODEL_Y, [drv, *MODEL_CONTROLS])
+        out.append((check, drv, _num(f.coef[0]), _num(f.se[0]), _num(f.coef[0]), _num(f.se_clustered[0]),
+                    _num(f.pvalue_clustered[0]), f.nobs))
+    return out
+
+
+@register("robustness_sweep")
+def q_robustness_sweep(spark, d):
+    return spark.createDataFrame(robustness_rows(spark, d),
+                                 "check string, driver string, coef_unadjusted double, se_unadjusted double, "
+                                 "coef_clustered double, se_clustered double, pvalue_clustered double, nobs long")
+
+
+@register("regression_table")
+def q_regression_table(spark, d):
+    """Coefficient / SE / p-value / stars per variable and model, plus
+    N and adjusted within R^2 rows (long layout: model, variable, stat)."""
+    from ..session import cut_lineage
+    mf = cut_lineage(model_frame(spark, d))
+    models = {"base": mf, "exclude_window": C.exclude_window(mf, "date", EXCLUDE_START, EXCLUDE_END)}
+    rows = []
+    for name, frame in models.items():
+        f = L.fe_twoway(frame, MODEL_Y, ["drv_l1", *MODEL_CONTROLS])
+        for label, se, p in (("unadjusted", f.se, f.pvalue), ("clustered", f.se_clustered, f.pvalue_clustered)):
+            if name == "exclude_window" and label == "unadjusted":
+                continue
+            m = f"{name}_{label}"
+            for j, v in enumerate(f.names):
+                rows.append((m, v, _num(f.coef[j]), _num(se[j]), _num(p[j])))
+            rows.append((m, "N", float(f.nobs), None, None))
+            rows.append((m, "adj_within_r2", _num(f.r2_within_adj), None, None))
+    df = spark.createDataFrame(rows, "model string, variable string, coef double, se double, pvalue double")
+    return df.withColumn("stars", S.sig_stars("pvalue"))

@@ -305,3 +305,56 @@ SELECT year, round_even(shock_total * 1000.0 / 1000.0, 2) AS total_billion, roun
 SELECT CASE WHEN l_discount IS NULL THEN '' WHEN l_discount < 0.01 THEN '***' WHEN l_discount < 0.05 THEN '**'
             WHEN l_discount < 0.10 THEN '*' ELSE '' END AS stars, count(*) AS n FROM lineitem GROUP BY 1""",
 })
+
+
+# ---------------------------------------------------------------------------
+# 2.8 linear models: closed forms on the balanced events panel (k = 1)
+# ---------------------------------------------------------------------------
+EP = """
+ep AS (SELECT event_type AS entity, CAST(ts AS DATE) AS date, avg(value) AS y, CAST(count(*) AS DOUBLE) AS x
+       FROM events GROUP BY 1, 2),
+em AS (SELECT *, y - avg(y) OVER (PARTITION BY entity) - avg(y) OVER (PARTITION BY date) + avg(y) OVER () AS yy,
+              x - avg(x) OVER (PARTITION BY entity) - avg(x) OVER (PARTITION BY date) + avg(x) OVER () AS xx,
+              y - avg(y) OVER (PARTITION BY entity) AS ye, x - avg(x) OVER (PARTITION BY entity) AS xe FROM ep),
+eb AS (SELECT sum(xx * yy) / sum(xx * xx) AS beta, sum(xx * xx) AS sxx, count(*) AS n,
+              count(DISTINCT entity) AS ne, count(DISTINCT date) AS nt FROM em),
+eu AS (SELECT em.*, yy - beta * xx AS u, ye - beta * xe AS uw FROM em, eb),
+es AS (SELECT sum(u * u) AS ssr, sum(yy * yy) AS tss, sum(uw * uw) AS ssr_w, sum(ye * ye) AS tss_w FROM eu),
+ec AS (SELECT sum(s * s) AS bsum FROM (SELECT entity, sum(xx * u) AS s FROM eu GROUP BY entity)),
+edf AS (SELECT n - 1 - (ne + nt - 1) AS df FROM eb)"""
+
+ORACLES.update({
+    "fe_twoway": with_(EP) + f"\nSELECT 'n_events' AS variable, {z6('beta')} AS coef, n AS nobs, ne AS n_entities, nt AS n_periods, df AS df_resid FROM eb, edf",
+    "fe_unadjusted_se": with_(EP) + f"\nSELECT 'n_events' AS variable, {z6('beta')} AS coef, {z6('sqrt(ssr / df / sxx)')} AS se FROM eb, es, edf",
+    "fe_clustered_se": with_(EP) + f"\nSELECT 'n_events' AS variable, {z6('beta')} AS coef, {z6('sqrt(n / df * bsum / (sxx * sxx))')} AS se_clustered FROM eb, ec, edf",
+    "fe_fit_stats": with_(EP) + f"""
+SELECT n AS nobs, df AS df_resid, {z6('1 - ssr / tss')} AS r2, {z6('1 - ssr_w / tss_w')} AS r2_within,
+       {z6('1 - (ssr_w / tss_w) * (n - 1) / (n - 2)')} AS r2_within_adj FROM eb, es, edf""",
+    "resid_fitted": with_(EP) + f"\nSELECT entity, date, {z6('u')} AS resid, {z6('beta * x')} AS fitted FROM eu, eb",
+    "pooled_ols": with_(PN) + f"""
+, c AS (SELECT covar_pop(avg_qty, avg_qty) AS s11, covar_pop(avg_extprice, avg_extprice) AS s22,
+               covar_pop(avg_qty, avg_extprice) AS s12, covar_pop(avg_qty, avg_price) AS s1y,
+               covar_pop(avg_extprice, avg_price) AS s2y, avg(avg_qty) AS m1, avg(avg_extprice) AS m2,
+               avg(avg_price) AS my, count(*) AS n
+        FROM pn_wide WHERE avg_qty IS NOT NULL AND avg_extprice IS NOT NULL AND avg_price IS NOT NULL),
+b AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1,
+             (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM c),
+fit AS (SELECT 1 - sum(pow(p.avg_price - (b.my - b.b1 * b.m1 - b.b2 * b.m2) - b.b1 * p.avg_qty - b.b2 * p.avg_extprice, 2))
+                   / sum(pow(p.avg_price - b.my, 2)) AS r2
+        FROM pn_wide p, b WHERE p.avg_qty IS NOT NULL AND p.avg_extprice IS NOT NULL AND p.avg_price IS NOT NULL)
+SELECT v.variable, {z6('v.coef')} AS coef, {z6('fit.r2')} AS r2, b.n AS nobs
+FROM b, fit, (SELECT 'const' AS variable, my - b1 * m1 - b2 * m2 AS coef FROM b
+              UNION ALL SELECT 'avg_qty', b1 FROM b UNION ALL SELECT 'avg_extprice', b2 FROM b) v""",
+    "breusch_pagan": with_(PN) + f"""
+, f AS (SELECT regr_slope(avg_price, avg_qty) AS b, regr_intercept(avg_price, avg_qty) AS a FROM pn_wide
+        WHERE avg_price IS NOT NULL AND avg_qty IS NOT NULL),
+u AS (SELECT avg_qty AS x, pow(avg_price - a - b * avg_qty, 2) AS u2 FROM pn_wide, f
+      WHERE avg_price IS NOT NULL AND avg_qty IS NOT NULL),
+r AS (SELECT pow(corr(u2, x), 2) AS r2, count(*) AS n FROM u)
+SELECT {z6('n * r2')} AS lm, {z6('r2 / (1 - r2) * (n - 2)')} AS f, n AS nobs FROM r""",
+    "vif": with_(PN) + f"""
+, g AS (SELECT sum(avg_qty * avg_qty) AS a11, sum(avg_extprice * avg_extprice) AS a22, sum(avg_qty * avg_extprice) AS a12
+        FROM pn_wide WHERE avg_qty IS NOT NULL AND avg_extprice IS NOT NULL)
+SELECT 'avg_qty' AS variable, {z6('a11 * a22 / (a11 * a22 - a12 * a12)')} AS vif FROM g
+UNION ALL SELECT 'avg_extprice', {z6('a11 * a22 / (a11 * a22 - a12 * a12)')} FROM g""",
+})

@@ -40,3 +40,32 @@ def enriched_wide(spark: SparkSession, sf_dir: str, entity: str = "segment",
                   balance: bool = True) -> DataFrame:
     return pivot_first(enriched_long(spark, sf_dir, entity, balance), ["entity", "date"],
                        list(ORDER_METRICS) + list(SHOCK_METRICS))
+
+
+def model_frame(spark: SparkSession, sf_dir: str, entity: str = "nation") -> DataFrame:
+    """Model features on the enriched panel (one window spec, one sort):
+
+    price_growth = diff of ln(avg_price) (outcome); ext_growth = diff of
+    ln(avg_extprice); count_growth = pct change of order_count (padded);
+    qty_log = ln(avg_qty); shock_total_l{1,2,3} = yearly shock lagged by
+    rows; drv_l{k} = shock_total_l{k} x qty_log (the driver).
+    """
+    from ..functions.scalar import safe_ln
+    from ..operators.windows import entity_window, pad_forward, pct_change_col
+    w = entity_window()
+    wide = enriched_wide(spark, sf_dir, entity).withColumn("_cnt_pad", pad_forward("order_count", w))
+    lp, le, lq = safe_ln("avg_price"), safe_ln("avg_extprice"), safe_ln("avg_qty")
+    feats = {
+        "price_growth": lp - F.lag(lp, 1).over(w),
+        "ext_growth": le - F.lag(le, 1).over(w),
+        "count_growth": pct_change_col("_cnt_pad", w),
+        "qty_log": lq,
+    }
+    for k in (1, 2, 3):
+        feats[f"shock_total_l{k}"] = F.lag("shock_total", k).over(w)
+        feats[f"drv_l{k}"] = F.lag("shock_total", k).over(w) * lq
+    return wide.withColumns(feats).drop("_cnt_pad")
+
+
+MODEL_Y = "price_growth"
+MODEL_CONTROLS = ("qty_log", "ext_growth", "count_growth")

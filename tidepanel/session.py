@@ -50,9 +50,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     we only fill it in ourselves for a local-mode session with nothing set,
     as tests and the bench do.
     """
+    sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    if d:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
+        return d
+    d = sc.getCheckpointDir()
     if d:
         return d
     master = spark.sparkContext.master or ""
