@@ -759,3 +759,81 @@ def q_regression_table(spark, d):
             rows.append((m, "adj_within_r2", _num(f.r2_within_adj), None, None))
     df = spark.createDataFrame(rows, "model string, variable string, coef double, se double, pvalue double")
     return df.withColumn("stars", S.sig_stars("pvalue"))
+
+
+# ---------------------------------------------------------------------------
+# 2.8 analytics: tests and forecasts over many series
+# ---------------------------------------------------------------------------
+from ..operators import forecast as FC  # noqa: E402
+
+HOLDOUT = 12
+
+
+def growth_series(spark, d):
+    """(series, date, y): monthly log growth of avg_price per nation, plus
+    the cross-nation mean growth as series 'ALL' (the state-mean role)."""
+    g = W.log_diff(pn_wide(spark, d), "avg_price", "y").where(F.col("y").isNotNull())
+    per = g.select(F.col("entity").alias("series"), "date", "y")
+    allm = g.groupBy("date").agg(F.avg("y").alias("y")).select(F.lit("ALL").alias("series"), "date", "y")
+    return per.unionByName(allm)
+
+
+@register("adf_stat")
+def q_adf_stat(spark, d):
+    return FC.adf_test(growth_series(spark, d), "series", "date", "y")
+
+
+@register("grouped_forecast")
+def q_grouped_forecast(spark, d):
+    return FC.grouped_forecast(growth_series(spark, d), "series", "date", "y", HOLDOUT)
+
+
+@register("naive_forecast")
+def q_naive_forecast(spark, d):
+    return round_doubles(FC.naive_forecast(growth_series(spark, d), "series", "date", "y", HOLDOUT))
+
+
+@register("forecast_eval")
+def q_forecast_eval(spark, d):
+    nv = FC.naive_forecast(growth_series(spark, d), "series", "date", "y", HOLDOUT)
+    return round_doubles(FC.forecast_eval(nv, "actual", "naive", ["series"]).withColumnRenamed("rmse", "rmse_naive"))
+
+
+# ---------------------------------------------------------------------------
+# 2.8 analytics: learning
+# ---------------------------------------------------------------------------
+from ..operators import learn as ML  # noqa: E402
+
+ML_FEATURES = ("ext_growth", "qty_log", "count_growth", "drv_l1", "shock_total_l1")
+
+
+def _ml_frame(spark, d):
+    from ..session import cut_lineage
+    mf = model_frame(spark, d).select("date", MODEL_Y, *ML_FEATURES).dropna()
+    return cut_lineage(mf)
+
+
+@register("forest_regression")
+def q_forest_regression(spark, d):
+    """Forest predictions on the test split (time-ordered 80/20)."""
+    from pyspark.ml.feature import VectorAssembler
+    mf = _ml_frame(spark, d)
+    split = A.time_quantile_split(mf, "date", 0.8)
+    model = ML.forest_regression(split.where(F.col("split") == "train"), MODEL_Y, ML_FEATURES)
+    test = VectorAssembler(inputCols=list(ML_FEATURES), outputCol="_features").transform(
+        split.where(F.col("split") == "test"))
+    return model.transform(test).select("date", F.col(MODEL_Y).alias("actual"), F.col("_pred").alias("predicted"))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, d):
+    mf = _ml_frame(spark, d)
+    split = A.time_quantile_split(mf, "date", 0.8)
+    model = ML.forest_regression(split.where(F.col("split") == "train"), MODEL_Y, ML_FEATURES)
+    return spark.createDataFrame(ML.feature_importance(model, ML_FEATURES), "feature string, importance double")
+
+
+@register("ml_compare")
+def q_ml_compare(spark, d):
+    rows, _, _ = ML.ml_compare(_ml_frame(spark, d), MODEL_Y, ML_FEATURES)
+    return spark.createDataFrame(rows, "model string, r2 double, rmse double, n_train long, n_test long")

@@ -358,3 +358,20 @@ SELECT {z6('n * r2')} AS lm, {z6('r2 / (1 - r2) * (n - 2)')} AS f, n AS nobs FRO
 SELECT 'avg_qty' AS variable, {z6('a11 * a22 / (a11 * a22 - a12 * a12)')} AS vif FROM g
 UNION ALL SELECT 'avg_extprice', {z6('a11 * a22 / (a11 * a22 - a12 * a12)')} FROM g""",
 })
+
+
+GROWTH = """
+pn_g AS (SELECT entity, date, CASE WHEN avg_price > 0 THEN ln(avg_price) END
+                - lag(CASE WHEN avg_price > 0 THEN ln(avg_price) END, 1) OVER (PARTITION BY entity ORDER BY date) AS y
+         FROM pn_wide),
+gs AS (SELECT entity AS series, date, y FROM pn_g WHERE y IS NOT NULL
+       UNION ALL SELECT 'ALL', date, avg(y) FROM pn_g WHERE y IS NOT NULL GROUP BY date),
+gr AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS rd FROM gs),
+nv AS (SELECT t.series, t.date, t.y AS actual, l.y AS naive FROM gr t
+       JOIN (SELECT series, arg_max(y, date) AS y FROM gr WHERE rd > 12 GROUP BY series) l ON t.series = l.series
+       WHERE t.rd <= 12)"""
+
+ORACLES.update({
+    "naive_forecast": with_(PN, GROWTH) + f"\nSELECT series, date, {z6('actual')} AS actual, {z6('naive')} AS naive FROM nv",
+    "forecast_eval": with_(PN, GROWTH) + f"\nSELECT series, {z6('sqrt(avg((actual - naive) * (actual - naive)))')} AS rmse_naive, count(*) AS n FROM nv GROUP BY series",
+})
