@@ -22,13 +22,16 @@ from .linear import pooled_ols
 # Fixed settings of the forest (as in the reference).
 FOREST = {"numTrees": 400, "minInstancesPerNode": 5, "featureSubsetStrategy": "all", "seed": 42,
           "maxDepth": 30, "subsamplingRate": 1.0, "bootstrap": True}
+# Engine settings (not semantics): a larger node-statistics budget grows more
+# nodes per pass over the data, and cached node ids avoid re-walking trees.
+ENGINE = {"maxMemoryInMB": 4096, "cacheNodeIds": True, "checkpointInterval": 10}
 
 
 def forest_regression(train: DataFrame, y: str, features: Sequence[str], **overrides):
     """Fit the forest; returns the fitted model."""
     features = list(features)
     vec = VectorAssembler(inputCols=features, outputCol="_features").transform(train)
-    params = {**FOREST, **overrides}
+    params = {**FOREST, **ENGINE, **overrides}
     rf = RandomForestRegressor(featuresCol="_features", labelCol=y, predictionCol="_pred", **params)
     return rf.fit(vec)
 

@@ -837,3 +837,54 @@ def q_feature_importance(spark, d):
 def q_ml_compare(spark, d):
     rows, _, _ = ML.ml_compare(_ml_frame(spark, d), MODEL_Y, ML_FEATURES)
     return spark.createDataFrame(rows, "model string, r2 double, rmse double, n_train long, n_test long")
+
+
+# ---------------------------------------------------------------------------
+# 2.8 analytics: series (decomposition, event study, cross-correlation, segments)
+# ---------------------------------------------------------------------------
+from ..operators import series as SE  # noqa: E402
+from .panels import enriched_wide  # noqa: E402,F811
+
+
+@register("regular_series")
+def q_regular_series(spark, d):
+    return SE.regular_series(pn_wide(spark, d), "urgent_price").withColumn("urgent_price", r6("urgent_price"))
+
+
+@register("seasonal_decompose")
+def q_seasonal_decompose(spark, d):
+    reg = SE.regular_series(pn_wide(spark, d), "avg_price")
+    return round_doubles(SE.seasonal_decompose(reg, "avg_price"))
+
+
+@register("event_study")
+def q_event_study(spark, d):
+    return round_doubles(SE.event_study(state_series(spark, d), event_table(spark), "value"))
+
+
+@register("cross_correlation")
+def q_cross_correlation(spark, d):
+    wide = enriched_wide(spark, d, "nation")
+    return round_doubles(SE.cross_correlation(wide, "shock_total", "avg_price", 12))
+
+
+@register("segmentation")
+def q_segmentation(spark, d):
+    wide = enriched_wide(spark, d, "nation")
+    return round_doubles(SE.segmentation(wide, "avg_price", "shock_total"))
+
+
+# ---------------------------------------------------------------------------
+# reshape keys
+# ---------------------------------------------------------------------------
+@register("unpivot_long")
+def q_unpivot_long(spark, d):
+    """Wide -> long keeping NULL cells (melt)."""
+    out = R.unpivot_long(pn_wide(spark, d), ["entity", "date"], list(ORDER_METRICS))
+    return out.withColumn("value", r6("value"))
+
+
+@register("pivot_first")
+def q_pivot_first(spark, d):
+    """Long -> wide, first non-null value per (entity, date, metric)."""
+    return round_doubles(R.pivot_first(pn_long(spark, d), ["entity", "date"], list(ORDER_METRICS)))

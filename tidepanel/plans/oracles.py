@@ -375,3 +375,76 @@ ORACLES.update({
     "naive_forecast": with_(PN, GROWTH) + f"\nSELECT series, date, {z6('actual')} AS actual, {z6('naive')} AS naive FROM nv",
     "forecast_eval": with_(PN, GROWTH) + f"\nSELECT series, {z6('sqrt(avg((actual - naive) * (actual - naive)))')} AS rmse_naive, count(*) AS n FROM nv GROUP BY series",
 })
+
+
+# ---------------------------------------------------------------------------
+# series analytics
+# ---------------------------------------------------------------------------
+def _regular(col: str, out: str) -> str:
+    return f"""
+{out}_m AS (SELECT entity, CAST(date_trunc('month', date) AS DATE) AS m, {col} AS v FROM pn_wide WHERE {col} IS NOT NULL),
+{out}_cal AS (SELECT entity, CAST(unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS DATE) AS m
+              FROM {out}_m GROUP BY entity),
+{out}_j AS (SELECT c.entity, c.m, x.v, row_number() OVER (PARTITION BY c.entity ORDER BY c.m) AS r
+            FROM {out}_cal c LEFT JOIN {out}_m x ON c.entity = x.entity AND c.m = x.m),
+{out}_f AS (SELECT *, last_value(v IGNORE NULLS) OVER (PARTITION BY entity ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lv,
+                   last_value(CASE WHEN v IS NOT NULL THEN r END IGNORE NULLS) OVER (PARTITION BY entity ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lr
+            FROM {out}_j),
+{out} AS (SELECT entity, m AS date, CASE WHEN v IS NOT NULL THEN v WHEN r - lr <= 3 THEN lv END AS v FROM {out}_f
+          WHERE v IS NOT NULL OR r - lr <= 3)"""
+
+
+NAT = enriched_ctes("nation")
+LAGS = range(13)
+XC = f"""
+xc_b AS (SELECT entity, date, shock_total AS x,
+                (avg_price / CASE WHEN lag(avg_price) OVER (PARTITION BY entity ORDER BY date) <> 0
+                                  THEN lag(avg_price) OVER (PARTITION BY entity ORDER BY date) END - 1.0) * 100.0 AS pct
+         FROM enr_wide WHERE avg_price IS NOT NULL),
+xc_l AS (SELECT entity, x, {", ".join(f"lead(pct, {k}) OVER (PARTITION BY entity ORDER BY date) AS f{k}" for k in LAGS)} FROM xc_b),
+xc_r AS (SELECT entity, {", ".join(f"CASE WHEN count(CASE WHEN x IS NOT NULL AND f{k} IS NOT NULL THEN 1 END) >= 2 AND NOT isnan(corr(x, f{k})) THEN corr(x, f{k}) END AS r{k}" for k in LAGS)}
+         FROM xc_l GROUP BY entity)"""
+
+ORACLES.update({
+    "regular_series": with_(PN, _regular("urgent_price", "rs")) + f"\nSELECT entity, date, {z6('v')} AS urgent_price FROM rs",
+    "seasonal_decompose": with_(PN, _regular("avg_price", "rs")) + f"""
+, sd AS (SELECT entity, date, v, count(*) OVER (PARTITION BY entity) AS n,
+                CAST((row_number() OVER (PARTITION BY entity ORDER BY date) - 1) % 12 AS INTEGER) AS phase,
+                sum(v) OVER (PARTITION BY entity ORDER BY date ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS s,
+                count(v) OVER (PARTITION BY entity ORDER BY date ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS c,
+                lag(v, 6) OVER (PARTITION BY entity ORDER BY date) AS a, lead(v, 6) OVER (PARTITION BY entity ORDER BY date) AS b
+         FROM rs),
+tr AS (SELECT *, CASE WHEN c = 13 THEN (s - 0.5 * (a + b)) / 12.0 END AS trend FROM sd WHERE n >= 24),
+ph AS (SELECT entity, phase, avg(v - trend) AS pm FROM tr GROUP BY entity, phase),
+ps AS (SELECT entity, phase, pm - avg(pm) OVER (PARTITION BY entity) AS seasonal FROM ph)
+SELECT t.entity, t.date, t.phase, {z6('t.v')} AS observed, {z6('t.trend')} AS trend, {z6('p.seasonal')} AS seasonal,
+       {z6('t.v - t.trend - p.seasonal')} AS resid
+FROM tr t JOIN ps p ON t.entity = p.entity AND t.phase = p.phase""",
+    "event_study": with_(PN, STATE) + f"""
+, win AS (SELECT ev.event, ev.event_date, s.date, s.value FROM state s, {EVENTS_SQL}
+          WHERE s.date BETWEEN ev.event_date - INTERVAL 24 MONTH AND ev.event_date + INTERVAL 24 MONTH),
+base AS (SELECT event, value AS base_value, date AS base_date FROM
+         (SELECT *, row_number() OVER (PARTITION BY event ORDER BY abs(date - event_date), date DESC) AS rn FROM win) WHERE rn = 1)
+SELECT w.event, w.event_date, w.date, {z6('w.value')} AS value, b.base_date, {z6('b.base_value')} AS base_value,
+       {z6('w.value / b.base_value * 100.0')} AS normalized,
+       CAST(round_even((w.date - w.event_date) / 30.44, 0) AS INTEGER) AS rel_month
+FROM win w JOIN base b ON w.event = b.event""",
+    "cross_correlation": with_(NAT, XC) + "\n" + " UNION ALL ".join(
+        f"SELECT {k} AS lag, {z6(f'avg(r{k})')} AS mean_corr, count(r{k}) AS n_entities FROM xc_r" for k in LAGS),
+    "segmentation": with_(NAT) + f"""
+, sb AS (SELECT entity, shock_total,
+                avg_price / CASE WHEN lag(avg_price) OVER (PARTITION BY entity ORDER BY date) <> 0
+                                 THEN lag(avg_price) OVER (PARTITION BY entity ORDER BY date) END - 1.0 AS pct
+         FROM enr_wide WHERE avg_price IS NOT NULL),
+per AS (SELECT entity, stddev_samp(pct) * 100.0 AS volatility, avg(shock_total) AS avg_exposure FROM sb GROUP BY entity)
+SELECT entity, {z6('volatility')} AS volatility, {z6('avg_exposure')} AS avg_exposure,
+       CASE WHEN volatility >= (SELECT quantile_cont(volatility, 0.5) FROM per) THEN 'Sensitive' ELSE 'Resilient' END AS category
+FROM per""",
+})
+
+
+ORACLES.update({
+    "unpivot_long": with_(PN) + "\n" + " UNION ALL ".join(
+        f"SELECT entity, date, '{m}' AS metric, {z6(m)} AS value FROM pn_wide" for m in NMAP),
+    "pivot_first": with_(PN) + f"\nSELECT {PN_WIDE_COLS} FROM pn_wide",
+})
