@@ -30,8 +30,9 @@ def register(name: str):
 
 # Values exactly on a half unit of the 6th decimal are common here (cents
 # divided by powers of two); engines summing in another order land an ulp
-# either side of them.  Both sides nudge by the same relative 1e-11 first.
-NUDGE = 1.0 + 1e-11
+# either side of them.  Both sides nudge by the same relative 1e-13 first
+# (far above float noise, far below half a unit for |x| < 1e6).
+NUDGE = 1.0 + 1e-13
 
 
 def r6(c) -> Column:
@@ -716,8 +717,7 @@ ROBUST_CHECKS = (
 def robustness_rows(spark, d):
     """Every spec is one residualised fit; unadjusted and clustered
     errors come out of the same fit."""
-    from ..session import cut_lineage
-    mf = cut_lineage(model_frame(spark, d))   # built once, read by every spec
+    mf = model_frame(spark, d)   # materialised once, read by every spec
     split = A.grouped_median_split(pn_wide(spark, d), "entity", "avg_qty")
     out = []
     for check, drv, variant in ROBUST_CHECKS:
@@ -743,8 +743,7 @@ def q_robustness_sweep(spark, d):
 def q_regression_table(spark, d):
     """Coefficient / SE / p-value / stars per variable and model, plus
     N and adjusted within R^2 rows (long layout: model, variable, stat)."""
-    from ..session import cut_lineage
-    mf = cut_lineage(model_frame(spark, d))
+    mf = model_frame(spark, d)
     models = {"base": mf, "exclude_window": C.exclude_window(mf, "date", EXCLUDE_START, EXCLUDE_END)}
     rows = []
     for name, frame in models.items():

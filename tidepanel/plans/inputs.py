@@ -50,7 +50,14 @@ def order_panel_wide(spark: SparkSession, sf_dir: str, entity: str = "nation") -
 
     ``date`` is the month-end of the order date.  ``urgent_price`` only
     exists in months with an urgent order, so it carries real gaps.
+    Built once per session (see ``materialize``).
     """
+    from .materialize import materialized
+    return materialized(spark, ("order_panel", sf_dir, entity),
+                        lambda: _order_panel_wide(spark, sf_dir, entity))
+
+
+def _order_panel_wide(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     o = _orders_with_entity(spark, sf_dir, entity).withColumn(
         "date", F.last_day(F.to_date("o_orderdate")))
     li = (table(spark, sf_dir, "lineitem")
@@ -74,6 +81,11 @@ def order_panel_long(spark: SparkSession, sf_dir: str, entity: str = "nation") -
 
 def events_panel_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event type x day, balanced: (entity, date, n_events, avg_value, n_users, max_value)."""
+    from .materialize import materialized
+    return materialized(spark, ("events_panel", sf_dir), lambda: _events_panel_wide(spark, sf_dir))
+
+
+def _events_panel_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return (ev.groupBy(F.col("event_type").alias("entity"), F.to_date("ts").alias("date"))
             .agg(F.count(F.lit(1)).cast("double").alias("n_events"),
@@ -151,8 +163,10 @@ def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed track points (built once per session)."""
     from ..sources.text import parse_header_detail
-    return parse_header_detail(track_lines(spark, sf_dir))
+    from .materialize import materialized
+    return materialized(spark, ("track_points", sf_dir), lambda: parse_header_detail(track_lines(spark, sf_dir)))
 
 
 def event_documents(spark: SparkSession, sf_dir: str, per_doc: int = 64) -> DataFrame:

@@ -136,7 +136,7 @@ tp_loc AS (
 
 def z6(expr: str) -> str:
     """round half-even to 6 places and fold -0.0 into 0.0"""
-    return f"(round_even(({expr}) * (1.0 + 1e-11), 6) + 0.0)"
+    return f"(round_even(({expr}) * (1.0 + 1e-13), 6) + 0.0)"
 
 
 ORDER_LONG_COLS = "entity, date, metric, " + z6("value") + " AS value"

@@ -200,7 +200,7 @@ SELECT (SELECT count(DISTINCT entity) FROM pn_long) AS n_entities,
         f"{z6(f'sum(CASE WHEN {m} IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*)')} AS missing_pct FROM pn_wide" for m in NMAP),
     "describe_columns": with_(PN) + "\n" + " UNION ALL ".join(_describe(m) for m in NMAP),
     "period_mean": with_(PN) + "\nSELECT CAST(year(date) AS INTEGER) AS year, " + ", ".join(
-        f"round_even(avg({m}) * (1.0 + 1e-11), 1) AS {m}_mean" for m in NMAP) + " FROM pn_wide GROUP BY 1",
+        f"round_even(avg({m}) * (1.0 + 1e-13), 1) AS {m}_mean" for m in NMAP) + " FROM pn_wide GROUP BY 1",
     "missing_pct": with_(PN) + "\nSELECT " + ", ".join(
         f"{z6(f'avg(CASE WHEN {m} IS NULL THEN 1.0 ELSE 0.0 END) * 100.0')} AS {m}_missing_pct" for m in NMAP) + " FROM pn_wide",
     "grouped_median_split": with_(PN) + f"""

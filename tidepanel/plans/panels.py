@@ -38,6 +38,12 @@ def enriched_long(spark: SparkSession, sf_dir: str, entity: str = "segment",
 
 def enriched_wide(spark: SparkSession, sf_dir: str, entity: str = "segment",
                   balance: bool = True) -> DataFrame:
+    from .materialize import materialized
+    return materialized(spark, ("enriched_wide", sf_dir, entity, balance),
+                        lambda: _enriched_wide(spark, sf_dir, entity, balance))
+
+
+def _enriched_wide(spark: SparkSession, sf_dir: str, entity: str, balance: bool) -> DataFrame:
     return pivot_first(enriched_long(spark, sf_dir, entity, balance), ["entity", "date"],
                        list(ORDER_METRICS) + list(SHOCK_METRICS))
 
@@ -50,6 +56,11 @@ def model_frame(spark: SparkSession, sf_dir: str, entity: str = "nation") -> Dat
     qty_log = ln(avg_qty); shock_total_l{1,2,3} = yearly shock lagged by
     rows; drv_l{k} = shock_total_l{k} x qty_log (the driver).
     """
+    from .materialize import materialized
+    return materialized(spark, ("model_frame", sf_dir, entity), lambda: _model_frame(spark, sf_dir, entity))
+
+
+def _model_frame(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     from ..functions.scalar import safe_ln
     from ..operators.windows import entity_window, pad_forward, pct_change_col
     w = entity_window()
