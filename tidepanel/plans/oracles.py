@@ -429,8 +429,8 @@ SELECT w.event, w.event_date, w.date, {z6('w.value')} AS value, b.base_date, {z6
        {z6('w.value / b.base_value * 100.0')} AS normalized,
        CAST(round_even((w.date - w.event_date) / 30.44, 0) AS INTEGER) AS rel_month
 FROM win w JOIN base b ON w.event = b.event""",
-    "cross_correlation": with_(NAT, XC) + "\n" + " UNION ALL ".join(
-        f"SELECT {k} AS lag, {z6(f'avg(r{k})')} AS mean_corr, count(r{k}) AS n_entities FROM xc_r" for k in LAGS),
+    "cross_correlation": with_(NAT, XC) + "\nSELECT lag, " + z6("avg(r)") + " AS mean_corr, count(r) AS n_entities FROM (" + " UNION ALL ".join(
+        f"SELECT entity, {k} AS lag, r{k} AS r FROM xc_r" for k in LAGS) + ") GROUP BY lag",
     "segmentation": with_(NAT) + f"""
 , sb AS (SELECT entity, shock_total,
                 avg_price / CASE WHEN lag(avg_price) OVER (PARTITION BY entity ORDER BY date) <> 0
