@@ -195,12 +195,20 @@ def grouped_forecast(df: DataFrame, series: str, date: str, value: str, holdout:
     # differencing order from ADF on the level, the first and second difference
     diffs = train.withColumn("_d1", F.col("_y") - F.lag("_y", 1).over(w))
     diffs = diffs.withColumn("_d2", F.col("_d1") - F.lag("_d1", 1).over(w))
-    adf_rows = None
+    # one grouped ADF over (series, d): the level and both differences are
+    # stacked as separate keys, so a single pass tests all three
+    stacked = None
     for dd, c in enumerate(["_y", "_d1", "_d2"][: max_d + 1]):
-        a = adf_test(diffs.select(series, date, c), series, date, c).select(series, F.lit(dd).alias("d"), "pvalue")
-        adf_rows = a if adf_rows is None else adf_rows.unionByName(a)
-    dsel = (adf_rows.groupBy(series)
+        part = diffs.select(F.concat_ws("\u0001", F.col(series).cast("string"), F.lit(str(dd))).alias("_sd"),
+                            date, F.col(c).alias("_v"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    adf_rows = adf_test(stacked, "_sd", date, "_v").select(
+        F.split_part("_sd", F.lit("\u0001"), F.lit(1)).alias("_s"),
+        F.split_part("_sd", F.lit("\u0001"), F.lit(2)).cast("int").alias("d"), "pvalue")
+    dsel = (adf_rows.groupBy("_s")
             .agg(F.coalesce(F.min(F.when(F.col("pvalue") < 0.05, F.col("d"))), F.lit(max_d)).alias("d")))
+    dsel = (diffs.select(series).distinct()
+            .join(dsel, F.col(series).cast("string") == F.col("_s")).drop("_s"))
     t = diffs.join(dsel, [series])
     t = t.withColumn("_w", F.when(F.col("d") == 0, F.col("_y")).when(F.col("d") == 1, F.col("_d1"))
                      .otherwise(F.col("_d2")))

@@ -141,13 +141,22 @@ def _detail_fields() -> dict:
             "status": l_("l_linestatus"), "lat": lat, "lon": lon, "wind": wind, "pressure": pres}
 
 
+ORDERS_PER_FILE = 1 << 17   # order keys per generated text file
+
+
 def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(file, block, pos, line): header/detail text for every order."""
+    """(file, block, pos, line): header/detail text for every order.
+
+    Files hold consecutive order-key ranges, so a detail line finds its file
+    from its own order key (no join back to orders)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     oc = o.join(c, o.o_custkey == c.c_custkey)
-    file = F.concat(F.lit("tracks_"), F.year("o_orderdate").cast("string"), F.lit(".txt"))
-    head = oc.select(file.alias("file"), (F.col("o_orderkey") * LINE_SLOTS).alias("pos"),
+
+    def file_of(key):
+        return F.concat(F.lit("tracks_"), F.floor(key / F.lit(ORDERS_PER_FILE)).cast("string"), F.lit(".txt"))
+
+    head = oc.select(file_of(F.col("o_orderkey")).alias("file"), (F.col("o_orderkey") * LINE_SLOTS).alias("pos"),
                      F.concat(F.lit("AL"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"), F.lit(", "),
                               F.col("c_name"), F.lit(", "), F.year("o_orderdate").cast("string"),
                               F.lit(",")).alias("line"))
@@ -155,9 +164,9 @@ def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _detail_fields()
     full = F.concat_ws(", ", *[f[k] for k in ("date", "time", "record_id", "status", "lat", "lon", "wind", "pressure")])
     short = F.concat_ws(", ", *[f[k] for k in ("date", "time", "record_id", "status", "lat", "lon")])
-    det = (li.join(o.select("o_orderkey", "o_orderdate"), li.l_orderkey == o.o_orderkey)
-           .select(file.alias("file"), (F.col("o_orderkey") * LINE_SLOTS + F.col("l_linenumber")).alias("pos"),
-                   F.when(F.col("l_linenumber") == 7, short).otherwise(full).alias("line")))
+    det = li.select(file_of(F.col("l_orderkey")).alias("file"),
+                    (F.col("l_orderkey") * LINE_SLOTS + F.col("l_linenumber")).alias("pos"),
+                    F.when(F.col("l_linenumber") == 7, short).otherwise(full).alias("line"))
     lines = head.unionByName(det)
     return lines.withColumn("block", F.floor(F.col("pos") / F.lit(BLOCK_SPAN)))
 

@@ -75,7 +75,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local one)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Cut lineage by writing a parquet table into the shared checkpoint
+    folder and reading it back.
+
+    Compared with ``DataFrame.checkpoint`` (serialized rows that keep the
+    producing plan's partition count) the written table is columnar: later
+    reads prune columns, push filters down and split by file size, and it
+    survives the loss of any executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
