@@ -23,12 +23,12 @@ def test_wide_dates_edge_rows(spark, tmp_path):
            "4,4,Gamma,msa,GA,7,8\n"           # other state dropped
            "5,5,Delta,county,FL,9,10\n"       # other region type dropped
            "6,6,Alpha,msa,FL,150,160\n")      # same entity again: last row wins
-    f = _write(tmp_path / "zhvi.csv", csv)
-    long = read_wide_dates(spark, {"zhvi": f, "missing_metric": str(tmp_path / "nope.csv")},
+    f = _write(tmp_path / "price_index.csv", csv)
+    long = read_wide_dates(spark, {"price_index": f, "missing_metric": str(tmp_path / "nope.csv")},
                            filters={"StateName": "FL", "RegionType": "msa"})
     got = sorted((r.entity, str(r.date), r.metric, r.value) for r in long.collect())
-    assert got == [("Alpha", "2020-01-31", "zhvi", 150.0), ("Alpha", "2020-02-29", "zhvi", 160.0),
-                   ("Beta", "2020-02-29", "zhvi", 200.0)]
+    assert got == [("Alpha", "2020-01-31", "price_index", 150.0), ("Alpha", "2020-02-29", "price_index", 160.0),
+                   ("Beta", "2020-02-29", "price_index", 200.0)]
 
 
 def test_header_detail_parse(spark, tmp_path):

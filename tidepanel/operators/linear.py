@@ -53,13 +53,13 @@ def _gram_and_count(df: DataFrame, cols: Sequence[str], entity: str):
     """Gram of ``cols`` and the number of entities, in one aggregate."""
     k = len(cols)
     aggs = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
-    row = df.agg(F.count_distinct(entity).alias("_ne"), *aggs).first()
+    row = df.agg(F.count_distinct(entity).alias("_ne"), F.count(F.lit(1)).alias("_n"), *aggs).first()
     g = np.zeros((k, k))
     for i in range(k):
         for j in range(i, k):
             v = row[f"g{i}_{j}"]
             g[i, j] = g[j, i] = 0.0 if v is None else float(v)
-    return g, int(row["_ne"])
+    return g, int(row["_ne"]), int(row["_n"])
 
 
 def _period_pairs(n_periods: int):
@@ -122,28 +122,11 @@ class FitResult:
         return spark.createDataFrame(rows, schema)
 
 
-def fe_twoway(df: DataFrame, y: str, xs: Sequence[str], entity: str = "entity", time: str = "date",
-              cluster: bool = True, cluster_scale: str = "n_over_df",
-              max_periods: int = MAX_PERIODS, materialize: bool = True) -> FitResult:
-    """M1-M4: y on xs with entity and time effects (complete cases only)."""
-    from ..session import cut_lineage
-    spark = df.sparkSession
-    xs = list(xs)
-    cols = [y] + xs
-    base = df.select(entity, time, *cols).dropna(subset=cols)
-    times = domain_values(base, time, max_periods)
-    tmap = spark.createDataFrame([(t, i) for i, t in enumerate(times)],
-                                 T.StructType([T.StructField(time, base.schema[time].dataType),
-                                               T.StructField("_t", T.IntegerType())]))
-    we = Window.partitionBy(entity)
-    b = (base.join(F.broadcast(tmap), [time])
-         .withColumns({f"_e_{c}": F.col(c) - F.avg(c).over(we) for c in cols}))
-    if materialize:
-        b = cut_lineage(b)
-    # period counts, D'z, and the entity-overlap Gram of the time dummies
+def _residualize_exact(b: DataFrame, entity: str, cols, nt: int, we):
+    """Exact removal of time effects from entity-demeaned columns ``_e_*``."""
+    spark = b.sparkSession
     tsum = b.groupBy("_t").agg(F.count(F.lit(1)).alias("n"),
                                *[F.sum(f"_e_{c}").alias(c) for c in cols]).collect()
-    nt = len(times)
     n_t = np.zeros(nt)
     dz = np.zeros((nt, len(cols)))
     for r in tsum:
@@ -162,12 +145,72 @@ def fe_twoway(df: DataFrame, y: str, xs: Sequence[str], entity: str = "entity",
     r = b.join(F.broadcast(gdf), ["_t"])
     r = r.withColumns({f"_r_{c}": F.col(f"_e_{c}") - (F.col(f"_g_{c}") - F.avg(f"_g_{c}").over(we))
                        for c in cols})
+    return r, nt
+
+
+def _residualize_alternating(b: DataFrame, entity: str, time: str, cols, we, tol: float = 1e-10,
+                             max_iter: int = 500, cut_every: int = 5):
+    """Alternating projections (Guimaraes-Portugal / Gaure): subtract period
+    means (a ``groupBy(period)`` joined back — never a window over a whole
+    period) and entity means (a window over the entity's cells) until the
+    largest period mean is below ``tol``; lineage is cut every few sweeps."""
+    from ..session import cut_lineage
+    cur = b.withColumns({f"_r_{c}": F.col(f"_e_{c}") for c in cols})
+    nt = b.select(time).distinct().count()
+    for it in range(max_iter):
+        tm = cur.groupBy(time).agg(*[F.avg(f"_r_{c}").alias(f"_m_{c}") for c in cols])
+        cur = (cur.join(tm, [time])
+               .withColumns({f"_r_{c}": F.col(f"_r_{c}") - F.col(f"_m_{c}") for c in cols})
+               .drop(*[f"_m_{c}" for c in cols]))
+        cur = cur.withColumns({f"_r_{c}": F.col(f"_r_{c}") - F.avg(f"_r_{c}").over(we) for c in cols})
+        if (it + 1) % cut_every == 0:
+            cur = cut_lineage(cur)
+            worst = (cur.groupBy(time).agg(*[F.abs(F.avg(f"_r_{c}")).alias(c) for c in cols])
+                     .agg(F.max(F.greatest(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0]))).first()[0])
+            if worst is None or worst < tol:
+                break
+    return cur, nt
+
+
+def fe_twoway(df: DataFrame, y: str, xs: Sequence[str], entity: str = "entity", time: str = "date",
+              cluster: bool = True, cluster_scale: str = "n_over_df",
+              max_periods: int = MAX_PERIODS, materialize: bool = True,
+              alt_tol: float = 1e-10, alt_max_iter: int = 500) -> FitResult:
+    """M1-M4: y on xs with entity and time effects (complete cases only).
+
+    Up to ``max_periods`` periods the time effects are removed exactly
+    (T x T solve); beyond, by alternating projections to ``alt_tol``.
+    """
+    from ..session import cut_lineage
+    spark = df.sparkSession
+    xs = list(xs)
+    cols = [y] + xs
+    base = df.select(entity, time, *cols).dropna(subset=cols)
+    we = Window.partitionBy(entity)
+    try:
+        times = domain_values(base, time, max_periods)
+    except ValueError:          # more periods than the exact T x T path takes
+        times = None
+    if times is not None:
+        tmap = spark.createDataFrame([(t, i) for i, t in enumerate(times)],
+                                     T.StructType([T.StructField(time, base.schema[time].dataType),
+                                                   T.StructField("_t", T.IntegerType())]))
+        b = (base.join(F.broadcast(tmap), [time])
+             .withColumns({f"_e_{c}": F.col(c) - F.avg(c).over(we) for c in cols}))
+        if materialize:
+            b = cut_lineage(b)
+        r, nt = _residualize_exact(b, entity, cols, len(times), we)
+    else:
+        b = base.withColumns({f"_e_{c}": F.col(c) - F.avg(c).over(we) for c in cols})
+        if materialize:
+            b = cut_lineage(b)
+        r, nt = _residualize_alternating(b, entity, time, cols, we, tol=alt_tol, max_iter=alt_max_iter)
     rcols = [f"_r_{c}" for c in cols]
     ecols = [f"_e_{c}" for c in cols]
-    G, n_ent = _gram_and_count(r, rcols + ecols, entity)
+    G, n_ent, G_n = _gram_and_count(r, rcols + ecols, entity)
     kk = len(cols)
     Gr, Ge = G[:kk, :kk], G[kk:, kk:]
-    n = int(sum(n_t))
+    n = int(G_n)
     # absorbed regressors: nothing left after removing the effects
     keep = [j for j in range(1, kk) if Gr[j, j] > ABSORBED_TOL * max(Ge[j, j], 1e-300)]
     absorbed = [cols[j] for j in range(1, kk) if j not in keep]
