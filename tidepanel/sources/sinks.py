@@ -38,9 +38,14 @@ def dataset_metadata(long: DataFrame, entity: str = "entity", date: str = "date"
         .otherwise(F.lit("unbalanced")))
 
 
-def column_dictionary(df: DataFrame, dataset: str, keys: Sequence[str] = ()) -> DataFrame:
+def column_dictionary(df: DataFrame, dataset: str, keys: Sequence[str] = (),
+                      approx_distinct: bool = False, rsd: float = 0.01) -> DataFrame:
     """Per column dataset, name, type, role and measured null %,
-    distinct count, min and max (numbers only) — one aggregate pass."""
+    distinct count, min and max (numbers only) — one aggregate pass.
+
+    Exact distinct counts expand every row once per column in the shuffle;
+    ``approx_distinct`` switches to HyperLogLog sketches (partial aggregates,
+    fixed size) for very wide or very large tables."""
     fields = df.schema.fields
     numeric = {f.name for f in fields if f.dataType.typeName() in
                ("double", "float", "integer", "long", "short", "decimal")}
@@ -48,7 +53,7 @@ def column_dictionary(df: DataFrame, dataset: str, keys: Sequence[str] = ()) ->
     for i, f in enumerate(fields):
         c = F.col(f.name)
         aggs += [F.sum(c.isNull().cast("long")).alias(f"_null{i}"),
-                 F.count_distinct(c).alias(f"_nd{i}")]
+                 (F.approx_count_distinct(c, rsd) if approx_distinct else F.count_distinct(c)).alias(f"_nd{i}")]
         if f.name in numeric:
             aggs += [F.min(c).cast("double").alias(f"_min{i}"), F.max(c).cast("double").alias(f"_max{i}")]
     one = df.agg(*aggs)
