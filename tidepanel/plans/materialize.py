@@ -14,13 +14,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import cut_lineage
+from ..session import cut_lineage, session_key
 
 _MEMO: dict = {}
 
 
 def materialized(spark: SparkSession, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    k = (spark.sparkContext.applicationId, *key)
+    k = (session_key(spark), *key)
     df = _MEMO.get(k)
     if df is None:
         df = cut_lineage(build())

@@ -43,6 +43,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a remote (Connect) session has none
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -50,23 +57,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     we only fill it in ourselves for a local-mode session with nothing set,
     as tests and the bench do.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(d)
         return d
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    master = spark.sparkContext.master or ""
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
     if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is "
                            "required to cut lineage on a cluster")
     d = tempfile.mkdtemp(prefix="tidepanel-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+    if sc is not None:
+        sc.setCheckpointDir(d)
+    return d
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identifier of the running application (for per-session memos)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
