@@ -69,6 +69,8 @@ def adf_frame(df: DataFrame, series: str, date: str, value: str, max_lag: int |
 
 def adf_test(df: DataFrame, series: str, date: str, value: str, max_lag: int | None = None) -> DataFrame:
     """Per series: adf_stat, pvalue, used_lag, nobs, ic_best (AIC)."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     d, L = adf_frame(df, series, date, value, max_lag)
     cols = ["_one", "_ylag"] + [f"_dl{j}" for j in range(1, L + 1)] + ["_dy"]
     d = d.withColumn("_one", F.lit(1.0))
@@ -187,6 +189,8 @@ def grouped_forecast(df: DataFrame, series: str, date: str, value: str, holdout:
     4. the recursion for ``holdout`` steps and psi-weight bands run in
        pandas on one row per series (its last values and coefficients).
     """
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     key_type = df.schema[series].dataType.simpleString()
     base = split_holdout(df.select(series, date, F.col(value).cast("double").alias("_y"))
                          .where(F.col("_y").isNotNull()), series, date, holdout)

@@ -124,6 +124,8 @@ class FitResult:
 
 def _residualize_exact(b: DataFrame, entity: str, cols, nt: int, we):
     """Exact removal of time effects from entity-demeaned columns ``_e_*``."""
+    from ..session import ship_package
+    ship_package(b.sparkSession)
     spark = b.sparkSession
     tsum = b.groupBy("_t").agg(F.count(F.lit(1)).alias("n"),
                                *[F.sum(f"_e_{c}").alias(c) for c in cols]).collect()

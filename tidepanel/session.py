@@ -103,3 +103,39 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidepanel`` importable in Python workers (once per session).
+
+    Operators that run pandas code inside tasks (``mapInPandas``) pickle
+    their functions by module reference; executors need the package.  The
+    package is zipped into the shared checkpoint folder and registered with
+    ``addPyFile`` (Spark copies it to every executor and puts it on the
+    workers' path).
+    """
+    key = session_key(spark)
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = scratch_path(spark, "pyfiles")
+    os.makedirs(root, exist_ok=True)
+    target = os.path.join(root, "tidepanel.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg_dir):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.join("tidepanel", os.path.relpath(full, pkg_dir)))
+    sc = _context(spark)
+    if sc is not None:
+        sc.addPyFile(target)
+    else:
+        spark.addArtifacts(target, pyfile=True)
+    _SHIPPED.add(key)
