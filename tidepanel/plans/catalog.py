@@ -10,12 +10,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as _np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalar as S
 from ..operators import aggregates as A
-from .inputs import ORDER_METRICS, SHOCK_METRICS
-from .panels import enriched_wide
+from ..operators import clean as C
+from ..operators import forecast as FC
+from ..operators import joins as J
+from ..operators import learn as ML
+from ..operators import linear as L
+from ..operators import reshape as R
+from ..operators import series as SE
+from ..operators import windows as W
+from ..session import scratch_path
+from ..sources import long as SL
+from ..sources import nested as SN
+from ..sources import sinks as SK
+from ..sources import wide as SW
+from .inputs import (MAX_NM, ORDER_METRICS, REF_LAT, REF_LON, SHOCK_METRICS, event_documents,
+                     events_panel_wide, named_events, order_panel_long, order_panel_wide,
+                     shock_by_year, table, track_points)
+from .panels import (MODEL_CONTROLS, MODEL_Y, enriched_wide, exposure_rows, model_frame,
+                     shock_annual_long)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -61,18 +79,6 @@ def q_entity_profile(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # shared sub-plans
 # ---------------------------------------------------------------------------
-from ..functions import scalar as S  # noqa: E402
-from ..operators import clean as C  # noqa: E402
-from ..operators import joins as J  # noqa: E402
-from ..operators import reshape as R  # noqa: E402
-from ..sources import long as SL  # noqa: E402
-from ..sources import nested as SN  # noqa: E402
-from ..sources import sinks as SK  # noqa: E402
-from ..sources import wide as SW  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from .inputs import (MAX_NM, REF_LAT, REF_LON, event_documents, named_events,  # noqa: E402
-                     order_panel_long, order_panel_wide, shock_by_year, table, track_points)
-from .panels import exposure_rows, shock_annual_long  # noqa: E402
 
 EXCLUDE_START, EXCLUDE_END = "1997-03-01", "1997-05-31"
 YEAR_LO, YEAR_HI = 1996, 2000
@@ -460,7 +466,6 @@ def q_time_quantile_split(spark, d):
 # ---------------------------------------------------------------------------
 # 2.5 windows (over nation x month panel cells)
 # ---------------------------------------------------------------------------
-from ..operators import windows as W  # noqa: E402
 
 
 @register("dedupe_keep_first")
@@ -620,11 +625,7 @@ def q_sig_stars(spark, d):
 # ---------------------------------------------------------------------------
 # 2.8 analytics: linear models
 # ---------------------------------------------------------------------------
-import numpy as _np  # noqa: E402
 
-from ..operators import linear as L  # noqa: E402
-from .inputs import events_panel_wide  # noqa: E402
-from .panels import MODEL_CONTROLS, MODEL_Y, model_frame  # noqa: E402
 
 E_Y, E_X = "avg_value", "n_events"
 
@@ -763,7 +764,6 @@ def q_regression_table(spark, d):
 # ---------------------------------------------------------------------------
 # 2.8 analytics: tests and forecasts over many series
 # ---------------------------------------------------------------------------
-from ..operators import forecast as FC  # noqa: E402
 
 HOLDOUT = 12
 
@@ -801,7 +801,6 @@ def q_forecast_eval(spark, d):
 # ---------------------------------------------------------------------------
 # 2.8 analytics: learning
 # ---------------------------------------------------------------------------
-from ..operators import learn as ML  # noqa: E402
 
 ML_FEATURES = ("ext_growth", "qty_log", "count_growth", "drv_l1", "shock_total_l1")
 
@@ -841,8 +840,6 @@ def q_ml_compare(spark, d):
 # ---------------------------------------------------------------------------
 # 2.8 analytics: series (decomposition, event study, cross-correlation, segments)
 # ---------------------------------------------------------------------------
-from ..operators import series as SE  # noqa: E402
-from .panels import enriched_wide  # noqa: E402,F811
 
 
 @register("regular_series")

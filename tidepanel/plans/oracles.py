@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .oracle_sql import enriched_ctes, with_
+from .oracle_sql import (ORDER_LONG_COLS, ORDER_METRICS, SHOCK_METRICS, balanced_ctes, enriched_ctes,
+                         order_panel_ctes, shock_ctes, track_ctes, winsor_ctes, with_, z6)
 
 ORACLES: dict[str, str] = {}
 
@@ -23,8 +24,6 @@ ORACLES["entity_profile"] = with_(enriched_ctes("segment")) + "\n" + _profile_se
 
 
 # ---------------------------------------------------------------------------
-from .oracle_sql import (ORDER_LONG_COLS, ORDER_METRICS, SHOCK_METRICS,  # noqa: E402
-                         order_panel_ctes, shock_ctes, track_ctes, winsor_ctes, balanced_ctes, z6)
 
 PN = order_panel_ctes("nation", "pn")
 PN_WIDE_COLS = "entity, date, " + ", ".join(f"{z6(m)} AS {m}" for m in ORDER_METRICS)
