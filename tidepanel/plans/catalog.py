@@ -114,19 +114,16 @@ def located_points(spark, d):
 # ---------------------------------------------------------------------------
 @register("scan_wide_dates")
 def q_scan_wide_dates(spark, d):
-    """Every order metric as a wide text matrix (one column per month, as a
-    CSV would give) and back through the wide reader."""
-    wide = pn_wide(spark, d)
-    dates = J.domain_values(wide, "date", 5000)
-    out = None
-    for m in ORDER_METRICS:
-        mat = (wide.groupBy(F.col("entity").alias("RegionName"))
-               .pivot("date", dates).agg(F.first(F.col(m).cast("string"))))
-        mat = mat.select("RegionName", F.lit("nation").alias("RegionType"),
-                         *[F.col(f"`{c}`") for c in mat.columns if c != "RegionName"])
-        part = SW.wide_to_long(mat, m)
-        out = part if out is None else out.unionByName(part)
-    return out.withColumn("value", r6("value"))
+    """Every order metric as a wide text matrix (one column per month, one
+    row per entity and metric — the stacked files, label from the file
+    name) and back through the wide reader in one unpivot."""
+    long = pn_long(spark, d)
+    dates = J.domain_values(long, "date", 5000)
+    mats = (long.groupBy(F.col("entity").alias("RegionName"), "metric").pivot("date", dates)
+            .agg(F.first(F.col("value").cast("string"))))
+    mats = mats.select("RegionName", F.lit("nation").alias("RegionType"), "metric",
+                       *[F.col(f"`{dt}`") for dt in dates])
+    return SW.wide_to_long(mats, metric_col="metric").withColumn("value", r6("value"))
 
 
 @register("scan_header_detail")

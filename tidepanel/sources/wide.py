@@ -13,29 +13,32 @@ from ..functions.scalar import tolerant_double
 WIDE_META = ("RegionID", "SizeRank", "RegionName", "RegionType", "StateName")
 
 
-def wide_to_long(wide: DataFrame, metric: str, entity_col: str = "RegionName",
+def wide_to_long(wide: DataFrame, metric: str | None = None, entity_col: str = "RegionName",
                  meta: Sequence[str] = WIDE_META, line_col: str | None = None,
-                 filters: Mapping[str, str] | None = None) -> DataFrame:
+                 filters: Mapping[str, str] | None = None, metric_col: str | None = None) -> DataFrame:
     """Unpivot every non-metadata column (a date header) into long rows.
 
+    The metric label is either a constant (one file per metric) or a column
+    (``metric_col``: many files read at once, label from the file name).
+
     * ``filters``: equality tests on metadata applied *before* the unpivot;
     * blank entity names are dropped; cells that do not parse as numbers
       are dropped (P3); headers that are not dates are ignored;
     * when ``line_col`` is given and an entity repeats, the last line wins
       per date (``max_by`` — a partial aggregate, no sort).
     """
-    present_meta = [c for c in wide.columns if c in set(meta) or c == line_col]
+    present_meta = [c for c in wide.columns if c in set(meta) or c in (line_col, metric_col)]
     date_cols = [c for c in wide.columns if c not in present_meta]
     w = wide
     for k, v in (filters or {}).items():
         w = w.where(F.col(k) == F.lit(v))
     w = w.where(F.col(entity_col).isNotNull() & (F.trim(F.col(entity_col)) != ""))
-    ids = [entity_col] + ([line_col] if line_col else [])
+    ids = [entity_col] + ([line_col] if line_col else []) + ([metric_col] if metric_col else [])
     cells = w.select(*ids, *[F.col(f"`{c}`").cast("string").alias(c) for c in date_cols]) \
         .unpivot(ids, date_cols, "_hdr", "_txt")
     long = (cells.select(F.col(entity_col).alias("entity"),
                          F.try_to_date(F.col("_hdr"), "yyyy-MM-dd").alias("date"),
-                         F.lit(metric).alias("metric"),
+                         (F.col(metric_col) if metric_col else F.lit(metric)).alias("metric"),
                          tolerant_double("_txt").alias("value"),
                          *([F.col(line_col).alias("_line")] if line_col else []))
             .where(F.col("date").isNotNull() & F.col("value").isNotNull()))
