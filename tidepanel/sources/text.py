@@ -40,12 +40,13 @@ def carry_forward(lines: DataFrame, is_header, header_cols: dict, file: str = "f
     t = lines.withColumn("_hdr", hdr).withColumn("_is_hdr", is_header)
     in_block = Window.partitionBy(file, block).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
     t = t.withColumn("_hdr_in", F.last("_hdr", ignorenulls=True).over(in_block))
-    # last header of each block (small table: one row per block with headers)
-    ends = (t.where(F.col("_is_hdr")).groupBy(file, block)
-            .agg(F.max_by("_hdr", pos).alias("_hdr_end")))
-    blocks = t.select(file, block).distinct().join(ends, [file, block], "left")
+    # one aggregate lists every block with its last header (NULL when none):
+    # a small table, one row per block
+    blocks = (t.groupBy(file, block)
+              .agg(F.max(F.when(F.col("_is_hdr"), F.struct(F.col(pos).alias("p"), F.col("_hdr").alias("h"))))
+                   .alias("_end")))
     prior = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_hdr_prev", F.last("_hdr_end", ignorenulls=True).over(prior)).drop("_hdr_end")
+    blocks = blocks.select(file, block, F.last(F.col("_end.h"), ignorenulls=True).over(prior).alias("_hdr_prev"))
     t = t.join(blocks, [file, block], "left")
     t = t.withColumn("_h", F.coalesce("_hdr_in", "_hdr_prev"))
     return t.select("*", *[F.col(f"_h.{n}").alias(n) for n in header_cols]).drop(
