@@ -48,11 +48,18 @@ def left_join_zero(left: DataFrame, right: DataFrame, on: Sequence[str],
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row table to every row (broadcast equi-join
-    on a constant key; the right side is an aggregate without grouping)."""
-    return (df.withColumn("_one", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one")
-            .drop("_one"))
+    """Attach the columns of a one-row aggregate (a cutoff, a median, a
+    count) to every row as literals.
+
+    The aggregate is computed first (a handful of scalars reach the
+    driver); no join — and so no cross product — is planned.
+    """
+    rows = one_row.limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError("attach_scalar expects a one-row table")
+    fields = one_row.schema.fields
+    vals = rows[0].asDict() if rows else {f.name: None for f in fields}
+    return df.withColumns({f.name: F.lit(vals[f.name]).cast(f.dataType) for f in fields})
 
 
 def domain_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
