@@ -27,11 +27,6 @@ from ..functions.tails import adf_pvalue
 Z95 = 1.959963984540054
 
 
-def _maxlag_for(n: int) -> int:
-    """Default ADF maximum lag: ceil(12 (n/100)^(1/4)), capped at n//2 - 2."""
-    return max(0, min(int(math.ceil(12.0 * (n / 100.0) ** 0.25)), n // 2 - 2))
-
-
 def _gram_aggs(cols, mask):
     k = len(cols)
     return [F.sum(F.when(mask, F.col(cols[i]) * F.col(cols[j]))).alias(f"g{i}_{j}")

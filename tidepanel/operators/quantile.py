@@ -22,11 +22,6 @@ from pyspark.sql import functions as F
 _IDX_BITS = 33  # monotonically_increasing_id = partition << 33 | row index
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    conds = [left[k].eqNullSafe(right[k]) for k in keys]
-    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
-
-
 def global_rank(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Rows of ``df`` (NULL values dropped) with ``_rank`` (0-based position
     of the value within its group) and ``_n`` (group size), computed from a

@@ -5,15 +5,14 @@ entities, never as a loop over them."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import safe_corr
 from .clean import dedupe_keep_first, threshold_category
 from .joins import nearest_asof, range_join_window
-from .windows import centered_ma, entity_window, ffill_limit, pct_change, relative_month
+from .windows import (centered_ma, entity_window, ffill_limit, normalize_to_base, pct_change,
+                      relative_month)
 
 
 def regular_series(df: DataFrame, value: str, entity: str = "entity", date: str = "date",
@@ -54,11 +53,17 @@ def seasonal_decompose(series: DataFrame, value: str, entity: str = "entity", da
          .withColumn("phase", F.pmod(F.row_number().over(w) - 1, F.lit(period)).cast("int")))
     s = centered_ma(s, value, "trend", period, entity, date)
     s = s.withColumn("_detr", F.col(value) - F.col("trend"))
-    ph = s.groupBy(entity, "phase").agg(F.avg("_detr").alias("_pm"))
-    ph = ph.withColumn("seasonal", F.col("_pm") - F.avg("_pm").over(Window.partitionBy(entity))).drop("_pm")
-    out = s.join(ph, [entity, "phase"], "left")
-    return out.select(entity, date, "phase", F.col(value).alias("observed"), "trend", "seasonal",
-                      (F.col(value) - F.col("trend") - F.col("seasonal")).alias("resid"))
+    # phase means and their mean, as windows on the entity partitioning already
+    # in place ((entity, phase) windows need no new shuffle): the sum over rows
+    # of pm / rows-in-phase is the sum of the phase means
+    by_phase = Window.partitionBy(entity, "phase")
+    by_entity = Window.partitionBy(entity)
+    s = (s.withColumn("_pm", F.avg("_detr").over(by_phase))
+         .withColumn("_w", F.col("_pm") / F.count(F.lit(1)).over(by_phase)))
+    n_phases = F.least(F.col("_n"), F.lit(period))
+    s = s.withColumn("seasonal", F.col("_pm") - F.sum("_w").over(by_entity) / n_phases)
+    return s.select(entity, date, "phase", F.col(value).alias("observed"), "trend", "seasonal",
+                    (F.col(value) - F.col("trend") - F.col("seasonal")).alias("resid"))
 
 
 def event_study(series: DataFrame, events: DataFrame, value: str, date: str = "date",
@@ -71,9 +76,8 @@ def event_study(series: DataFrame, events: DataFrame, value: str, date: str = "d
     """
     win = range_join_window(series.select(date, value), events, date, "event_date", months)
     base = nearest_asof(win, value, "event", date, "event_date")
-    j = win.join(F.broadcast(base), ["event"])
-    return j.select("event", "event_date", date, value, "base_date", "base_value",
-                    (F.try_divide(F.col(value), F.col("base_value")) * 100.0).alias("normalized"),
+    j = normalize_to_base(win.join(F.broadcast(base), ["event"]), value, "base_value")
+    return j.select("event", "event_date", date, value, "base_date", "base_value", "normalized",
                     relative_month(date, "event_date").alias("rel_month"))
 
 
