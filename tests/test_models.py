@@ -103,3 +103,18 @@ def test_fe_alternating_projections_match_exact(spark):
     assert np.allclose(alt.se, exact.se, atol=1e-8)
     assert np.allclose(alt.se_clustered, exact.se_clustered, atol=1e-8)
     assert alt.df_resid == exact.df_resid
+
+
+def test_stacked_specs_equal_separate_fits(spark):
+    pdf = _panel(seed=12, ne=9, nt=11, drop=0.15)
+    a = pdf.assign(spec="all")
+    sub = pdf[pdf.date != 4].assign(spec="no4")
+    low = pdf[pdf.entity.isin(["e1", "e2", "e3", "e5"])].assign(spec="some")
+    stacked = spark.createDataFrame(pd.concat([a, sub, low], ignore_index=True))
+    fits = L.fe_twoway_specs(stacked, "y", ["x1", "x2"], "spec")
+    for name, part in (("all", a), ("no4", sub), ("some", low)):
+        one = L.fe_twoway(spark.createDataFrame(part.drop(columns="spec")), "y", ["x1", "x2"])
+        f = fits[name]
+        assert np.allclose(f.coef, one.coef, atol=1e-10) and np.allclose(f.se, one.se, atol=1e-10)
+        assert np.allclose(f.se_clustered, one.se_clustered, atol=1e-10)
+        assert (f.nobs, f.df_resid, f.n_entities, f.n_periods) == (one.nobs, one.df_resid, one.n_entities, one.n_periods)

@@ -49,32 +49,39 @@ def gram(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     return g
 
 
-def _gram_and_count(df: DataFrame, cols: Sequence[str], entity: str):
-    """Gram of ``cols`` and the number of entities, in one aggregate."""
+def _grams_by(df: DataFrame, cols: Sequence[str], by: str, entity: str | None = None) -> dict:
+    """Per value of ``by``: Gram of ``cols`` (and the row and entity counts),
+    all groups in one aggregate."""
     k = len(cols)
     aggs = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
-    row = df.agg(F.count_distinct(entity).alias("_ne"), F.count(F.lit(1)).alias("_n"), *aggs).first()
-    g = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            v = row[f"g{i}_{j}"]
-            g[i, j] = g[j, i] = 0.0 if v is None else float(v)
-    return g, int(row["_ne"]), int(row["_n"])
+    extra = [F.count(F.lit(1)).alias("_n")] + ([F.count_distinct(entity).alias("_ne")] if entity else [])
+    out = {}
+    for row in df.groupBy(by).agg(*extra, *aggs).collect():
+        g = np.zeros((k, k))
+        for i in range(k):
+            for j in range(i, k):
+                v = row[f"g{i}_{j}"]
+                g[i, j] = g[j, i] = 0.0 if v is None else float(v)
+        out[row[by]] = (g, int(row["_n"]), int(row["_ne"]) if entity else None)
+    return out
 
 
 def _period_pairs(n_periods: int):
-    """Per partition: sum over entities of c_i c_i' / n_i in a dense T x T
-    accumulator (numpy), emitted as its non-zero upper-triangle entries."""
+    """Per partition and spec: sum over entities of c_i c_i' / n_i in a dense
+    T x T accumulator (numpy), emitted as its non-zero upper-triangle entries."""
     def run(batches):
         import pandas as pd
-        acc = np.zeros((n_periods, n_periods))
+        acc: dict = {}
         for pdf in batches:
-            for periods in pdf["periods"]:
+            for spec, periods in zip(pdf["_spec"], pdf["periods"]):
+                m = acc.get(spec)
+                if m is None:
+                    m = acc[spec] = np.zeros((n_periods, n_periods))
                 idx = np.asarray(periods, dtype=np.int64)
-                acc[np.ix_(idx, idx)] += 1.0 / len(idx)
-        ii, jj = np.nonzero(np.triu(acc))
-        if len(ii):
-            yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "v": acc[ii, jj]})
+                m[np.ix_(idx, idx)] += 1.0 / len(idx)
+        for spec, m in acc.items():
+            ii, jj = np.nonzero(np.triu(m))
+            yield pd.DataFrame({"_spec": spec, "i": ii.astype("int32"), "j": jj.astype("int32"), "v": m[ii, jj]})
     return run
 
 
@@ -123,72 +130,87 @@ class FitResult:
 
 
 def _residualize_exact(b: DataFrame, entity: str, cols, nt: int, we):
-    """Exact removal of time effects from entity-demeaned columns ``_e_*``."""
+    """Exact removal of time effects from entity-demeaned columns ``_e_*``,
+    for every spec at once."""
     from ..session import ship_package
     ship_package(b.sparkSession)
     spark = b.sparkSession
-    tsum = b.groupBy("_t").agg(F.count(F.lit(1)).alias("n"),
-                               *[F.sum(f"_e_{c}").alias(c) for c in cols]).collect()
-    n_t = np.zeros(nt)
-    dz = np.zeros((nt, len(cols)))
-    for r in tsum:
-        n_t[r["_t"]] = r["n"]
-        dz[r["_t"]] = [r[c] for c in cols]
-    lists = b.groupBy(entity).agg(F.collect_list("_t").alias("periods"))
-    pairs = lists.mapInPandas(_period_pairs(nt), "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v"))
-    dd = np.diag(n_t)
+    kk = len(cols)
+    n_t: dict = {}
+    dz: dict = {}
+    for r in b.groupBy("_spec", "_t").agg(F.count(F.lit(1)).alias("n"),
+                                           *[F.sum(f"_e_{c}").alias(c) for c in cols]).collect():
+        sp = r["_spec"]
+        if sp not in n_t:
+            n_t[sp], dz[sp] = np.zeros(nt), np.zeros((nt, kk))
+        n_t[sp][r["_t"]] = r["n"]
+        dz[sp][r["_t"]] = [r[c] for c in cols]
+    lists = b.groupBy("_spec", entity).agg(F.collect_list("_t").alias("periods")).select("_spec", "periods")
+    pairs = (lists.mapInPandas(_period_pairs(nt), "_spec string, i int, j int, v double")
+             .groupBy("_spec", "i", "j").agg(F.sum("v").alias("v")))
+    dd = {sp: np.diag(v) for sp, v in n_t.items()}
     for r in pairs.collect():
-        dd[r["i"], r["j"]] -= r["v"]
+        m = dd[r["_spec"]]
+        m[r["i"], r["j"]] -= r["v"]
         if r["i"] != r["j"]:
-            dd[r["j"], r["i"]] -= r["v"]
-    gamma = np.linalg.pinv(dd, hermitian=True) @ dz          # T x (k+1)
-    g_rows = [(i, *[float(v) for v in gamma[i]]) for i in range(nt)]
-    gdf = spark.createDataFrame(g_rows, "_t int, " + ", ".join(f"_g_{c} double" for c in cols))
-    r = b.join(F.broadcast(gdf), ["_t"])
+            m[r["j"], r["i"]] -= r["v"]
+    g_rows = []
+    for sp in dd:
+        gamma = np.linalg.pinv(dd[sp], hermitian=True) @ dz[sp]          # T x (k+1)
+        g_rows += [(sp, i, *[float(v) for v in gamma[i]]) for i in range(nt)]
+    gdf = spark.createDataFrame(g_rows, "_spec string, _t int, " + ", ".join(f"_g_{c} double" for c in cols))
+    r = b.join(F.broadcast(gdf), ["_spec", "_t"])
     r = r.withColumns({f"_r_{c}": F.col(f"_e_{c}") - (F.col(f"_g_{c}") - F.avg(f"_g_{c}").over(we))
                        for c in cols})
-    return r, nt
+    return r
 
 
-def _residualize_alternating(b: DataFrame, entity: str, time: str, cols, we, tol: float = 1e-10,
+def _residualize_alternating(b: DataFrame, time: str, cols, we, tol: float = 1e-10,
                              max_iter: int = 500, cut_every: int = 5):
     """Alternating projections (Guimaraes-Portugal / Gaure): subtract period
-    means (a ``groupBy(period)`` joined back — never a window over a whole
-    period) and entity means (a window over the entity's cells) until the
-    largest period mean is below ``tol``; lineage is cut every few sweeps."""
+    means (a ``groupBy(spec, period)`` joined back — never a window over a
+    whole period) and entity means (a window over the entity's cells) until
+    the largest period mean is below ``tol``; lineage is cut every few sweeps."""
     from ..session import cut_lineage
     cur = b.withColumns({f"_r_{c}": F.col(f"_e_{c}") for c in cols})
-    nt = b.select(time).distinct().count()
     for it in range(max_iter):
-        tm = cur.groupBy(time).agg(*[F.avg(f"_r_{c}").alias(f"_m_{c}") for c in cols])
-        cur = (cur.join(tm, [time])
+        tm = cur.groupBy("_spec", time).agg(*[F.avg(f"_r_{c}").alias(f"_m_{c}") for c in cols])
+        cur = (cur.join(tm, ["_spec", time])
                .withColumns({f"_r_{c}": F.col(f"_r_{c}") - F.col(f"_m_{c}") for c in cols})
                .drop(*[f"_m_{c}" for c in cols]))
         cur = cur.withColumns({f"_r_{c}": F.col(f"_r_{c}") - F.avg(f"_r_{c}").over(we) for c in cols})
         if (it + 1) % cut_every == 0:
             cur = cut_lineage(cur)
-            worst = (cur.groupBy(time).agg(*[F.abs(F.avg(f"_r_{c}")).alias(c) for c in cols])
-                     .agg(F.max(F.greatest(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0]))).first()[0])
+            means = cur.groupBy("_spec", time).agg(*[F.abs(F.avg(f"_r_{c}")).alias(c) for c in cols])
+            worst = means.agg(F.max(F.greatest(*[F.col(c) for c in cols]) if len(cols) > 1
+                                    else F.col(cols[0]))).first()[0]
             if worst is None or worst < tol:
                 break
-    return cur, nt
-
-
-def fe_twoway(df: DataFrame, y: str, xs: Sequence[str], entity: str = "entity", time: str = "date",
-              cluster: bool = True, cluster_scale: str = "n_over_df",
-              max_periods: int = MAX_PERIODS, materialize: bool = True,
-              alt_tol: float = 1e-10, alt_max_iter: int = 500) -> FitResult:
-    """M1-M4: y on xs with entity and time effects (complete cases only).
-
-    Up to ``max_periods`` periods the time effects are removed exactly
-    (T x T solve); beyond, by alternating projections to ``alt_tol``.
+    return cur
+
+
+def fe_twoway_specs(df: DataFrame, y: str, xs: Sequence[str], spec: str | None = None,
+                    entity: str = "entity", time: str = "date", cluster: bool = True,
+                    cluster_scale: str = "n_over_df", max_periods: int = MAX_PERIODS,
+                    materialize: bool = True, alt_tol: float = 1e-10, alt_max_iter: int = 500) -> dict:
+    """M1-M4 (and M10): y on xs with entity and time effects, complete cases,
+    for every value of the ``spec`` column at once.
+
+    Rows carry the spec they belong to (a sweep stacks its subsamples); every
+    pass — demeaning, period sums, the period Gram, the Gram, cluster scores —
+    groups by spec as well, so a whole robustness sweep shares one set of
+    jobs.  Up to ``max_periods`` periods the time effects are removed exactly
+    (one T x T solve per spec); beyond, by alternating projections to
+    ``alt_tol``.  Returns {spec value: FitResult}.
     """
     from ..session import cut_lineage
     spark = df.sparkSession
     xs = list(xs)
     cols = [y] + xs
-    base = df.select(entity, time, *cols).dropna(subset=cols)
-    we = Window.partitionBy(entity)
+    kk = len(cols)
+    sp = F.col(spec).cast("string") if spec else F.lit("all")
+    base = df.select(sp.alias("_spec"), entity, time, *cols).dropna(subset=cols)
+    we = Window.partitionBy("_spec", entity)
     try:
         times = domain_values(base, time, max_periods)
     except ValueError:          # more periods than the exact T x T path takes
@@ -201,59 +223,90 @@ def fe_twoway(df: DataFrame, y: str, xs: Sequence[str], entity: str = "entity",
              .withColumns({f"_e_{c}": F.col(c) - F.avg(c).over(we) for c in cols}))
         if materialize:
             b = cut_lineage(b)
-        r, nt = _residualize_exact(b, entity, cols, len(times), we)
+        r = _residualize_exact(b, entity, cols, len(times), we)
     else:
         b = base.withColumns({f"_e_{c}": F.col(c) - F.avg(c).over(we) for c in cols})
         if materialize:
             b = cut_lineage(b)
-        r, nt = _residualize_alternating(b, entity, time, cols, we, tol=alt_tol, max_iter=alt_max_iter)
+        r = _residualize_alternating(b, time, cols, we, tol=alt_tol, max_iter=alt_max_iter)
     rcols = [f"_r_{c}" for c in cols]
     ecols = [f"_e_{c}" for c in cols]
-    G, n_ent, G_n = _gram_and_count(r, rcols + ecols, entity)
-    kk = len(cols)
-    Gr, Ge = G[:kk, :kk], G[kk:, kk:]
-    n = int(G_n)
-    # absorbed regressors: nothing left after removing the effects
-    keep = [j for j in range(1, kk) if Gr[j, j] > ABSORBED_TOL * max(Ge[j, j], 1e-300)]
-    absorbed = [cols[j] for j in range(1, kk) if j not in keep]
-    A = Gr[np.ix_(keep, keep)]
-    bvec = Gr[np.ix_(keep, [0])].ravel()
-    beta_k = np.linalg.solve(A, bvec) if keep else np.zeros(0)
-    ssr = float(Gr[0, 0] - 2 * beta_k @ bvec + beta_k @ A @ beta_k)
-    k_eff = len(keep)
-    df_resid = n - k_eff - (n_ent + nt - 1)
-    s2 = ssr / df_resid
-    ainv = np.linalg.inv(A) if keep else np.zeros((0, 0))
-    se_k = np.sqrt(np.diag(ainv) * s2)
-    coef = np.full(len(xs), np.nan)
-    se = np.full(len(xs), np.nan)
-    for pos, j in enumerate(keep):
-        coef[j - 1], se[j - 1] = beta_k[pos], se_k[pos]
-    # within R^2: beta applied to entity-demeaned data (time effects left in)
-    Ae = Ge[np.ix_(keep, keep)]
-    be = Ge[np.ix_(keep, [0])].ravel()
-    ssr_w = float(Ge[0, 0] - 2 * beta_k @ be + beta_k @ Ae @ beta_k)
-    r2_w = 1.0 - ssr_w / Ge[0, 0] if Ge[0, 0] > 0 else float("nan")
-    r2_w_adj = 1.0 - (1.0 - r2_w) * (n - 1) / (n - k_eff - 1)
-    r2 = 1.0 - ssr / Gr[0, 0] if Gr[0, 0] > 0 else float("nan")
+    # one aggregate: both Grams, rows, entities and periods of every spec
+    grams = _grams_by(r, rcols + ecols, "_spec", entity)
+    n_per = {row["_spec"]: int(row["nt"]) for row in
+             b.groupBy("_spec").agg(F.count_distinct(time).alias("nt")).collect()}
+    fits: dict = {}
+    beta_rows = []
+    for s_val, (G, n, n_ent) in grams.items():
+        Gr, Ge = G[:kk, :kk], G[kk:, kk:]
+        # absorbed regressors: nothing left after removing the effects
+        keep = [j for j in range(1, kk) if Gr[j, j] > ABSORBED_TOL * max(Ge[j, j], 1e-300)]
+        A = Gr[np.ix_(keep, keep)]
+        bvec = Gr[np.ix_(keep, [0])].ravel()
+        beta_k = np.linalg.solve(A, bvec) if keep else np.zeros(0)
+        fits[s_val] = (G, n, n_ent, keep, A, bvec, beta_k)
+        full = np.zeros(kk - 1)
+        for pos, j in enumerate(keep):
+            full[j - 1] = beta_k[pos]
+        beta_rows.append((s_val, *[float(v) for v in full]))
+    bdf = spark.createDataFrame(beta_rows, "_spec string, " + ", ".join(f"_b{j} double" for j in range(1, kk)))
+    r = r.join(F.broadcast(bdf), ["_spec"])
     u = F.col(rcols[0])
-    for pos, j in enumerate(keep):
-        u = u - F.lit(float(beta_k[pos])) * F.col(rcols[j])
+    fitted = F.lit(0.0)
+    for j in range(1, kk):
+        u = u - F.col(f"_b{j}") * F.col(rcols[j])
+        fitted = fitted + F.col(f"_b{j}") * F.col(cols[j])
     r = r.withColumn("_u", u)
-    se_c = None
-    if cluster and keep:
-        scores = r.groupBy(entity).agg(*[F.sum(F.col(rcols[j]) * F.col("_u")).alias(f"_s{j}") for j in keep])
-        B = gram(scores, [f"_s{j}" for j in keep])
-        scale = n / df_resid if cluster_scale == "n_over_df" else 1.0
-        V = ainv @ B @ ainv * scale
-        se_c = np.full(len(xs), np.nan)
+    scores_by = {}
+    if cluster:
+        scores = r.groupBy("_spec", entity).agg(*[F.sum(F.col(rcols[j]) * F.col("_u")).alias(f"_s{j}")
+                                                  for j in range(1, kk)])
+        scores_by = {k: v[0] for k, v in _grams_by(scores, [f"_s{j}" for j in range(1, kk)], "_spec").items()}
+    frame_all = r.select("_spec", entity, time, *cols, F.col("_u").alias("resid"), fitted.alias("fitted"))
+    out = {}
+    for s_val, (G, n, n_ent, keep, A, bvec, beta_k) in fits.items():
+        Gr, Ge = G[:kk, :kk], G[kk:, kk:]
+        nt = n_per[s_val]
+        ssr = float(Gr[0, 0] - 2 * beta_k @ bvec + beta_k @ A @ beta_k)
+        k_eff = len(keep)
+        df_resid = n - k_eff - (n_ent + nt - 1)
+        s2 = ssr / df_resid
+        ainv = np.linalg.inv(A) if keep else np.zeros((0, 0))
+        se_k = np.sqrt(np.diag(ainv) * s2)
+        coef = np.full(len(xs), np.nan)
+        se = np.full(len(xs), np.nan)
         for pos, j in enumerate(keep):
-            se_c[j - 1] = np.sqrt(V[pos, pos])
-    fitted = F.lit(0.0)
-    for pos, j in enumerate(keep):
-        fitted = fitted + F.lit(float(beta_k[pos])) * F.col(cols[j])
-    frame = r.select(entity, time, *cols, F.col("_u").alias("resid"), fitted.alias("fitted"))
-    return FitResult(xs, coef, se, se_c, n, df_resid, n_ent, nt, ssr, r2, r2_w, r2_w_adj, absorbed, frame)
+            coef[j - 1], se[j - 1] = beta_k[pos], se_k[pos]
+        # within R^2: beta applied to entity-demeaned data (time effects left in)
+        Ae = Ge[np.ix_(keep, keep)]
+        be = Ge[np.ix_(keep, [0])].ravel()
+        ssr_w = float(Ge[0, 0] - 2 * beta_k @ be + beta_k @ Ae @ beta_k)
+        r2_w = 1.0 - ssr_w / Ge[0, 0] if Ge[0, 0] > 0 else float("nan")
+        r2_w_adj = 1.0 - (1.0 - r2_w) * (n - 1) / (n - k_eff - 1)
+        r2 = 1.0 - ssr / Gr[0, 0] if Gr[0, 0] > 0 else float("nan")
+        se_c = None
+        if cluster and keep:
+            sel = [j - 1 for j in keep]
+            B = scores_by[s_val][np.ix_(sel, sel)]
+            scale = n / df_resid if cluster_scale == "n_over_df" else 1.0
+            V = ainv @ B @ ainv * scale
+            se_c = np.full(len(xs), np.nan)
+            for pos, j in enumerate(keep):
+                se_c[j - 1] = np.sqrt(V[pos, pos])
+        absorbed = [cols[j] for j in range(1, kk) if j not in keep]
+        frame = frame_all.where(F.col("_spec") == F.lit(s_val)).drop("_spec")
+        out[s_val] = FitResult(xs, coef, se, se_c, n, df_resid, n_ent, nt, ssr, r2, r2_w, r2_w_adj,
+                               absorbed, frame)
+    return out
+
+
+def fe_twoway(df: DataFrame, y: str, xs: Sequence[str], entity: str = "entity", time: str = "date",
+              cluster: bool = True, cluster_scale: str = "n_over_df",
+              max_periods: int = MAX_PERIODS, materialize: bool = True,
+              alt_tol: float = 1e-10, alt_max_iter: int = 500) -> FitResult:
+    """M1-M4: one fit (the single-spec case of ``fe_twoway_specs``)."""
+    return fe_twoway_specs(df, y, xs, None, entity, time, cluster, cluster_scale, max_periods,
+                           materialize, alt_tol, alt_max_iter)["all"]
 
 
 @dataclass

@@ -713,18 +713,28 @@ ROBUST_CHECKS = (
 
 
 def robustness_rows(spark, d):
-    """Every spec is one residualised fit; unadjusted and clustered
-    errors come out of the same fit."""
+    """Every spec is a subsample (and driver lag) of the model frame;
+    the specs are stacked with a spec column and fitted together, so the
+    whole sweep shares one set of passes.  Unadjusted and clustered errors
+    come out of the same fit."""
     mf = model_frame(spark, d)   # materialised once, read by every spec
     split = A.grouped_median_split(pn_wide(spark, d), "entity", "avg_qty")
-    out = []
+    specs = {}
     for check, drv, variant in ROBUST_CHECKS:
+        specs.setdefault((drv, variant), f"s{len(specs)}")
+    parts = []
+    for (drv, variant), sid in specs.items():
         frame = mf
         if variant == "exclude":
             frame = C.exclude_window(mf, "date", EXCLUDE_START, EXCLUDE_END)
         elif variant in ("high", "low"):
             frame = J.subsample_semi_join(mf, split.where(F.col("group") == variant))
-        f = L.fe_twoway(frame, MODEL_Y, [drv, *MODEL_CONTROLS])
+        parts.append(frame.select(F.lit(sid).alias("spec"), "entity", "date", MODEL_Y,
+                                  F.col(drv).alias("driver"), *MODEL_CONTROLS))
+    fits = L.fe_twoway_specs(R.union_all_long(*parts), MODEL_Y, ["driver", *MODEL_CONTROLS], "spec")
+    out = []
+    for check, drv, variant in ROBUST_CHECKS:
+        f = fits[specs[(drv, variant)]]
         out.append((check, drv, _num(f.coef[0]), _num(f.se[0]), _num(f.coef[0]), _num(f.se_clustered[0]),
                     _num(f.pvalue_clustered[0]), f.nobs))
     return out
@@ -742,10 +752,15 @@ def q_regression_table(spark, d):
     """Coefficient / SE / p-value / stars per variable and model, plus
     N and adjusted within R^2 rows (long layout: model, variable, stat)."""
     mf = model_frame(spark, d)
-    models = {"base": mf, "exclude_window": C.exclude_window(mf, "date", EXCLUDE_START, EXCLUDE_END)}
+    xs = ["drv_l1", *MODEL_CONTROLS]
+    stacked = R.union_all_long(
+        mf.select(F.lit("base").alias("spec"), "entity", "date", MODEL_Y, *xs),
+        C.exclude_window(mf, "date", EXCLUDE_START, EXCLUDE_END)
+        .select(F.lit("exclude_window").alias("spec"), "entity", "date", MODEL_Y, *xs))
+    fits = L.fe_twoway_specs(stacked, MODEL_Y, xs, "spec")
     rows = []
-    for name, frame in models.items():
-        f = L.fe_twoway(frame, MODEL_Y, ["drv_l1", *MODEL_CONTROLS])
+    for name in ("base", "exclude_window"):
+        f = fits[name]
         for label, se, p in (("unadjusted", f.se, f.pvalue), ("clustered", f.se_clustered, f.pvalue_clustered)):
             if name == "exclude_window" and label == "unadjusted":
                 continue
