@@ -139,3 +139,23 @@ def ship_package(spark: SparkSession) -> None:
     else:
         spark.addArtifacts(target, pyfile=True)
     _SHIPPED.add(key)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Sizing for a cluster run (pass to ``SparkSession.builder.config``).
+
+    Shuffle partitions: enough that each holds about ``target_partition_bytes``
+    of the largest shuffle (bounded below by two waves of cores); AQE then
+    coalesces small ones and splits skewed ones.  File splits use the same
+    target so scan tasks and shuffle tasks are alike.
+    """
+    parts = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        **{k: v for k, v in BASE_CONF.items() if k != "spark.ui.showConsoleProgress"},
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
