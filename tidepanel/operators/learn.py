@@ -42,22 +42,28 @@ def feature_importance(model, features: Sequence[str]) -> list:
     return sorted(((f, float(v)) for f, v in zip(features, imp)), key=lambda t: -t[1])
 
 
+def time_split(frame: DataFrame, y: str, features: Sequence[str], date: str = "date", p: float = 0.8):
+    """(train, test): complete rows split at the p-quantile of their dates."""
+    d = frame.select(date, y, *features).dropna()
+    split = time_quantile_split(d, date, p)
+    return split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
+
+
 def ml_compare(frame: DataFrame, y: str, features: Sequence[str], date: str = "date",
-               p: float = 0.8, **forest_overrides):
+               p: float = 0.8, model=None, **forest_overrides):
     """OLS vs forest on one time split (train <= 0.8 date quantile).
 
+    ``model``: an already fitted forest for the same split (skips refitting).
     Returns (metrics rows, importances, forest model)."""
     features = list(features)
-    d = frame.select(date, y, *features).dropna()
-    split = time_quantile_split(d, date, p)
-    train = split.where(F.col("split") == "train")
-    test = split.where(F.col("split") == "test")
+    train, test = time_split(frame, y, features, date, p)
     ols = pooled_ols(train, y, features)
     pred = F.lit(float(ols.coef[0]))
     for n, c in zip(ols.names[1:], ols.coef[1:]):
         pred = pred + F.lit(float(c)) * F.col(n)
     ols_scores = r2_score(test.withColumn("_pred", pred), y, "_pred").first()
-    model = forest_regression(train, y, features, **forest_overrides)
+    if model is None:
+        model = forest_regression(train, y, features, **forest_overrides)
     vec = VectorAssembler(inputCols=features, outputCol="_features").transform(test)
     rf_scores = r2_score(model.transform(vec), y, "_pred").first()
     n_train = train.count()

@@ -818,34 +818,44 @@ ML_FEATURES = ("ext_growth", "qty_log", "count_growth", "drv_l1", "shock_total_l
 
 
 def _ml_frame(spark, d):
-    from ..session import cut_lineage
-    mf = model_frame(spark, d).select("date", MODEL_Y, *ML_FEATURES).dropna()
-    return cut_lineage(mf)
+    """Complete rows of the model features (materialised once per session)."""
+    from .materialize import materialized
+    return materialized(spark, ("ml_frame", d),
+                        lambda: model_frame(spark, d).select("date", MODEL_Y, *ML_FEATURES).dropna())
+
+
+_FORESTS: dict = {}
+
+
+def _forest(spark, d):
+    """The forest fitted on the model frame's time split, once per session
+    (forest_regression, feature_importance and ml_compare share it)."""
+    from ..session import session_key
+    key = (session_key(spark), d)
+    if key not in _FORESTS:
+        train, test = ML.time_split(_ml_frame(spark, d), MODEL_Y, ML_FEATURES)
+        _FORESTS[key] = (ML.forest_regression(train, MODEL_Y, ML_FEATURES), test)
+    return _FORESTS[key]
 
 
 @register("forest_regression")
 def q_forest_regression(spark, d):
     """Forest predictions on the test split (time-ordered 80/20)."""
     from pyspark.ml.feature import VectorAssembler
-    mf = _ml_frame(spark, d)
-    split = A.time_quantile_split(mf, "date", 0.8)
-    model = ML.forest_regression(split.where(F.col("split") == "train"), MODEL_Y, ML_FEATURES)
-    test = VectorAssembler(inputCols=list(ML_FEATURES), outputCol="_features").transform(
-        split.where(F.col("split") == "test"))
-    return model.transform(test).select("date", F.col(MODEL_Y).alias("actual"), F.col("_pred").alias("predicted"))
+    model, test = _forest(spark, d)
+    vec = VectorAssembler(inputCols=list(ML_FEATURES), outputCol="_features").transform(test)
+    return model.transform(vec).select("date", F.col(MODEL_Y).alias("actual"), F.col("_pred").alias("predicted"))
 
 
 @register("feature_importance")
 def q_feature_importance(spark, d):
-    mf = _ml_frame(spark, d)
-    split = A.time_quantile_split(mf, "date", 0.8)
-    model = ML.forest_regression(split.where(F.col("split") == "train"), MODEL_Y, ML_FEATURES)
+    model, _ = _forest(spark, d)
     return spark.createDataFrame(ML.feature_importance(model, ML_FEATURES), "feature string, importance double")
 
 
 @register("ml_compare")
 def q_ml_compare(spark, d):
-    rows, _, _ = ML.ml_compare(_ml_frame(spark, d), MODEL_Y, ML_FEATURES)
+    rows, _, _ = ML.ml_compare(_ml_frame(spark, d), MODEL_Y, ML_FEATURES, model=_forest(spark, d)[0])
     return spark.createDataFrame(rows, "model string, r2 double, rmse double, n_train long, n_test long")
 
 
