@@ -28,8 +28,11 @@ def global_rank(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     range-partitioned sort: no group is sorted in one task."""
     keys = list(keys)
     base = df.where(F.col(value).isNotNull())
+    # a total order inside each partition (ties broken by every other column)
+    # makes the positions, and so the ranks, independent of fetch order
+    rest = [c for c in base.columns if c not in keys and c != value]
     ordered = (base.repartitionByRange(*keys, value)
-               .sortWithinPartitions(*keys, value)
+               .sortWithinPartitions(*keys, value, *rest)
                .withColumn("_mid", F.monotonically_increasing_id())
                .withColumn("_pid", F.shiftright("_mid", _IDX_BITS))
                .withColumn("_idx", F.col("_mid").bitwiseAND((1 << _IDX_BITS) - 1)))
