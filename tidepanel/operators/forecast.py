@@ -27,9 +27,11 @@ from ..functions.tails import adf_pvalue
 Z95 = 1.959963984540054
 
 
-def _gram_aggs(cols, mask):
+def _gram_aggs(cols, mask: str):
+    """Masked sums of products of every column pair, as SQL expressions (one
+    JVM call per aggregate instead of one per sub-expression)."""
     k = len(cols)
-    return [F.sum(F.when(mask, F.col(cols[i]) * F.col(cols[j]))).alias(f"g{i}_{j}")
+    return [F.expr(f"sum(CASE WHEN {mask} THEN `{cols[i]}` * `{cols[j]}` END) AS g{i}_{j}")
             for i in range(k) for j in range(i, k)]
 
 
@@ -76,7 +78,7 @@ def adf_test(df: DataFrame, series: str, date: str, value: str, max_lag: int | N
         d = d.withColumn("_L", F.least(F.col("_L"), F.lit(max_lag)))
     k = len(cols)
     common = d.groupBy(series).agg(F.max("_n").alias("_n"), F.max("_L").alias("_L"),
-                                   *_gram_aggs(cols, F.col("_t") >= F.col("_L") + 2))
+                                   *_gram_aggs(cols, "_t >= _L + 2"))
 
     def choose(batches):
         for pdf in batches:
@@ -101,7 +103,7 @@ def adf_test(df: DataFrame, series: str, date: str, value: str, max_lag: int | N
     d2 = d.join(lags, [series])
     refit = d2.groupBy(series).agg(F.max("_n").alias("_n"), F.max("used_lag").alias("used_lag"),
                                    F.max("ic_best").alias("ic_best"),
-                                   *_gram_aggs(cols, F.col("_t") >= F.col("used_lag") + 2))
+                                   *_gram_aggs(cols, "_t >= used_lag + 2"))
 
     def stat(batches):
         for pdf in batches:
@@ -217,7 +219,7 @@ def grouped_forecast(df: DataFrame, series: str, date: str, value: str, holdout:
     # stage 1: long AR
     s1_cols = ["_one"] + [f"_wl{j}" for j in range(1, ar_order + 1)] + ["_w"]
     k1 = len(s1_cols)
-    g1 = t.groupBy(series).agg(*_gram_aggs(s1_cols, F.col("_k") > ar_order))
+    g1 = t.groupBy(series).agg(*_gram_aggs(s1_cols, f"_k > {ar_order}"))
 
     def ar_fit(batches):
         for pdf in batches:
@@ -240,7 +242,7 @@ def grouped_forecast(df: DataFrame, series: str, date: str, value: str, holdout:
     start = ar_order + max_q + 1
     g2 = t.groupBy(series).agg(F.max("d").alias("d"),
                                F.sum(F.when(F.col("_k") >= start, 1).otherwise(0)).alias("_m"),
-                               *_gram_aggs(s2_cols, F.col("_k") >= start))
+                               *_gram_aggs(s2_cols, f"_k >= {start}"))
     # last values needed by the recursion (bounded: max lags of y, w and e)
     tail_n = max(max_p, max_q, max_d) + 1
     w_desc = Window.partitionBy(series).orderBy(F.desc(date))

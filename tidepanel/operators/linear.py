@@ -39,7 +39,7 @@ def gram(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
     """Sum of products of every column pair, in one aggregate."""
     cols = list(cols)
     k = len(cols)
-    aggs = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
+    aggs = [F.expr(f"sum(`{cols[i]}` * `{cols[j]}`) AS g{i}_{j}") for i in range(k) for j in range(i, k)]
     row = df.agg(*aggs).first()
     g = np.zeros((k, k))
     for i in range(k):
@@ -53,7 +53,7 @@ def _grams_by(df: DataFrame, cols: Sequence[str], by: str, entity: str | None =
     """Per value of ``by``: Gram of ``cols`` (and the row and entity counts),
     all groups in one aggregate."""
     k = len(cols)
-    aggs = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]
+    aggs = [F.expr(f"sum(`{cols[i]}` * `{cols[j]}`) AS g{i}_{j}") for i in range(k) for j in range(i, k)]
     extra = [F.count(F.lit(1)).alias("_n")] + ([F.count_distinct(entity).alias("_ne")] if entity else [])
     out = {}
     for row in df.groupBy(by).agg(*extra, *aggs).collect():
