@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -113,18 +114,15 @@ def ship_package(spark: SparkSession) -> None:
 
     Operators that run pandas code inside tasks (``mapInPandas``) pickle
     their functions by module reference; executors need the package.  The
-    package is zipped into the shared checkpoint folder and registered with
-    ``addPyFile`` (Spark copies it to every executor and puts it on the
-    workers' path).
+    driver zips the package on its own disk and hands the file to
+    ``addPyFile``: Spark copies it to every executor and puts it on the
+    workers' path, so no shared folder is involved.
     """
     key = session_key(spark)
     if key in _SHIPPED:
         return
-    import zipfile
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    root = scratch_path(spark, "pyfiles")
-    os.makedirs(root, exist_ok=True)
-    target = os.path.join(root, "tidepanel.zip")
+    target = os.path.join(tempfile.mkdtemp(prefix="tidepanel-zip-"), "tidepanel.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
         for dirpath, _, files in os.walk(pkg_dir):
             if "__pycache__" in dirpath:
