@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, ship_package  # noqa: F401  (re-exported)
+from ..session import cut_lineage, scratch_path, ship_package  # noqa: F401  (re-exported)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:

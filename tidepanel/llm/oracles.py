@@ -3,3 +3,16 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op2_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS f FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda g:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + CAST(((CAST('0x' || substr(x, 1 + 5 * (g // 4), 5) AS BIGINT)) >> (15 - 5 * (g % 4))) & 31 AS INTEGER), 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to
+FROM d
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
-from .common import read_table
+from . import bpe, warc
+from .common import read_table, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,3 +23,11 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every text and the text decoded from them, as digests."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record, then the archives read back in byte ranges."""
+    path = scratch_path(spark, "warc")
+    warc.write_archive(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
+    return warc.archive_report(spark, path)
