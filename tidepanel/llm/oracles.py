@@ -16,3 +16,33 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
   CASE WHEN page_id = f THEN NULL ELSE f END AS refers_to
 FROM d
 """
+
+# Largest source once, smallest twice: the exponent by 60 halvings, then quotas, cuts and copies as in mixing.py.
+ORACLES["op9_mixing"] = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, source, coalesce('s' || source, 'null') AS s, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS k,
+    CAST(coalesce(len(regexp_extract_all(text, '[^ \t\n\r]+')), 0) AS BIGINT) AS n FROM documents),
+sh AS (SELECT s, sum(n) AS n, sum(n) / (SELECT CAST(sum(n) AS DOUBLE) FROM t) AS p FROM t GROUP BY s HAVING sum(n) > 0),
+bis(i, lo, hi) AS (
+  SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1,
+    CASE WHEN (SELECT max(pow(p, (lo + hi) / 2 - 1)) / min(pow(p, (lo + hi) / 2 - 1)) FROM sh) > 2.0 THEN (lo + hi) / 2 ELSE lo END,
+    CASE WHEN (SELECT max(pow(p, (lo + hi) / 2 - 1)) / min(pow(p, (lo + hi) / 2 - 1)) FROM sh) > 2.0 THEN hi ELSE (lo + hi) / 2 END
+  FROM bis WHERE i < 60),
+a AS (SELECT CASE WHEN (SELECT max(1 / p) / min(1 / p) FROM sh) > 2.0 THEN (SELECT hi FROM bis WHERE i = 60) ELSE 0.0 END AS a),
+q AS (SELECT s, n, pow(p, a) AS q FROM sh, a),
+z AS (SELECT sum(q) AS z, max(n / q) AS once FROM q),
+plan0 AS (SELECT s, n, q / z AS weight, CAST(floor(once * z * q / z + 1e-6) AS BIGINT) AS quota FROM q, z),
+plan AS (SELECT *, CAST(quota // n AS BIGINT) AS full_, quota - (quota // n) * n AS rest FROM plan0),
+pl AS (SELECT t.*, weight, full_, rest, md5('17:' || full_ || ':' || t.s || ':' || substr(k, 1, 2)) AS p1,
+    md5('17:' || full_ || ':' || t.s || ':' || substr(k, 1, 2) || ':' || substr(k, 3, 3)) AS p2
+  FROM t LEFT JOIN plan USING (s)),
+cum AS (SELECT *, sum(n) OVER (PARTITION BY s ORDER BY p1, p2, k RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM pl),
+ep AS (SELECT *, CASE WHEN full_ IS NULL THEN 1 ELSE full_ + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END END AS copies FROM cum),
+out_ AS (SELECT doc_id, source, s, k, n, weight, unnest(range(CAST(copies AS BIGINT))) AS epoch FROM ep)
+SELECT doc_id, source, n AS n_tokens, weight, epoch,
+  substr(md5('17:' || epoch || ':' || s || ':' || substr(k, 1, 2)), 1, 8)
+  || substr(md5('17:' || epoch || ':' || s || ':' || substr(k, 1, 2) || ':' || substr(k, 3, 3)), 1, 8) || substr(k, 1, 16) AS place
+FROM out_
+"""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, warc
+from . import bpe, mixing, warc
 from .common import read_table, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +32,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
     return warc.archive_report(spark, path)
+
+
+@query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents mixed by source: the largest source once, the smallest at most twice."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    counted = docs.select("doc_id", "source", mixing.word_count("text").alias("n_tokens"))
+    mixed = mixing.mix_sources(counted, tokens=F.col("n_tokens"), max_repeats=2.0)
+    return mixed.select("doc_id", "source", "n_tokens", F.col("mix_weight").alias("weight"),
+                        F.col("mix_epoch").alias("epoch"), F.col("mix_place").alias("place"))
