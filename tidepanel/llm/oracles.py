@@ -46,3 +46,12 @@ SELECT doc_id, source, n AS n_tokens, weight, epoch,
   || substr(md5('17:' || epoch || ':' || s || ':' || substr(k, 1, 2) || ':' || substr(k, 3, 3)), 1, 8) || substr(k, 1, 16) AS place
 FROM out_
 """
+
+ORACLES["op6_exact_top_k"] = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""

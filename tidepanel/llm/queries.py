@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, warc
+from . import bpe, mixing, topk, warc
 from .common import read_table, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(counted, tokens=F.col("n_tokens"), max_repeats=2.0)
     return mixed.select("doc_id", "source", "n_tokens", F.col("mix_weight").alias("weight"),
                         F.col("mix_epoch").alias("epoch"), F.col("mix_place").alias("place"))
+
+
+@query
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 largest integer inner products of every 50th vector with all others."""
+    vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return topk.top_inner_products(vectors, F.col("v") % 50 == 0, k=5)
