@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, topk, warc
-from .common import read_table, scratch_path
+from . import bpe, mixing, rules, topk, warc
+from .common import bucket_of, read_table, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -49,3 +49,12 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 largest integer inner products of every 50th vector with all others."""
     vectors = read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return topk.top_inner_products(vectors, F.col("v") % 50 == 0, k=5)
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text by rules learnt from the labelled rows outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    model = rules.fit_quality(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return rules.score_quality(docs, model).select(
+        "doc_id", F.coalesce(bucket_of("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
