@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, rules, topk, warc
+from . import bpe, ctw, mixing, rules, topk, warc
 from .common import bucket_of, read_table, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = rules.fit_quality(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
     return rules.score_quality(docs, model).select(
         "doc_id", F.coalesce(bucket_of("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text scored by context-tree weighting over the training fold, beside the add-one word model."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return ctw.score_texts(docs, ctw.fold_held_out("doc_id"))
