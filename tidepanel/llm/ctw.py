@@ -11,13 +11,15 @@ along the context path, with posterior weights.
 
 Everything learnt is a Spark table: counts of byte strings of DEPTH + 1,
 trees level by level as grouped sums, predictions level by level as joins.
-Texts are scored block by block: a block asks only for the strings and words
-that occur in it, so no model has to fit anywhere whole.
+Texts are scored block by block: a block asks only for the words that occur in
+it, so no vocabulary has to fit anywhere whole.  The byte strings go the same
+way, unless there are few enough of them to broadcast.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,13 +30,13 @@ from pyspark.sql import functions as F
 
 from .common import bucket_of, scratch_path, ship_package
 
-DEPTH = 3
+DEPTH = 5
 #: Marks the end of a text and stands before its start; no UTF-8 text has this byte.
 END = 0xFF
 #: Documents of a block share one lookup.
-BLOCK_ROWS = 4096
-#: Cells of the direct lookup table of a block; beyond that it is searched by halving.
-TABLE_CELLS = 12_000_000
+BLOCK_ROWS = 8192
+#: A model of at most so many byte strings (16 bytes each) is broadcast; of a larger one each block gets the strings it holds.
+BROADCAST_STRINGS = 4_000_000
 
 
 def log_gamma(x: Column) -> Column:
@@ -59,20 +61,20 @@ def _store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Strings of DEPTH + 1 bytes ending at each byte and at the end of each text, and where each text's begin.
+def grams_of(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of depth + 1 bytes ending at each byte and at the end of each text, and where each text's begin.
 
     Strings are numbers, the first byte highest; the contexts of a text's
     first bytes are filled up with END.
     """
-    stream = np.frombuffer(bytes([END] * DEPTH) + b"".join(t + bytes([END] * DEPTH) for t in texts), np.uint8)
-    g = np.zeros(len(stream) - DEPTH, np.int64)
-    for i in range(DEPTH + 1):
-        g = (g << 8) | stream[i:len(stream) - DEPTH + i]
-    sizes = np.array([len(t) + DEPTH for t in texts], np.int64)
+    stream = np.frombuffer(bytes([END] * depth) + b"".join(t + bytes([END] * depth) for t in texts), np.uint8)
+    g = np.zeros(len(stream) - depth, np.int64)
+    for i in range(depth + 1):
+        g = (g << 8) | stream[i:len(stream) - depth + i]
+    sizes = np.array([len(t) + depth for t in texts], np.int64)
     starts = np.cumsum(sizes) - sizes
     # of the END bytes behind a text only the first is predicted
-    skip = (starts + sizes)[:, None] - np.arange(1, DEPTH)[None, :]
+    skip = (starts + sizes)[:, None] - np.arange(1, depth)[None, :]
     g[skip.ravel()] = -1
     return g, starts
 
@@ -95,7 +97,8 @@ def _as_bytes(t: str | None) -> bytes:
 class _Tally:
     """Words and strings of the documents of one block seen by one task."""
 
-    def __init__(self):
+    def __init__(self, depth: int):
+        self.depth = depth
         self.words, self.other, self.grams = Counter(), set(), []
 
     def add(self, texts: list[bytes], held: list[bool]) -> None:
@@ -105,7 +108,7 @@ class _Tally:
             for flag in (False, True):
                 some = [t for t, h in zip(texts[lo:hi], held[lo:hi], strict=True) if h == flag]
                 if some:
-                    g, _ = grams_of(some)
+                    g, _ = grams_of(some, self.depth)
                     u, n = np.unique(g, return_counts=True)
                     self.grams.append((u[u >= 0], np.zeros(int((u >= 0).sum()), np.int64) if flag else n[u >= 0]))
 
@@ -127,7 +130,7 @@ def _rows(block: int, words: list[bytes] | None, grams: np.ndarray | None, n: np
          pa.nulls(size, pa.int64()) if grams is None else pa.array(grams), pa.array(n)], names=["b", "w", "g", "n"])
 
 
-def count_blocks(docs: DataFrame) -> DataFrame:
+def count_blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(b, w, g, n): for each block the words (w) and byte strings (g) that occur in it, with training counts.
 
     ``docs`` has b (block), t (text), h (held out: counted as 0, but asked for).
@@ -143,7 +146,7 @@ def count_blocks(docs: DataFrame) -> DataFrame:
                 if blocks[lo] != block:
                     if tally is not None:
                         yield from tally.batches(block)
-                    block, tally = int(blocks[lo]), _Tally()
+                    block, tally = int(blocks[lo]), _Tally(depth)
                 for i in range(lo, hi, 500):
                     part = batch.slice(i, min(500, hi - i))
                     tally.add([_as_bytes(t) for t in part.column(1).to_pylist()], part.column(2).to_pylist())
@@ -153,7 +156,7 @@ def count_blocks(docs: DataFrame) -> DataFrame:
     return docs.select("b", "t", "h").mapInArrow(run, "b long, w binary, g long, n long")
 
 
-def string_probabilities(counts: DataFrame) -> DataFrame:
+def string_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(g, lp): log10 probability of the last byte of each string after the others.
 
     ``counts`` has g and n (training count; 0 for strings that are only asked
@@ -167,9 +170,9 @@ def string_probabilities(counts: DataFrame) -> DataFrame:
     ones, zeros = F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)), F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0))
     kt = log_kt(F.col("a").cast("double"), F.col("b").cast("double"))
     level = bits.groupBy("c", "q").agg(zeros.alias("a"), ones.alias("b")).withColumn("kt", kt).withColumn("lw", F.col("kt"))
-    level = _store(level.withColumn("split", F.lit(float("-inf"))), f"ctw-level{DEPTH}")
+    level = _store(level.withColumn("split", F.lit(float("-inf"))), f"ctw-level{depth}")
     levels = [level]
-    for d in range(DEPTH - 1, -1, -1):
+    for d in range(depth - 1, -1, -1):
         up = (levels[0].groupBy(F.col("c").bitwiseAND((1 << 8 * d) - 1).alias("c"), "q")
               .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("lw").alias("split")).withColumn("kt", kt))
         high, low = F.greatest("kt", "split"), F.least("kt", "split")
@@ -177,7 +180,7 @@ def string_probabilities(counts: DataFrame) -> DataFrame:
     path = None
     for d, level in enumerate(levels):
         # posterior weight of stopping here, against splitting further
-        stop = F.lit(1.0) if d == DEPTH else 1 / (1 + F.exp(F.col("split") - F.col("kt")))
+        stop = F.lit(1.0) if d == depth else 1 / (1 + F.exp(F.col("split") - F.col("kt")))
         one = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
         node = level.select("c", "q", stop.alias("stop"), one.alias("one"))
         if path is None:
@@ -192,33 +195,51 @@ def string_probabilities(counts: DataFrame) -> DataFrame:
 
 
 class _Lookup:
-    """log10 probabilities of the strings of a block."""
-
-    def __init__(self, g: np.ndarray, lp: np.ndarray):
-        order = np.argsort(g)
-        self.g, self.lp, self.table = g[order], lp[order], None
-        half = 1 << 16
-        hi, lo = np.unique(self.g >> 16), np.unique(self.g & (half - 1))
-        if len(hi) * len(lo) <= TABLE_CELLS and (not len(hi) or hi[-1] < half):
-            self.hi, self.lo = np.zeros(half, np.int32), np.zeros(half, np.int32)
-            self.hi[hi], self.lo[lo] = np.arange(len(hi)) * len(lo), np.arange(len(lo))
-            self.table = np.zeros(len(hi) * len(lo))
-            self.table[self.hi[self.g >> 16] + self.lo[self.g & (half - 1)]] = self.lp
+    """log10 probabilities of strings, in a hash table of arrays (every string asked for must be in it)."""
+
+    def __init__(self, g: np.ndarray, lp: np.ndarray, depth: int):
+        self.depth = depth
+        bits = max(4, int(2 * len(g)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.lp = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits)
+        left, at = np.arange(len(g)), self._place(g)
+        while len(left):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = g[left[free]]  # of several that want a place one stays
+            won = self.keys[at] == g[left]
+            self.lp[at[won]] = lp[left[won]]
+            left, at = left[~won], (at[~won] + 1) & self.mask
+
+    def _place(self, g: np.ndarray) -> np.ndarray:
+        return ((g.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        g, starts = grams_of(texts)
+        g, starts = grams_of(texts, self.depth)
         skip = g < 0
-        g[skip] = self.g[0]
-        if self.table is None:
-            lp = self.lp[np.searchsorted(self.g, g)]
-        else:
-            lp = self.table[self.hi[g >> 16] + self.lo[g & 0xFFFF]]
+        g[skip] = g[0]
+        at = self._place(g)
+        miss = np.flatnonzero(self.keys[at] != g)
+        while len(miss):
+            at[miss] = (at[miss] + 1) & self.mask
+            miss = miss[self.keys[at[miss]] != g[miss]]
+        lp = self.lp[at]
         lp[skip] = 0.0
         return np.add.reduceat(lp, starts)
 
 
+_SHARED: dict[str, _Lookup] = {}
+
+
+def _shared(name: str, value: tuple[np.ndarray, np.ndarray], depth: int) -> _Lookup:
+    """The lookup of a broadcast model, built once per worker; ``name`` tells models apart."""
+    if name not in _SHARED:
+        _SHARED.clear()
+        _SHARED[name] = _Lookup(*value, depth)
+    return _SHARED[name]
+
+
 def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-                block_rows: int = BLOCK_ROWS) -> DataFrame:
+                depth: int = DEPTH, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Score every text by a model of the texts for which ``held_out`` (a condition on column ``id_col``) is not true.
 
     Returns id, held_out, n_tokens, n_known, train_tokens (long), base_score,
@@ -230,12 +251,13 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
     table gives no rows; with nothing to learn from, every bit has
     probability one half.
     """
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     held = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
     kept = docs.select(F.col(id_col).alias("d"), F.col(text_col).cast("string").alias("t"), held.alias("h"),
                        F.floor(F.monotonically_increasing_id() / block_rows).alias("b"))
     kept = _store(kept, "ctw-texts")  # rows keep their block from here on
-    counted = _store(count_blocks(kept), "ctw-counts")
+    counted = _store(count_blocks(kept, depth), "ctw-counts")
     words = _store(counted.filter("w is not null").groupBy("w").agg(F.sum("n").alias("c")), "ctw-words")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     ends = kept.filter(~F.col("h")).count()
@@ -243,17 +265,23 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
     unit = math.log10(n + v + 1)
 
     strings = counted.filter("g is not null").select("b", "g", "n")
-    probs = string_probabilities(strings.groupBy("g").agg(F.sum("n").alias("n")))
+    totals = _store(strings.groupBy("g").agg(F.sum("n").alias("n")), "ctw-strings")
+    probs = string_probabilities(totals, depth)
     kind = kept.schema["d"].dataType.simpleString()
     nothing = lambda t: F.lit(None).cast(t)
+    shared, name = None, uuid.uuid4().hex
+    if totals.count() <= BROADCAST_STRINGS:
+        got = probs.toPandas()
+        shared = spark.sparkContext.broadcast((got["g"].to_numpy(np.int64), got["lp"].to_numpy(np.float64)))
     rows = (counted.filter("w is not null").select("b", "w").join(words, "w")
             .select("b", F.lit(0).alias("k"), "w", nothing("long").alias("g"), F.col("c").cast("double").alias("x"),
                     nothing(kind).alias("d"), nothing("string").alias("t"), nothing("boolean").alias("h"))
-            .unionByName(strings.join(probs, "g").select(
-                "b", F.lit(1).alias("k"), nothing("binary").alias("w"), "g", F.col("lp").alias("x"),
-                nothing(kind).alias("d"), nothing("string").alias("t"), nothing("boolean").alias("h")))
             .unionByName(kept.select("b", F.lit(2).alias("k"), nothing("binary").alias("w"), nothing("long").alias("g"),
                                      nothing("double").alias("x"), "d", "t", "h")))
+    if shared is None:
+        rows = rows.unionByName(strings.join(probs, "g").select(
+            "b", F.lit(1).alias("k"), nothing("binary").alias("w"), "g", F.col("lp").alias("x"),
+            nothing(kind).alias("d"), nothing("string").alias("t"), nothing("boolean").alias("h")))
     rows = rows.repartition("b").sortWithinPartitions("b", "k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +305,7 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
                     lps.append(part.column(4).to_numpy())
                     continue
                 if look is None:
-                    look = _Lookup(np.concatenate(gs), np.concatenate(lps))
+                    look = _shared(name, shared.value, depth) if shared is not None else _Lookup(np.concatenate(gs), np.concatenate(lps), depth)
                 texts = [_as_bytes(t) for t in part.column(6).to_pylist()]
                 base, size, seen = [], [], []
                 for t in texts:
