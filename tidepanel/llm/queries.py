@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, mixing, rules, topk, warc
+from . import bpe, ctw, mixing, order_minhash, rules, topk, warc
 from .common import bucket_of, read_table, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,11 @@ def op4_context_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text scored by context-tree weighting over the training fold, beside the add-one word model."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return ctw.score_texts(docs, ctw.fold_held_out("doc_id"))
+
+
+@query
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document (similarity of five-word shingles 0.8 or more)."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    classes = order_minhash.near_duplicate_classes(docs)
+    return classes.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
