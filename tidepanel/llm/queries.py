@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, mixing, order_minhash, rules, topk, warc
+from . import bpe, ctw, mixing, order_minhash, repeats, rules, topk, warc
 from .common import bucket_of, read_table, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,9 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     classes = order_minhash.near_duplicate_classes(docs)
     return classes.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+@query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every text that no 400-byte string seen elsewhere covers."""
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"))
