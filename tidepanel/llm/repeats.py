@@ -278,9 +278,10 @@ def _hot_groups(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
                                                      names=["a", "c", "g", "l"])
 
     windows = _store(contexts.select("a", "c", "before", "after").distinct().mapInArrow(run, "a long, c long, g long, l int"), "repeat-windows")
-    shared = windows.groupBy("a", "g").agg(F.count("*").alias("n")).filter("n > 1").select("a", "g")
-    named = windows.withColumn("d", F.col("c")).withColumn("z", F.col("l")).withColumn("p", F.lit(0))
-    return _spread_join(named, shared, ["a", "g"]).select("a", "c", "g", "l", (min_bytes - F.col("l")).cast("int").alias("r"))
+    # counted by place in the window too: contexts of one text may hold one and the same window
+    shared = windows.groupBy("a", "g", "l").agg(F.count("*").alias("n")).filter("n > 1").select("a", "g", "l")
+    named = windows.withColumn("d", F.col("c")).withColumn("z", F.lit(0)).withColumn("p", F.lit(0))
+    return _spread_join(named, shared, ["a", "g", "l"]).select("a", "c", "g", "l", (min_bytes - F.col("l")).cast("int").alias("r"))
 
 
 class Repeats:
