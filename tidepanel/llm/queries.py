@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, mixing, order_minhash, repeats, rules, topk, warc
+from . import bpe, ctw, mixing, order_minhash, repeats, rules, spotsigs, topk, warc
 from .common import bucket_of, read_table, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,14 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every text that no 400-byte string seen elsewhere covers."""
     return repeats.remove_repeats(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every text and of its edited text, and how alike both and the next document's are."""
+    pairs = spotsigs.edited_pairs(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    p = pairs.withColumn("edited_sig", spotsigs.signature(F.col("edited")))
+    return p.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                    spotsigs.as_string(F.col("sig")).alias("fingerprint"), spotsigs.as_string(F.col("edited_sig")).alias("edited_fingerprint"),
+                    spotsigs.likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"),
+                    spotsigs.likeness(F.col("sig"), F.col("next_sig")).alias("near_next"))
