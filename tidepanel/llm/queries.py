@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, mixing, order_minhash, repeats, rules, spotsigs, topk, warc
+from . import bpe, ctw, mixing, order_minhash, pii, repeats, rules, spotsigs, topk, warc
 from .common import bucket_of, read_table, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,10 @@ def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     spotsigs.as_string(F.col("sig")).alias("fingerprint"), spotsigs.as_string(F.col("edited_sig")).alias("edited_fingerprint"),
                     spotsigs.likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"),
                     spotsigs.likeness(F.col("sig"), F.col("next_sig")).alias("near_next"))
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every text: pattern spans, and those the trained tagger adds."""
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii.find_personal_data(docs, pii.fit_tagger(docs))
