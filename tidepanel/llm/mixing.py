@@ -42,17 +42,17 @@ def _md5(*parts) -> Column:
 
 
 def with_places(docs: DataFrame, source_col: str, id_col: str, seed: int) -> DataFrame:
-    """Add source key ``_s``, document key ``_k`` and its blocks ``_b1`` (256 of a source) and ``_b2`` (4096 of a block)."""
+    """Add source key ``_mix_s``, document key ``_mix_k`` and its blocks ``_mix_b1`` (256 of a source) and ``_mix_b2`` (4096 of a block)."""
     key = _md5(seed, F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
-    return (docs.withColumn("_s", source_key(source_col)).withColumn("_k", key)
-            .withColumn("_b1", F.substring("_k", 1, 2)).withColumn("_b2", F.substring("_k", 3, 3)))
+    return (docs.withColumn("_mix_s", source_key(source_col)).withColumn("_mix_k", key)
+            .withColumn("_mix_b1", F.substring("_mix_k", 1, 2)).withColumn("_mix_b2", F.substring("_mix_k", 3, 3)))
 
 
 def shares(tokens: DataFrame) -> DataFrame:
-    """(_s, n, p): tokens of each source and its share; sources without tokens are left out."""
-    total = tokens.agg(F.sum("_n")).first()[0] or 1
-    return (tokens.groupBy("_s").agg(F.sum("_n").alias("n")).filter("n > 0")
-            .select("_s", "n", (F.col("n") / F.lit(float(total))).alias("p")))
+    """(_mix_s, n, p): tokens of each source and its share; sources without tokens are left out."""
+    total = tokens.agg(F.sum("_mix_n")).first()[0] or 1
+    return (tokens.groupBy("_mix_s").agg(F.sum("_mix_n").alias("n")).filter("n > 0")
+            .select("_mix_s", "n", (F.col("n") / F.lit(float(total))).alias("p")))
 
 
 def exponent(sh: DataFrame, max_repeats: float | None = None, target_entropy: float | None = None,
@@ -90,14 +90,14 @@ def exponent(sh: DataFrame, max_repeats: float | None = None, target_entropy: fl
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tokens: Column | None = None,
              text_col: str = "text", max_repeats: float | None = 2.0, target_entropy: float | None = None,
              budget_tokens: int | None = None, seed: int = 17) -> DataFrame:
-    """One row per source: _s, weight, quota, full (whole passes), cut (where the next pass ends; null: not begun).
+    """One row per source: _mix_s, weight, quota, full (whole passes), cut (where the next pass ends; null: not begun).
 
     ``cut`` is the struct (block place, sub-block place, document key) of the
     last document taken in pass number ``full``.  Documents of equal id are
     taken together or not at all.
     """
     tokens = word_count(text_col) if tokens is None else tokens
-    t = cut_lineage(with_places(docs, source_col, id_col, seed).select("_s", "_k", "_b1", "_b2", tokens.alias("_n")), "mix-tokens")
+    t = cut_lineage(with_places(docs, source_col, id_col, seed).select("_mix_s", "_mix_k", "_mix_b1", "_mix_b2", tokens.alias("_mix_n")), "mix-tokens")
     sh = cut_lineage(shares(t), "mix-shares")
     a = exponent(sh, max_repeats, target_entropy, budget_tokens)
     q = sh.withColumn("q", F.pow("p", F.lit(a)))
@@ -106,7 +106,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     budget = float(budget_tokens) if budget_tokens is not None else (once or 0.0) * z
     # a hair above: the largest source's quota is its own size, whatever the last bits of the division
     quota = F.floor(F.lit(budget) * F.col("q") / F.lit(z) + F.lit(1e-6)).cast("long")
-    plan = (q.select("_s", (F.col("q") / F.lit(z)).alias("weight"), quota.alias("quota"), "n")
+    plan = (q.select("_mix_s", (F.col("q") / F.lit(z)).alias("weight"), quota.alias("quota"), "n")
             .withColumn("full", F.floor(F.col("quota") / F.col("n")).cast("long"))
             .withColumn("rest", F.col("quota") - F.col("full") * F.col("n")))
     plan = cut_lineage(plan, "mix-plan")
@@ -117,17 +117,17 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
         run = level.withColumn("place", place).withColumn("upto", F.sum("m").over(w))
         return run.withColumn(out, F.col("place")).drop("place")
 
-    b1 = t.groupBy("_s", "_b1").agg(F.sum("_n").alias("m")).join(plan.filter("rest > 0").select("_s", "full", "rest"), "_s")
-    r1 = cut(b1, ["_s"], _md5(seed, F.col("full"), F.col("_s"), F.col("_b1")), "p1")
-    edge1 = r1.filter("upto > rest").groupBy("_s").agg(F.min_by(F.struct("_b1", "p1", "full", (F.col("rest") - F.col("upto") + F.col("m")).alias("rest")), "p1").alias("e")).select("_s", "e.*")
-    b2 = (t.groupBy("_s", "_b1", "_b2").agg(F.sum("_n").alias("m")).join(edge1, ["_s", "_b1"]))
-    r2 = cut(b2, ["_s", "_b1"], _md5(seed, F.col("full"), F.col("_s"), F.col("_b1"), F.col("_b2")), "p2")
-    edge2 = r2.filter("upto > rest").groupBy("_s").agg(F.min_by(F.struct("_b1", "_b2", "p1", "p2", "full", (F.col("rest") - F.col("upto") + F.col("m")).alias("rest")), "p2").alias("e")).select("_s", "e.*")
-    r3 = cut(t.withColumnRenamed("_n", "m").join(edge2, ["_s", "_b1", "_b2"]), ["_s", "_b1", "_b2"], F.col("_k"), "p3")
+    b1 = t.groupBy("_mix_s", "_mix_b1").agg(F.sum("_mix_n").alias("m")).join(plan.filter("rest > 0").select("_mix_s", "full", "rest"), "_mix_s")
+    r1 = cut(b1, ["_mix_s"], _md5(seed, F.col("full"), F.col("_mix_s"), F.col("_mix_b1")), "p1")
+    edge1 = r1.filter("upto > rest").groupBy("_mix_s").agg(F.min_by(F.struct("_mix_b1", "p1", "full", (F.col("rest") - F.col("upto") + F.col("m")).alias("rest")), "p1").alias("e")).select("_mix_s", "e.*")
+    b2 = (t.groupBy("_mix_s", "_mix_b1", "_mix_b2").agg(F.sum("_mix_n").alias("m")).join(edge1, ["_mix_s", "_mix_b1"]))
+    r2 = cut(b2, ["_mix_s", "_mix_b1"], _md5(seed, F.col("full"), F.col("_mix_s"), F.col("_mix_b1"), F.col("_mix_b2")), "p2")
+    edge2 = r2.filter("upto > rest").groupBy("_mix_s").agg(F.min_by(F.struct("_mix_b1", "_mix_b2", "p1", "p2", "full", (F.col("rest") - F.col("upto") + F.col("m")).alias("rest")), "p2").alias("e")).select("_mix_s", "e.*")
+    r3 = cut(t.withColumnRenamed("_mix_n", "m").join(edge2, ["_mix_s", "_mix_b1", "_mix_b2"]), ["_mix_s", "_mix_b1", "_mix_b2"], F.col("_mix_k"), "p3")
     # no document of the edge sub-block fits: its place with an empty key ends the pass before it
-    edge3 = r3.groupBy("_s").agg(F.struct(F.first("p1").alias("p1"), F.first("p2").alias("p2"),
+    edge3 = r3.groupBy("_mix_s").agg(F.struct(F.first("p1").alias("p1"), F.first("p2").alias("p2"),
                                           F.coalesce(F.max(F.when(F.col("upto") <= F.col("rest"), F.col("p3"))), F.lit("")).alias("p3")).alias("cut"))
-    return cut_lineage(plan.join(edge3, "_s", "left").select("_s", "weight", "quota", "full", "cut"), "mix-cuts")
+    return cut_lineage(plan.join(edge3, "_mix_s", "left").select("_mix_s", "weight", "quota", "full", "cut"), "mix-cuts")
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
@@ -142,18 +142,19 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     token is kept once.  Null sources are one source.  An empty table gives
     no rows.
     """
-    plan = mix_plan(docs, id_col, source_col, tokens, text_col, max_repeats, target_entropy, budget_tokens, seed)
+    plan = mix_plan(docs, id_col, source_col, tokens, text_col, max_repeats, target_entropy, budget_tokens, seed).select(
+        "_mix_s", F.col("weight").alias("_mix_w"), F.col("full").alias("_mix_full"), F.col("cut").alias("_mix_cut"))
     rows = with_places(docs, source_col, id_col, seed)
     if plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        j = rows.join(F.broadcast(plan), "_s", "left")
+        j = rows.join(F.broadcast(plan), "_mix_s", "left")
     else:
-        salted = plan.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        j = rows.withColumn("_salt", F.pmod(F.xxhash64("_k"), F.lit(SALTS)).cast("int")).join(salted, ["_s", "_salt"], "left").drop("_salt")
-    at = lambda e: F.struct(_md5(seed, e, F.col("_s"), F.col("_b1")).alias("p1"), _md5(seed, e, F.col("_s"), F.col("_b1"), F.col("_b2")).alias("p2"), F.col("_k").alias("p3"))
-    taken = F.coalesce((at(F.col("full")) <= F.col("cut")).cast("long"), F.lit(0))
-    copies = F.when(F.col("full").isNull(), F.lit(1)).otherwise(F.col("full") + taken)
-    out = (j.withColumn("_c", copies.cast("long")).filter("_c > 0")
-           .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_c") - 1))))
+        salted = plan.withColumn("_mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        j = rows.withColumn("_mix_salt", F.pmod(F.xxhash64("_mix_k"), F.lit(SALTS)).cast("int")).join(salted, ["_mix_s", "_mix_salt"], "left").drop("_mix_salt")
+    at = lambda e: F.struct(_md5(seed, e, F.col("_mix_s"), F.col("_mix_b1")).alias("p1"), _md5(seed, e, F.col("_mix_s"), F.col("_mix_b1"), F.col("_mix_b2")).alias("p2"), F.col("_mix_k").alias("p3"))
+    taken = F.coalesce((at(F.col("_mix_full")) <= F.col("_mix_cut")).cast("long"), F.lit(0))
+    copies = F.when(F.col("_mix_full").isNull(), F.lit(1)).otherwise(F.col("_mix_full") + taken)
+    out = (j.withColumn("_mix_c", copies.cast("long")).filter("_mix_c > 0")
+           .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_mix_c") - 1))))
     place = at(F.col("mix_epoch"))
-    return (out.withColumn("mix_place", F.concat(F.substring(place["p1"], 1, 8), F.substring(place["p2"], 1, 8), F.substring("_k", 1, 16)))
-            .withColumnRenamed("weight", "mix_weight").drop("_s", "_k", "_b1", "_b2", "_c", "quota", "full", "cut"))
+    return (out.withColumn("mix_place", F.concat(F.substring(place["p1"], 1, 8), F.substring(place["p2"], 1, 8), F.substring("_mix_k", 1, 16)))
+            .withColumn("mix_weight", F.col("_mix_w")).drop("_mix_s", "_mix_k", "_mix_b1", "_mix_b2", "_mix_c", "_mix_w", "_mix_full", "_mix_cut"))

@@ -249,15 +249,9 @@ def _compare(rows: DataFrame, threshold: float) -> DataFrame:
     return rows.select("lead", "i", "j", "side", "r", "x").mapInArrow(run, "u long, v long")
 
 
-def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                           sketches: int = SKETCHES, length: int = LENGTH, threshold: float = THRESHOLD) -> DataFrame:
-    """(d, class_id): the class of every row, named by the smallest id in it.
-
-    Equal texts are one class from the start (null and empty texts too are
-    equal), and enter the search once.  Rows that repeat an id get one row
-    each.  A class in which every id is null has a null name.  An empty table
-    gives no rows.
-    """
+def _first_rows(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, sketches: int = SKETCHES,
+                length: int = LENGTH, threshold: float = THRESHOLD) -> DataFrame:
+    """(d, h, first): id and text hash of every row, and the first row of its class as struct (null, d, h)."""
     ship_package(docs.sparkSession)
     rows = cut_lineage(sketch_texts(docs, id_col, text_col, words, sketches, length), "omh-rows")
     texts = cut_lineage(rows.groupBy("h").agg(F.min("d").alias("d"), F.first("n").alias("n"), F.first("s").alias("s"))
@@ -289,9 +283,21 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     links = _compare(blocks.join(packed, "r"), threshold)
     roots = components(links)
 
-    named = texts.select("h", "r", "d").join(roots, F.col("r") == F.col("node"), "left").withColumn("root", F.coalesce("root", "r"))
-    classes = with_group_min(named.select("h", "r", "d", "root"), "root", "d", "class_id", "r").select(F.col("h").alias("h2"), "class_id")
-    return salted_lookup(rows.select("d", "h"), classes, "h", "h2", "d").select(F.col("d").alias(id_col), "class_id")
+    named = (texts.select("h", "r", F.struct(F.col("d").isNull().alias("null"), "d", "h").alias("me"))
+             .join(roots, F.col("r") == F.col("node"), "left").withColumn("root", F.coalesce("root", "r")))
+    classes = with_group_min(named.select("h", "r", "me", "root"), "root", "me", "first", "r").select(F.col("h").alias("h2"), "first")
+    return salted_lookup(rows.select("d", "h"), classes, "h", "h2", "d")
+
+
+def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """(id, class_id): the class of every row, named by the smallest id in it.
+
+    Equal texts are one class from the start (null and empty texts too are
+    equal), and enter the search once.  Rows that repeat an id get one row
+    each.  A class in which every id is null has a null name.  An empty table
+    gives no rows.
+    """
+    return _first_rows(docs, id_col, text_col, **how).select(F.col("d").alias(id_col), F.col("first.d").alias("class_id"))
 
 
 def with_group_join(led: DataFrame, totals: DataFrame) -> DataFrame:
@@ -307,12 +313,17 @@ def salted_lookup(rows: DataFrame, look: DataFrame, key: str, look_key: str, sal
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that name their class: one document of each group stays.
+    """The first row of each class by id (null ids last): one document of each group stays.
 
-    Rows of null id are kept only where their class has no id at all; of rows
-    that repeat the naming id and its text, one stays.
+    Of rows that repeat both id and text one stays.
     """
-    classes = near_duplicate_classes(docs, id_col, text_col, **how)
-    stay = classes.filter(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("_id")).distinct()
-    kept = docs.join(stay, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    return kept
+    first = (_first_rows(docs, id_col, text_col, **how).select(F.col("first.d").alias("_omh_d"), F.col("first.h").alias("_omh_h")).distinct())
+    hashed = docs.withColumn("_omh_text", F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")))
+    kept = hashed.join(first, (F.col("_omh_text") == F.col("_omh_h")) & F.col(id_col).eqNullSafe(F.col("_omh_d")), "left_semi")
+    # repeated rows are rare, so that only they pay for a look at each other
+    again = docs.groupBy(F.col(id_col).alias("_omh_d")).agg(F.count("*").alias("_omh_n")).filter("_omh_n > 1").select("_omh_d")
+    if again.isEmpty():
+        return kept.drop("_omh_text")
+    same = F.col(id_col).eqNullSafe(F.col("_omh_d"))
+    once = kept.join(again, same, "left_semi").dropDuplicates([id_col, "_omh_text"])
+    return kept.join(again, same, "left_anti").unionByName(once).drop("_omh_text")
