@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import ship_package, slices
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents the model is trained on, at most, and their length, at most (those of smallest id hash).
+#: Documents the model is trained on, at most, and their length, at most (those of smallest hash).
 SAMPLE_DOCS, SAMPLE_CHARS = 600, 20_000
 WINDOW, STRIDE = 192, 128
 MARGIN = (WINDOW - STRIDE) // 2
@@ -312,13 +312,15 @@ def viterbi(m: Tagger, runs: list[np.ndarray]) -> list[np.ndarray]:
         e = np.zeros((t, len(group), K), np.float32)
         for j, i in enumerate(group):
             e[:len(runs[i]), j] = runs[i]
-            e[len(runs[i]):, j, 1:] = -1e4  # behind its end a run stays 0
+        sizes = np.array([len(runs[i]) for i in group])
         back = np.empty((t, len(group), K), np.int8)
+        back[:] = np.arange(K)  # behind its end a run keeps its tag
         s = e[0] + m.w["s"]
         for q in range(1, t):
-            way = s[:, :, None] + a
-            back[q] = way.argmax(1)
-            s = way.max(1) + e[q]
+            on = slice(int(np.searchsorted(sizes, q, "right")), None)  # runs that are longer than q
+            way = s[on, :, None] + a
+            back[q, on] = way.argmax(1)
+            s[on] = way.max(1) + e[q, on]
         tag = s.argmax(1)
         cols = np.arange(len(group))
         tags = np.empty((t, len(group)), np.int8)
@@ -396,10 +398,13 @@ def as_string(spans: list[Span]) -> str:
 
 
 def fit_tagger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> Tagger:
-    """Train on the SAMPLE_DOCS documents of smallest id hash that hold a digit or an "@" (at most SAMPLE_CHARS long)."""
-    some = (docs.select(F.col(id_col).alias("d"), F.col(text_col).cast("string").alias("t")).filter(F.length("t") <= SAMPLE_CHARS)
-            .filter(F.col("t").rlike("[0-9@]")).orderBy(F.xxhash64("d"), F.xxhash64("t")).limit(SAMPLE_DOCS))
-    return train([r["t"] for r in some.collect()], **how)
+    """Train on the SAMPLE_DOCS documents of smallest hash (of id and text) that hold a digit or an "@", at most SAMPLE_CHARS long."""
+    src = (docs.select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).cast("string").alias("t"))
+           .filter(F.length("t") <= SAMPLE_CHARS).filter(F.col("t").rlike("[0-9@]")))
+    # the hashes first: sorting rows with their texts would send every task's best to the driver
+    hashes = [r["h"] for r in src.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS).collect()]
+    some = src.filter(F.col("h") <= F.lit(hashes[-1])).dropDuplicates(["h"]).orderBy("h").collect() if hashes else []
+    return train([r["t"] for r in some], **how)
 
 
 def find_personal_data(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
