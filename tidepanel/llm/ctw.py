@@ -9,9 +9,9 @@ product of the children), at all depths at once.  With the counts frozen after
 training, the prediction of a bit is the same mixture of the KT estimates
 along the context path, with posterior weights.
 
-Everything learnt is a Spark table: counts of byte strings of DEPTH + 1,
-trees level by level as grouped sums, predictions level by level as joins.
-Texts are scored block by block: a block asks only for the words that occur in
+What is learnt is a Spark table: counts of byte strings of DEPTH + 1.  Trees are
+built bottom-up in tasks that each hold the contexts of some last two bytes;
+the few nodes above join them.  Texts are scored block by block: a block asks only for the words that occur in
 it, so no vocabulary has to fit anywhere whole.  The byte strings go the same
 way, unless there are few enough of them to broadcast.
 """
@@ -39,19 +39,19 @@ BLOCK_ROWS = 8192
 BROADCAST_STRINGS = 4_000_000
 
 
-def log_gamma(x: Column) -> Column:
+def log_gamma(x: np.ndarray) -> np.ndarray:
     """ln Gamma for x > 0: Stirling's series eight steps up, then back by the recurrence."""
-    y = x + 8
-    back = x
+    y, back = x + 8, x.copy()
     for i in range(1, 8):
-        back = back * (x + i)
-    r = F.lit(1.0) / y
-    series = r / 12 - r * r * r / 360 + F.pow(r, F.lit(5)) / 1260 - F.pow(r, F.lit(7)) / 1680
-    return (y - 0.5) * F.ln(y) - y + 0.5 * math.log(2 * math.pi) + series - F.ln(back)
+        back *= x + i
+    r = 1 / y
+    series = r / 12 - r ** 3 / 360 + r ** 5 / 1260 - r ** 7 / 1680
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - np.log(back)
 
 
-def log_kt(a: Column, b: Column) -> Column:
-    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1) - math.log(math.pi)
+def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """ln of the KT probability of any sequence with a zeros and b ones."""
+    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - math.log(math.pi)
 
 
 def _store(df: DataFrame, name: str) -> DataFrame:
@@ -156,42 +156,109 @@ def count_blocks(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     return docs.select("b", "t", "h").mapInArrow(run, "b long, w binary, g long, n long")
 
 
+class _Level:
+    """Nodes of one context depth, in key order: key = context bytes, then the bits told (with a leading 1)."""
+
+    def __init__(self, key: np.ndarray, a: np.ndarray, b: np.ndarray, split: np.ndarray | None):
+        self.key, self.a, self.b = key, a, b
+        kt = log_kt(a, b)
+        if split is None:  # full depth: no split beyond
+            self.lw, self.stop = kt, np.ones(len(kt))
+        else:
+            high, low = np.maximum(kt, split), np.minimum(kt, split)
+            self.lw = high + np.log1p(np.exp(low - high)) - math.log(2)
+            self.stop = 1 / (1 + np.exp(np.clip(split - kt, -700, 700)))
+        self.one = (b + 0.5) / (a + b + 1)
+
+    def above(self, depth: int) -> "_Level":
+        """The level of ``depth`` context bytes, one less than this one's; ``up`` then leads there."""
+        context, told = self.key >> 8, self.key & 255
+        key, self.up = np.unique(((context & ((1 << 8 * depth) - 1)) << 8) | told, return_inverse=True)
+        return _Level(key, *(np.bincount(self.up, x, len(key)) for x in (self.a, self.b, self.lw)))
+
+    def mix(self, p: np.ndarray | float, left: np.ndarray | float) -> tuple[np.ndarray, np.ndarray]:
+        """Mixture so far and weight still to give, below a parent that had ``p`` and ``left``."""
+        return p + left * self.stop * self.one, left * (1 - self.stop)
+
+
+def _levels(g: np.ndarray, n: np.ndarray, depth: int, least: int) -> tuple[list[_Level], np.ndarray, np.ndarray]:
+    """Levels ``least`` to ``depth`` over the strings, and for each bit of each string its node and value."""
+    sym = g & 255
+    told = np.stack([(1 << i) | (sym >> (8 - i)) for i in range(8)])
+    bit = np.stack([(sym >> (7 - i)) & 1 for i in range(8)])
+    key, at = np.unique((((g >> 8) << 8)[None, :] | told).ravel(), return_inverse=True)
+    count = np.tile(n, 8).astype(np.float64)
+    ones = np.bincount(at, count * bit.ravel(), len(key))
+    levels = [_Level(key, np.bincount(at, count, len(key)) - ones, ones, None)]
+    for d in range(depth - 1, least - 1, -1):
+        levels.insert(0, levels[0].above(d))
+    return levels, at.reshape(8, -1), bit
+
+
+#: Strings a task takes at once, about (whole groups of equal last two context bytes).
+PART_STRINGS = 200_000
+
+
+def _by_group(rows: DataFrame, work, schema: str) -> DataFrame:
+    """Apply ``work(g, n)`` to strings (g, n), all that share the last two context bytes together."""
+    dealt = rows.withColumn("k", F.expr("cast(shiftright(g, 8) & 65535 as int)")).repartition("k").sortWithinPartitions("k").select("k", "g", "n")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gs, ns, size, last = [], [], 0, None
+        for b in batches:
+            k, g, n = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            for lo, hi in zip([0, *(np.flatnonzero(np.diff(k)) + 1)], [*(np.flatnonzero(np.diff(k)) + 1), len(k)], strict=True):
+                if lo == hi:
+                    continue
+                if k[lo] != last and size > PART_STRINGS:
+                    yield work(np.concatenate(gs), np.concatenate(ns))
+                    gs, ns, size = [], [], 0
+                last = k[lo]
+                gs.append(g[lo:hi])
+                ns.append(n[lo:hi])
+                size += hi - lo
+        if gs:
+            yield work(np.concatenate(gs), np.concatenate(ns))
+
+    return dealt.mapInArrow(run, schema)
+
+
 def string_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(g, lp): log10 probability of the last byte of each string after the others.
 
-    ``counts`` has g and n (training count; 0 for strings that are only asked
-    for: a node without counts has KT probability one and predicts one half,
-    as an unseen context must).
+    ``counts`` has g (each once) and n (training count; 0 for strings that are
+    only asked for: a node without counts has KT probability one and predicts
+    one half, as an unseen context must).  Contexts with equal last two bytes
+    are one task's, from their full depth up to depth 2.  The nodes of depth 1
+    and 0, at most 257 x 255, are summed by Spark and weighted on the driver,
+    and a second pass predicts from them downwards.
     """
-    told = F.expr("shiftleft(1, i)").bitwiseOR(F.expr("cast(shiftright(g & 255, 8 - i) as int)"))
-    bits = (counts.select("g", "n", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
-            .select("g", F.shiftright("g", 8).alias("c"), told.alias("q"), "n",
-                    F.expr("cast(shiftright(g & 255, 7 - i) & 1 as int)").alias("bit")))
-    ones, zeros = F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)), F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0))
-    kt = log_kt(F.col("a").cast("double"), F.col("b").cast("double"))
-    level = bits.groupBy("c", "q").agg(zeros.alias("a"), ones.alias("b")).withColumn("kt", kt).withColumn("lw", F.col("kt"))
-    level = _store(level.withColumn("split", F.lit(float("-inf"))), f"ctw-level{depth}")
-    levels = [level]
-    for d in range(depth - 1, -1, -1):
-        up = (levels[0].groupBy(F.col("c").bitwiseAND((1 << 8 * d) - 1).alias("c"), "q")
-              .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("lw").alias("split")).withColumn("kt", kt))
-        high, low = F.greatest("kt", "split"), F.least("kt", "split")
-        levels.insert(0, _store(up.withColumn("lw", high + F.log1p(F.exp(low - high)) - math.log(2)), f"ctw-level{d}"))
-    path = None
-    for d, level in enumerate(levels):
-        # posterior weight of stopping here, against splitting further
-        stop = F.lit(1.0) if d == depth else 1 / (1 + F.exp(F.col("split") - F.col("kt")))
-        one = (F.col("b") + 0.5) / (F.col("a") + F.col("b") + 1)
-        node = level.select("c", "q", stop.alias("stop"), one.alias("one"))
-        if path is None:
-            path = node.select("c", "q", (F.col("stop") * F.col("one")).alias("p"), (1 - F.col("stop")).alias("left"))
-        else:
-            above = path.select(F.col("c").alias("pc"), F.col("q").alias("pq"), F.col("p").alias("pp"), "left")
-            path = (node.join(above, (F.col("c").bitwiseAND((1 << 8 * (d - 1)) - 1) == F.col("pc")) & (F.col("q") == F.col("pq")))
-                    .select("c", "q", (F.col("pp") + F.col("left") * F.col("stop") * F.col("one")).alias("p"),
-                            (F.col("left") * (1 - F.col("stop"))).alias("left")))
-    said = F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p"))
-    return bits.join(path.select("c", "q", "p"), ["c", "q"]).groupBy("g").agg(F.sum(F.log10(said)).alias("lp"))
+    if not 2 <= depth <= 6:
+        raise ValueError("depth must be 2 to 6 bytes")
+
+    def upwards(g: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        low = _levels(g, n, depth, 2)[0][0]
+        return pa.RecordBatch.from_pydict({"key": pa.array(low.key), "a": pa.array(low.a), "b": pa.array(low.b), "lw": pa.array(low.lw)})
+
+    second = _by_group(counts, upwards, "key long, a double, b double, lw double")
+    top = (second.groupBy((F.col("key").bitwiseAND(0xFFFF)).alias("key"))
+           .agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("lw").alias("split")).orderBy("key").toPandas())
+    one = _Level(*(top[c].to_numpy() for c in ("key", "a", "b", "split")))
+    nil = one.above(0)
+    p, left = nil.mix(0.0, 1.0)
+    p, left = one.mix(p[one.up], left[one.up])
+    have = np.zeros((2, 1 << 16))
+    have[0, one.key], have[1, one.key] = p, left
+
+    def downwards(g: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        levels, at, bit = _levels(g, n, depth, 2)
+        p, left = levels[0].mix(*have[:, levels[0].key & 0xFFFF])
+        for level in levels[1:]:
+            p, left = level.mix(p[level.up], left[level.up])
+        lp = np.log10(np.where(bit == 1, p[at], 1 - p[at])).sum(0)
+        return pa.RecordBatch.from_pydict({"g": pa.array(g), "lp": pa.array(lp)})
+
+    return _by_group(counts, downwards, "g long, lp double")
 
 
 class _Lookup:
@@ -271,8 +338,9 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
     nothing = lambda t: F.lit(None).cast(t)
     shared, name = None, uuid.uuid4().hex
     if totals.count() <= BROADCAST_STRINGS:
-        got = probs.toPandas()
-        shared = spark.sparkContext.broadcast((got["g"].to_numpy(np.int64), got["lp"].to_numpy(np.float64)))
+        got = probs.toArrow()
+        shared = spark.sparkContext.broadcast((got["g"].to_numpy(), got["lp"].to_numpy()))
+        del got
     rows = (counted.filter("w is not null").select("b", "w").join(words, "w")
             .select("b", F.lit(0).alias("k"), "w", nothing("long").alias("g"), F.col("c").cast("double").alias("x"),
                     nothing(kind).alias("d"), nothing("string").alias("t"), nothing("boolean").alias("h"))
