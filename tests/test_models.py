@@ -98,7 +98,7 @@ def test_fe_alternating_projections_match_exact(spark):
     pdf = _panel(seed=9, ne=8, nt=12, drop=0.2)
     df = spark.createDataFrame(pdf)
     exact = L.fe_twoway(df, "y", ["x1", "x2"])
-    alt = L.fe_twoway(df, "y", ["x1", "x2"], max_periods=5, alt_tol=1e-12)
+    alt = L.fe_twoway(df, "y", ["x1", "x2"], method="alternating", alt_tol=1e-12)
     assert np.allclose(alt.coef, exact.coef, atol=1e-8)
     assert np.allclose(alt.se, exact.se, atol=1e-8)
     assert np.allclose(alt.se_clustered, exact.se_clustered, atol=1e-8)

@@ -75,7 +75,7 @@ def test_nested_json_defaults(spark, tmp_path):
     f = _write(tmp_path / "events.json", json.dumps(doc, indent=2))
     ev = read_nested_json(spark, f)
     got = sorted((r.name, r.year, r.cost, r.deaths) for r in ev.collect())
-    assert got == [("Hurricane X (May 2001)", 2001, 1500.0, 3), ("Severe Heat", None, 10.0, 0),
+    assert got == [("Hurricane X (May 2001)", 2001, 1500.0, 3), ("Severe Heat", 2003, 10.0, 0),
                    ("Tropical Storm Y", 2002, 0.0, 0)]
 
 

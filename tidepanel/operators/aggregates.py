@@ -35,16 +35,18 @@ def annual_sum(df: DataFrame, year: str, cols: dict) -> DataFrame:
 
 
 def storm_summary(points: DataFrame, storm: str, order: str, name: str, year: str,
-                  wind: str, pressure: str, landfall: str, distance: str) -> DataFrame:
+                  wind: str, pressure: str, landfall: str, distance: str,
+                  in_range: str | None = None) -> DataFrame:
     """A3: per storm first name/year, max wind, min pressure, any landfall,
-    min distance rounded to 1 decimal (half-even)."""
+    min distance (of the in-range points) rounded to 1 decimal (half-even)."""
+    near = F.col(distance) if in_range is None else F.when(F.col(in_range), F.col(distance))
     return points.groupBy(storm).agg(
         F.min_by(F.col(name), F.col(order)).alias("storm_name"),
         F.min_by(F.col(year), F.col(order)).alias("year"),
         F.max(wind).alias("max_wind"),
         F.min(pressure).alias("min_pressure"),
         F.bool_or(F.col(landfall)).alias("has_landfall"),
-        F.bround(F.min(distance), 1).alias("closest_distance"))
+        F.bround(F.min(near), 1).alias("closest_distance"))
 
 
 def min_distance_qualify(points: DataFrame, storm: str, distance: str, max_distance: float,
@@ -58,20 +60,20 @@ def min_distance_qualify(points: DataFrame, storm: str, distance: str, max_dista
 
 def panel_shape(long: DataFrame, entity: str = "entity", date: str = "date",
                 metric: str = "metric") -> DataFrame:
-    """One row: entities, periods, obs, min/max obs per entity and per
-    entity x metric, and whether every entity has every period."""
-    per_ent = long.groupBy(entity).agg(F.count(F.lit(1)).alias("_c"),
-                                       F.count_distinct(date).alias("_p"))
+    """One row: entities, periods, rows, min/max periods per entity and
+    rows per entity x metric, whether all entities have equally many periods
+    (``balanced``) and whether each has every period (``complete``)."""
+    per_ent = long.groupBy(entity).agg(F.count_distinct(date).alias("_c"))
     per_em = long.groupBy(entity, metric).agg(F.count(F.lit(1)).alias("_c"))
     tot = long.agg(F.count_distinct(entity).alias("n_entities"),
                    F.count_distinct(date).alias("n_periods"),
                    F.count(F.lit(1)).alias("n_obs"))
-    e = per_ent.agg(F.min("_c").alias("min_obs_entity"), F.max("_c").alias("max_obs_entity"),
-                    F.min("_p").alias("_min_p"))
+    e = per_ent.agg(F.min("_c").alias("min_obs_entity"), F.max("_c").alias("max_obs_entity"))
     m = per_em.agg(F.min("_c").alias("min_obs_entity_metric"), F.max("_c").alias("max_obs_entity_metric"))
     from .joins import attach_scalar
     out = attach_scalar(attach_scalar(tot, e), m)
-    return out.withColumn("balanced", F.col("_min_p") == F.col("n_periods")).drop("_min_p")
+    return (out.withColumn("balanced", F.col("min_obs_entity") == F.col("max_obs_entity"))
+            .withColumn("complete", F.col("min_obs_entity") == F.col("n_periods")))
 
 
 def metric_profile(long: DataFrame, metric: str = "metric", value: str = "value") -> DataFrame:

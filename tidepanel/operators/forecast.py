@@ -1,16 +1,14 @@
 """Grouped time-series tests and forecasts over many series at once.
 
 * ``adf_test`` (M12): augmented Dickey-Fuller with a constant, lag chosen by
-  AIC on a common sample, then refitted with the chosen lag; all sums are
-  grouped Spark aggregates, the small per-series solves run in pandas over
-  one row per series.
+  AIC on a common sample, then refitted with the chosen lag.
 * ``grouped_forecast`` (M13): ARIMA(p, d, q) by Hannan-Rissanen two-stage
   regression; d from ADF (difference until the unit root is rejected),
-  (p, q) by AIC; 12-step mean and 95% band from psi-weights.
-* ``naive_forecast`` (M14) and ``forecast_eval`` (M15).
+  (p, q) by AIC; mean and 95% band from psi-weights.
+* ``naive_forecast`` (M14), ``forecast_eval`` and ``forecast_scores`` (M15).
 
-A series is one entity's time series (bounded by the calendar); nothing
-pulls a whole table to the driver.
+A series is one entity's time series, bounded by the calendar: Spark shuffles
+once by series, and each series is one small array in one task.
 """
 
 from __future__ import annotations
@@ -27,101 +25,71 @@ from ..functions.tails import adf_pvalue
 Z95 = 1.959963984540054
 
 
-def _gram_aggs(cols, mask: str):
-    """Masked sums of products of every column pair, as SQL expressions (one
-    JVM call per aggregate instead of one per sub-expression)."""
-    k = len(cols)
-    return [F.expr(f"sum(CASE WHEN {mask} THEN `{cols[i]}` * `{cols[j]}` END) AS g{i}_{j}")
-            for i in range(k) for j in range(i, k)]
+def _ols(x: np.ndarray, y: np.ndarray):
+    """Least squares: coefficients, sum of squared residuals, (X'X)^+."""
+    beta = np.linalg.lstsq(x, y, rcond=None)[0]
+    u = y - x @ beta
+    return beta, float(u @ u), np.linalg.pinv(x.T @ x)
 
 
-def _unpack(row, k):
-    g = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            v = row[f"g{i}_{j}"]
-            g[i, j] = g[j, i] = 0.0 if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)
-    return g
+def _lags(x: np.ndarray, n: int) -> np.ndarray:
+    """Columns x(t-1) .. x(t-n), NaN where they reach before the start."""
+    out = np.full((len(x), n), np.nan)
+    for j in range(1, min(n, len(x) - 1) + 1):
+        out[j:, j - 1] = x[:-j]
+    return out
 
 
-def _ols_from_gram(G, idx, yi):
-    A = G[np.ix_(idx, idx)]
-    b = G[idx, yi]
-    beta = np.linalg.lstsq(A, b, rcond=None)[0]
-    ssr = float(G[yi, yi] - 2 * beta @ b + beta @ A @ beta)
-    return beta, max(ssr, 1e-300), A
+def _adf(x: np.ndarray, max_lag: int | None = None):
+    """(stat, used lag, nobs, AIC), or None if the series is too short or constant.
 
-
-def adf_frame(df: DataFrame, series: str, date: str, value: str, max_lag: int | None = None) -> DataFrame:
-    """Rows with t index, n, Delta y, y(t-1) and Delta y lags up to L."""
-    w = Window.partitionBy(series).orderBy(date)
-    d = df.select(series, date, F.col(value).cast("double").alias("_y")).where(F.col("_y").isNotNull())
-    d = (d.withColumn("_t", F.row_number().over(w))
-         .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(series)))
-         .withColumn("_ylag", F.lag("_y", 1).over(w))
-         .withColumn("_dy", F.col("_y") - F.col("_ylag")))
-    L = max_lag if max_lag is not None else 12
-    return d.withColumns({f"_dl{j}": F.lag("_dy", j).over(w) for j in range(1, L + 1)}), L
+    Up to ceil(12 (n/100)^1/4) lags, at most half the series.  The test does
+    not depend on the level, so the series is centred first.
+    """
+    n = len(x)
+    most = max(0, min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2))
+    if max_lag is not None:
+        most = min(most, max_lag)
+    if n < 4:
+        return None
+    x = x - x.mean()
+    dx = np.diff(x)
+    full = np.column_stack([np.ones(n - 1), x[:-1], _lags(dx, most)])
+    best, ic = 0, math.inf
+    nobs = n - 1 - most
+    for p in range(most + 1):
+        _, ssr, _ = _ols(full[most:, :2 + p], dx[most:])
+        aic = nobs * (math.log(2 * math.pi) + math.log(max(ssr, 1e-300) / nobs) + 1) + 2 * (2 + p)
+        if aic < ic - 1e-12:
+            best, ic = p, aic
+    beta, ssr, inv = _ols(full[best:, :2 + best], dx[best:])
+    free = n - 1 - best - (2 + best)
+    var = ssr / free * inv[1, 1] if free > 0 else 0.0
+    if not var > 0:
+        return None
+    return float(beta[1] / math.sqrt(var)), best, n - 1 - best, float(ic)
 
 
 def adf_test(df: DataFrame, series: str, date: str, value: str, max_lag: int | None = None) -> DataFrame:
-    """Per series: adf_stat, pvalue, used_lag, nobs, ic_best (AIC)."""
+    """Per series: adf_stat, pvalue, used_lag, nobs, ic_best (AIC).
+
+    One shuffle by series; a series (bounded by its calendar) is one array.
+    A series that is too short for the test, or constant, keeps its row with
+    nulls.
+    """
     from ..session import ship_package
     ship_package(df.sparkSession)
-    d, L = adf_frame(df, series, date, value, max_lag)
-    cols = ["_one", "_ylag"] + [f"_dl{j}" for j in range(1, L + 1)] + ["_dy"]
-    d = d.withColumn("_one", F.lit(1.0))
-    # per-row maxlag of its series (the common sample starts at t = L_s + 2)
-    ls = F.least(F.ceil(F.lit(12.0) * F.pow(F.col("_n") / 100.0, 0.25)), F.floor(F.col("_n") / 2) - 2)
-    d = d.withColumn("_L", F.greatest(ls.cast("int"), F.lit(0)))
-    if max_lag is not None:
-        d = d.withColumn("_L", F.least(F.col("_L"), F.lit(max_lag)))
-    k = len(cols)
-    common = d.groupBy(series).agg(F.max("_n").alias("_n"), F.max("_L").alias("_L"),
-                                   *_gram_aggs(cols, "_t >= _L + 2"))
-
-    def choose(batches):
-        for pdf in batches:
-            out = []
-            for _, row in pdf.iterrows():
-                G = _unpack(row, k)
-                Ls = int(row["_L"])
-                nobs = int(row["_n"]) - Ls - 1
-                best, ic = 0, math.inf
-                for p in range(Ls + 1):
-                    idx = [0, 1] + list(range(2, 2 + p))
-                    _, ssr, _ = _ols_from_gram(G, idx, k - 1)
-                    llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1)
-                    aic = -2 * llf + 2 * len(idx)
-                    if aic < ic - 1e-12:
-                        best, ic = p, aic
-                out.append((row[series], best, ic))
-            yield pd.DataFrame(out, columns=[series, "used_lag", "ic_best"])
-
-    key_type = df.schema[series].dataType.simpleString()
-    lags = common.mapInPandas(choose, f"{series} {key_type}, used_lag int, ic_best double")
-    d2 = d.join(lags, [series])
-    refit = d2.groupBy(series).agg(F.max("_n").alias("_n"), F.max("used_lag").alias("used_lag"),
-                                   F.max("ic_best").alias("ic_best"),
-                                   *_gram_aggs(cols, "_t >= used_lag + 2"))
-
-    def stat(batches):
-        for pdf in batches:
-            out = []
-            for _, row in pdf.iterrows():
-                G = _unpack(row, k)
-                p = int(row["used_lag"])
-                nobs = int(row["_n"]) - p - 1
-                idx = [0, 1] + list(range(2, 2 + p))
-                beta, ssr, A = _ols_from_gram(G, idx, k - 1)
-                s2 = ssr / (nobs - len(idx))
-                se = math.sqrt(s2 * np.linalg.pinv(A)[1, 1])
-                t = float(beta[1] / se)
-                out.append((row[series], t, adf_pvalue(t), p, nobs, float(row["ic_best"])))
-            yield pd.DataFrame(out, columns=[series, "adf_stat", "pvalue", "used_lag", "nobs", "ic_best"])
-
-    return refit.mapInPandas(stat, f"{series} {key_type}, adf_stat double, pvalue double, used_lag int, "
-                                   "nobs int, ic_best double")
+    src = df.select(F.col(series).alias("s"), F.col(date).alias("d"), F.col(value).cast("double").alias("y")).where(F.col("y").isNotNull())
+
+    def test(pdf: pd.DataFrame) -> pd.DataFrame:
+        got = _adf(pdf.sort_values("d")["y"].to_numpy(), max_lag)
+        stat, lag, nobs, ic = got or (None, None, None, None)
+        return pd.DataFrame({"s": pdf["s"].iloc[:1].to_numpy(), "adf_stat": [stat], "pvalue": [None if stat is None else adf_pvalue(stat)],
+                             "used_lag": pd.array([lag], "Int32"), "nobs": pd.array([nobs], "Int32"), "ic_best": [ic]})
+
+    kind = src.schema["s"].dataType.simpleString()
+    return src.groupBy("s").applyInPandas(test, f"s {kind}, adf_stat double, pvalue double, used_lag int, nobs int, ic_best double") \
+        .withColumnRenamed("s", series)
 
 
 def split_holdout(df: DataFrame, series: str, date: str, holdout: int = 12) -> DataFrame:
@@ -131,19 +99,24 @@ def split_holdout(df: DataFrame, series: str, date: str, holdout: int = 12) -> D
 
 
 def naive_forecast(df: DataFrame, series: str, date: str, value: str, holdout: int = 12) -> DataFrame:
-    """Last training value repeated over the holdout (max_by, no sort)."""
+    """Last training value repeated over the holdout (max_by, no sort).
+
+    A series no longer than the holdout has no training value: its rows stay
+    with a null forecast."""
     s = split_holdout(df.where(F.col(value).isNotNull()), series, date, holdout)
     last = (s.where(~F.col("is_test")).groupBy(series)
             .agg(F.max_by(F.col(value), F.col(date)).alias("naive")))
-    return (s.where(F.col("is_test")).join(last, [series])
+    return (s.where(F.col("is_test")).join(last, [series], "left")
             .select(series, date, F.col(value).alias("actual"), "naive"))
 
 
 def forecast_eval(pred: DataFrame, actual: str, forecast: str, by=()) -> DataFrame:
     """RMSE and R^2 (1 - SSE/SST) of a forecast column."""
     g = pred.groupBy(*by) if by else pred.groupBy()
+    a = F.when(F.col(forecast).isNotNull(), F.col(actual))
     e = F.col(actual) - F.col(forecast)
-    return g.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.count(F.lit(1)).alias("n"))
+    sst = F.sum(a * a) - F.sum(a) * F.sum(a) / F.count(a)
+    return g.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.try_divide(sst - F.sum(e * e), sst).alias("r2"), F.count(F.lit(1)).alias("n"))
 
 
 def r2_score(pred: DataFrame, actual: str, forecast: str) -> DataFrame:
@@ -174,148 +147,93 @@ def _psi_weights(phi, theta, d, h):
     return psi
 
 
+def _arma(w: np.ndarray, const: bool, max_p: int, max_q: int, ar_order: int):
+    """(p, q, c, phi, theta, sigma2, aic, innovations) by two regressions, or None if the series is too short.
+
+    A long autoregression gives the innovations; a regression on lags of both
+    then serves every order, and AIC picks one.
+    """
+    if len(w) <= 2 * ar_order + 2:
+        return None
+    wl = _lags(w, max(ar_order, max_p))
+    one = np.ones((len(w), 1))
+    e = np.full(len(w), np.nan)
+    design = np.hstack([one, wl[:, :ar_order]])[ar_order:]
+    beta, _, _ = _ols(design, w[ar_order:])
+    e[ar_order:] = w[ar_order:] - design @ beta
+    start = ar_order + max_q
+    full, y = np.hstack([one, wl[:, :max_p], _lags(e, max_q)])[start:], w[start:]
+    m, best = len(y), None
+    for p in range(max_p + 1):
+        for q in range(max_q + 1):
+            idx = ([0] if const else []) + list(range(1, 1 + p)) + list(range(1 + max_p, 1 + max_p + q))
+            if m <= len(idx) + 1:
+                continue
+            beta, ssr = (_ols(full[:, idx], y)[:2] if idx else (np.zeros(0), float(y @ y)))
+            aic = m * math.log(max(ssr, 1e-300) / m) + 2 * (len(idx) + 1)
+            if best is None or aic < best[6] - 1e-12:
+                coef = dict(zip(idx, beta))
+                best = (p, q, coef.get(0, 0.0), [coef[j] for j in range(1, 1 + p)],
+                        [coef[1 + max_p + j] for j in range(q)], ssr / m, aic)
+    return None if best is None else (*best, np.nan_to_num(e))
+
+
+def _forecast(y: np.ndarray, h: int, max_p: int, max_q: int, max_d: int, ar_order: int):
+    """(p, d, q, aic, mean, half width of the 95 % band) for h steps after y, or None if y is too short."""
+    levels = [np.diff(y, n=d) for d in range(max_d + 1)]
+    tests = [_adf(x) for x in levels]
+    d = next((i for i, t in enumerate(tests) if t is not None and adf_pvalue(t[0]) < 0.05), max_d)
+    fit = _arma(levels[d], d == 0, max_p, max_q, ar_order)
+    if fit is None:
+        return None
+    p, q, c, phi, theta, sigma2, aic, e = fit
+    w, e = list(levels[d]), list(e)
+    for _ in range(h):
+        w.append(c + sum(phi[i] * w[-1 - i] for i in range(p)) + sum(theta[j] * e[-1 - j] for j in range(q)))
+        e.append(0.0)
+    mean = np.array(w[len(levels[d]):])
+    for i in range(d - 1, -1, -1):  # integrate from the last observed value of each level
+        mean = np.cumsum(mean) + levels[i][-1]
+    return p, d, q, float(aic), mean, Z95 * np.sqrt(sigma2 * np.cumsum(_psi_weights(phi, theta, d, h) ** 2))
+
+
 def grouped_forecast(df: DataFrame, series: str, date: str, value: str, holdout: int = 12,
                      max_p: int = 4, max_q: int = 4, max_d: int = 2, ar_order: int = 8) -> DataFrame:
-    """Per series, order search and a ``holdout``-step forecast.
-
-    1. d: differences needed until ADF rejects a unit root (p < 0.05), <= max_d;
-    2. stage 1: long AR(ar_order) on the differenced training series
-       (grouped Gram) -> innovations by a window over its lags;
-    3. stage 2: one grouped Gram over [1, w lags 1..max_p, e lags 1..max_q, w]
-       serves every (p, q): AIC picks the order;
-    4. the recursion for ``holdout`` steps and psi-weight bands run in
-       pandas on one row per series (its last values and coefficients).
+    """Per series, order search and a forecast of the last ``holdout`` values, beside the naive one.
+
+    One shuffle by series.  Differences are taken until ADF rejects a unit
+    root (p < 0.05), at most ``max_d``; orders come from AIC, the band from
+    psi-weights.  A series too short for the search keeps its rows, with null
+    forecasts (and a null naive value if it is no longer than the holdout).
     """
     from ..session import ship_package
     ship_package(df.sparkSession)
-    key_type = df.schema[series].dataType.simpleString()
-    base = split_holdout(df.select(series, date, F.col(value).cast("double").alias("_y"))
-                         .where(F.col("_y").isNotNull()), series, date, holdout)
-    train = base.where(~F.col("is_test"))
-    w = Window.partitionBy(series).orderBy(date)
-    # differencing order from ADF on the level, the first and second difference
-    diffs = train.withColumn("_d1", F.col("_y") - F.lag("_y", 1).over(w))
-    diffs = diffs.withColumn("_d2", F.col("_d1") - F.lag("_d1", 1).over(w))
-    # one grouped ADF over (series, d): the level and both differences are
-    # stacked as separate keys, so a single pass tests all three
-    stacked = None
-    for dd, c in enumerate(["_y", "_d1", "_d2"][: max_d + 1]):
-        part = diffs.select(F.concat_ws("\u0001", F.col(series).cast("string"), F.lit(str(dd))).alias("_sd"),
-                            date, F.col(c).alias("_v"))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    adf_rows = adf_test(stacked, "_sd", date, "_v").select(
-        F.split_part("_sd", F.lit("\u0001"), F.lit(1)).alias("_s"),
-        F.split_part("_sd", F.lit("\u0001"), F.lit(2)).cast("int").alias("d"), "pvalue")
-    dsel = (adf_rows.groupBy("_s")
-            .agg(F.coalesce(F.min(F.when(F.col("pvalue") < 0.05, F.col("d"))), F.lit(max_d)).alias("d")))
-    dsel = (diffs.select(series).distinct()
-            .join(dsel, F.col(series).cast("string") == F.col("_s")).drop("_s"))
-    t = diffs.join(dsel, [series])
-    t = t.withColumn("_w", F.when(F.col("d") == 0, F.col("_y")).when(F.col("d") == 1, F.col("_d1"))
-                     .otherwise(F.col("_d2")))
-    t = t.where(F.col("_w").isNotNull())
-    t = t.withColumn("_one", F.lit(1.0)).withColumn("_k", F.row_number().over(w))
-    t = t.withColumns({f"_wl{j}": F.lag("_w", j).over(w) for j in range(1, max(ar_order, max_p) + 1)})
-    # stage 1: long AR
-    s1_cols = ["_one"] + [f"_wl{j}" for j in range(1, ar_order + 1)] + ["_w"]
-    k1 = len(s1_cols)
-    g1 = t.groupBy(series).agg(*_gram_aggs(s1_cols, f"_k > {ar_order}"))
-
-    def ar_fit(batches):
-        for pdf in batches:
-            out = []
-            for _, row in pdf.iterrows():
-                G = _unpack(row, k1)
-                beta, _, _ = _ols_from_gram(G, list(range(k1 - 1)), k1 - 1)
-                out.append((row[series], *[float(b) for b in beta]))
-            yield pd.DataFrame(out, columns=[series] + [f"_a{j}" for j in range(k1 - 1)])
-
-    ar = g1.mapInPandas(ar_fit, f"{series} {key_type}, " + ", ".join(f"_a{j} double" for j in range(k1 - 1)))
-    t = t.join(ar, [series])
-    fitted = F.col("_a0")
-    for j in range(1, ar_order + 1):
-        fitted = fitted + F.col(f"_a{j}") * F.col(f"_wl{j}")
-    t = t.withColumn("_e", F.when(F.col("_k") > ar_order, F.col("_w") - fitted))
-    t = t.withColumns({f"_el{j}": F.lag("_e", j).over(w) for j in range(1, max_q + 1)})
-    s2_cols = ["_one"] + [f"_wl{j}" for j in range(1, max_p + 1)] + [f"_el{j}" for j in range(1, max_q + 1)] + ["_w"]
-    k2 = len(s2_cols)
-    start = ar_order + max_q + 1
-    g2 = t.groupBy(series).agg(F.max("d").alias("d"),
-                               F.sum(F.when(F.col("_k") >= start, 1).otherwise(0)).alias("_m"),
-                               *_gram_aggs(s2_cols, f"_k >= {start}"))
-    # last values needed by the recursion (bounded: max lags of y, w and e)
-    tail_n = max(max_p, max_q, max_d) + 1
-    w_desc = Window.partitionBy(series).orderBy(F.desc(date))
-    tails = (diffs.join(dsel, [series]).withColumn("_r", F.row_number().over(w_desc)).where(F.col("_r") <= tail_n + max_d)
-             .groupBy(series).agg(F.sort_array(F.collect_list(F.struct(F.col(date).alias("d0"), F.col("_y").alias("y0"))))
-                                  .alias("_ytail")))
-    etail = (t.withColumn("_r", F.row_number().over(w_desc)).where(F.col("_r") <= tail_n)
-             .groupBy(series).agg(F.sort_array(F.collect_list(F.struct(F.col(date).alias("d0"), F.col("_w").alias("w0"),
-                                                                       F.col("_e").alias("e0")))).alias("_wtail")))
-    test_dates = (base.where(F.col("is_test")).groupBy(series)
-                  .agg(F.sort_array(F.collect_list(F.struct(F.col(date).alias("d0"), F.col("_y").alias("y0")))).alias("_test")))
-    one = g2.join(tails, [series]).join(etail, [series]).join(test_dates, [series])
-
-    def fit_and_forecast(batches):
-        for pdf in batches:
-            out = []
-            for _, row in pdf.iterrows():
-                G = _unpack(row, k2)
-                m = int(row["_m"])
-                d = int(row["d"])
-                best = None
-                for p in range(max_p + 1):
-                    for q in range(max_q + 1):
-                        idx = ([0] if d == 0 else []) + list(range(1, 1 + p)) + list(range(1 + max_p, 1 + max_p + q))
-                        if not idx:
-                            ssr = float(G[k2 - 1, k2 - 1])
-                            beta = np.zeros(0)
-                        else:
-                            beta, ssr, _ = _ols_from_gram(G, idx, k2 - 1)
-                        if m <= len(idx) + 1:
-                            continue
-                        aic = m * math.log(max(ssr, 1e-300) / m) + 2 * (len(idx) + 1)
-                        if best is None or aic < best[0] - 1e-12:
-                            best = (aic, p, q, idx, beta, ssr)
-                if best is None:
-                    continue
-                aic, p, q, idx, beta, ssr = best
-                coef = dict(zip(idx, beta))
-                c = coef.get(0, 0.0)
-                phi = [coef.get(j, 0.0) for j in range(1, 1 + p)]
-                theta = [coef.get(1 + max_p + j, 0.0) for j in range(q)]
-                sigma2 = ssr / m
-                wt = [float(v["w0"]) for v in row["_wtail"]]
-                et = [0.0 if v["e0"] is None or (isinstance(v["e0"], float) and math.isnan(v["e0"])) else float(v["e0"])
-                      for v in row["_wtail"]]
-                yt = [float(v["y0"]) for v in row["_ytail"]]
-                test = row["_test"]
-                h = len(test)
-                wf, ef = list(wt), list(et)
-                for _ in range(h):
-                    v = c + sum(phi[i] * wf[-1 - i] for i in range(p)) + sum(theta[j] * ef[-1 - j] for j in range(q))
-                    wf.append(v)
-                    ef.append(0.0)
-                wpred = wf[len(wt):]
-                # integrate back d times from the last observed levels
-                if d == 0:
-                    ypred = wpred
-                elif d == 1:
-                    ypred = list(np.cumsum(wpred) + yt[-1])
-                else:
-                    d1_last = yt[-1] - yt[-2]
-                    d1 = np.cumsum(wpred) + d1_last
-                    ypred = list(np.cumsum(d1) + yt[-1])
-                psi = _psi_weights(phi, theta, d, h)
-                var = sigma2 * np.cumsum(psi ** 2)
-                for i, tv in enumerate(test):
-                    half = Z95 * math.sqrt(var[i])
-                    out.append((row[series], tv["d0"], float(tv["y0"]), float(ypred[i]), float(ypred[i] - half),
-                                float(ypred[i] + half), p, d, q, float(aic)))
-            yield pd.DataFrame(out, columns=[series, date, "actual", "forecast", "lower", "upper",
-                                             "p", "d", "q", "aic"])
-
-    date_type = df.schema[date].dataType.simpleString()
-    return one.mapInPandas(fit_and_forecast,
-                           f"{series} {key_type}, {date} {date_type}, actual double, forecast double, lower double, "
-                           "upper double, p int, d int, q int, aic double")
+    src = df.select(F.col(series).alias("s"), F.col(date).alias("t"), F.col(value).cast("double").alias("y")).where(F.col("y").isNotNull())
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("t")
+        train, test = pdf.iloc[:-holdout], pdf.iloc[-holdout:]
+        y = train["y"].to_numpy()
+        got = _forecast(y, len(test), max_p, max_q, max_d, ar_order) if len(y) else None
+        p, d, q, aic, mean, half = got or (None, None, None, None, np.full(len(test), np.nan), np.full(len(test), np.nan))
+        out = pd.DataFrame({"s": test["s"], "t": test["t"], "actual": test["y"], "forecast": mean, "lower": mean - half, "upper": mean + half,
+                            "naive": y[-1] if len(y) else np.nan})
+        for name, v in (("p", p), ("d", d), ("q", q)):
+            out[name] = pd.array([v] * len(test), "Int32")
+        out["aic"] = np.nan if aic is None else aic
+        return out
+
+    kinds = [src.schema[c].dataType.simpleString() for c in ("s", "t")]
+    out = src.groupBy("s").applyInPandas(run, f"s {kinds[0]}, t {kinds[1]}, actual double, forecast double, lower double, upper double, "
+                                              "naive double, p int, d int, q int, aic double")
+    nulls = [F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in ("forecast", "lower", "upper", "naive")]
+    return out.select(F.col("s").alias(series), F.col("t").alias(date), "actual", *nulls, "p", "d", "q",
+                      F.nanvl("aic", F.lit(None).cast("double")).alias("aic"))
+
+
+def forecast_scores(df: DataFrame, series: str, date: str, value: str, holdout: int = 12) -> DataFrame:
+    """Per series RMSE and R^2 of the model and of the naive forecast over the holdout."""
+    pred = grouped_forecast(df, series, date, value, holdout)
+    model = forecast_eval(pred, "actual", "forecast", [series]).select(series, F.col("rmse").alias("rmse_model"), F.col("r2").alias("r2_model"), "n")
+    naive = forecast_eval(pred, "actual", "naive", [series]).select(series, F.col("rmse").alias("rmse_naive"), F.col("r2").alias("r2_naive"))
+    return model.join(naive, [series])

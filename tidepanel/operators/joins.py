@@ -96,10 +96,10 @@ def expand_period(panel: DataFrame, annual: DataFrame, date: str = "date",
                   year: str = "year") -> DataFrame:
     """Attach each year's values to every (entity, date) of that year.
 
-    The annual table has one row per year (a calendar-bounded domain), so
-    it is broadcast: the large panel is never shuffled for this join.
+    The annual table has one row per year and metric; it is broadcast if a
+    count finds it small, so that the large panel is not shuffled.
     """
-    a = F.broadcast(annual.withColumnRenamed(year, "_yr"))
+    a = broadcast_if_small(annual.withColumnRenamed(year, "_yr"), 100_000)
     return panel.join(a, F.year(F.col(date)) == F.col("_yr"), "inner").drop("_yr")
 
 
@@ -125,14 +125,15 @@ def range_join_window(series: DataFrame, events: DataFrame, date: str = "date",
                       event_date: str = "event_date", months: int = 24) -> DataFrame:
     """Rows within +-months calendar months of each event, ends included.
 
-    ``events`` is a short list of labelled dates; it is broadcast and the
-    join runs as a broadcast nested loop over the series.  An event without
-    rows in its window simply contributes no rows.
+    Each event is expanded to the months of its window and met by month, so
+    this is an equi-join; the exact bounds are then checked by day.  An event
+    without rows in its window contributes no rows.
     """
-    e = F.broadcast(events)
-    cond = F.col(date).between(F.add_months(F.col(event_date), -months),
-                               F.add_months(F.col(event_date), months))
-    return series.join(e, cond, "inner")
+    lo, hi = F.add_months(F.col(event_date), -months), F.add_months(F.col(event_date), months)
+    e = events.withColumn("_month", F.explode(F.sequence(F.trunc(lo, "month"), F.trunc(hi, "month"), F.expr("interval 1 month"))))
+    s = series.withColumn("_month", F.trunc(F.col(date), "month"))
+    e = broadcast_if_small(e, 100_000)
+    return s.join(e, "_month").where(F.col(date).between(lo, hi)).drop("_month")
 
 
 def nearest_asof(windowed: DataFrame, value: str, event: str = "event",

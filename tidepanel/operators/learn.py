@@ -22,9 +22,9 @@ from .linear import pooled_ols
 # Fixed settings of the forest (as in the reference).
 FOREST = {"numTrees": 400, "minInstancesPerNode": 5, "featureSubsetStrategy": "all", "seed": 42,
           "maxDepth": 30, "subsamplingRate": 1.0, "bootstrap": True}
-# Engine settings (not semantics): a larger node-statistics budget grows more
-# nodes per pass over the data, and cached node ids avoid re-walking trees.
-ENGINE = {"maxMemoryInMB": 4096, "cacheNodeIds": True, "checkpointInterval": 10}
+# Engine settings (not semantics): node statistics per task stay well under an
+# executor's share, and cached node ids avoid re-walking trees.
+ENGINE = {"maxMemoryInMB": 256, "cacheNodeIds": True, "checkpointInterval": 10}
 
 
 def forest_regression(train: DataFrame, y: str, features: Sequence[str], **overrides):

@@ -77,8 +77,9 @@ def _period_pairs(n_periods: int):
                 m = acc.get(spec)
                 if m is None:
                     m = acc[spec] = np.zeros((n_periods, n_periods))
-                idx = np.asarray(periods, dtype=np.int64)
-                m[np.ix_(idx, idx)] += 1.0 / len(idx)
+                # an entity may hold a period more than once
+                idx, times = np.unique(np.asarray(periods, dtype=np.int64), return_counts=True)
+                m[np.ix_(idx, idx)] += np.outer(times, times) / times.sum()
         for spec, m in acc.items():
             ii, jj = np.nonzero(np.triu(m))
             yield pd.DataFrame({"_spec": spec, "i": ii.astype("int32"), "j": jj.astype("int32"), "v": m[ii, jj]})
@@ -185,23 +186,25 @@ def _residualize_alternating(b: DataFrame, time: str, cols, we, tol: float = 1e-
             worst = means.agg(F.max(F.greatest(*[F.col(c) for c in cols]) if len(cols) > 1
                                     else F.col(cols[0]))).first()[0]
             if worst is None or worst < tol:
-                break
-    return cur
+                return cur
+    raise RuntimeError(f"the period means did not fall below {tol} in {max_iter} sweeps")
 
 
 def fe_twoway_specs(df: DataFrame, y: str, xs: Sequence[str], spec: str | None = None,
                     entity: str = "entity", time: str = "date", cluster: bool = True,
                     cluster_scale: str = "n_over_df", max_periods: int = MAX_PERIODS,
-                    materialize: bool = True, alt_tol: float = 1e-10, alt_max_iter: int = 500) -> dict:
+                    materialize: bool = True, alt_tol: float = 1e-10, alt_max_iter: int = 500,
+                    method: str = "exact") -> dict:
     """M1-M4 (and M10): y on xs with entity and time effects, complete cases,
     for every value of the ``spec`` column at once.
 
     Rows carry the spec they belong to (a sweep stacks its subsamples); every
     pass — demeaning, period sums, the period Gram, the Gram, cluster scores —
     groups by spec as well, so a whole robustness sweep shares one set of
-    jobs.  Up to ``max_periods`` periods the time effects are removed exactly
-    (one T x T solve per spec); beyond, by alternating projections to
-    ``alt_tol``.  Returns {spec value: FitResult}.
+    jobs.  ``method="exact"`` removes the time effects by one T x T solve per
+    spec and raises beyond ``max_periods`` periods; ``"alternating"`` projects
+    until all period means are below ``alt_tol`` and raises if they do not
+    get there.  Returns {spec value: FitResult}.
     """
     from ..session import cut_lineage
     spark = df.sparkSession
@@ -211,11 +214,10 @@ def fe_twoway_specs(df: DataFrame, y: str, xs: Sequence[str], spec: str | None =
     sp = F.col(spec).cast("string") if spec else F.lit("all")
     base = df.select(sp.alias("_spec"), entity, time, *cols).dropna(subset=cols)
     we = Window.partitionBy("_spec", entity)
-    try:
+    if method not in ("exact", "alternating"):
+        raise ValueError("method is exact or alternating")
+    if method == "exact":
         times = domain_values(base, time, max_periods)
-    except ValueError:          # more periods than the exact T x T path takes
-        times = None
-    if times is not None:
         tmap = spark.createDataFrame([(t, i) for i, t in enumerate(times)],
                                      T.StructType([T.StructField(time, base.schema[time].dataType),
                                                    T.StructField("_t", T.IntegerType())]))
@@ -303,10 +305,10 @@ def fe_twoway_specs(df: DataFrame, y: str, xs: Sequence[str], spec: str | None =
 def fe_twoway(df: DataFrame, y: str, xs: Sequence[str], entity: str = "entity", time: str = "date",
               cluster: bool = True, cluster_scale: str = "n_over_df",
               max_periods: int = MAX_PERIODS, materialize: bool = True,
-              alt_tol: float = 1e-10, alt_max_iter: int = 500) -> FitResult:
+              alt_tol: float = 1e-10, alt_max_iter: int = 500, method: str = "exact") -> FitResult:
     """M1-M4: one fit (the single-spec case of ``fe_twoway_specs``)."""
     return fe_twoway_specs(df, y, xs, None, entity, time, cluster, cluster_scale, max_periods,
-                           materialize, alt_tol, alt_max_iter)["all"]
+                           materialize, alt_tol, alt_max_iter, method)["all"]
 
 
 @dataclass

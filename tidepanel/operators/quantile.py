@@ -19,6 +19,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _IDX_BITS = 33  # monotonically_increasing_id = partition << 33 | row index
 
 
@@ -36,6 +38,8 @@ def global_rank(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
                .withColumn("_mid", F.monotonically_increasing_id())
                .withColumn("_pid", F.shiftright("_mid", _IDX_BITS))
                .withColumn("_idx", F.col("_mid").bitwiseAND((1 << _IDX_BITS) - 1)))
+    # both readings below must see the same partition ids: written once
+    ordered = cut_lineage(ordered, "ranks")
     runs = (ordered.groupBy("_pid", *keys)
             .agg(F.count(F.lit(1)).alias("_c"), F.min("_idx").alias("_i0")))
     by_group = Window.partitionBy(*keys)

@@ -60,10 +60,13 @@ def topk_by_count(df: DataFrame, entity: str, value: str, k: int = 3) -> DataFra
 
 
 def rank_by_measure(df: DataFrame, measure: str, entity: str, descending: bool = True) -> DataFrame:
-    """Entities ordered by a measure, with the rank as a column.
+    """``df`` with its rank by a measure (from 1; ties go alphabetically).
 
-    The rank is a global ordering of one row per entity; Spark computes it
-    with a range sort, and the input is already aggregated per entity.
+    The rank comes from the range-partitioned global rank, so no task sorts
+    all entities.  Rows without a measure have a null rank.
     """
-    order = F.desc(measure) if descending else F.asc(measure)
-    return df.orderBy(order, F.asc(entity))
+    from .quantile import global_rank
+    rest = [c for c in df.columns if c != entity]
+    keyed = df.select((-F.col(measure) if descending else F.col(measure)).alias("_by"), entity, *rest)
+    ranked = global_rank(keyed, [], "_by").select((F.col("_rank") + 1).alias("rank"), *df.columns)
+    return ranked.unionByName(df.where(F.col(measure).isNull()).select(F.lit(None).cast("long").alias("rank"), *df.columns))

@@ -30,7 +30,7 @@ from ..sources import nested as SN
 from ..sources import sinks as SK
 from ..sources import wide as SW
 from .inputs import (MAX_NM, ORDER_METRICS, REF_LAT, REF_LON, SHOCK_METRICS, event_documents,
-                     events_panel_wide, named_events, order_panel_long, order_panel_wide,
+                     events_panel_wide, named_events, order_panel_long, order_panel_wide, padded,
                      shock_by_year, table, track_points)
 from .panels import (MODEL_CONTROLS, MODEL_Y, enriched_wide, exposure_rows, model_frame,
                      shock_annual_long)
@@ -47,20 +47,21 @@ def register(name: str):
 
 
 # Values exactly on a half unit of the 6th decimal are common here (cents
-# divided by powers of two); engines summing in another order land an ulp
-# either side of them.  Both sides nudge by the same relative 1e-13 first
-# (far above float noise, far below half a unit for |x| < 1e6).
-NUDGE = 1.0 + 1e-13
+# divided by powers of two), and engines that sum in another order land an ulp
+# either side of them.  Rounding to 9 places first puts both on the same side
+# and changes no published digit of a value that is not within 5e-10 of a tie.
+def six_places(c: Column, scale: int = 6) -> Column:
+    nine, unit = F.rint(c.cast("double") * F.lit(1e9)) / F.lit(1e9), F.lit(10.0 ** scale)
+    return F.rint(nine * unit) / unit
 
 
 def r6(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.bround(c * F.lit(NUDGE), 6)
+    return six_places(F.col(c) if isinstance(c, str) else c)
 
 
 def round_doubles(df: DataFrame, scale: int = 6) -> DataFrame:
     """Round every DOUBLE column half-even (output hygiene for comparison)."""
-    return df.select(*[F.bround(F.col(f.name) * F.lit(NUDGE), scale).alias(f.name)
+    return df.select(*[six_places(F.col(f.name), scale).alias(f.name)
                        if f.dataType.typeName() in ("double", "float") else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -283,7 +284,7 @@ def q_threshold_category(spark, d):
 @register("join_name_year")
 def q_join_name_year(spark, d):
     storms = track_points(spark, d).select("storm_id", "storm_name").distinct() \
-        .join(table(spark, d, "orders").select(F.concat(F.lit("AL"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0")).alias("storm_id"),
+        .join(table(spark, d, "orders").select(F.concat(F.lit("AL"), padded(F.col("o_orderkey"))).alias("storm_id"),
                                                F.year("o_orderdate").alias("year")), ["storm_id"])
     ev = named_events(spark, d).withColumn("event_key", S.normalize_event_name("event_name"))
     out = J.join_name_year(storms, ev, "storm_name", "event_key", "year", ["event_name", "cost", "deaths"])
@@ -363,7 +364,7 @@ def storms(spark, d):
     pts = qualifying_points(spark, d).withColumn("_order", F.struct("date", "time")) \
         .withColumn("landfall", F.col("record_id") == "L")
     return A.storm_summary(pts, "storm_id", "_order", "storm_name", "yr", "max_wind", "min_pressure",
-                           "landfall", "dist")
+                           "landfall", "dist", "in_range")
 
 
 @register("min_distance_qualify")
@@ -810,6 +811,12 @@ def q_forecast_eval(spark, d):
     return round_doubles(FC.forecast_eval(nv, "actual", "naive", ["series"]).withColumnRenamed("rmse", "rmse_naive"))
 
 
+@register("forecast_scores")
+def q_forecast_scores(spark, d):
+    """Model against naive over the holdout (the other half of M15)."""
+    return FC.forecast_scores(growth_series(spark, d), "series", "date", "y", HOLDOUT)
+
+
 # ---------------------------------------------------------------------------
 # 2.8 analytics: learning
 # ---------------------------------------------------------------------------

@@ -39,7 +39,7 @@ ORACLES.update({
         z6("lon") + " AS lon, max_wind, min_pressure FROM tp",
     "scan_nested_json": """
 SELECT event_type AS name,
-       CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(strftime(ts, '%Y') AS INTEGER) END AS year,
+       CAST(strftime(ts, '%Y') AS INTEGER) AS year,
        CASE WHEN event_id % 13 = 0 THEN strftime(ts, '%Y%m') ELSE strftime(ts, '%Y%m%d') END AS begin_date,
        strftime(ts, '%Y%m%d') AS end_date,
        """ + z6("CASE WHEN event_id % 7 <> 0 THEN coalesce(value, 0.0) ELSE 0.0 END") + """ AS cost,
@@ -104,7 +104,7 @@ SELECT entity, {z6('m')} AS avg_price_mean,
 FROM per""",
     "join_name_year": with_(track_ctes()) + """
 , storms AS (SELECT DISTINCT t.storm_id, t.storm_name, CAST(year(o.o_orderdate) AS INTEGER) AS year
-             FROM tp t JOIN orders o ON t.storm_id = 'AL' || lpad(CAST(o.o_orderkey AS VARCHAR), 8, '0')),
+             FROM tp t JOIN orders o ON CAST(substr(t.storm_id, 3) AS BIGINT) = o.o_orderkey),
 ev AS (
   SELECT CASE c.c_custkey % 3 WHEN 0 THEN 'Hurricane ' WHEN 1 THEN 'Tropical Storm ' ELSE '' END
            || c.c_name || ' (' || CAST(year(l.l_shipdate) AS VARCHAR) || ')' AS event_name,
@@ -154,7 +154,7 @@ qual AS (SELECT * FROM tp_loc WHERE storm_id IN (SELECT storm_id FROM qual_ids))
 storms AS (
   SELECT storm_id, arg_min(storm_name, date || '|' || time) AS storm_name, arg_min(yr, date || '|' || time) AS year,
          max(max_wind) AS max_wind, min(min_pressure) AS min_pressure, bool_or(record_id = 'L') AS has_landfall,
-         round_even(min(dist), 1) AS closest_distance
+         round_even(min(CASE WHEN yr BETWEEN 1996 AND 2000 THEN dist END), 1) AS closest_distance
   FROM qual GROUP BY storm_id)"""
 W_ENT = "OVER (PARTITION BY entity ORDER BY date)"
 NMAP = ("avg_price", "order_count", "avg_qty", "avg_extprice", "urgent_price")
@@ -185,21 +185,22 @@ WITH g AS (SELECT c_custkey, CAST(((c_custkey * 7) % 181) - 90 AS DOUBLE) AS lat
                   CAST(((c_custkey * 13) % 361) - 180 AS DOUBLE) AS lon FROM customer)
 SELECT c_custkey, """ + z6("2 * 3440.065 * asin(sqrt(pow(sin((radians(27.8) - radians(lat)) / 2), 2) + cos(radians(lat)) * cos(radians(27.8)) * pow(sin((radians(-81.7) - radians(lon)) / 2), 2)))") + " AS dist_nm FROM g",
     "panel_shape": with_(PN) + """
-, pe AS (SELECT entity, count(*) AS c, count(DISTINCT date) AS p FROM pn_long GROUP BY entity),
+, pe AS (SELECT entity, count(DISTINCT date) AS c FROM pn_long GROUP BY entity),
 pem AS (SELECT entity, metric, count(*) AS c FROM pn_long GROUP BY entity, metric)
 SELECT (SELECT count(DISTINCT entity) FROM pn_long) AS n_entities,
        (SELECT count(DISTINCT date) FROM pn_long) AS n_periods,
        (SELECT count(*) FROM pn_long) AS n_obs,
        (SELECT min(c) FROM pe) AS min_obs_entity, (SELECT max(c) FROM pe) AS max_obs_entity,
        (SELECT min(c) FROM pem) AS min_obs_entity_metric, (SELECT max(c) FROM pem) AS max_obs_entity_metric,
-       (SELECT min(p) FROM pe) = (SELECT count(DISTINCT date) FROM pn_long) AS balanced""",
+       (SELECT min(c) = max(c) FROM pe) AS balanced,
+       (SELECT min(c) FROM pe) = (SELECT count(DISTINCT date) FROM pn_long) AS complete""",
     "metric_profile": with_(PN) + "\n" + " UNION ALL ".join(
         f"SELECT '{m}' AS metric, {z6(f'avg({m})')} AS mean, {z6(f'stddev_samp({m})')} AS std, {z6(f'min({m})')} AS min, "
         f"{z6(f'max({m})')} AS max, CAST(sum(CASE WHEN {m} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing, "
         f"{z6(f'sum(CASE WHEN {m} IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*)')} AS missing_pct FROM pn_wide" for m in NMAP),
     "describe_columns": with_(PN) + "\n" + " UNION ALL ".join(_describe(m) for m in NMAP),
     "period_mean": with_(PN) + "\nSELECT CAST(year(date) AS INTEGER) AS year, " + ", ".join(
-        f"round_even(avg({m}) * (1.0 + 1e-13), 1) AS {m}_mean" for m in NMAP) + " FROM pn_wide GROUP BY 1",
+        f"round_even(round_even(avg({m}), 9), 1) AS {m}_mean" for m in NMAP) + " FROM pn_wide GROUP BY 1",
     "missing_pct": with_(PN) + "\nSELECT " + ", ".join(
         f"{z6(f'avg(CASE WHEN {m} IS NULL THEN 1.0 ELSE 0.0 END) * 100.0')} AS {m}_missing_pct" for m in NMAP) + " FROM pn_wide",
     "grouped_median_split": with_(PN) + f"""
@@ -274,7 +275,9 @@ WHERE s.date BETWEEN ev.event_date - INTERVAL 24 MONTH AND ev.event_date + INTER
     "sort_keys": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
     "head_n": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long ORDER BY entity, date, metric LIMIT 10",
     "topk_by_count": with_(PN) + "\nSELECT entity, count(urgent_price) AS n_obs FROM pn_wide GROUP BY entity ORDER BY n_obs DESC, entity LIMIT 3",
-    "rank_by_measure": with_(PN) + f"\nSELECT entity, {z6('stddev_samp(avg_price)')} AS price_std FROM pn_wide GROUP BY entity",
+    "rank_by_measure": with_(PN) + f"""
+, v AS (SELECT entity, {z6('stddev_samp(avg_price)')} AS price_std FROM pn_wide GROUP BY entity)
+SELECT row_number() OVER (ORDER BY price_std DESC, entity) AS rank, entity, price_std FROM v""",
     "union_all_long": with_(PN, shock_ctes()) + f"""
 , keys AS (SELECT DISTINCT entity, date FROM pn_long),
 grid AS (SELECT y.year, m.metric FROM (SELECT DISTINCT CAST(year(date) AS INTEGER) AS year FROM keys) y, (VALUES {SHOCK_GRID}) m(metric)),
@@ -372,7 +375,7 @@ nv AS (SELECT t.series, t.date, t.y AS actual, l.y AS naive FROM gr t
 
 ORACLES.update({
     "naive_forecast": with_(PN, GROWTH) + f"\nSELECT series, date, {z6('actual')} AS actual, {z6('naive')} AS naive FROM nv",
-    "forecast_eval": with_(PN, GROWTH) + f"\nSELECT series, {z6('sqrt(avg((actual - naive) * (actual - naive)))')} AS rmse_naive, count(*) AS n FROM nv GROUP BY series",
+    "forecast_eval": with_(PN, GROWTH) + f"\nSELECT series, {z6('sqrt(avg((actual - naive) * (actual - naive)))')} AS rmse_naive, {z6('1 - sum((actual - naive) * (actual - naive)) / (sum(actual * actual) - sum(actual) * sum(actual) / count(*))')} AS r2, count(*) AS n FROM nv GROUP BY series",
 })
 
 

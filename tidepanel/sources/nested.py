@@ -19,14 +19,14 @@ EVENT_SCHEMA = T.StructType([
 
 def explode_events(docs: DataFrame, doc_col: str | None = None) -> DataFrame:
     """Explode ``data[]``; a missing cost or death count becomes 0; the year
-    comes from an 8-digit begin date (NULL when the date is short)."""
+    is the first four digits of the begin date (NULL when it has fewer)."""
     src = docs.select(F.from_json(F.col(doc_col), EVENT_SCHEMA).alias("_d")) if doc_col else \
         docs.select(F.struct("data").alias("_d"))
     ev = src.select(F.explode("_d.data").alias("e")).select("e.*")
     beg = F.col("begDate").cast("string")
     return ev.select(
         F.col("name"),
-        F.when(F.length(beg) == 8, F.substring(beg, 1, 4).cast("int")).alias("year"),
+        F.when(F.length(beg) >= 4, F.substring(beg, 1, 4).cast("int")).alias("year"),
         beg.alias("begin_date"), F.col("endDate").cast("string").alias("end_date"),
         F.coalesce(F.col("adjCost"), F.lit(0.0)).alias("cost"),
         F.coalesce(F.col("deaths"), F.lit(0)).alias("deaths"))
