@@ -113,17 +113,22 @@ def intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((d, first))
 
 
-def maximal_groups(before: list[bytes], after: list[bytes], min_bytes: int, k: int) -> Iterator[tuple[int, int, list[int]]]:
+def maximal_groups(before: list[bytes], after: list[bytes], min_bytes: int, k: int,
+                   settled: list[bool] | None = None) -> Iterator[tuple[int, int, list[int]]]:
     """(left, right, members) of the maximal repeats through one anchor.
 
     ``before`` holds the bytes before the anchor reversed, ``after`` those
     from it on.  Members share ``left`` bytes before and ``right`` from the
     anchor on, at least ``min_bytes`` together; no byte more on either side
-    is shared by all of them (within the given bytes).
+    is shared by all of them (within the given bytes).  Deeper intervals come
+    first; an interval whose members the caller has all ``settled`` by then is
+    passed over.
     """
     order = sorted(range(len(after)), key=after.__getitem__)
     lcp = [common(after[a], after[b]) for a, b in zip(order, order[1:], strict=False)]
     for right, first, last in intervals(lcp, k):
+        if settled is not None and all(settled[order[i]] for i in range(first, last + 1)):
+            continue
         inside = sorted(range(first, last + 1), key=lambda i: before[order[i]])
         left_lcp = [common(before[order[a]], before[order[b]]) for a, b in zip(inside, inside[1:], strict=False)]
         for left, lo, hi in intervals(left_lcp, max(0, min_bytes - right)):
@@ -213,45 +218,72 @@ def _contexts(rows: DataFrame, wanted: DataFrame, entries: int, min_bytes: int,
     return src.mapInArrow(run, "a long, c long, hot boolean, before binary, after binary")
 
 
-def _groups(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
-    """(a, c, g, l, r): context c belongs to maximal repeat g, which reaches l before and r from its anchor on."""
+def reaches(before: list[bytes], after: list[bytes], min_bytes: int, k: int) -> list[tuple[int, int]]:
+    """For each context how far maximal repeats reach before and from its anchor (0, 0: it is in none)."""
+    left, right = [0] * len(after), [0] * len(after)
+    settled = [False] * len(after)
+    for x, y, members in maximal_groups(before, after, min_bytes, k, settled):
+        for i in members:
+            left[i], right[i] = max(left[i], x), max(right[i], y)
+            settled[i] = left[i] == len(before[i]) and right[i] == len(after[i])
+    return list(zip(left, right, strict=True))
+
+
+def _by_anchor(contexts: DataFrame, work, schema: str) -> DataFrame:
+    """Rows of ``work(a, contexts, befores, afters)`` for each anchor a with all its contexts."""
     rows = contexts.select("a", "c", "before", "after").repartition("a").sortWithinPartitions("a")
+    names, kinds = zip(*[(f.split()[0], pa.int64() if f.split()[1] == "long" else pa.int32()) for f in schema.split(", ")], strict=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, c, before, after, out = None, [], [], [], []
-
-        def close() -> None:
-            seen = dict(zip(c, range(len(c)), strict=True))  # a row that came twice counts once
-            pick = list(seen.values())
-            if len(pick) < 2:
-                return
-            bs, fs = [before[i] for i in pick], [after[i] for i in pick]
-            for left, right, members in maximal_groups(bs, fs, min_bytes, k):
-                m = members[0]
-                g = xxhash.xxh3_64_intdigest(bs[m][:left][::-1] + fs[m][:right]) - (1 << 63)
-                out.extend((key, c[pick[i]], g, left, right) for i in members)
+        key, group, out = None, {}, []
 
         def flush() -> pa.RecordBatch:
             cols = list(zip(*out, strict=True))
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, [pa.int64()] * 3 + [pa.int32()] * 2, strict=True)],
-                                              names=["a", "c", "g", "l", "r"])
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], names=list(names))
 
         for b in batches:
-            for x in zip(*[col.to_pylist() for col in b.columns], strict=True):
-                if x[0] != key:
-                    close()
-                    key, c, before, after = x[0], [], [], []
-                c.append(x[1])
-                before.append(x[2])
-                after.append(x[3])
-            if len(out) > 20_000:
-                yield flush()
-        close()
+            for lo in range(0, b.num_rows, 500):
+                for a, c, before, after in zip(*[col.to_pylist() for col in b.slice(lo, 500).columns], strict=True):
+                    if a != key:
+                        if len(group) > 1:
+                            for r in work(key, group):
+                                out.append(r)
+                                if len(out) >= 20_000:
+                                    yield flush()
+                        key, group = a, {}
+                    group[c] = before, after  # a row that came twice counts once
+        if len(group) > 1:
+            for r in work(key, group):
+                out.append(r)
+                if len(out) >= 20_000:
+                    yield flush()
         if out:
             yield flush()
 
-    return rows.mapInArrow(run, "a long, c long, g long, l int, r int")
+    return rows.mapInArrow(run, schema)
+
+
+def _reaches(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
+    """(a, c, l, r) of the contexts that share a string of min_bytes with another of their anchor."""
+    def work(a: int, group: dict) -> Iterator[tuple]:
+        found = reaches([x for x, _ in group.values()], [y for _, y in group.values()], min_bytes, k)
+        return ((a, c, left, right) for c, (left, right) in zip(group, found, strict=True) if left + right)
+
+    return _by_anchor(contexts, work, "a long, c long, l int, r int")
+
+
+def _groups(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
+    """(a, c, g, l, r): context c belongs to maximal repeat g, which reaches l before and r from its anchor on."""
+    def work(a: int, group: dict) -> Iterator[tuple]:
+        cs, befores, afters = list(group), [x for x, _ in group.values()], [y for _, y in group.values()]
+        for left, right, members in maximal_groups(befores, afters, min_bytes, k):
+            m = members[0]
+            g = xxhash.xxh3_64_intdigest(befores[m][:left][::-1] + afters[m][:right]) - (1 << 63)
+            for i in members:
+                yield a, cs[i], g, left, right
+
+    return _by_anchor(contexts, work, "a long, c long, g long, l int, r int")
 
 
 def _hot_groups(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
@@ -285,7 +317,7 @@ def _hot_groups(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
 
 
 class Repeats:
-    """Tables of one corpus: ``anchors`` (places), ``groups`` (maximal repeats by context), ``reach`` (by context)."""
+    """Tables of one corpus: ``anchors`` (places), ``contexts`` (bytes around anchors that differ), ``reach`` (by context)."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES, k: int = ANCHOR_BYTES):
         ship_package(docs.sparkSession)
@@ -298,25 +330,32 @@ class Repeats:
         wanted = _store(_spread_join(classes.select("d", "z", "p", "a", "c"), several, ["a"])
                         .withColumn("hot", F.col("m") > GROUP_CONTEXTS).drop("m"), "repeat-wanted")
         counts = {r["hot"]: r["count"] for r in wanted.groupBy("hot").count().collect()}
-        contexts = _store(_contexts(self.rows, wanted, sum(counts.values()), min_bytes, k), "repeat-bytes")
-        groups = _groups(contexts.filter(~F.col("hot")), min_bytes, k)
-        if counts.get(True):
-            groups = groups.unionByName(_hot_groups(contexts.filter("hot"), min_bytes, k))
-        self.groups = _store(groups, "repeat-groups")
+        self.contexts = _store(_contexts(self.rows, wanted, sum(counts.values()), min_bytes, k), "repeat-bytes")
+        self.hot, self.k = bool(counts.get(True)), k
+        reach = _reaches(self.contexts.filter(~F.col("hot")), min_bytes, k)
+        if self.hot:
+            hot = _hot_groups(self.contexts.filter("hot"), min_bytes, k)
+            reach = reach.unionByName(hot.groupBy("a", "c").agg(F.max("l").alias("l"), F.max("r").alias("r")))
         # a context of several places repeats as a whole
         whole = classes.filter("n > 1").select("a", "c", "l", "r")
-        self.reach = whole.unionByName(self.groups.select("a", "c", "l", "r")).groupBy("a", "c").agg(F.max("l").alias("l"), F.max("r").alias("r"))
+        self.reach = _store(whole.unionByName(reach).groupBy("a", "c").agg(F.max("l").alias("l"), F.max("r").alias("r")), "repeat-reach")
+
+    def groups(self) -> DataFrame:
+        """(a, c, g, l, r): the contexts of every maximal repeat g that different contexts share."""
+        groups = _groups(self.contexts.filter(~F.col("hot")), self.min_bytes, self.k)
+        return groups.unionByName(_hot_groups(self.contexts.filter("hot"), self.min_bytes, self.k)) if self.hot else groups
 
     def occurrences(self) -> DataFrame:
         """(d, z, start, length, g): every place of every maximal repeat that different contexts share."""
-        found = _spread_join_many(self.anchors.select("d", "z", "p", "a", "c"), self.groups)
+        found = _spread_join_many(self.anchors.select("d", "z", "p", "a", "c"), self.groups())
         return found.select("d", "z", (F.col("p") - F.col("l")).alias("start"), (F.col("l") + F.col("r")).alias("length"), "g").distinct()
 
     def covered(self) -> DataFrame:
-        """(d, z, s): for each document with repeats the covered ranges, as found (they overlap)."""
+        """(d, z, s): for each document with repeats the covered ranges, as found (they overlap), as begin * 2**32 + end."""
         found = _spread_join(self.anchors.select("d", "z", "p", "a", "c"), self.reach, ["a", "c"])
-        span = F.struct((F.col("p") - F.col("l")).alias("b"), (F.col("p") + F.col("r")).alias("e"))
-        return found.groupBy("d", "z").agg(F.collect_list(span).alias("s"))
+        # begin and end in one number; ranges that are equal count once
+        span = F.shiftleft((F.col("p") - F.col("l")).cast("long"), 32) + F.col("p") + F.col("r")
+        return found.groupBy("d", "z").agg(F.collect_set(span).alias("s"))
 
 
 def _spread_join_many(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -357,7 +396,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             n, gone, runs, sha, kept = [], [], [], [], []
             for t, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 data = t.encode()
-                spans = merge([(x["b"], x["e"]) for x in s or []])
+                spans = merge([(x >> 32, x & 0xFFFFFFFF) for x in s or []])
                 at, parts = 0, []
                 for lo, hi in spans:
                     parts.append(data[at:lo])
