@@ -121,3 +121,23 @@ def test_window_join_bounds_and_rank(spark):
     assert tuple(got) == tuple(want)
     df = spark.createDataFrame([("b", 2.0), ("a", 2.0), ("c", 5.0), ("z", None)], "e string, m double")
     assert {r.e: r["rank"] for r in R.rank_by_measure(df, "m", "e").collect()} == {"c": 1, "a": 2, "b": 3, "z": None}
+
+
+def test_sorted_csv_and_alias(spark, tmp_path):
+    from tidepanel.sources.long import read_typed_long
+    from tidepanel.sources.sinks import sink_long
+    df = spark.sql("SELECT concat('e', id % 7) AS entity, DATE '2000-01-31' AS date, 'm' AS metric, cast(id AS double) AS value FROM range(200)")
+    sink_long(df, f"{tmp_path}/a", "csv", sort_by=["entity", "value"], alias=f"{tmp_path}/b")
+    for name in "ab":
+        back = [(r.entity, r.value) for r in read_typed_long(spark, f"{tmp_path}/{name}").collect()]
+        assert sorted(back) == sorted((r.entity, r.value) for r in df.collect())
+        import glob
+        rows = [line.split(",") for f in sorted(glob.glob(f"{tmp_path}/{name}/part-*")) for line in open(f).read().splitlines()[1:]]
+        assert [(r[0], float(r[3])) for r in rows] == sorted(back)
+
+
+def test_audit_counts_duplicates_and_clips(spark):
+    from tidepanel.operators import clean as C
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 1, 2.0), ("b", 1, None)], "entity string, date int, value double")
+    got = C.cleaning_audit({"raw": df, "w": df.withColumn("clipped", F.col("value") > 1.5)}, ["value"], ["entity", "date"], "clipped").collect()
+    assert [(r.stage, r.n_rows, r.value_missing, r.n_duplicates, r.n_clipped) for r in got] == [("raw", 3, 1, 1, 0), ("w", 3, 1, 1, 1)]

@@ -110,8 +110,10 @@ def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str])
     """One row per key, the first under ``order``.
 
     Written as a ``min`` over a struct led by the order columns: a partial
-    aggregate runs before the shuffle, so a key holding a third of the rows
-    never sorts in one task (a ``row_number`` window would).
+    aggregate runs before the shuffle, so of a key that holds a third of the
+    rows each task sends one (a ``row_number`` window would gather them all).
+    Spark sorts by key for it.  Name an order column that says what came
+    first; the other columns only break its ties.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -133,8 +135,11 @@ def key_not_null_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df
 
 
-def cleaning_audit(stages: Mapping[str, DataFrame], cols: Sequence[str]) -> DataFrame:
-    """One row per stage: rows, and missing count and % per column.
+def cleaning_audit(stages: Mapping[str, DataFrame], cols: Sequence[str], keys: Sequence[str] = (),
+                   clipped: str | None = None) -> DataFrame:
+    """One row per stage: rows, missing count and % per column, and with
+    ``keys`` the rows beyond the first of their key (``n_duplicates``), with
+    ``clipped`` the rows that flag marks (``n_clipped``; 0 before it exists).
 
     Each stage is one aggregate; the stages are unioned (small output).
     """
@@ -145,6 +150,11 @@ def cleaning_audit(stages: Mapping[str, DataFrame], cols: Sequence[str]) -> Data
             miss = F.sum(F.col(c).isNull().cast("long"))
             aggs += [miss.alias(f"{c}_missing"),
                      F.try_divide(miss * 100.0, F.count(F.lit(1))).alias(f"{c}_missing_pct")]
+        if keys:
+            aggs.append((F.count(F.lit(1)) - F.count_distinct(F.struct(*keys))).alias("n_duplicates"))
+        if clipped:
+            flag = F.sum(F.col(clipped).cast("long")) if clipped in df.columns else F.lit(0).cast("long")
+            aggs.append(F.coalesce(flag, F.lit(0)).alias("n_clipped"))
         r = df.agg(*aggs).select(F.lit(name).alias("stage"), "*")
         rows = r if rows is None else rows.unionByName(r)
     return rows

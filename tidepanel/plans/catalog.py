@@ -115,16 +115,19 @@ def located_points(spark, d):
 # ---------------------------------------------------------------------------
 @register("scan_wide_dates")
 def q_scan_wide_dates(spark, d):
-    """Every order metric as a wide text matrix (one column per month, one
-    row per entity and metric — the stacked files, label from the file
-    name) and back through the wide reader in one unpivot."""
+    """Every order metric as wide CSV files (a row per entity, a column per
+    month) and back through the reader, a folder of files per metric."""
     long = pn_long(spark, d)
-    dates = J.domain_values(long, "date", 5000)
+    span = long.agg(F.explode(F.sequence(F.trunc(F.min("date"), "month"), F.trunc(F.max("date"), "month"),
+                                         F.expr("interval 1 month"))).alias("m"))
+    dates = [r[0] for r in span.select(F.last_day("m")).collect()]  # the calendar, not the rows
     mats = (long.groupBy(F.col("entity").alias("RegionName"), "metric").pivot("date", dates)
             .agg(F.first(F.col("value").cast("string"))))
-    mats = mats.select("RegionName", F.lit("nation").alias("RegionType"), "metric",
-                       *[F.col(f"`{dt}`") for dt in dates])
-    return SW.wide_to_long(mats, metric_col="metric").withColumn("value", r6("value"))
+    mats = mats.select("metric", "RegionName", F.lit("nation").alias("RegionType"), *[F.col(f"`{dt}`") for dt in dates])
+    path = scratch_path(spark, "wide")
+    mats.repartition(4).write.partitionBy("metric").option("header", True).csv(path)
+    files = {m: f"{path}/metric={m}" for m in ORDER_METRICS}
+    return SW.read_wide_dates(spark, files).withColumn("value", r6("value"))
 
 
 @register("scan_header_detail")
@@ -134,14 +137,18 @@ def q_scan_header_detail(spark, d):
 
 @register("scan_nested_json")
 def q_scan_nested_json(spark, d):
-    return round_doubles(SN.explode_events(event_documents(spark, d), "json"))
+    path = scratch_path(spark, "event-documents")
+    event_documents(spark, d).select("json").write.text(path)
+    return round_doubles(SN.read_nested_json(spark, path, one_per_line=True))
 
 
 @register("scan_typed_long")
 def q_scan_typed_long(spark, d):
     text = pn_long(spark, d).select(F.col("entity"), F.date_format("date", "yyyy-MM-dd").alias("date"),
                                     "metric", F.col("value").cast("string").alias("value"))
-    return SL.typed_long(text).withColumn("value", r6("value"))
+    path = scratch_path(spark, "typed-long")
+    text.write.option("header", True).csv(path)
+    return SL.read_typed_long(spark, path).withColumn("value", r6("value"))
 
 
 @register("schema_contract")
@@ -262,9 +269,9 @@ def q_cleaning_audit(spark, d):
     raw = R.unpivot_long(pn_wide(spark, d), ["entity", "date"], list(ORDER_METRICS))
     kept = C.drop_null_measure(raw)
     dedup = C.dedupe_keep_first(kept, ["entity", "date", "metric"], ["value"])
-    win = C.winsorize(dedup)
-    return round_doubles(C.cleaning_audit({"raw": raw, "non_null": kept, "deduped": dedup,
-                                           "winsorized": win}, ["value"]))
+    win = C.winsorize(dedup, flag="clipped")
+    return round_doubles(C.cleaning_audit({"raw": raw, "non_null": kept, "deduped": dedup, "winsorized": win},
+                                          ["value"], ["entity", "date", "metric"], "clipped"))
 
 
 @register("key_not_null_check")

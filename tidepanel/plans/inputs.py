@@ -112,7 +112,6 @@ def shock_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 # southern/eastern hemispheres, a bad latitude, a short line and a bad date.
 # ---------------------------------------------------------------------------
 LINE_SLOTS = 64         # positions per order: header and its lines
-BLOCK_SPAN = 1 << 16    # coarse ordered cut of the positions (split role)
 
 
 def _detail_fields() -> dict:
@@ -146,11 +145,11 @@ def padded(key):
     return F.when(F.length(text) < 8, F.lpad(text, 8, "0")).otherwise(text)
 
 
-ORDERS_PER_FILE = 1 << 17   # order keys per generated text file
+ORDERS_PER_FILE = 1 << 15   # order keys per generated text file
 
 
 def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(file, block, pos, line): header/detail text for every order.
+    """(file, pos, line): header/detail text for every order.
 
     Files hold consecutive order-key ranges, so a detail line finds its file
     from its own order key (no join back to orders)."""
@@ -172,15 +171,23 @@ def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     det = li.select(file_of(F.col("l_orderkey")).alias("file"),
                     (F.col("l_orderkey") * LINE_SLOTS + F.col("l_linenumber")).alias("pos"),
                     F.when(F.col("l_linenumber") == 7, short).otherwise(full).alias("line"))
-    lines = head.unionByName(det)
-    return lines.withColumn("block", F.floor(F.col("pos") / F.lit(BLOCK_SPAN)))
+    return head.unionByName(det)
 
 
 def track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed track points (built once per session)."""
-    from ..sources.text import parse_header_detail
+    """Track points read back from text files (built once per session)."""
+    from ..session import scratch_path
+    from ..sources.text import parse_header_detail, read_lines
     from .materialize import materialized
-    return materialized(spark, ("track_points", sf_dir), lambda: parse_header_detail(track_lines(spark, sf_dir)))
+
+    def build() -> DataFrame:
+        path = scratch_path(spark, "tracks")
+        lines = track_lines(spark, sf_dir).select("file", "pos", "line")
+        # a file's lines go to one task, in order
+        (lines.repartition("file").sortWithinPartitions("file", "pos").select("file", F.col("line").alias("value"))
+         .write.partitionBy("file").text(path))
+        return parse_header_detail(read_lines(spark, path))
+    return materialized(spark, ("track_points", sf_dir), build)
 
 
 def event_documents(spark: SparkSession, sf_dir: str, per_doc: int = 64) -> DataFrame:

@@ -91,11 +91,14 @@ SELECT entity, date, {z6('avg_price')} AS avg_price, {z6('order_count')} AS orde
     "winsorize": with_(PN, winsor_ctes("pn_long", "wz")) + f"""
 SELECT w.entity, w.date, w.metric, {z6('w.value')} AS value, (w.value <> p.value) AS clipped
 FROM wz w JOIN pn_long p ON w.entity = p.entity AND w.date = p.date AND w.metric = p.metric""",
-    "cleaning_audit": with_(PN, winsor_ctes("pn_long", "wz")) + "\n" + " UNION ALL ".join(
+    "cleaning_audit": with_(PN, winsor_ctes("pn_long", "wz")) + """
+, raw AS (""" + " UNION ALL ".join(f"SELECT entity, date, '{m}' AS metric, {m} AS value FROM pn_wide" for m in ORDER_METRICS) + """)
+""" + " UNION ALL ".join(
         f"SELECT '{st}' AS stage, count(*) AS n_rows, CAST(sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS value_missing, "
-        f"{z6('sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*)')} AS value_missing_pct FROM {src}"
-        for st, src in (("raw", "(" + " UNION ALL ".join(f"SELECT {m} AS value FROM pn_wide" for m in ORDER_METRICS) + ")"),
-                        ("non_null", "pn_long"), ("deduped", "pn_long"), ("winsorized", "wz"))),
+        f"{z6('sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) * 100.0 / count(*)')} AS value_missing_pct, "
+        f"count(*) - count(DISTINCT (entity, date, metric)) AS n_duplicates, {clip} AS n_clipped FROM {src}"
+        for st, src, clip in (("raw", "raw", "0"), ("non_null", "pn_long", "0"), ("deduped", "pn_long", "0"),
+                              ("winsorized", "wz", "(SELECT count(*) FROM wz w JOIN pn_long p USING (entity, date, metric) WHERE w.value <> p.value)"))),
     "key_not_null_check": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
     "threshold_category": with_(PN) + f"""
 , per AS (SELECT entity, avg(avg_price) AS m FROM pn_wide GROUP BY entity)

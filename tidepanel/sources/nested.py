@@ -32,7 +32,8 @@ def explode_events(docs: DataFrame, doc_col: str | None = None) -> DataFrame:
         F.coalesce(F.col("deaths"), F.lit(0)).alias("deaths"))
 
 
-def read_nested_json(spark: SparkSession, path: str) -> DataFrame:
-    """Read multi-line JSON documents with a fixed schema (no inference)."""
-    docs = spark.read.schema(EVENT_SCHEMA).option("multiLine", True).json(path)
+def read_nested_json(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Read JSON documents with a fixed schema (no inference): one per file,
+    over many lines, or one on each line (files of these can be split)."""
+    docs = spark.read.schema(EVENT_SCHEMA).option("multiLine", not one_per_line).json(path)
     return explode_events(docs)

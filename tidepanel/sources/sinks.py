@@ -12,15 +12,27 @@ from ..operators.joins import attach_scalar
 
 
 def sink_long(long: DataFrame, path: str, fmt: str = "parquet",
-              partition_by: Sequence[str] = ("metric",)) -> None:
-    """Write the long table, partitioned by metric (parquet) or as one
-    CSV folder with a header.  Sorting is left to readers: a total order
-    on write would add a range shuffle for nothing."""
-    w = long.write.mode("overwrite")
-    if fmt == "parquet":
-        w.partitionBy(*partition_by).parquet(path)
-    else:
-        w.option("header", True).csv(path)
+              partition_by: Sequence[str] = ("metric",), sort_by: Sequence[str] = (),
+              alias: str | None = None) -> None:
+    """Write the long table, partitioned by metric (parquet) or as a CSV
+    folder with a header.
+
+    ``sort_by`` gives the files a total order (part names in order, rows in
+    order within them) by a range shuffle.  ``alias`` is a second folder that
+    gets the same rows; it is copied from what was written, not computed anew.
+    """
+    def write(df: DataFrame, to: str) -> None:
+        df = df.orderBy(*sort_by) if sort_by else df
+        if fmt == "parquet":
+            df.write.mode("overwrite").partitionBy(*partition_by).parquet(to)
+        else:
+            df.write.mode("overwrite").option("header", True).csv(to)
+
+    write(long, path)
+    if alias:
+        read = long.sparkSession.read.schema(long.schema)
+        back = read.parquet(path) if fmt == "parquet" else read.option("header", True).csv(path)
+        write(back.select(*long.columns), alias)
 
 
 def dataset_metadata(long: DataFrame, entity: str = "entity", date: str = "date",

@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.scalar import sentinel_int, signed_lat, signed_lon
 
 # Fixed values of the format.
-HEADER_PREFIX = r"^(AL|EP|CP)[0-9]"
+HEADER_LINE = r"^\s*(AL|EP|CP)[0-9][^,]*,[^,]*,"  # prefix and number, at least three fields
 DETAIL_MIN_FIELDS = 8
-HEADER_MIN_FIELDS = 3
 
 
 def read_lines(spark: SparkSession, paths) -> DataFrame:
@@ -57,18 +56,16 @@ def parse_header_detail(lines: DataFrame, file: str = "file", block: str = "bloc
                         pos: str = "pos", line: str = "line") -> DataFrame:
     """Track points: storm_id, storm_name, date, time, record_id, status,
     lat, lon, max_wind, min_pressure (types as in the reference)."""
-    parts = F.transform(F.split(F.col(line), ","), lambda x: F.trim(x))
-    t = lines.withColumn("_p", parts).withColumn("_np", F.size("_p"))
-    first = F.col("_p")[0]
-    is_header = first.rlike(HEADER_PREFIX) & (F.col("_np") >= HEADER_MIN_FIELDS)
-    t = carry_forward(t, is_header, {"storm_id": F.col("_p")[0], "storm_name": F.col("_p")[1]},
-                      file, block, pos)
-    p = F.col("_p")
-    detail = (~F.col("_is_hdr") & (F.col("_np") >= DETAIL_MIN_FIELDS)
-              & first.rlike(r"^[0-9]{8}$") & F.col("storm_id").isNotNull())
+    is_header = F.col(line).rlike(HEADER_LINE)
+    field = lambda i: F.trim(F.split_part(F.col(line), F.lit(","), F.lit(i)))
+    # the shuffle carries lines and header fields; details are split after it
+    t = carry_forward(lines, is_header, {"storm_id": field(1), "storm_name": field(2)}, file, block, pos)
+    t = t.where(~F.col("_is_hdr") & F.col("storm_id").isNotNull()).withColumn("_p", F.transform(F.split(F.col(line), ","), lambda x: F.trim(x)))
+    p = lambda i: F.get("_p", F.lit(i))  # noqa: E731  (null beyond the last field)
+    detail = (F.size("_p") >= DETAIL_MIN_FIELDS) & p(0).rlike(r"^[0-9]{8}$")
     out = t.where(detail).select(
         "storm_id", "storm_name",
-        p[0].alias("date"), p[1].alias("time"), p[2].alias("record_id"), p[3].alias("status"),
-        signed_lat(p[4]).alias("lat"), signed_lon(p[5]).alias("lon"),
-        sentinel_int(p[6]).alias("max_wind"), sentinel_int(p[7]).alias("min_pressure"))
+        p(0).alias("date"), p(1).alias("time"), p(2).alias("record_id"), p(3).alias("status"),
+        signed_lat(p(4)).alias("lat"), signed_lon(p(5)).alias("lon"),
+        sentinel_int(p(6)).alias("max_wind"), sentinel_int(p(7)).alias("min_pressure"))
     return out.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
