@@ -1,8 +1,8 @@
 """Driver-side distribution functions for test statistics (scalars only).
 
 scipy is not available, so the t, F and chi-square tails come from the
-regularised incomplete beta and gamma functions (continued fractions, as in
-standard numerical texts), and the normal from ``statistics.NormalDist``.
+regularised incomplete beta and gamma functions (series and continued
+fractions of the Digital Library of Mathematical Functions), and the normal from ``statistics.NormalDist``.
 """
 
 from __future__ import annotations
@@ -11,32 +11,20 @@ import math
 from statistics import NormalDist
 
 _EPS = 1e-15
-_TINY = 1e-300
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > _TINY else _TINY)
-    h = d
-    for m in range(1, 400):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > _TINY else _TINY)
-        c = 1.0 + aa / c
-        c = c if abs(c) > _TINY else _TINY
-        dl = d * c
-        h *= dl
-        if abs(dl - 1.0) < _EPS:
-            break
-    return h
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """The continued fraction of DLMF 8.17.22, summed from its tail.
+
+    Its terms settle after a number that grows with the root of the larger
+    parameter.
+    """
+    value = 0.0
+    for m in range(60 + int(6 * math.sqrt(max(a, b))), -1, -1):
+        even = (m + 1) * (b - m - 1) * x / ((a + 2 * m + 1) * (a + 2 * m + 2))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        value = odd / (1.0 + even / (1.0 + value))
+    return 1.0 / (1.0 + value)
 
 
 def betainc(a: float, b: float, x: float) -> float:
@@ -47,8 +35,8 @@ def betainc(a: float, b: float, x: float) -> float:
         return 1.0
     lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
     if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+        return math.exp(lbt) * _beta_fraction(a, b, x) / a
+    return 1.0 - math.exp(lbt) * _beta_fraction(b, a, 1.0 - x) / b
 
 
 def t_sf2(t: float, df: float) -> float:
@@ -66,36 +54,24 @@ def f_sf(f: float, d1: float, d2: float) -> float:
 
 
 def gammainc_upper(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x)."""
+    """Regularised upper incomplete gamma Q(a, x): the power series of its
+    complement (DLMF 8.7.1) for small x, else the fraction of DLMF 8.9.2 from
+    its tail."""
     if x <= 0:
         return 1.0
-    gln = math.lgamma(a)
+    front = math.exp(a * math.log(x) - x - math.lgamma(a))
     if x < a + 1.0:
-        ap, s, dl = a, 1.0 / a, 1.0 / a
-        for _ in range(1000):
-            ap += 1.0
-            dl *= x / ap
-            s += dl
-            if abs(dl) < abs(s) * _EPS:
-                break
-        return 1.0 - s * math.exp(-x + a * math.log(x) - gln)
-    b = x + 1.0 - a
-    c = 1.0 / _TINY
-    d = 1.0 / b
-    h = d
-    for i in range(1, 1000):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = d if abs(d) > _TINY else _TINY
-        c = b + an / c
-        c = c if abs(c) > _TINY else _TINY
-        d = 1.0 / d
-        dl = d * c
-        h *= dl
-        if abs(dl - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
+        term = total = 1.0 / a
+        k = 1
+        while term > total * _EPS:
+            term *= x / (a + k)
+            total += term
+            k += 1
+        return 1.0 - front * total
+    value = x
+    for k in range(80 + int(8 * math.sqrt(x)), 0, -1):
+        value = x + (k - a) / (1.0 + k / value)
+    return front / value
 
 
 def chi2_sf(x: float, k: float) -> float:
