@@ -49,17 +49,15 @@ def left_join_zero(left: DataFrame, right: DataFrame, on: Sequence[str],
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate (a cutoff, a median, a
-    count) to every row as literals.
+    count) to every row.
 
-    The aggregate is computed first (a handful of scalars reach the
-    driver); no join — and so no cross product — is planned.
+    The aggregate is a scalar subquery: it stays lazy, no row is collected
+    while the plan is built, and no join is planned.  An empty aggregate
+    gives nulls; more than one row fails when the query runs.
     """
-    rows = one_row.limit(2).collect()
-    if len(rows) > 1:
-        raise ValueError("attach_scalar expects a one-row table")
-    fields = one_row.schema.fields
-    vals = rows[0].asDict() if rows else {f.name: None for f in fields}
-    return df.withColumns({f.name: F.lit(vals[f.name]).cast(f.dataType) for f in fields})
+    one = one_row.select(F.struct(*[F.col(c) for c in one_row.columns]).alias("one")).scalar()
+    return (df.withColumn("_scalar", one)
+            .withColumns({c: F.col("_scalar")[c] for c in one_row.columns}).drop("_scalar"))
 
 
 def domain_values(df: DataFrame, col: str, max_values: int = 10_000) -> list:
