@@ -30,16 +30,18 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import scratch_path, ship_package, slices
 
 MIN_BYTES, ANCHOR_BYTES = 400, 160
-#: Contexts of one anchor that are compared in one task; beyond that its strings are counted by a shuffle.
-GROUP_CONTEXTS = 1000
-#: Per-document lists of at most so many entries in all (32 bytes each) are broadcast; larger ones are joined by shuffle.
-BROADCAST_ENTRIES = 600_000
-SALTS = 64
+#: Contexts of one anchor (640 bytes each) that are compared in one task; beyond that its strings are counted by a shuffle.
+GROUP_CONTEXTS = 20_000
+#: Places of a string around its anchor that the counting looks at together first.
+OFFSETS = 24
+#: Per-document lists of at most so many numbers in all (8 bytes each) are broadcast; larger ones are joined by shuffle.
+BROADCAST_ENTRIES = 3_000_000
 
 MULT = np.uint64(0x9E3779B97F4A7C15)
 ODD = 0xD6E8FEB86659FD93
@@ -113,8 +115,27 @@ def intervals(lcp: list[int], least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((d, first))
 
 
+class _RangeMin:
+    """Minimum of any stretch of a list of numbers, from minima of power-of-two stretches."""
+
+    def __init__(self, x: np.ndarray):
+        self.rows = [x]
+        while len(x) > (step := 1 << (len(self.rows) - 1)):
+            x = np.minimum(x[:-step], x[step:])
+            self.rows.append(x)
+
+    def __call__(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Minima over first .. last, ends included."""
+        level = np.frexp((last - first + 1).astype(np.float64))[1] - 1
+        out = np.empty(len(first), np.int64)
+        for k in np.unique(level):
+            at = level == k
+            out[at] = np.minimum(self.rows[k][first[at]], self.rows[k][last[at] - (1 << int(k)) + 1])
+        return out
+
+
 def maximal_groups(before: list[bytes], after: list[bytes], min_bytes: int, k: int,
-                   settled: list[bool] | None = None) -> Iterator[tuple[int, int, list[int]]]:
+                   settled: np.ndarray | None = None) -> Iterator[tuple[int, int, list[int]]]:
     """(left, right, members) of the maximal repeats through one anchor.
 
     ``before`` holds the bytes before the anchor reversed, ``after`` those
@@ -123,18 +144,39 @@ def maximal_groups(before: list[bytes], after: list[bytes], min_bytes: int, k: i
     is shared by all of them (within the given bytes).  Deeper intervals come
     first; an interval whose members the caller has all ``settled`` by then is
     passed over.
+
+    Both sides are sorted once.  In an interval of the one side only those can
+    be in a group whose longest match on the other side, with anyone, is long
+    enough; among these the common prefixes of neighbours are range minima.
     """
-    order = sorted(range(len(after)), key=after.__getitem__)
-    lcp = [common(after[a], after[b]) for a, b in zip(order, order[1:], strict=False)]
-    for right, first, last in intervals(lcp, k):
-        if settled is not None and all(settled[order[i]] for i in range(first, last + 1)):
+    n = len(after)
+    order = np.array(sorted(range(n), key=after.__getitem__))
+    other = np.array(sorted(range(n), key=before.__getitem__))
+    lcp = np.array([common(after[a], after[b]) for a, b in zip(order, order[1:], strict=False)], np.int64)
+    left_lcp = np.array([common(before[a], before[b]) for a, b in zip(other, other[1:], strict=False)], np.int64)
+    place = np.empty(n, np.int64)
+    place[other] = np.arange(n)
+    place = place[order]  # of each element in right order, its place in left order
+    ends = np.concatenate([[-1], left_lcp, [-1]])
+    longest = np.maximum(ends[:-1], ends[1:])[place]
+    right_min, left_min = _RangeMin(lcp), _RangeMin(left_lcp)
+    for right, first, last in intervals(lcp.tolist(), k):
+        need = max(0, min_bytes - right)
+        inside = first + np.flatnonzero(longest[first:last + 1] >= need)
+        if len(inside) < 2 or settled is not None and settled[order[inside]].all():
+            continue
+        inside = inside[np.argsort(place[inside])]
+        at = place[inside]
+        near = left_min(at[:-1], at[1:] - 1)
+        if near.max() < need:
             continue
-        inside = sorted(range(first, last + 1), key=lambda i: before[order[i]])
-        left_lcp = [common(before[order[a]], before[order[b]]) for a, b in zip(inside, inside[1:], strict=False)]
-        for left, lo, hi in intervals(left_lcp, max(0, min_bytes - right)):
-            ranks = inside[lo:hi + 1]
-            if min(lcp[min(ranks):max(ranks)]) == right:  # else a deeper interval holds them all
-                yield left, right, [order[i] for i in ranks]
+        # stretches of neighbours that share enough
+        cut = np.flatnonzero(np.diff(np.concatenate([[False], near >= need, [False]]).astype(np.int8)))
+        for lo, hi in zip(cut[::2].tolist(), cut[1::2].tolist(), strict=True):
+            for left, x, y in intervals(near[lo:hi].tolist(), need):
+                ranks = inside[lo + x:lo + y + 1]
+                if right_min(ranks.min(keepdims=True), ranks.max(keepdims=True) - 1)[0] == right:  # else a deeper interval holds them all
+                    yield left, right, order[ranks].tolist()
 
 
 def _store(df: DataFrame, name: str) -> DataFrame:
@@ -178,50 +220,46 @@ def find_anchors(rows: DataFrame, min_bytes: int, k: int) -> DataFrame:
     return rows.select("d", "z", "t").mapInArrow(run, f"d {kind}, z long, p int, a long, c long, l int, r int")
 
 
-def _spread_join(rows: DataFrame, look: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join to one row per key, by (keys, salt), so that a hot key is not one task's."""
-    salted = rows.withColumn("_s", F.pmod(F.xxhash64("d", "z", "p"), F.lit(SALTS)).cast("int"))
-    spread = salted.select(*keys, "_s").distinct().join(look, keys)
-    return salted.join(spread, [*keys, "_s"]).drop("_s")
-
-
-def _with_lists(rows: DataFrame, lists: DataFrame, entries: int, how: str) -> DataFrame:
-    """Rows (d, z, t) with their document's list."""
-    if entries <= BROADCAST_ENTRIES:
+def _with_lists(rows: DataFrame, lists: DataFrame, col: str, how: str) -> DataFrame:
+    """Rows (d, z, t) with their document's list ``col``."""
+    if lists.agg(F.coalesce(F.sum(F.size(col) + 4), F.lit(0))).first()[0] <= BROADCAST_ENTRIES:
         lists = F.broadcast(lists)
     right = lists.withColumnRenamed("d", "d2").withColumnRenamed("z", "z2")
     return rows.join(right, (F.col("z") == F.col("z2")) & F.col("d").eqNullSafe(F.col("d2")), how).drop("d2", "z2")
 
 
-def _contexts(rows: DataFrame, wanted: DataFrame, entries: int, min_bytes: int, k: int) -> DataFrame:
-    """(a, c, hot, before, after): the bytes around one place of each wanted context."""
-    lists = wanted.groupBy("d", "z").agg(F.collect_list(F.struct("p", "a", "c", "hot")).alias("w"))
-    src = _with_lists(rows, lists, entries, "inner").select("t", "w")
+def _contexts(rows: DataFrame, wanted: DataFrame, min_bytes: int, k: int) -> DataFrame:
+    """(a, c, before, after): the bytes around the wanted places (d, z, p)."""
+    lists = _store(wanted.groupBy("d", "z").agg(F.collect_list("p").alias("w")), "repeat-places")
+    src = _with_lists(rows, lists, "w", "inner").select("t", "w")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 0):
-            a, c, hot, before, after = [], [], [], [], []
+            a, c, before, after = [], [], [], []
             for t, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                data = t.encode()
-                for x in w:
-                    p = x["p"]
-                    a.append(x["a"])
-                    c.append(x["c"])
-                    hot.append(x["hot"])
-                    before.append(data[max(0, p - (min_bytes - k)):p][::-1])
-                    after.append(data[p:p + min_bytes])
+                data, want = t.encode(), set(w)
+                for p, h in zip(*[x.tolist() for x in anchors(data, min_bytes, k)], strict=True):
+                    if p in want:
+                        left = min(p, min_bytes - k)
+                        a.append(h)
+                        c.append(xxhash.xxh3_64_intdigest(data[p - left:p + min_bytes], left))
+                        before.append(data[p - left:p][::-1])
+                        after.append(data[p:p + min_bytes])
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(hot, pa.bool_()),
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(a, np.uint64).view(np.int64)), pa.array(np.array(c, np.uint64).view(np.int64)),
                                                   pa.array(before, pa.binary()), pa.array(after, pa.binary())],
-                                                 names=["a", "c", "hot", "before", "after"])
+                                                 names=["a", "c", "before", "after"])
 
-    return src.mapInArrow(run, "a long, c long, hot boolean, before binary, after binary")
+    return src.mapInArrow(run, "a long, c long, before binary, after binary")
 
 
 def reaches(before: list[bytes], after: list[bytes], min_bytes: int, k: int) -> list[tuple[int, int]]:
     """For each context how far maximal repeats reach before and from its anchor (0, 0: it is in none)."""
+    if len(after) == 2:  # most anchors: one pair, one possible group
+        x, y = common(before[0], before[1]), common(after[0], after[1])
+        return [(x, y) if x + y >= min_bytes else (0, 0)] * 2
     left, right = [0] * len(after), [0] * len(after)
-    settled = [False] * len(after)
+    settled = np.zeros(len(after), bool)
     for x, y, members in maximal_groups(before, after, min_bytes, k, settled):
         for i in members:
             left[i], right[i] = max(left[i], x), max(right[i], y)
@@ -286,82 +324,121 @@ def _groups(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
     return _by_anchor(contexts, work, "a long, c long, g long, l int, r int")
 
 
-def _hot_groups(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
-    """As :func:`_groups`, for anchors of many contexts: their windows of min_bytes, hashed, that two contexts share."""
+def _seen_twice(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys occur twice (hot keys: the counts are partial sums, the join is split by adaptive execution)."""
+    return rows.join(rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").drop("n"), keys)
+
+
+def _hashes(contexts: DataFrame, work, schema: str) -> DataFrame:
+    """Rows of ``work(before, after, extra)`` for each context (a, c, before, after[, extra]), behind a and c."""
+    names = ["a", "c", *[f.split()[0] for f in schema.split(", ")]]
+    kinds = [pa.int64(), pa.int64(), *[pa.int64() if f.split()[1] == "long" else pa.int32() for f in schema.split(", ")]]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
-                a, c, g, left = [], [], [], []
-                for x, y, before, after in zip(*[part.column(i).to_pylist() for i in range(4)], strict=True):
-                    whole = np.frombuffer(before[::-1] + after, np.uint8)
-                    if len(whole) < min_bytes:
-                        continue
-                    h = rolling(whole, min_bytes)
-                    offs = len(before) - np.arange(len(h))
-                    fine = (offs >= 0) & (offs <= min_bytes - k)
-                    g.append(h[fine].view(np.int64))
-                    left.append(offs[fine])
-                    a.append(np.full(int(fine.sum()), x))
-                    c.append(np.full(int(fine.sum()), y))
-                if a:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v), t) for v, t in
-                                                      zip((a, c, g, left), (pa.int64(), pa.int64(), pa.int64(), pa.int32()), strict=True)],
-                                                     names=["a", "c", "g", "l"])
-
-    windows = _store(contexts.select("a", "c", "before", "after").distinct().mapInArrow(run, "a long, c long, g long, l int"), "repeat-windows")
-    # counted by place in the window too: contexts of one text may hold one and the same window
-    shared = windows.groupBy("a", "g", "l").agg(F.count("*").alias("n")).filter("n > 1").select("a", "g", "l")
-    named = windows.withColumn("d", F.col("c")).withColumn("z", F.lit(0)).withColumn("p", F.lit(0))
-    return _spread_join(named, shared, ["a", "g", "l"]).select("a", "c", "g", "l", (min_bytes - F.col("l")).cast("int").alias("r"))
+                out = [(x[0], x[1], *r) for x in zip(*[col.to_pylist() for col in b.slice(lo, 256).columns], strict=True) for r in work(*x[2:])]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+    return contexts.mapInArrow(run, f"a long, c long, {schema}")
+
+
+def _hot_groups(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
+    """As :func:`_groups` by single strings, for anchors of many contexts: strings of min_bytes that two contexts share.
+
+    The strings through an anchor are its windows by how far they begin before
+    it, OFFSETS at a time.  What all of these have in common is counted first:
+    seen once, none of them can be shared.  Then their union: seen twice, all
+    of them are.  Only where neither decides are the windows hashed one by
+    one.  Counts are by place too, as contexts of one text may hold the same
+    window.
+    """
+    most = min_bytes - k
+    digest = lambda x: xxhash.xxh3_64_intdigest(x) - (1 << 63)
+    contexts = _store(contexts.dropDuplicates(["a", "c"]).select("a", "c", "before", "after"), "repeat-hot")
+
+    def coarse(before: bytes, after: bytes) -> Iterator[tuple]:
+        for lo in range(0, most + 1, OFFSETS):
+            hi = min(lo + OFFSETS - 1, most)
+            if len(before) >= lo and len(after) >= min_bytes - hi:
+                yield lo, digest(before[:lo][::-1] + b"|" + after[:min_bytes - hi])
+
+    def whole(before: bytes, after: bytes, los: list[int]) -> Iterator[tuple]:
+        for lo in los:
+            hi = min(lo + OFFSETS - 1, most)
+            if len(before) >= hi and len(after) >= min_bytes - lo:
+                yield lo, digest(before[:hi][::-1] + b"|" + after[:min_bytes - lo])
+
+    def fine(before: bytes, after: bytes, los: list[int]) -> Iterator[tuple]:
+        for lo in los:
+            for o in range(lo, min(lo + OFFSETS, most + 1)):
+                if len(before) >= o and len(after) >= min_bytes - o:
+                    yield digest(before[:o][::-1] + after[:min_bytes - o]), o, min_bytes - o
+
+    def with_los(rows: DataFrame) -> DataFrame:
+        return contexts.join(rows.groupBy("a", "c").agg(F.collect_list("lo").alias("los")), ["a", "c"]).select("a", "c", "before", "after", "los")
+
+    maybe = _store(_seen_twice(_hashes(contexts, coarse, "lo int, g long"), ["a", "lo", "g"]).select("a", "c", "lo"), "repeat-maybe")
+    sure = _store(_seen_twice(_hashes(with_los(maybe), whole, "lo int, g long"), ["a", "lo", "g"]), "repeat-sure")
+    open_ = maybe.join(sure.select("a", "c", "lo"), ["a", "c", "lo"], "left_anti")
+    single = _seen_twice(_hashes(with_los(open_), fine, "g long, l int, r int"), ["a", "g", "l"])
+    hi = F.least(F.col("lo") + OFFSETS - 1, F.lit(most)).cast("int")
+    return (sure.select("a", "c", "g", hi.alias("l"), (min_bytes - F.col("lo")).cast("int").alias("r"))
+            .unionByName(single.select("a", "c", "g", "l", "r")))
 
 
 class Repeats:
-    """Tables of one corpus: ``anchors`` (places), ``contexts`` (bytes around anchors that differ), ``reach`` (by context)."""
+    """Tables of one corpus: ``anchors`` (places of anchors seen twice) and ``reach`` (how far repeats reach, by context)."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = MIN_BYTES, k: int = ANCHOR_BYTES):
         ship_package(docs.sparkSession)
-        self.min_bytes = min_bytes
+        self.min_bytes, self.k = min_bytes, k
         self.rows = _keyed(docs, id_col, text_col)
-        self.anchors = _store(find_anchors(self.rows, min_bytes, k), "repeat-anchors")
-        one = self.anchors.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("d", "z", "p", "l", "r")).alias("one"))
-        classes = _store(one.select("a", "c", "n", "one.*"), "repeat-contexts")
-        several = classes.groupBy("a").agg(F.count("*").alias("m")).filter("m > 1")
-        wanted = _store(_spread_join(classes.select("d", "z", "p", "a", "c"), several, ["a"])
-                        .withColumn("hot", F.col("m") > GROUP_CONTEXTS).drop("m"), "repeat-wanted")
-        counts = {r["hot"]: r["count"] for r in wanted.groupBy("hot").count().collect()}
-        self.contexts = _store(_contexts(self.rows, wanted, sum(counts.values()), min_bytes, k), "repeat-bytes")
-        self.hot, self.k = bool(counts.get(True)), k
-        reach = _reaches(self.contexts.filter(~F.col("hot")), min_bytes, k)
+        found = _store(find_anchors(self.rows, min_bytes, k), "repeat-anchors")
+        # most anchors are seen once and end here
+        again = (found.groupBy("a").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).filter("n > 1")
+                 .select("a", (F.col("lo") != F.col("hi")).alias("differ")))
+        self.anchors = _store(found.join(again, "a"), "repeat-hits")
+        classes = self.anchors.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("d", "z", "p")).alias("one"),
+                                                     F.first("l").alias("l"), F.first("r").alias("r"), F.first("differ").alias("differ"))
+        classes = _store(classes.select("a", "c", "n", "one.*", "l", "r", "differ"), "repeat-contexts")
+        differ = classes.filter("differ")
+        many = differ.groupBy("a").agg(F.count("*").alias("m")).filter(F.col("m") > GROUP_CONTEXTS).select("a")
+        self.hot = not many.isEmpty()
+        cold = differ.join(many, "a", "left_anti") if self.hot else differ
+        self.cold_contexts = _contexts(self.rows, cold.select("d", "z", "p"), min_bytes, k)
+        reach = _reaches(self.cold_contexts, min_bytes, k)
         if self.hot:
-            hot = _hot_groups(self.contexts.filter("hot"), min_bytes, k)
+            self.hot_contexts = _contexts(self.rows, differ.join(many, "a", "left_semi").select("d", "z", "p"), min_bytes, k)
+            hot = _hot_groups(self.hot_contexts, min_bytes, k)
             reach = reach.unionByName(hot.groupBy("a", "c").agg(F.max("l").alias("l"), F.max("r").alias("r")))
         # a context of several places repeats as a whole
         whole = classes.filter("n > 1").select("a", "c", "l", "r")
         self.reach = _store(whole.unionByName(reach).groupBy("a", "c").agg(F.max("l").alias("l"), F.max("r").alias("r")), "repeat-reach")
 
     def groups(self) -> DataFrame:
-        """(a, c, g, l, r): the contexts of every maximal repeat g that different contexts share."""
-        groups = _groups(self.contexts.filter(~F.col("hot")), self.min_bytes, self.k)
-        return groups.unionByName(_hot_groups(self.contexts.filter("hot"), self.min_bytes, self.k)) if self.hot else groups
+        """(a, c, g, l, r): the contexts of every maximal repeat g that different contexts share.
+
+        For anchors of more than GROUP_CONTEXTS contexts: of every shared
+        stretch of strings found by counting.
+        """
+        groups = _groups(self.cold_contexts, self.min_bytes, self.k)
+        return groups.unionByName(_hot_groups(self.hot_contexts, self.min_bytes, self.k)) if self.hot else groups
 
     def occurrences(self) -> DataFrame:
         """(d, z, start, length, g): every place of every maximal repeat that different contexts share."""
-        found = _spread_join_many(self.anchors.select("d", "z", "p", "a", "c"), self.groups())
+        found = self.anchors.select("d", "z", "p", "a", "c").join(self.groups(), ["a", "c"])
         return found.select("d", "z", (F.col("p") - F.col("l")).alias("start"), (F.col("l") + F.col("r")).alias("length"), "g").distinct()
 
     def covered(self) -> DataFrame:
-        """(d, z, s): for each document with repeats the covered ranges, as found (they overlap), as begin * 2**32 + end."""
-        found = _spread_join(self.anchors.select("d", "z", "p", "a", "c"), self.reach, ["a", "c"])
-        # begin and end in one number; ranges that are equal count once
-        span = F.shiftleft((F.col("p") - F.col("l")).cast("long"), 32) + F.col("p") + F.col("r")
-        return found.groupBy("d", "z").agg(F.collect_set(span).alias("s"))
-
-
-def _spread_join_many(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    salted = rows.withColumn("_s", F.pmod(F.xxhash64("d", "z", "p"), F.lit(SALTS)).cast("int"))
-    spread = salted.select("a", "c", "_s").distinct().join(groups, ["a", "c"])
-    return salted.join(spread, ["a", "c", "_s"]).drop("_s")
+        """(d, z, b, e): the maximal covered ranges of each document."""
+        found = self.anchors.select("d", "z", "p", "a", "c").join(self.reach, ["a", "c"])
+        spans = found.select("d", "z", (F.col("p") - F.col("l")).alias("b"), (F.col("p") + F.col("r")).alias("e"))
+        w = W.partitionBy("d", "z").orderBy("b", "e")
+        before = F.max("e").over(w.rowsBetween(W.unboundedPreceding, -1))
+        begun = F.sum((before.isNull() | (F.col("b") > before)).cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0))
+        return spans.withColumn("run", begun).groupBy("d", "z", "run").agg(F.min("b").alias("b"), F.max("e").alias("e")).drop("run")
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -386,9 +463,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are allowed.  An empty table gives no rows.
     """
     found = Repeats(docs, id_col, text_col, min_bytes)
-    lists = _store(found.covered(), "repeat-spans")
-    entries = lists.agg(F.coalesce(F.sum(F.size("s")), F.lit(0))).first()[0]
-    src = _with_lists(found.rows, lists, entries, "left").select("d", "t", "s")
+    # begin and end in one number
+    span = F.shiftleft(F.col("b").cast("long"), 32) + F.col("e")
+    lists = _store(found.covered().groupBy("d", "z").agg(F.collect_list(span).alias("s")), "repeat-spans")
+    src = _with_lists(found.rows, lists, "s", "left").select("d", "t", "s")
     kind = src.schema["d"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
