@@ -79,7 +79,7 @@ class RuleModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def grow_paths(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, bins: int = 32, rate: float = 0.3,
+def grow_paths(x: np.ndarray, y: np.ndarray, trees: int = 20, depth: int = 3, bins: int = 32, rate: float = 0.3,
                min_rows: int = 20, seed: int = 5) -> list[tuple[Condition, ...]]:
     """Root-to-node paths of gradient-boosted trees, each grown on a random half of the rows."""
     rng = np.random.default_rng(seed)
@@ -144,7 +144,7 @@ def lasso_logistic(m: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 4
     return float(b), w
 
 
-def fit_rules(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> RuleModel:
+def fit_rules(x: np.ndarray, y: np.ndarray, penalty: float = 3e-3) -> RuleModel:
     """Rules and weights from features ``x`` (columns as FEATURES) and labels 0/1; one class alone gives no rules."""
     ones = float(y.sum())
     prior = np.log((ones + 1) / (len(y) - ones + 1))
@@ -182,6 +182,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
 def score_quality(docs: DataFrame, model: RuleModel, text_col: str = "text", threshold: float = 0.7,
                   score_col: str = "score", class_col: str = "predicted") -> DataFrame:
-    """``docs`` with the probability of label 1 and whether it reaches ``threshold`` (1 or 0)."""
-    return (with_features(docs, text_col).withColumn(score_col, model.column()).drop(*[f"_q_{f}" for f in FEATURES])
-            .withColumn(class_col, (F.col(score_col) >= threshold).cast("int")))
+    """``docs`` with the probability of label 1 and whether it reaches ``threshold`` (1 or 0).
+
+    The score passes through a one-element ``explode``: a later filter on it
+    is then not pushed below, where every rule would compute its statistics
+    anew.
+    """
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (score_col, class_col)]
+    scored = with_features(docs, text_col).select(*kept, F.explode(F.array(model.column())).alias(score_col))
+    return scored.withColumn(class_col, (F.col(score_col) >= threshold).cast("int"))
