@@ -33,7 +33,7 @@ from .common import ship_package, slices
 # Fixed value: the word-splitting pattern of byte-level BPE vocabularies of this family.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words whose ids a worker remembers in each of two generations (results do not depend on it).
-WORD_CACHE = 350_000
+WORD_CACHE = 150_000
 
 
 def byte_letters() -> dict[str, int]:

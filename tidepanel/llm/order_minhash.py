@@ -34,7 +34,7 @@ from .graph import components, with_group_min
 
 WORDS, SKETCHES, LENGTH, THRESHOLD = 5, 20, 4, 0.8
 #: A group is compared in pairs of blocks of at most so many texts and shingles.
-BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 2_000_000
+BLOCK_TEXTS, BLOCK_SHINGLES = 512, 2_000_000
 
 MULT = np.uint64(0x9E3779B97F4A7C15)
 SALT = np.uint64(0xD6E8FEB86659FD93)
@@ -51,7 +51,7 @@ SEEDS = _mix(np.arange(1, 257, dtype=np.uint64) * MULT)
 
 class _WordHash(dict):
     def __missing__(self, w: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[w] = h = xxhash.xxh64_intdigest(w)
         return h
@@ -93,7 +93,7 @@ def sketch(s: np.ndarray, sketches: int = SKETCHES, length: int = LENGTH) -> lis
         return []
     length = min(length, len(s))
     out = np.zeros(sketches, np.uint64)
-    step = max(1, 4_000_000 // len(s))
+    step = max(1, 500_000 // len(s))
     for lo in range(0, sketches, step):
         seeds = SEEDS[lo:min(lo + step, sketches)]
         v = _mix(s[None, :] ^ seeds[:, None])
@@ -172,14 +172,16 @@ def group_links(ids: np.ndarray, seqs: list[np.ndarray], side: np.ndarray | None
     order = np.argsort(code, kind="stable")
     owner, code = owner[order], code[order]
     shared = np.zeros((n, n), np.float32)
-    width = 4096
+    width = 2048
     total = int(code[-1]) + 1 if len(code) else 0
     for lo in range(0, total, width):
         i, j = np.searchsorted(code, [lo, lo + width])
         x = np.zeros((n, min(width, total - lo)), np.float32)
         x[owner[i:j], code[i:j] - lo] = 1
         shared += x @ x.T
-    may = shared * (1 + threshold) >= threshold * (sizes[:, None] + sizes[None, :]) - 1e-3
+    least = (threshold * sizes).astype(np.float32)
+    may = shared * np.float32(1 + threshold) >= least[:, None] + least[None, :] - np.float32(1e-3 + 1e-6 * sizes.max())
+    del shared
     np.fill_diagonal(may, False)
     if side is not None:
         may &= side[:, None] != side[None, :]
