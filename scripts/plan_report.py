@@ -1,4 +1,4 @@
-"""Summarise the final (adaptive) physical plan of every registered query:
+"""Summarise the final (adaptive) physical plan of every query of the catalog:
 exchanges, join strategies, windows, Python stages and scans.  Writes a
 markdown table to stdout.
 
@@ -18,18 +18,18 @@ PATTERNS = {
     "smj": r"SortMergeJoin",
     "bnlj": r"BroadcastNestedLoopJoin",
     "windows": r"\bWindow\b",
-    "python": r"MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas",
+    "python": r"MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas|FlatMapGroupsInArrow",
     "single_partition": r"SinglePartition",
 }
 
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
     spark = local_session()
     print("| key | exchanges | broadcast joins | sort-merge joins | nested-loop joins | windows | python stages | single-partition |")
     print("|---|---|---|---|---|---|---|---|")
-    for k, q in sorted(E.queries().items()):
+    from tidepanel.plans.catalog import REGISTRY
+    for k, q in sorted(REGISTRY.items()):
         df = q(spark, sf)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
