@@ -134,49 +134,79 @@ class _RangeMin:
         return out
 
 
-def maximal_groups(before: list[bytes], after: list[bytes], min_bytes: int, k: int,
-                   settled: np.ndarray | None = None) -> Iterator[tuple[int, int, list[int]]]:
-    """(left, right, members) of the maximal repeats through one anchor.
+def _sorted_side(side: list[bytes], of) -> tuple[list[int], list[int]]:
+    """The elements ``of`` in order of their bytes, and the common prefixes of neighbours."""
+    order = sorted(of, key=side.__getitem__)
+    return order, [common(side[a], side[b]) for a, b in zip(order, order[1:], strict=False)]
+
 
-    ``before`` holds the bytes before the anchor reversed, ``after`` those
-    from it on.  Members share ``left`` bytes before and ``right`` from the
-    anchor on, at least ``min_bytes`` together; no byte more on either side
-    is shared by all of them (within the given bytes).  Deeper intervals come
-    first; an interval whose members the caller has all ``settled`` by then is
-    passed over.
+class _Contexts:
+    """The contexts of one anchor, both sides sorted once.
 
-    Both sides are sorted once.  In an interval of the one side only those can
-    be in a group whose longest match on the other side, with anyone, is long
-    enough; among these the common prefixes of neighbours are range minima.
+    ``before`` holds the bytes before the anchor reversed, ``after`` those from
+    it on.  A context whose longest matches on both sides, with anyone, do not
+    add up to ``min_bytes`` is in no group and leaves first.
     """
-    n = len(after)
-    order = np.array(sorted(range(n), key=after.__getitem__))
-    other = np.array(sorted(range(n), key=before.__getitem__))
-    lcp = np.array([common(after[a], after[b]) for a, b in zip(order, order[1:], strict=False)], np.int64)
-    left_lcp = np.array([common(before[a], before[b]) for a, b in zip(other, other[1:], strict=False)], np.int64)
-    place = np.empty(n, np.int64)
-    place[other] = np.arange(n)
-    place = place[order]  # of each element in right order, its place in left order
-    ends = np.concatenate([[-1], left_lcp, [-1]])
-    longest = np.maximum(ends[:-1], ends[1:])[place]
-    right_min, left_min = _RangeMin(lcp), _RangeMin(left_lcp)
-    for right, first, last in intervals(lcp.tolist(), k):
-        need = max(0, min_bytes - right)
-        inside = first + np.flatnonzero(longest[first:last + 1] >= need)
-        if len(inside) < 2 or settled is not None and settled[order[inside]].all():
-            continue
-        inside = inside[np.argsort(place[inside])]
-        at = place[inside]
-        near = left_min(at[:-1], at[1:] - 1)
-        if near.max() < need:
-            continue
+
+    def __init__(self, before: list[bytes], after: list[bytes], min_bytes: int, k: int):
+        self.min_bytes, self.k = min_bytes, k
+        order, lcp = _sorted_side(after, range(len(after)))
+        other, left_lcp = _sorted_side(before, range(len(before)))
+        total = [0] * len(after)
+        for side, shared in ((order, lcp), (other, left_lcp)):
+            for i, x, y in zip(side, [0, *shared], [*shared, 0], strict=True):
+                total[i] += max(x, y)
+        able = [i for i, t in enumerate(total) if t >= min_bytes]
+        if len(able) < len(after):
+            (order, lcp), (other, left_lcp) = _sorted_side(after, able), _sorted_side(before, able)
+        self.order, self.lcp = np.array(order, np.int64), np.array(lcp, np.int64)
+        left_lcp = np.array(left_lcp, np.int64)
+        place = np.empty(len(after), np.int64)
+        place[other] = np.arange(len(other))
+        self.place = place[self.order]  # of each element in right order, its place in left order
+        ends = np.concatenate([[-1], left_lcp, [-1]])
+        self.longest = np.maximum(ends[:-1], ends[1:])[self.place] if len(other) else np.zeros(0, np.int64)
+        self.left_min = _RangeMin(left_lcp)
+
+    def intervals(self, settled=None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(right, need, members, near) of the common-prefix intervals on the right, deeper ones first.
+
+        Members are places in right order, sorted by what precedes them, and
+        only those whose longest match there is at least ``need``, which makes
+        up ``min_bytes``; ``near`` are the common prefixes of neighbours among
+        them.  Members that are all ``settled`` are passed over.
+        """
+        if len(self.order) < 2:
+            return
+        for right, first, last in intervals(self.lcp.tolist(), self.k):
+            need = max(0, self.min_bytes - right)
+            inside = first + np.flatnonzero(self.longest[first:last + 1] >= need)
+            if len(inside) < 2 or settled is not None and settled(inside):
+                continue
+            inside = inside[np.argsort(self.place[inside])]
+            at = self.place[inside]
+            near = self.left_min(at[:-1], at[1:] - 1)
+            if near.max() >= need:
+                yield right, need, inside, near
+
+
+def maximal_groups(before: list[bytes], after: list[bytes], min_bytes: int, k: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(left, right, members) of the maximal repeats through one anchor.
+
+    Members share ``left`` bytes before and ``right`` from the anchor on, at
+    least ``min_bytes`` together; no byte more on either side is shared by all
+    of them (within the given bytes).
+    """
+    c = _Contexts(before, after, min_bytes, k)
+    right_min = _RangeMin(c.lcp)
+    for right, need, inside, near in c.intervals():
         # stretches of neighbours that share enough
         cut = np.flatnonzero(np.diff(np.concatenate([[False], near >= need, [False]]).astype(np.int8)))
         for lo, hi in zip(cut[::2].tolist(), cut[1::2].tolist(), strict=True):
             for left, x, y in intervals(near[lo:hi].tolist(), need):
                 ranks = inside[lo + x:lo + y + 1]
                 if right_min(ranks.min(keepdims=True), ranks.max(keepdims=True) - 1)[0] == right:  # else a deeper interval holds them all
-                    yield left, right, order[ranks].tolist()
+                    yield left, right, c.order[ranks].tolist()
 
 
 def _store(df: DataFrame, name: str) -> DataFrame:
@@ -254,17 +284,30 @@ def _contexts(rows: DataFrame, wanted: DataFrame, min_bytes: int, k: int) -> Dat
 
 
 def reaches(before: list[bytes], after: list[bytes], min_bytes: int, k: int) -> list[tuple[int, int]]:
-    """For each context how far maximal repeats reach before and from its anchor (0, 0: it is in none)."""
+    """For each context how far maximal repeats reach before and from its anchor (0, 0: it is in none).
+
+    In an interval the group of a member that reaches furthest before it is
+    the innermost on the left, whose depth is its longest match with a
+    neighbour there.  A member that has its longest match with anyone is
+    settled, as later intervals reach less far behind it.
+    """
     if len(after) == 2:  # most anchors: one pair, one possible group
         x, y = common(before[0], before[1]), common(after[0], after[1])
         return [(x, y) if x + y >= min_bytes else (0, 0)] * 2
-    left, right = [0] * len(after), [0] * len(after)
-    settled = np.zeros(len(after), bool)
-    for x, y, members in maximal_groups(before, after, min_bytes, k, settled):
-        for i in members:
-            left[i], right[i] = max(left[i], x), max(right[i], y)
-            settled[i] = left[i] == len(before[i]) and right[i] == len(after[i])
-    return list(zip(left, right, strict=True))
+    c = _Contexts(before, after, min_bytes, k)
+    left, right = np.zeros(len(c.order), np.int64), np.zeros(len(c.order), np.int64)
+    done = np.zeros(len(c.order), bool)
+    for deep, need, inside, near in c.intervals(lambda x: done[x].all()):
+        ends = np.concatenate([[-1], near, [-1]])
+        best = np.maximum(ends[:-1], ends[1:])
+        fine = best >= need
+        at, best = inside[fine], best[fine]
+        left[at], right[at] = np.maximum(left[at], best), np.maximum(right[at], deep)
+        done[at] = left[at] >= c.longest[at]
+    out = [(0, 0)] * len(after)
+    for i, x, y in zip(c.order.tolist(), left.tolist(), right.tolist(), strict=True):
+        out[i] = x, y
+    return out
 
 
 def _by_anchor(contexts: DataFrame, work, schema: str) -> DataFrame:
