@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_of, scratch_path, ship_package
+from .common import bucket_of, scratch_path, ship_package, slices
 
 DEPTH = 5
 #: Marks the end of a text and stands before its start; no UTF-8 text has this byte.
@@ -353,7 +353,8 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
     rows = rows.repartition("b").sortWithinPartitions("b", "k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, known, logs, gs, lps, look = None, set(), {}, [], [], None
+        block, logs, gs, lps, look = None, {}, [], [], None
+        unknown = -unit  # log10 of (0 + 1) over the same total
         for batch in batches:
             bs, ks = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             edges = [0, *(np.flatnonzero((np.diff(bs) != 0) | (np.diff(ks) != 0)) + 1), len(bs)]
@@ -361,12 +362,10 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
                 if lo == hi:
                     continue
                 if bs[lo] != block:
-                    block, known, logs, gs, lps, look = bs[lo], set(), {}, [], [], None
+                    block, logs, gs, lps, look = bs[lo], {}, [], [], None
                 part = batch.slice(lo, hi - lo)
                 if ks[lo] == 0:
-                    w, x = part.column(2).to_pylist(), part.column(4).to_numpy()
-                    logs.update(zip(w, (np.log10(x + 1) - unit).tolist(), strict=True))
-                    known.update(a for a, c in zip(w, x, strict=True) if c > 0)
+                    logs.update(zip(part.column(2).to_pylist(), (np.log10(part.column(4).to_numpy() + 1) - unit).tolist(), strict=True))
                     continue
                 if ks[lo] == 1:
                     gs.append(part.column(3).to_numpy())
@@ -374,18 +373,19 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
                     continue
                 if look is None:
                     look = _shared(name, shared.value, depth) if shared is not None else _Lookup(np.concatenate(gs), np.concatenate(lps), depth)
-                texts = [_as_bytes(t) for t in part.column(6).to_pylist()]
-                base, size, seen = [], [], []
-                for t in texts:
-                    tokens = t.split()
-                    size.append(len(tokens) + 1)
-                    base.append(math.fsum(map(logs.__getitem__, tokens)) + math.log10(ends + 1) - unit)
-                    seen.append(sum(map(known.__contains__, tokens)) + (ends > 0))
-                score = np.concatenate([look.score(texts[i:j]) for i, j in _pieces(texts)])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(5), part.column(7), pa.array(size, pa.int64()), pa.array(seen, pa.int64()),
-                     pa.array([n] * len(texts), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())],
-                    names=["d", "h", "n", "k", "t", "b", "s"])
+                for part in slices(iter([part]), 6):
+                    texts = [_as_bytes(t) for t in part.column(6).to_pylist()]
+                    base, size, seen = [], [], []
+                    for t in texts:
+                        parts = np.array([logs[w] for w in t.split()])
+                        size.append(len(parts) + 1)
+                        base.append(float(parts.sum()) + math.log10(ends + 1) - unit)
+                        seen.append(int((parts > unknown).sum()) + (ends > 0))
+                    score = np.concatenate([look.score(texts[i:j]) for i, j in _pieces(texts)])
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(5), part.column(7), pa.array(size, pa.int64()), pa.array(seen, pa.int64()),
+                         pa.array([n] * len(texts), pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())],
+                        names=["d", "h", "n", "k", "t", "b", "s"])
 
     out = rows.mapInArrow(run, f"d {kind}, h boolean, n long, k long, t long, b double, s double")
     return out.toDF(id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
