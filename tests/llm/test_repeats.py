@@ -96,5 +96,50 @@ def test_occurrences(spark):
     assert {1, 2, 3} in groups.values()
 
 
+def whole_repeats(rows, m):
+    """(string, places) of the maximal repeats, from all strings of m bytes or more."""
+    data = [(d, t.encode()) for d, t in rows]
+    out = set()
+    for n in range(m, max(len(b) for _, b in data) + 1):
+        by = defaultdict(list)
+        for d, b in data:
+            for i in range(len(b) - n + 1):
+                by[b[i:i + n]].append((d, b[max(0, i - 1):i], b[i + n:i + n + 1], i))
+        for x in by.values():
+            sides = [{y[j] for y in x} for j in (1, 2)]
+            if len(x) > 1 and all(len(e) > 1 or e == {b""} for e in sides):
+                out.add((n, frozenset((d, i) for d, _, _, i in x)))
+    return out
+
+
+def test_whole_repeats_of_copies_and_long_passages(spark):
+    r = random.Random(9)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    copy, passage, line = text(250), text(300), text(70)
+    rows = [(1, copy), (2, copy), (3, copy), (4, text(30) + passage + text(40)), (5, text(80) + passage), (6, passage + text(9)),
+            (7, text(20) + passage[100:220] + text(20)), (8, line * 3 + text(10)), (9, copy[:200] + text(20)), (10, text(200)), (11, "ab" * 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = defaultdict(set)
+    for x in repeats.Repeats(df, min_bytes=M, k=K).occurrences().collect():
+        got[x["g"], x["length"]].add((x["d"], x["start"]))
+    assert {(n, frozenset(p)) for (_, n), p in got.items()} == whole_repeats(rows, M)
+
+
+def test_occurrences_cover_what_goes(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "GROUP_CONTEXTS", 1)  # reaches by counted strings
+    r = random.Random(3)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    copy, passage = text(150), text(200)
+    rows = [(1, copy), (2, copy), (3, text(30) + passage + text(40)), (4, text(50) + passage), (5, passage[:90] + text(60)), (6, text(90))]
+    found = repeats.Repeats(spark.createDataFrame(rows, "doc_id long, text string"), min_bytes=M, k=K)
+    got = defaultdict(list)
+    for x in found.occurrences().collect():
+        got[x["d"]].append((x["start"], x["start"] + x["length"]))
+    want = defaultdict(list)
+    for x in found.covered().collect():
+        want[x["d"]].append((x["b"], x["e"]))
+    assert {d: repeats.merge(s) for d, s in got.items()} == {d: repeats.merge(s) for d, s in want.items()}
+
+
 def test_empty_table(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -283,6 +283,51 @@ def _contexts(rows: DataFrame, wanted: DataFrame, min_bytes: int, k: int) -> Dat
     return src.mapInArrow(run, "a long, c long, before binary, after binary")
 
 
+def _wide(rows: DataFrame, wanted: DataFrame, min_bytes: int, k: int, bytes_too: bool) -> DataFrame:
+    """(d, z, p, a, n, u, v, more) of the wanted places (d, z, p, n), or (d, z, p, a, c, before, after).
+
+    A wide context has one byte more before its anchor than an anchor of a
+    string's first ``min_bytes`` can have, and ``n`` bytes from it on; ``u``
+    and ``v`` are hashes of both sides, ``more`` tells whether the text goes on.
+    """
+    lists = _store(wanted.groupBy("d", "z").agg(F.collect_set(F.shiftleft(F.col("n"), 32) + F.col("p")).alias("w")), "repeat-wide-places")
+    src = _with_lists(rows, lists, "w", "inner").select("d", "z", "t", "w")
+    kind = src.schema["d"].dataType.simpleString()
+    digest = lambda x: xxhash.xxh3_64_intdigest(x) - (1 << 63)
+    schema = f"d {kind}, z long, p long, a long, " + ("c long, before binary, after binary" if bytes_too else "n long, u long, l int, v long, more boolean")
+    types = [pa.int64(), pa.int64(), *([pa.int64(), pa.binary(), pa.binary()] if bytes_too else [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()])]
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 2):
+            for i in range(b.num_rows):
+                data, out, size = b.column(2)[i].as_py().encode(), [], 0
+                at, h = anchors(data, min_bytes, k)
+                hash_at = dict(zip(at.tolist(), h.view(np.int64).tolist(), strict=True))
+
+                def flush(i=i, b=b, out=out) -> pa.RecordBatch:
+                    same = pa.array(np.full(len(out), i))
+                    cols = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)]
+                    out.clear()
+                    return pa.RecordBatch.from_arrays([b.column(0).take(same), b.column(1).take(same), *cols], names=names)
+
+                for x in b.column(3)[i].as_py():
+                    n, q = x >> 32, x & 0xFFFFFFFF
+                    before, after = data[max(0, q - (min_bytes - k) - 1):q][::-1], data[q:q + n]
+                    if bytes_too:
+                        out.append((q, hash_at[q], digest(len(before).to_bytes(4, "big") + before + after), before, after))
+                        size += len(after)
+                    else:
+                        out.append((q, hash_at[q], n, digest(before), len(before), digest(after), len(data) > q + n))
+                    if size > 4_000_000 or len(out) >= 20_000:
+                        yield flush()
+                        size = 0
+                if out:
+                    yield flush()
+
+    return src.mapInArrow(run, schema)
+
+
 def reaches(before: list[bytes], after: list[bytes], min_bytes: int, k: int) -> list[tuple[int, int]]:
     """For each context how far maximal repeats reach before and from its anchor (0, 0: it is in none).
 
@@ -355,10 +400,16 @@ def _reaches(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
 
 
 def _groups(contexts: DataFrame, min_bytes: int, k: int) -> DataFrame:
-    """(a, c, g, l, r): context c belongs to maximal repeat g, which reaches l before and r from its anchor on."""
+    """(a, c, g, l, r): wide context c belongs to maximal repeat g, which reaches l before and r from its anchor on.
+
+    A repeat that reaches further before the anchor than an anchor of its
+    first ``min_bytes`` can lie is left to that one.
+    """
     def work(a: int, group: dict) -> Iterator[tuple]:
         cs, befores, afters = list(group), [x for x, _ in group.values()], [y for _, y in group.values()]
         for left, right, members in maximal_groups(befores, afters, min_bytes, k):
+            if left > min_bytes - k:
+                continue
             m = members[0]
             g = xxhash.xxh3_64_intdigest(befores[m][:left][::-1] + afters[m][:right]) - (1 << 63)
             for i in members:
@@ -460,18 +511,52 @@ class Repeats:
         whole = classes.filter("n > 1").select("a", "c", "l", "r")
         self.reach = _store(whole.unionByName(reach).groupBy("a", "c").agg(F.max("l").alias("l"), F.max("r").alias("r")), "repeat-reach")
 
+    def _places(self) -> DataFrame:
+        """(d, z, p, a, c, before, after): the wide contexts of all places of anchors seen twice.
+
+        Bytes from the anchor on double until no two places that agree on all
+        of them can be the beginning of one repeat: those whose bytes before
+        are the same too, beyond where an anchor of the first ``min_bytes`` can
+        lie, are inside of a repeat that an earlier anchor begins.
+        """
+        most, n = self.min_bytes - self.k, self.min_bytes
+        wanted = self.anchors.select("d", "z", F.col("p").cast("long").alias("p"), F.lit(n).cast("long").alias("n")).distinct()
+        asked = wanted
+        while True:
+            wide = _store(_wide(self.rows, wanted, self.min_bytes, self.k, False).filter("more"), "repeat-wide")
+            tied = (wide.groupBy("a", "v").agg(F.count("*").alias("m"), F.min("u").alias("lo"), F.max("u").alias("hi"), F.min("l").alias("short"))
+                    .filter((F.col("m") > 1) & ((F.col("lo") != F.col("hi")) | (F.col("short") <= most))).select("a", "v"))
+            n *= 2
+            wanted = _store(wide.join(tied, ["a", "v"]).select("d", "z", "p", F.lit(n).cast("long").alias("n")).distinct(), "repeat-tied")
+            if wanted.isEmpty():
+                break
+            asked = asked.unionByName(wanted)
+        asked = asked.groupBy("d", "z", "p").agg(F.max("n").alias("n"))
+        return _store(_wide(self.rows, asked, self.min_bytes, self.k, True), "repeat-wide-contexts")
+
+    def _grouped(self) -> tuple[DataFrame, DataFrame]:
+        """Places (d, z, p, a, c) and the groups (a, c, g, l, r) of their contexts."""
+        places = self._places()
+        classes = places.groupBy("a", "c").agg(F.count("*").alias("n"), F.first("before").alias("before"), F.first("after").alias("after"))
+        # a context of several places meets itself: two copies stand for all of them
+        twice = classes.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(2)).cast("int"))))
+        twice = _store(twice.withColumn("e", F.xxhash64("c", "copy")), "repeat-classes")
+        found = _groups(twice.select("a", F.col("e").alias("c"), "before", "after"), self.min_bytes, self.k).withColumnRenamed("c", "e")
+        groups = found.join(twice.select("a", "e", "c"), ["a", "e"]).select("a", "c", "g", "l", "r").distinct()
+        return places.select("d", "z", "p", "a", "c"), groups
+
     def groups(self) -> DataFrame:
-        """(a, c, g, l, r): the contexts of every maximal repeat g that different contexts share.
+        """(a, c, g, l, r): the contexts of every maximal repeat g, of any length, seen at two places or more.
 
-        For anchors of more than GROUP_CONTEXTS contexts: of every shared
-        stretch of strings found by counting.
+        The different wide contexts of one anchor meet in one task, however
+        many they are: counted strings would give only parts of the repeats.
         """
-        groups = _groups(self.cold_contexts, self.min_bytes, self.k)
-        return groups.unionByName(_hot_groups(self.hot_contexts, self.min_bytes, self.k)) if self.hot else groups
+        return self._grouped()[1]
 
     def occurrences(self) -> DataFrame:
-        """(d, z, start, length, g): every place of every maximal repeat that different contexts share."""
-        found = self.anchors.select("d", "z", "p", "a", "c").join(self.groups(), ["a", "c"])
+        """(d, z, start, length, g): every place of every maximal repeat (identical rows of one id share theirs)."""
+        at, groups = self._grouped()
+        found = at.join(groups, ["a", "c"])
         return found.select("d", "z", (F.col("p") - F.col("l")).alias("start"), (F.col("l") + F.col("r")).alias("length"), "g").distinct()
 
     def covered(self) -> DataFrame:
