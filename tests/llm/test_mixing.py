@@ -64,3 +64,11 @@ def test_many_sources_are_joined_without_broadcast(spark, monkeypatch):
     want = sorted((r["doc_id"], r["mix_epoch"], r["mix_place"]) for r in mixing.mix_sources(table(spark, rows)).collect())
     monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 1)
     assert sorted((r["doc_id"], r["mix_epoch"], r["mix_place"]) for r in mixing.mix_sources(table(spark, rows)).collect()) == want
+
+
+def test_default_budget_drops_nothing_of_huge_sources(spark):
+    n = 3022305636327115  # n * 3 / 3 is n - 1/2 in doubles
+    rows = [(1, "a", n - 5), (2, "a", 5), (3, "b", n - 9), (4, "c", n - 11)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, n long")
+    got = mixing.mix_sources(df, tokens=F.col("n")).collect()
+    assert {r["doc_id"] for r in got} == {1, 2, 3, 4}

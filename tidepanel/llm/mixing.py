@@ -104,8 +104,10 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     z, once = q.agg(F.sum("q"), F.max(F.col("n") / F.col("q"))).first()
     z = z or 1.0
     budget = float(budget_tokens) if budget_tokens is not None else (once or 0.0) * z
-    # a hair above: the largest source's quota is its own size, whatever the last bits of the division
+    # a hair above: the last bits of the division do not count
     quota = F.floor(F.lit(budget) * F.col("q") / F.lit(z) + F.lit(1e-6)).cast("long")
+    if budget_tokens is None:  # every source is read once at least, also where those bits outgrow the hair
+        quota = F.greatest(quota, F.col("n"))
     plan = (q.select("_mix_s", (F.col("q") / F.lit(z)).alias("weight"), quota.alias("quota"), "n")
             .withColumn("full", F.floor(F.col("quota") / F.col("n")).cast("long"))
             .withColumn("rest", F.col("quota") - F.col("full") * F.col("n")))
