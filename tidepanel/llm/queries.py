@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ctw, mixing, order_minhash, pii, repeats, rules, spotsigs, topk, warc
+from . import bpe, ctw, debruijn, merkle, mixing, order_minhash, pair_search, pii, repeats, rules, spotsigs, topk, warc
 from .common import bucket_of, read_table, scratch_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every text: pattern spans, and those the trained tagger adds."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return pii.find_personal_data(docs, pii.fit_tagger(docs))
+
+
+@query
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proof of every document by language, checked against a copy with every third text lower-cased."""
+    return merkle.tamper_report(read_table(spark, sf_dir, "documents", *merkle.COLUMNS))
+
+
+@query
+def op12_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every text that no 13-word window of an earlier document covers."""
+    return debruijn.remove_earlier(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op13_pair_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return pair_search.search(read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark", "item_id", "text"))
