@@ -70,8 +70,18 @@ def test_spans_are_whole_paths(spark):
     """A passage of three documents is one path, with one span in each later one."""
     passage = [f"p{k}" for k in range(60)]
     rows = [(i, " ".join([f"a{i}", f"b{i}", *passage, f"c{i}"])) for i in range(3)]
-    _, spans, _ = debruijn.earlier_spans(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert sorted((s["d"], s["pos"], s["n"], s["first"]) for s in spans.collect()) == [(1, 2, 48, 0), (2, 2, 48, 0)]
+    got = {r["doc_id"]: r["spans"] for r in debruijn.list_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == [] and all([tuple(s) for s in got[i]] == [(2, 60, 0)] for i in (1, 2))
+
+
+def test_texts_are_not_shuffled(spark):
+    """The slices' texts come from the bucketed table: every exchange is of anchors, edges or paths."""
+    df = debruijn.remove_earlier(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "Exchange" in line]
+    assert shuffled and "Bucketed: true" in plan
+    for block in plan.split("Exchange")[1:]:
+        assert "FileScan parquet [slice" not in block.splitlines()[1]
 
 
 def test_no_rows(spark):

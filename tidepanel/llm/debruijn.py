@@ -5,17 +5,21 @@ its first SPAN - 1 words to that of its last.  Only edges that start in two
 documents or more are kept.  An edge continues another if every occurrence of
 either stands next to one of the other, so a nonbranching path has the same
 occurrences all along and is found whole wherever its first edge is.  Edges
-are compacted to paths by a join of each edge with the one before it, and by
-the coordinates of their earliest occurrence, which follow each other along a
-path.  Occurrences of a path's first edge give its spans in all documents; a span
-counts only if its words are those at the path's source coordinate.
+are compacted to paths by a join of each one (first of those under one anchor) with the
+one before it, and by the coordinates of their earliest occurrence, which follow each
+other along a path.  Occurrences of a path's first edge give its spans in all documents;
+a span counts only if it has the checksum of the windows along the path's source
+coordinates.
 
 To keep the bulk of the windows out of the graph, each window has an *anchor*,
 the smallest hash among its PIECE-word strings: equal windows have equal anchors,
-neighbours mostly share theirs, and a window whose anchor no other document has
-is no edge.  Anchors are counted by a shuffle in which a slice of documents names
-each of its anchors once, however many of its documents hold it; a passage in a
-third of all documents is a row a slice.
+neighbours mostly share theirs and travel together, and a window whose anchor no
+other document has is no edge.  The rows are first written in slices of some
+megabytes of text, in a table bucketed by slice.  A slice names each of its anchors,
+and each run of windows, once, however many of its documents hold it, so a passage in
+a third of all documents is a row a slice.  What comes back to a slice, the anchors
+and the paths it holds, meets its texts in the bucketed table; texts are never
+shuffled.
 
 Defined results: a null text has no words; a text of fewer than SPAN words
 keeps all; rows of equal ids are documents of the same rank, none before the
@@ -26,20 +30,21 @@ Columns other than the id and the text play no part.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, scratch_path, ship_package, slices
 
-SPAN, PIECE = 13, 6
+SPAN, PIECE = 13, 8
 LAST = (1 << 63) - 1  # rank of a null id
-SALTS = 8
 SLICE_BYTES = 8 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -78,206 +83,250 @@ def _least(a: np.ndarray, k: int) -> np.ndarray:
     return a
 
 
-def _anchors(h: np.ndarray, span: int, piece: int) -> np.ndarray:
-    """Anchor of every window of ``span`` words."""
-    return _least(_strings(h, piece), span - piece + 1).view(np.int64)
-
-
 def _words(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []  # splits at 0x20 and 0x09-0x0D
 
 
-def _seen(docs: DataFrame, span: int, piece: int) -> DataFrame:
-    """Table of three kinds of rows: 0, an anchor ``a`` of a slice and the document ``r`` that has it; 1, an anchor
-    that two documents of the slice have, for each of them; 2, a row's words and the digest of all of them.
+class _Text:
+    """A text's windows: anchors, and nodes with a 0 at either end (window k has nodes k + 1 and k + 2)."""
 
-    ``flags``: 1 for a null id (``r`` is then a hash of the text), 2 for an anchor of two documents of its slice.
-    """
-    ship_package(docs.sparkSession)
+    def __init__(self, text: str | None, hashes: _WordHashes, span: int, piece: int):
+        self.words = _words(text)
+        self.windows = max(len(self.words) - span + 1, 0)
+        if self.windows:
+            h = hashes.of(self.words)
+            self.anchors = _least(_strings(h, piece), span - piece + 1).view(np.int64)
+            self.nodes = np.concatenate([[0], _strings(h, span - 1).view(np.int64), [0]])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
-        for batch in batches:
-            for part in slices([batch], 2, SLICE_BYTES):
-                r = part.column(0).to_numpy(zero_copy_only=False)
-                nul = part.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                keys, docs_at, counts, digests = [], [], [], []
-                for k, text in enumerate(part.column(2).to_pylist()):
-                    words = _words(text)
-                    counts.append(len(words))
-                    digests.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                    if len(words) >= span:
-                        a = _anchors(hashes.of(words), span, piece)
-                        a = a[np.flatnonzero(np.diff(a, prepend=a[0] ^ 1))]
-                        keys.append(a)
-                        docs_at.append(np.full(len(a), k))
-                yield _rows(2, np.zeros(len(r), np.int64), r, nul.astype(np.int8), counts, digests)
-                if not keys:
-                    continue
-                a, at = np.concatenate(keys), np.concatenate(docs_at)
-                rank = np.where(nul, LAST, r)[at]
-                order = np.lexsort((r[at], rank, a))
-                a, at, rank = a[order], at[order], rank[order]
-                same = (np.diff(a, prepend=a[0] ^ 1) == 0) & (np.diff(r[at], prepend=r[at[0]] ^ 1) == 0)
-                a, at, rank = a[~same], at[~same], rank[~same]
-                start = np.flatnonzero(np.diff(a, prepend=a[0] ^ 1))
-                end = np.append(start[1:], len(a))
-                many = np.repeat(rank[start] != rank[end - 1], end - start)
-                named = ~many
-                named[start] = True  # a slice names an anchor of several documents once
-                for kind, take, extra in ((0, named, many), (1, many, many)):
-                    if take.any():
-                        yield _rows(kind, a[take], r[at[take]], nul[at[take]] + 2 * extra[take].astype(np.int8))
-
-    return docs.select("r", "nul", "t").mapInArrow(run, "kind byte, a long, r long, flags byte, n int, sha string")
-
-
-def _rows(kind: int, a: np.ndarray, r: np.ndarray, flags: np.ndarray, n=None, sha=None) -> pa.RecordBatch:
-    m = len(a)
-    return pa.RecordBatch.from_pydict({
-        "kind": pa.array(np.full(m, kind, np.int8)), "a": pa.array(a), "r": pa.array(r), "flags": pa.array(flags.astype(np.int8)),
-        "n": pa.array(n, pa.int32()) if n is not None else pa.nulls(m, pa.int32()),
-        "sha": pa.array(sha, pa.string()) if sha is not None else pa.nulls(m, pa.string())})
-
-
-def _edges(texts: DataFrame, span: int, piece: int) -> DataFrame:
-    """Windows whose anchor is among the row's ``anchors``: (d, h, pos, l, r, before, after).
-
-    An edge is its two nodes (l, r); ``before`` is the first node of the window before
-    it, ``after`` the last node of the one behind it (0 at the text's ends).
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
-        for batch in batches:
-            for part in slices([batch], 2, SLICE_BYTES):
-                out = []
-                for d, h, text, known in zip(*(c.to_pylist() for c in part.columns[:3]), part.column(3), strict=True):
-                    words = _words(text)
-                    if len(words) < span:
-                        continue
-                    w = hashes.of(words)
-                    at = np.flatnonzero(np.isin(_anchors(w, span, piece), known.values.to_numpy()))
-                    node = np.concatenate([[0], _strings(w, span - 1).view(np.int64), [0]])
-                    out.append((np.full(len(at), d), np.full(len(at), h), at.astype(np.int32), node[at + 1], node[at + 2], node[at], node[at + 3]))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)],
-                                                     names=["d", "h", "pos", "l", "r", "before", "after"])
-
-    return texts.select("d", "h", "t", "anchors").mapInArrow(run, "d long, h long, pos int, l long, r long, before long, after long")
-
-
-def _paths(occurrences: DataFrame) -> DataFrame:
-    """Nonbranching paths of edges of two documents or more: first edge (l, r), its earliest place (d, h, pos) and edges ``n``."""
-    edges = cut_lineage(
-        occurrences.groupBy("l", "r").agg(
-            F.min(F.struct("d", "h", "pos")).alias("src"), F.max("d").alias("hi"), F.min("before").alias("b0"), F.max("before").alias("b1"),
-            F.min("after").alias("a0"), F.max("after").alias("a1"))
-        .filter("src.d < hi")
-        .select("l", "r", F.expr("src.d"), F.expr("src.h"), F.expr("src.pos"),
-                F.expr("if(b0 = b1, b0, 0)").alias("b"), F.expr("if(a0 = a1, a0, 0)").alias("a")), "dbg-edges")
-    # e goes on as f: f's only predecessor is e, and e's only successor is f
-    e = edges.filter("a != 0").select(F.col("l").alias("el"), F.col("r").alias("er"), F.col("a").alias("ea"))
-    linked = (edges.join(e, (F.col("b") == F.col("el")) & (F.col("l") == F.col("er")) & (F.col("r") == F.col("ea")), "left")
-              .select("l", "r", "d", "h", "pos", F.col("el").isNull().cast("int").alias("head")))
-    along = W.partitionBy("d", "h").orderBy("pos")
-    path = linked.withColumn("path", F.sum("head").over(along.rowsBetween(W.unboundedPreceding, 0)))
-    return path.groupBy("d", "h", "path").agg(
-        F.min("pos").alias("pos"), F.count("*").cast("int").alias("n"),
-        F.max(F.expr("if(head = 1, l, null)")).alias("l"), F.max(F.expr("if(head = 1, r, null)")).alias("r")).drop("path")
 
+def _changes(a: np.ndarray) -> np.ndarray:
+    """Where ``a`` (not empty) is not what it was before; the first place counts."""
+    return np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
 
-def _span_digest(words: list[bytes], pos: int, n: int, span: int) -> bytes:
-    return xxhash.xxh3_128_digest(b" ".join(words[pos:pos + n + span - 1]))
 
+def _table(spark, df: DataFrame, buckets: int) -> DataFrame:
+    """``df`` written to the shared folder in buckets by ``slice``, and read back; only files stay behind, no table name."""
+    name = f"dbg_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, "slice").sortBy("slice").option("path", scratch_path(spark, "dbg-slices")).format("parquet").saveAsTable(name)
+    back = spark.table(name)
+    back.schema  # resolved before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return back
 
-def _at_source(texts: DataFrame, paths: DataFrame, span: int) -> DataFrame:
-    """(l, r, d, n, words): digest of each path's words, read at its source coordinate."""
-    lists = paths.groupBy(F.col("d").alias("pd"), F.col("h").alias("ph")).agg(F.collect_list(F.struct("pos", "n", "l", "r")).alias("paths"))
-    rows = texts.select("d", "h", "t").join(lists, (F.col("d") == F.col("pd")) & (F.col("h") == F.col("ph"))).select("d", "t", "paths")
+
+def _sliced(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Table (slice, d, nul, t): rank and text of every row, in slices of at most SLICE_BYTES of text (or one text)."""
+    i, t = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices([batch], 1, SLICE_BYTES):
-                out = []
-                for d, text, found in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    words = _words(text)
-                    out += [(p["l"], p["r"], d, p["n"], _span_digest(words, p["pos"], p["n"], span)) for p in found]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), _KINDS, strict=True)],
-                                                     names=["l", "r", "first", "n", "words"])
+            for part in slices([batch], 2, SLICE_BYTES):
+                number += 1
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, number)), *part.columns], names=["slice", "d", "nul", "t"])
 
-    # repeated rows give a source twice
-    return rows.mapInArrow(run, "l long, r long, first long, n int, words binary").dropDuplicates(["l", "r"])
+    rows = docs.select(F.coalesce(i, F.lit(LAST)).alias("d"), i.isNull().alias("nul"), t.alias("t"))
+    spark = docs.sparkSession
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return _table(spark, rows.mapInArrow(run, "slice long, d long, nul boolean, t string"), min(most, 2 * max(rows.rdd.getNumPartitions(), 4)))
 
 
-_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-_OUT = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+def _shared_anchors(texts: DataFrame, span: int, piece: int) -> DataFrame:
+    """(slice, a): the anchors of each slice that two documents or more have."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for batch in batches:
+            for part in slices([batch], 2, SLICE_BYTES):
+                number, ranks = (c.to_numpy(zero_copy_only=False) for c in part.columns[:2])
+                keys, at = [], []
+                for k, text in enumerate(part.column(2).to_pylist()):
+                    x = _Text(text, hashes, span, piece)
+                    if x.windows:
+                        a = x.anchors[_changes(x.anchors)]
+                        keys.append(a)
+                        at.append(np.full(len(a), k))
+                if not keys:
+                    continue
+                a, at = np.concatenate(keys), np.concatenate(at)
+                order = np.lexsort((ranks[at], a, number[at]))
+                a, at = a[order], at[order]
+                start = np.union1d(_changes(a), _changes(number[at]))
+                lo, hi = ranks[at[start]], ranks[at[np.append(start[1:], len(a)) - 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a[start], number[at[start]], lo, hi)], names=["a", "slice", "lo", "hi"])
+
+    named = texts.select("slice", "d", "t").mapInArrow(run, "a long, slice long, lo long, hi long")
+    by = W.partitionBy("a")
+    return (named.withColumn("_lo", F.min("lo").over(by)).withColumn("_hi", F.max("hi").over(by))
+            .filter("_lo < _hi").select("slice", "a"))
+
+
+def _runs(texts: DataFrame, known: DataFrame, span: int, piece: int) -> DataFrame:
+    """Runs of windows with one known anchor ``a``, each once a slice: earliest place (d, h, pos), latest rank ``hi``,
+    and ``nodes``: the first node of the window before, those of the run, the last one of the window behind (0 at text ends)."""
+    def run(docs: pa.Table, anchors: pa.Table) -> pa.Table:
+        out: dict[bytes, list] = {}
+        if anchors.num_rows and docs.num_rows:
+            hashes, asked = _WordHashes(), np.unique(anchors.column("a").to_numpy())
+            for d, text in zip(docs.column("d").to_pylist(), docs.column("t").to_pylist(), strict=True):
+                x = _Text(text, hashes, span, piece)
+                if not x.windows:
+                    continue
+                at = np.flatnonzero(asked[np.minimum(np.searchsorted(asked, x.anchors), len(asked) - 1)] == x.anchors)
+                if not len(at):
+                    continue
+                h = _text_hash(text)
+                first = np.union1d(_changes(x.anchors[at]), _changes(at - np.arange(len(at))))
+                for lo, hi in zip(at[first].tolist(), at[np.append(first[1:], len(at)) - 1].tolist(), strict=True):
+                    key = x.nodes[lo:hi + 4].tobytes()
+                    seen = out.get(key)
+                    if seen is None:
+                        out[key] = [int(x.anchors[lo]), d, h, lo, d]
+                    else:
+                        seen[4] = max(seen[4], d)
+                        if (d, h, lo) < tuple(seen[1:4]):
+                            seen[1:4] = d, h, lo
+        columns = list(zip(*out.values(), strict=True)) or [[]] * 5
+        sizes = np.cumsum([0, *(len(k) // 8 for k in out)], dtype=np.int32)
+        nodes = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.frombuffer(b"".join(out), np.int64)))
+        return pa.table([*(pa.array(c, k) for c, k in zip(columns, _RUN, strict=True)), nodes], names=["a", "d", "h", "pos", "hi", "nodes"])
+
+    return (texts.select("slice", "d", "t").groupBy("slice").cogroup(known.groupBy("slice"))
+            .applyInArrow(run, "a long, d long, h long, pos int, hi long, nodes array<long>"))
+
+
+_RUN = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+
+
+def _text_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
+
+
+def _turned(x: str, n: str) -> str:
+    """SQL: the long ``x``, its bits turned to the left by ``n``."""
+    return f"(shiftleft({x}, cast({n} % 64 as int)) | shiftrightunsigned({x}, cast(64 - {n} % 64 as int)))"
+
+
+def _checksum(nodes: np.ndarray) -> int:
+    """Checksum of a path by the nodes it passes."""
+    n = np.arange(len(nodes), dtype=np.uint64) % np.uint64(64)
+    x = nodes.view(np.uint64)
+    return int(np.bitwise_xor.reduce((x << n) | np.where(n == 0, x, x >> ((np.uint64(64) - n) % np.uint64(64)))).view(np.int64))
+
+
+def _paths(runs: DataFrame) -> DataFrame:
+    """Nonbranching paths of edges of two documents or more: first edge (l, r) with its anchor ``a``, ``n`` edges, the first
+    document that has it, and the checksum ``x`` along its earliest occurrence."""
+    windows = runs.repartition("a").selectExpr(
+        "a", "d", "h", "hi", "pos", "inline(transform(sequence(0, size(nodes) - 4), k -> named_struct('k', k, "
+        "'before', nodes[k], 'l', nodes[k + 1], 'r', nodes[k + 2], 'after', nodes[k + 3])))")
+    edges = (windows.withColumn("pos", F.col("pos") + F.col("k")).groupBy("a", "l", "r").agg(
+        F.min(F.struct("d", "h", "pos")).alias("src"), F.max("hi").alias("hi"), F.min("before").alias("b0"), F.max("before").alias("b1"),
+        F.min("after").alias("a0"), F.max("after").alias("a1"))
+        .filter("src.d < hi")
+        .selectExpr("a", "l", "r", "src.d", "src.h", "src.pos", "if(b0 = b1, b0, 0) as b", "if(a0 = a1, a0, 0) as f"))
+    # pieces: edges under one anchor, each the only one before the next and the next the only one behind it
+    near = W.partitionBy("a", "d", "h").orderBy("pos")
+    joined = (F.lag("pos").over(near) == F.col("pos") - 1) & (F.lag("f").over(near) == F.col("r")) & (F.lag("l").over(near) == F.col("b"))
+    first = edges.withColumn("head", F.when(joined, 0).otherwise(1))
+    numbered = first.withColumn("at", F.last(F.expr("if(head = 1, pos, null)"), ignorenulls=True).over(near.rowsBetween(W.unboundedPreceding, 0)))
+    pieces = cut_lineage(
+        numbered.groupBy("a", "d", "h", "at").agg(
+            F.count("*").cast("int").alias("n"), F.max(F.expr("if(head = 1, struct(l, r, b), null)")).alias("first"),
+            F.max_by(F.struct("l", "r", "f"), "pos").alias("last"), F.expr(f"bit_xor({_turned('l', '(pos - at)')})").alias("x"))
+        .selectExpr("a", "d", "h", "at as pos", "n", "first.l", "first.r", "first.b", "last.l as tl", "last.r as tr", "last.f as f", "x"), "dbg-pieces")
+    before = pieces.filter("f != 0").select(F.col("tl").alias("_tl"), F.col("tr").alias("_tr"), F.col("f").alias("_f"))
+    linked = pieces.join(before, (F.col("b") == F.col("_tl")) & (F.col("l") == F.col("_tr")) & (F.col("r") == F.col("_f")), "left")
+    along = W.partitionBy("d", "h").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    path = linked.withColumn("at", F.last(F.expr("if(_tl is null, pos, null)"), ignorenulls=True).over(along))
+    return (path.groupBy("d", "h", "at").agg(
+        F.sum("n").cast("int").alias("n"), F.max(F.expr("if(_tl is null, struct(a, l, r), null)")).alias("first"),
+        F.max_by(F.struct("tr", (F.col("pos") + F.col("n") - F.col("at")).alias("k")), "pos").alias("last"),
+        F.expr(f"bit_xor({_turned('x', '(pos - at)')})").alias("x"))
+        .selectExpr("first.a", "first.l", "first.r", "n", "d as first", f"x ^ {_turned('last.tr', 'last.k')} as x"))
+
+
+def _heads(texts: DataFrame, known: DataFrame, paths: DataFrame, span: int, piece: int) -> DataFrame:
+    """(slice, l, r, n, first, x): the paths whose first edge the slice has."""
+    def run(docs: pa.Table, anchors: pa.Table) -> pa.Table:
+        found = [np.zeros((0, 2), np.int64)]
+        if anchors.num_rows and docs.num_rows:
+            hashes, asked = _WordHashes(), np.unique(anchors.column("a").to_numpy())
+            for text in docs.column("t").to_pylist():
+                x = _Text(text, hashes, span, piece)
+                if x.windows:
+                    at = np.flatnonzero(asked[np.minimum(np.searchsorted(asked, x.anchors), len(asked) - 1)] == x.anchors)
+                    found.append(np.stack([x.nodes[at + 1], x.nodes[at + 2]], 1))
+        l, r = np.unique(np.concatenate(found), axis=0).T
+        number = docs.column("slice")[0].as_py() if docs.num_rows else 0
+        return pa.table([pa.array(np.full(len(l), number, np.int64)), pa.array(l.copy()), pa.array(r.copy())], names=["slice", "l", "r"])
+
+    asked = known.join(paths.select(F.col("a").alias("_a")).distinct(), F.col("a") == F.col("_a"), "left_semi")
+    held = texts.select("slice", "t").groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(run, "slice long, l long, r long")
+    p = paths.select(F.col("l").alias("_l"), F.col("r").alias("_r"), "n", "first", "x")
+    return held.join(p, (F.col("l") == F.col("_l")) & (F.col("r") == F.col("_r"))).select("slice", "l", "r", "n", "first", "x")
+
+
+def _spans(x: _Text, rank: int, l: np.ndarray, r: np.ndarray, n: np.ndarray, first: np.ndarray, check: np.ndarray) -> list[tuple[int, int, int]]:
+    """(pos, windows, first document) of the paths (sorted by ``l``) that the text has and an earlier document too."""
+    out = []
+    if not x.windows or not len(l):
+        return out
+    node, behind = x.nodes[1:-2], x.nodes[2:-1]
+    lo, hi = np.searchsorted(l, node, "left"), np.searchsorted(l, node, "right")
+    for pos in np.flatnonzero(lo < hi).tolist():
+        for k in range(lo[pos], hi[pos]):
+            end = pos + int(n[k])
+            if r[k] == behind[pos] and first[k] < rank and end <= x.windows and _checksum(x.nodes[pos + 1:end + 2]) == check[k]:
+                out.append((pos, int(n[k]), int(first[k])))
+    return out
+
+
+def earlier_spans(docs: DataFrame, work, fields: dict[str, tuple[str, pa.DataType]], id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, piece: int = PIECE) -> DataFrame:
+    """Every row's id and the values of ``fields`` (name: SQL and Arrow type) that ``work(words, spans)`` gives; ``spans``: (pos, windows,
+    first document) of each path in the row's text that an earlier document has."""
+    ship_package(docs.sparkSession)
+    texts = _sliced(docs, id_col, text_col)
+    known = cut_lineage(_shared_anchors(texts, span, piece), "dbg-anchors")
+    paths = cut_lineage(_paths(_runs(texts, known, span, piece)), "dbg-paths")
+    heads = _heads(texts, known, paths, span, piece)
+    kinds = [pa.int64(), *(kind for _, kind in fields.values())]
 
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        order = np.argsort(found.column("l").to_numpy(), kind="stable") if found.num_rows else []
+        held = [found.column(c).to_numpy()[order] for c in ("l", "r", "n", "first", "x")] if found.num_rows else [np.zeros(0, np.int64)] * 5
+        hashes, out = _WordHashes(), []
+        for d, nul, text in zip(*(rows.column(c).to_pylist() for c in ("d", "nul", "t")), strict=True):
+            x = _Text(text, hashes, span, piece)
+            out.append((None if nul else d, *work(x.words, _spans(x, d, *held))))
+        columns = list(zip(*out, strict=True)) or [[]] * len(kinds)
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[id_col, *fields])
 
-def _ranked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(r, nul, t): the id or, for a null id, a hash of the text; the text."""
-    i, t = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
-    return docs.select(F.coalesce(i, F.xxhash64(t)).alias("r"), i.isNull().alias("nul"), t.alias("t"))
+    schema = ", ".join([f"`{id_col}` long", *(f"{name} {kind}" for name, (kind, _) in fields.items())])
+    return (texts.groupBy("slice").cogroup(heads.groupBy("slice")).applyInArrow(run, schema))
 
 
-def earlier_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, piece: int = PIECE) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(texts, spans, words), all over written tables.
+def list_spans(docs: DataFrame, **kw) -> DataFrame:
+    """Each row's id and ``spans``: word place and words of each path that an earlier document has, and the first one that has it."""
+    span = kw.get("span", SPAN)
 
-    ``words``: (r, flags, n, sha) of every row; ``texts``: (r, d, h, nul, t) of the rows that share an anchor with another
-    document; ``spans``: (d, h, pos, n, first, words), the occurrences of paths that an earlier document ``first`` has:
-    ``n`` windows from word ``pos``, and the digest of the path's words at its source.
-    """
-    spark = docs.sparkSession
-    ranked = _ranked(docs, id_col, text_col)
-    seen = scratch_path(spark, "dbg-anchors")
-    _seen(ranked, span, piece).write.partitionBy("kind").parquet(seen)
-    table = spark.read.schema("a long, r long, flags byte, n int, sha string, kind int").parquet(seen)
-    one = table.filter("kind = 0").select("a", "r", "flags")
-    rank = F.expr(f"if((flags & 1) = 1, {LAST}, r)")
-    by = W.partitionBy("a")
-    shared = (one.withColumn("_lo", F.min(rank).over(by)).withColumn("_hi", F.max(rank).over(by))
-              .withColumn("_many", F.max(F.col("flags")).over(by)).filter("_many >= 2 or _lo < _hi"))
-    known = (shared.select("r", "a").unionByName(table.filter("kind = 1").select("r", "a"))
-             .groupBy(F.col("r").alias("_r")).agg(F.collect_set("a").alias("anchors")))
-    texts = cut_lineage(ranked.join(known, F.col("r") == F.col("_r")).select(
-        "r", F.when(F.col("nul"), F.lit(LAST)).otherwise(F.col("r")).alias("d"), F.xxhash64("t").alias("h"), "nul", "t", "anchors"), "dbg-texts")
-    occurrences = _edges(texts, span, piece)
-    paths = _at_source(texts, cut_lineage(_paths(occurrences), "dbg-paths"), span)
-    paths = paths.withColumn("salt", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])))
-    heads = paths.select(F.col("l").alias("pl"), F.col("r").alias("pr"), "salt", "first", "n", "words")
-    salted = occurrences.select("d", "h", "pos", "l", "r", F.pmod(F.col("h"), F.lit(SALTS)).cast("int").alias("_s"))
-    spans = (salted.join(heads, (F.col("l") == F.col("pl")) & (F.col("r") == F.col("pr")) & (F.col("_s") == F.col("salt")))
-             .filter("first < d").select("d", "h", "pos", "n", "first", "words"))
-    return texts, cut_lineage(spans, "dbg-spans"), table.filter("kind = 2").select("r", "flags", "n", "sha")
+    def work(words: list[bytes], spans: list[tuple[int, int, int]]) -> tuple:
+        return ([{"pos": p, "words": n + span - 1, "first": d} for p, n, d in spans],)
+
+    kind = pa.list_(pa.struct([("pos", pa.int64()), ("words", pa.int64()), ("first", pa.int64())]))
+    return earlier_spans(docs, work, {"spans": ("array<struct<pos: long, words: long, first: long>>", kind)}, **kw)
 
 
 def remove_earlier(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, piece: int = PIECE,
                    keep_text: bool = False) -> DataFrame:
     """Every row's id, n_words, n_removed and kept_sha256, after removal of each word that a window covers which an
-    earlier document has; with ``keep_text`` also the kept words (null where the row shares nothing: its text stays)."""
-    texts, spans, words = earlier_spans(docs, id_col, text_col, span, piece)
-    lists = spans.groupBy(F.col("d").alias("sd"), F.col("h").alias("sh")).agg(F.collect_set(F.struct("pos", "n", "words")).alias("spans"))
-    rows = texts.join(lists, (F.col("d") == F.col("sd")) & (F.col("h") == F.col("sh")), "left").select("r", "nul", "t", "spans")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices([batch], 2, SLICE_BYTES):
-                out = []
-                for r, nul, text, found in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                    w = _words(text)
-                    gone = np.zeros(len(w), bool)
-                    for s in found or ():
-                        if _span_digest(w, s["pos"], s["n"], span) == s["words"]:
-                            gone[s["pos"]:s["pos"] + s["n"] + span - 1] = True
-                    kept = b" ".join(w[k] for k in np.flatnonzero(~gone))
-                    out.append((None if nul else r, len(w), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if keep_text else None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), _OUT, strict=True)],
-                                                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
-
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
-    sharing = texts.select(F.col("r").alias("_r")).distinct()
-    clean = words.join(sharing, F.col("r") == F.col("_r"), "left_anti").select(
-        F.expr("if((flags & 1) = 1, null, r)").alias("doc_id"), F.col("n").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
-        F.col("sha").alias("kept_sha256"), F.lit(None).cast("string").alias("kept"))
-    both = clean.unionByName(rows.mapInArrow(run, schema))
-    return (both if keep_text else both.drop("kept")).withColumnRenamed("doc_id", id_col)
+    earlier document has; with ``keep_text`` also the kept words."""
+    def work(words: list[bytes], spans: list[tuple[int, int, int]]) -> tuple:
+        gone = np.zeros(len(words), bool)
+        for pos, n, _ in spans:
+            gone[pos:pos + n + span - 1] = True
+        kept = b" ".join([words[k] for k in np.flatnonzero(~gone)] if spans else words)
+        values = len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest()
+        return (*values, kept.decode()) if keep_text else values
+
+    fields = {"n_words": ("long", pa.int64()), "n_removed": ("long", pa.int64()), "kept_sha256": ("string", pa.string())}
+    return earlier_spans(docs, work, fields | ({"kept": ("string", pa.string())} if keep_text else {}), id_col, text_col, span, piece)
