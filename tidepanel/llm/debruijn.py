@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import cut_lineage, scratch_path, ship_package, slices
 
-SPAN, PIECE = 13, 8
+SPAN, PIECE = 13, 7
 LAST = (1 << 63) - 1  # rank of a null id
 SLICE_BYTES = 8 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -62,15 +63,29 @@ class _WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def _joined(a: np.ndarray, b: np.ndarray, k: int, behind: int) -> np.ndarray:
+    """Hashes of strings from those of their first part ``a`` and of their last ``k`` entries, ``behind`` entries on, ``b``."""
+    m = max(len(b) - behind, 0)
+    return a[:m] * np.uint64(pow(int(_M1), k, 1 << 64)) + b[behind:behind + m]
+
+
 def _strings(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash, never 0, of every ``k`` consecutive entries of ``h``."""
-    m = max(len(h) - k + 1, 0)
-    out = np.zeros(m, np.uint64)
-    for j in range(k):
-        out = out * _M1 + h[j:j + m]
-    out = (out ^ (out >> np.uint64(29))) * _M2
-    out ^= out >> np.uint64(32)
-    return np.maximum(out, np.uint64(1))
+    """Hash of every ``k`` consecutive entries of ``h``: by doubling, and the rest from the powers of two in ``k``."""
+    power, width, out, done = h, 1, None, 0
+    while True:
+        if k & width:
+            out = power if out is None else _joined(out, power, width, done)
+            done += width
+        if done == k:
+            return out
+        power, width = _joined(power, power, width, width), 2 * width
+
+
+def _mixed(a: np.ndarray) -> np.ndarray:
+    """Hashes with their bits stirred, never 0, as Spark's longs."""
+    a = (a ^ (a >> np.uint64(29))) * _M2
+    a ^= a >> np.uint64(32)
+    return np.maximum(a, np.uint64(1)).view(np.int64)
 
 
 def _least(a: np.ndarray, k: int) -> np.ndarray:
@@ -83,20 +98,38 @@ def _least(a: np.ndarray, k: int) -> np.ndarray:
     return a
 
 
-def _words(text: str | None) -> list[bytes]:
-    return text.encode().split() if text else []  # splits at 0x20 and 0x09-0x0D
-
-
-class _Text:
-    """A text's windows: anchors, and nodes with a 0 at either end (window k has nodes k + 1 and k + 2)."""
-
-    def __init__(self, text: str | None, hashes: _WordHashes, span: int, piece: int):
-        self.words = _words(text)
-        self.windows = max(len(self.words) - span + 1, 0)
-        if self.windows:
-            h = hashes.of(self.words)
-            self.anchors = _least(_strings(h, piece), span - piece + 1).view(np.int64)
-            self.nodes = np.concatenate([[0], _strings(h, span - 1).view(np.int64), [0]])
+class _Slice:
+    """The windows of a slice's texts, as places in the row of all their words.
+
+    ``at``: places at which a window starts, ``doc`` the text of each, ``anchor`` its anchor; ``node``: hash of the
+    string of span - 1 words from a place on (of meaning only inside a text).
+    """
+
+    def __init__(self, texts: list[str | None], hashes: _WordHashes, span: int, piece: int):
+        self.words = [text.encode().split() if text else [] for text in texts]  # splits at 0x20 and 0x09-0x0D
+        self.counts = np.array([len(w) for w in self.words], np.int64)
+        self.start = np.concatenate([[0], np.cumsum(self.counts)])
+        h = np.concatenate([hashes.of(w) for w in self.words]) if self.words else np.zeros(0, np.uint64)
+        windows = np.maximum(self.counts - span + 1, 0)
+        self.doc = np.repeat(np.arange(len(texts)), windows)
+        self.last = self.start[:-1] + windows - 1  # of each text
+        before = np.concatenate([[0], np.cumsum(windows)])[:-1]
+        self.at = np.arange(len(self.doc)) - before[self.doc] + self.start[self.doc]
+        self.node = _mixed(_strings(h, span - 1))
+        self.anchor = _least(_mixed(_strings(h, piece)), span - piece + 1)[self.at]
+
+    def ends(self, first: np.ndarray, last: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Node before the window at ``first`` and node behind that at ``last`` (0 at the ends of the text)."""
+        before = np.where(first > self.start[doc], self.node[np.maximum(first - 1, 0)], 0)
+        after = np.where(last < self.last[doc], self.node[np.minimum(last + 2, len(self.node) - 1)], 0)
+        return before, after
+
+    def under(self, anchors: np.ndarray) -> np.ndarray:
+        """Which windows have one of ``anchors``."""
+        asked = np.unique(anchors)
+        if not len(asked):
+            return np.zeros(0, np.int64)
+        return np.flatnonzero(asked[np.minimum(np.searchsorted(asked, self.anchor), len(asked) - 1)] == self.anchor)
 
 
 def _changes(a: np.ndarray) -> np.ndarray:
@@ -138,21 +171,18 @@ def _shared_anchors(texts: DataFrame, span: int, piece: int) -> DataFrame:
         for batch in batches:
             for part in slices([batch], 2, SLICE_BYTES):
                 number, ranks = (c.to_numpy(zero_copy_only=False) for c in part.columns[:2])
-                keys, at = [], []
-                for k, text in enumerate(part.column(2).to_pylist()):
-                    x = _Text(text, hashes, span, piece)
-                    if x.windows:
-                        a = x.anchors[_changes(x.anchors)]
-                        keys.append(a)
-                        at.append(np.full(len(a), k))
-                if not keys:
-                    continue
-                a, at = np.concatenate(keys), np.concatenate(at)
-                order = np.lexsort((ranks[at], a, number[at]))
-                a, at = a[order], at[order]
-                start = np.union1d(_changes(a), _changes(number[at]))
-                lo, hi = ranks[at[start]], ranks[at[np.append(start[1:], len(a)) - 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (a[start], number[at[start]], lo, hi)], names=["a", "slice", "lo", "hi"])
+                cuts = [*_changes(number).tolist(), part.num_rows]
+                for lo, hi in zip(cuts, cuts[1:], strict=False):
+                    x = _Slice(part.column(2).slice(lo, hi - lo).to_pylist(), hashes, span, piece)
+                    if not len(x.at):
+                        continue
+                    new = np.union1d(_changes(x.anchor), _changes(x.doc))
+                    a, rank = x.anchor[new], ranks[lo + x.doc[new]]
+                    order = np.argsort(a)
+                    a, rank = a[order], rank[order]
+                    first = _changes(a)
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a[first], np.full(len(first), number[lo]), np.minimum.reduceat(rank, first),
+                                                                            np.maximum.reduceat(rank, first))], names=["a", "slice", "lo", "hi"])
 
     named = texts.select("slice", "d", "t").mapInArrow(run, "a long, slice long, lo long, hi long")
     by = W.partitionBy("a")
@@ -162,43 +192,47 @@ def _shared_anchors(texts: DataFrame, span: int, piece: int) -> DataFrame:
 
 def _runs(texts: DataFrame, known: DataFrame, span: int, piece: int) -> DataFrame:
     """Runs of windows with one known anchor ``a``, each once a slice: earliest place (d, h, pos), latest rank ``hi``,
-    and ``nodes``: the first node of the window before, those of the run, the last one of the window behind (0 at text ends)."""
+    and ``nodes``: the first node of the window before, those of the run, the last one of the window behind (0 at text ends).
+
+    ``h`` is a hash of the text, to tell rows of equal ids apart.
+    """
+    hashes = _WordHashes()  # of a task
+
     def run(docs: pa.Table, anchors: pa.Table) -> pa.Table:
         out: dict[bytes, list] = {}
-        if anchors.num_rows and docs.num_rows:
-            hashes, asked = _WordHashes(), np.unique(anchors.column("a").to_numpy())
-            for d, text in zip(docs.column("d").to_pylist(), docs.column("t").to_pylist(), strict=True):
-                x = _Text(text, hashes, span, piece)
-                if not x.windows:
-                    continue
-                at = np.flatnonzero(asked[np.minimum(np.searchsorted(asked, x.anchors), len(asked) - 1)] == x.anchors)
-                if not len(at):
-                    continue
-                h = _text_hash(text)
-                first = np.union1d(_changes(x.anchors[at]), _changes(at - np.arange(len(at))))
-                for lo, hi in zip(at[first].tolist(), at[np.append(first[1:], len(at)) - 1].tolist(), strict=True):
-                    key = x.nodes[lo:hi + 4].tobytes()
-                    seen = out.get(key)
-                    if seen is None:
-                        out[key] = [int(x.anchors[lo]), d, h, lo, d]
-                    else:
-                        seen[4] = max(seen[4], d)
-                        if (d, h, lo) < tuple(seen[1:4]):
-                            seen[1:4] = d, h, lo
+        texts = docs.column("t").to_pylist()
+        x = _Slice(texts, hashes, span, piece)
+        at = x.under(anchors.column("a").to_numpy()) if len(x.at) else x.at
+        if len(at):
+            ranks, place, doc = docs.column("d").to_pylist(), x.at[at], x.doc[at]
+            first = np.union1d(_changes(x.anchor[at]), _changes(place - np.arange(len(place))))
+            first = np.union1d(first, _changes(doc))
+            last = np.append(first[1:], len(at)) - 1
+            before, after = (v.tobytes() for v in x.ends(place[first], place[last], doc[first]))
+            text_of: dict[int, int] = {}
+            for k, (lo, hi, i, a, pos) in enumerate(zip(*(v.tolist() for v in (place[first], place[last], doc[first], x.anchor[at[first]],
+                                                                                place[first] - x.start[doc[first]])), strict=True)):
+                key = before[8 * k:8 * k + 8] + x.node[lo:hi + 2].tobytes() + after[8 * k:8 * k + 8]
+                h = text_of.get(i)
+                if h is None:
+                    h = text_of[i] = xxhash.xxh3_64_intdigest(texts[i].encode()) >> 33
+                d, seen = ranks[i], out.get(key)
+                if seen is None:
+                    out[key] = [a, d, h, pos, d]
+                else:
+                    seen[4] = max(seen[4], d)
+                    if (d, h, pos) < tuple(seen[1:4]):
+                        seen[1:4] = d, h, pos
         columns = list(zip(*out.values(), strict=True)) or [[]] * 5
         sizes = np.cumsum([0, *(len(k) // 8 for k in out)], dtype=np.int32)
         nodes = pa.ListArray.from_arrays(pa.array(sizes), pa.array(np.frombuffer(b"".join(out), np.int64)))
         return pa.table([*(pa.array(c, k) for c, k in zip(columns, _RUN, strict=True)), nodes], names=["a", "d", "h", "pos", "hi", "nodes"])
 
     return (texts.select("slice", "d", "t").groupBy("slice").cogroup(known.groupBy("slice"))
-            .applyInArrow(run, "a long, d long, h long, pos int, hi long, nodes array<long>"))
-
+            .applyInArrow(run, "a long, d long, h int, pos int, hi long, nodes array<long>"))
 
-_RUN = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
 
-
-def _text_hash(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
+_RUN = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
 
 
 def _turned(x: str, n: str) -> str:
@@ -206,11 +240,16 @@ def _turned(x: str, n: str) -> str:
     return f"(shiftleft({x}, cast({n} % 64 as int)) | shiftrightunsigned({x}, cast(64 - {n} % 64 as int)))"
 
 
-def _checksum(nodes: np.ndarray) -> int:
-    """Checksum of a path by the nodes it passes."""
-    n = np.arange(len(nodes), dtype=np.uint64) % np.uint64(64)
-    x = nodes.view(np.uint64)
-    return int(np.bitwise_xor.reduce((x << n) | np.where(n == 0, x, x >> ((np.uint64(64) - n) % np.uint64(64)))).view(np.int64))
+def _rotated(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Unsigned ``x``, its bits turned to the left by ``n``."""
+    n = (n % 64).astype(np.uint64)
+    return np.where(n == 0, x, (x << n) | (x >> ((np.uint64(64) - n) % np.uint64(64))))
+
+
+def _checksums(nodes: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Checksum of the ``n`` nodes from each ``start`` on: all of them together, each turned by its place behind the start."""
+    sums = np.concatenate([[np.uint64(0)], np.bitwise_xor.accumulate(_rotated(nodes.view(np.uint64), np.arange(len(nodes))))])
+    return _rotated(sums[start + n] ^ sums[start], -start % 64).view(np.int64)
 
 
 def _paths(runs: DataFrame) -> DataFrame:
@@ -247,18 +286,15 @@ def _paths(runs: DataFrame) -> DataFrame:
 
 def _heads(texts: DataFrame, known: DataFrame, paths: DataFrame, span: int, piece: int) -> DataFrame:
     """(slice, l, r, n, first, x): the paths whose first edge the slice has."""
+    hashes = _WordHashes()  # of a task
+
     def run(docs: pa.Table, anchors: pa.Table) -> pa.Table:
-        found = [np.zeros((0, 2), np.int64)]
-        if anchors.num_rows and docs.num_rows:
-            hashes, asked = _WordHashes(), np.unique(anchors.column("a").to_numpy())
-            for text in docs.column("t").to_pylist():
-                x = _Text(text, hashes, span, piece)
-                if x.windows:
-                    at = np.flatnonzero(asked[np.minimum(np.searchsorted(asked, x.anchors), len(asked) - 1)] == x.anchors)
-                    found.append(np.stack([x.nodes[at + 1], x.nodes[at + 2]], 1))
-        l, r = np.unique(np.concatenate(found), axis=0).T
+        x = _Slice(docs.column("t").to_pylist() if anchors.num_rows else [], hashes, span, piece)
+        at = x.at[x.under(anchors.column("a").to_numpy())] if len(x.at) else x.at
+        l, r = x.node[at], x.node[at + 1]
+        once = np.unique(l * 31 + r, return_index=True)[1] if len(at) else at
         number = docs.column("slice")[0].as_py() if docs.num_rows else 0
-        return pa.table([pa.array(np.full(len(l), number, np.int64)), pa.array(l.copy()), pa.array(r.copy())], names=["slice", "l", "r"])
+        return pa.table([pa.array(np.full(len(once), number, np.int64)), pa.array(l[once]), pa.array(r[once])], names=["slice", "l", "r"])
 
     asked = known.join(paths.select(F.col("a").alias("_a")).distinct(), F.col("a") == F.col("_a"), "left_semi")
     held = texts.select("slice", "t").groupBy("slice").cogroup(asked.groupBy("slice")).applyInArrow(run, "slice long, l long, r long")
@@ -266,51 +302,56 @@ def _heads(texts: DataFrame, known: DataFrame, paths: DataFrame, span: int, piec
     return held.join(p, (F.col("l") == F.col("_l")) & (F.col("r") == F.col("_r"))).select("slice", "l", "r", "n", "first", "x")
 
 
-def _spans(x: _Text, rank: int, l: np.ndarray, r: np.ndarray, n: np.ndarray, first: np.ndarray, check: np.ndarray) -> list[tuple[int, int, int]]:
-    """(pos, windows, first document) of the paths (sorted by ``l``) that the text has and an earlier document too."""
-    out = []
-    if not x.windows or not len(l):
-        return out
-    node, behind = x.nodes[1:-2], x.nodes[2:-1]
+def _spans(x: _Slice, ranks: np.ndarray, paths: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, windows, first document) of each of ``paths`` that a text of the slice has and an earlier document too."""
+    l, r, n, first, check = (paths.column(c).to_numpy() for c in ("l", "r", "n", "first", "x"))
+    order = np.argsort(l)
+    l = l[order]
+    node = x.node[x.at]
     lo, hi = np.searchsorted(l, node, "left"), np.searchsorted(l, node, "right")
-    for pos in np.flatnonzero(lo < hi).tolist():
-        for k in range(lo[pos], hi[pos]):
-            end = pos + int(n[k])
-            if r[k] == behind[pos] and first[k] < rank and end <= x.windows and _checksum(x.nodes[pos + 1:end + 2]) == check[k]:
-                out.append((pos, int(n[k]), int(first[k])))
-    return out
-
-
-def earlier_spans(docs: DataFrame, work, fields: dict[str, tuple[str, pa.DataType]], id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, piece: int = PIECE) -> DataFrame:
-    """Every row's id and the values of ``fields`` (name: SQL and Arrow type) that ``work(words, spans)`` gives; ``spans``: (pos, windows,
-    first document) of each path in the row's text that an earlier document has."""
+    hit = np.repeat(np.arange(len(node)), hi - lo)
+    path = order[np.arange(len(hit)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[hit]]
+    place, doc = x.at[hit], x.doc[hit]
+    good = (r[path] == x.node[place + 1]) & (first[path] < ranks[doc]) & (place + n[path] - 1 <= x.last[doc])
+    place, path = place[good], path[good]
+    good = _checksums(x.node, place, n[path].astype(np.int64) + 1) == check[path]
+    return place[good], n[path[good]].astype(np.int64), first[path[good]]
+
+
+def earlier_spans(docs: DataFrame, work, fields: dict[str, tuple[str, pa.DataType]], id_col: str = "doc_id", text_col: str = "text",
+                  span: int = SPAN, piece: int = PIECE) -> DataFrame:
+    """Every row's id and the values of ``fields`` (name: SQL and Arrow type) that ``work(slice, place, windows, first)`` yields for the
+    rows of a slice in turn, from all paths in it that an earlier document (``first``) has."""
     ship_package(docs.sparkSession)
     texts = _sliced(docs, id_col, text_col)
     known = cut_lineage(_shared_anchors(texts, span, piece), "dbg-anchors")
     paths = cut_lineage(_paths(_runs(texts, known, span, piece)), "dbg-paths")
     heads = _heads(texts, known, paths, span, piece)
-    kinds = [pa.int64(), *(kind for _, kind in fields.values())]
+    kinds = [kind for _, kind in fields.values()]
+    hashes = _WordHashes()  # of a task
 
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
-        order = np.argsort(found.column("l").to_numpy(), kind="stable") if found.num_rows else []
-        held = [found.column(c).to_numpy()[order] for c in ("l", "r", "n", "first", "x")] if found.num_rows else [np.zeros(0, np.int64)] * 5
-        hashes, out = _WordHashes(), []
-        for d, nul, text in zip(*(rows.column(c).to_pylist() for c in ("d", "nul", "t")), strict=True):
-            x = _Text(text, hashes, span, piece)
-            out.append((None if nul else d, *work(x.words, _spans(x, d, *held))))
-        columns = list(zip(*out, strict=True)) or [[]] * len(kinds)
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[id_col, *fields])
+        ranks = rows.column("d").to_numpy()
+        x = _Slice(rows.column("t").to_pylist(), hashes, span, piece)
+        none = np.zeros(0, np.int64)
+        spans = _spans(x, ranks, found) if found.num_rows and len(x.at) else (none, none, none)
+        columns = list(zip(*work(x, *spans), strict=True)) or [[]] * len(kinds)
+        ids = pa.array(ranks, pa.int64(), mask=rows.column("nul").to_numpy(zero_copy_only=False).astype(bool))
+        return pa.table([ids, *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=[id_col, *fields])
 
     schema = ", ".join([f"`{id_col}` long", *(f"{name} {kind}" for name, (kind, _) in fields.items())])
-    return (texts.groupBy("slice").cogroup(heads.groupBy("slice")).applyInArrow(run, schema))
+    return texts.groupBy("slice").cogroup(heads.groupBy("slice")).applyInArrow(run, schema)
 
 
 def list_spans(docs: DataFrame, **kw) -> DataFrame:
     """Each row's id and ``spans``: word place and words of each path that an earlier document has, and the first one that has it."""
     span = kw.get("span", SPAN)
 
-    def work(words: list[bytes], spans: list[tuple[int, int, int]]) -> tuple:
-        return ([{"pos": p, "words": n + span - 1, "first": d} for p, n, d in spans],)
+    def work(x: _Slice, place: np.ndarray, n: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
+        order = np.argsort(place, kind="stable")
+        cuts = np.searchsorted(place[order], x.start)
+        for k, (lo, hi) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            yield ([{"pos": int(place[i] - x.start[k]), "words": int(n[i]) + span - 1, "first": int(first[i])} for i in order[lo:hi]],)
 
     kind = pa.list_(pa.struct([("pos", pa.int64()), ("words", pa.int64()), ("first", pa.int64())]))
     return earlier_spans(docs, work, {"spans": ("array<struct<pos: long, words: long, first: long>>", kind)}, **kw)
@@ -320,13 +361,16 @@ def remove_earlier(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    keep_text: bool = False) -> DataFrame:
     """Every row's id, n_words, n_removed and kept_sha256, after removal of each word that a window covers which an
     earlier document has; with ``keep_text`` also the kept words."""
-    def work(words: list[bytes], spans: list[tuple[int, int, int]]) -> tuple:
-        gone = np.zeros(len(words), bool)
-        for pos, n, _ in spans:
-            gone[pos:pos + n + span - 1] = True
-        kept = b" ".join([words[k] for k in np.flatnonzero(~gone)] if spans else words)
-        values = len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest()
-        return (*values, kept.decode()) if keep_text else values
+    def work(x: _Slice, place: np.ndarray, n: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
+        edge = np.zeros(x.start[-1] + 1, np.int64)
+        np.add.at(edge, place, 1)
+        np.add.at(edge, place + n + span - 1, -1)
+        stays = np.cumsum(edge)[:-1] == 0
+        gone = np.diff(np.concatenate([[0], np.cumsum(~stays)])[x.start])
+        for k, words in enumerate(x.words):
+            kept = b" ".join(compress(words, stays[x.start[k]:x.start[k + 1]].tolist()) if gone[k] else words)
+            values = len(words), int(gone[k]), hashlib.sha256(kept).hexdigest()
+            yield (*values, kept.decode()) if keep_text else values
 
     fields = {"n_words": ("long", pa.int64()), "n_removed": ("long", pa.int64()), "kept_sha256": ("string", pa.string())}
     return earlier_spans(docs, work, fields | ({"kept": ("string", pa.string())} if keep_text else {}), id_col, text_col, span, piece)
