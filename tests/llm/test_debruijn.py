@@ -87,3 +87,13 @@ def test_texts_are_not_shuffled(spark):
 def test_no_rows(spark):
     assert debruijn.remove_earlier(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     assert result(spark.createDataFrame([(None, None), (1, "")], "doc_id long, text string")) == brute([(None, None), (1, "")])
+
+
+def test_words_of_any_length():
+    long = [b"x" * n for n in (1, 2, (1 << 16) - 1, 1 << 16, (1 << 16) + 1, (1 << 20) + 5, 3 << 20)]
+    words = [b"ab", *long, b"ab", b"\xc3\xa9", b"ba", *long[::-1], b"a", b"a\x00", b"ab"]
+    data = b"  " + b" \t\x0b".join(words) + b"\n"
+    first, h = debruijn._words(data)
+    assert [data[f:f + len(w)] for f, w in zip(first, words)] == words and len(first) == len(words)
+    for i, a in enumerate(words):
+        assert [int(x) == int(h[i]) for x in h] == [a == b for b in words]

@@ -50,17 +50,31 @@ SLICE_BYTES = 8 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class _WordHashes(dict):
-    """Hash of a word, remembered; emptied when it has grown large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+#: Bytes that are hashed together; a word beyond LONG bytes is hashed by itself.
+STRETCH, LONG = 1 << 20, 1 << 16
+_WHITE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_POWERS = np.multiply.accumulate(np.full(STRETCH + LONG, _M1, np.uint64))
+_BACK = np.multiply.accumulate(np.full(STRETCH + LONG, pow(int(_M1), -1, 1 << 64), np.uint64))
+
+
+def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, hash) of every word of ``data``: sums of its bytes times powers of an odd number, by place in the word."""
+    byte = np.frombuffer(data, np.uint8)
+    white = np.concatenate([[True], _WHITE[byte], [True]])
+    first = np.flatnonzero(white[:-1] & ~white[1:])
+    end = np.flatnonzero(~white[:-1] & white[1:])
+    out = np.zeros(len(first), np.uint64)
+    k = 0
+    while k < len(first):
+        upto = max(int(np.searchsorted(first, first[k] + STRETCH)), k + 1)
+        lo, hi = int(first[k]), int(min(end[upto - 1], first[k] + STRETCH + LONG))  # what is beyond belongs to a long word
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum((byte[lo:hi] + np.uint64(1)) * _POWERS[:hi - lo], out=sums[1:])
+        out[k:upto] = (sums[np.minimum(end[k:upto], hi) - lo] - sums[first[k:upto] - lo]) * _BACK[first[k:upto] - lo]
+        k = upto
+    for k in np.flatnonzero(end - first > LONG).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[first[k]:end[k]])
+    return first, _mixed(out).view(np.uint64)
 
 
 def _joined(a: np.ndarray, b: np.ndarray, k: int, behind: int) -> np.ndarray:
@@ -101,22 +115,26 @@ def _least(a: np.ndarray, k: int) -> np.ndarray:
 class _Slice:
     """The windows of a slice's texts, as places in the row of all their words.
 
-    ``at``: places at which a window starts, ``doc`` the text of each, ``anchor`` its anchor; ``node``: hash of the
-    string of span - 1 words from a place on (of meaning only inside a text).
+    ``at``: places at which a window starts, ``doc`` the text of each; ``run``: the windows (of ``at``) at which a run of one
+    text's windows with one ``anchor`` starts, and at last their number; ``node``: hash of the string of span - 1 words
+    from a place on (of meaning only inside a text).
     """
 
-    def __init__(self, texts: list[str | None], hashes: _WordHashes, span: int, piece: int):
-        self.words = [text.encode().split() if text else [] for text in texts]  # splits at 0x20 and 0x09-0x0D
-        self.counts = np.array([len(w) for w in self.words], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(self.counts)])
-        h = np.concatenate([hashes.of(w) for w in self.words]) if self.words else np.zeros(0, np.uint64)
-        windows = np.maximum(self.counts - span + 1, 0)
+    def __init__(self, texts: list[str | None], span: int, piece: int):
+        self.texts = [text.encode() if text else b"" for text in texts]
+        first, h = _words(b" ".join(self.texts))
+        self.start = np.searchsorted(first, np.cumsum([0, *(len(t) + 1 for t in self.texts)]))
+        windows = np.maximum(np.diff(self.start) - span + 1, 0)
         self.doc = np.repeat(np.arange(len(texts)), windows)
         self.last = self.start[:-1] + windows - 1  # of each text
-        before = np.concatenate([[0], np.cumsum(windows)])[:-1]
+        before = np.cumsum(windows) - windows
         self.at = np.arange(len(self.doc)) - before[self.doc] + self.start[self.doc]
+        if not len(self.at):
+            return
         self.node = _mixed(_strings(h, span - 1))
-        self.anchor = _least(_mixed(_strings(h, piece)), span - piece + 1)[self.at]
+        anchor = _least(_mixed(_strings(h, piece)), span - piece + 1)[self.at]
+        new = _changes(anchor, self.doc)
+        self.anchor, self.run = anchor[new], np.append(new, len(anchor))
 
     def ends(self, first: np.ndarray, last: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Node before the window at ``first`` and node behind that at ``last`` (0 at the ends of the text)."""
@@ -125,16 +143,18 @@ class _Slice:
         return before, after
 
     def under(self, anchors: np.ndarray) -> np.ndarray:
-        """Which windows have one of ``anchors``."""
+        """Which runs have one of ``anchors``."""
         asked = np.unique(anchors)
         if not len(asked):
-            return np.zeros(0, np.int64)
+            return asked
         return np.flatnonzero(asked[np.minimum(np.searchsorted(asked, self.anchor), len(asked) - 1)] == self.anchor)
 
 
-def _changes(a: np.ndarray) -> np.ndarray:
-    """Where ``a`` (not empty) is not what it was before; the first place counts."""
-    return np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where any of ``columns`` (not empty) is not what it was before; the first place counts."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], 0)
+    return np.flatnonzero(new)
 
 
 def _table(spark, df: DataFrame, buckets: int) -> DataFrame:
@@ -167,19 +187,16 @@ def _sliced(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _shared_anchors(texts: DataFrame, span: int, piece: int) -> DataFrame:
     """(slice, a): the anchors of each slice that two documents or more have."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
         for batch in batches:
             for part in slices([batch], 2, SLICE_BYTES):
                 number, ranks = (c.to_numpy(zero_copy_only=False) for c in part.columns[:2])
                 cuts = [*_changes(number).tolist(), part.num_rows]
                 for lo, hi in zip(cuts, cuts[1:], strict=False):
-                    x = _Slice(part.column(2).slice(lo, hi - lo).to_pylist(), hashes, span, piece)
+                    x = _Slice(part.column(2).slice(lo, hi - lo).to_pylist(), span, piece)
                     if not len(x.at):
                         continue
-                    new = np.union1d(_changes(x.anchor), _changes(x.doc))
-                    a, rank = x.anchor[new], ranks[lo + x.doc[new]]
-                    order = np.argsort(a)
-                    a, rank = a[order], rank[order]
+                    order = np.argsort(x.anchor)
+                    a, rank = x.anchor[order], ranks[lo + x.doc[x.run[:-1][order]]]
                     first = _changes(a)
                     yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a[first], np.full(len(first), number[lo]), np.minimum.reduceat(rank, first),
                                                                             np.maximum.reduceat(rank, first))], names=["a", "slice", "lo", "hi"])
@@ -196,26 +213,20 @@ def _runs(texts: DataFrame, known: DataFrame, span: int, piece: int) -> DataFram
 
     ``h`` is a hash of the text, to tell rows of equal ids apart.
     """
-    hashes = _WordHashes()  # of a task
-
     def run(docs: pa.Table, anchors: pa.Table) -> pa.Table:
         out: dict[bytes, list] = {}
-        texts = docs.column("t").to_pylist()
-        x = _Slice(texts, hashes, span, piece)
-        at = x.under(anchors.column("a").to_numpy()) if len(x.at) else x.at
-        if len(at):
-            ranks, place, doc = docs.column("d").to_pylist(), x.at[at], x.doc[at]
-            first = np.union1d(_changes(x.anchor[at]), _changes(place - np.arange(len(place))))
-            first = np.union1d(first, _changes(doc))
-            last = np.append(first[1:], len(at)) - 1
-            before, after = (v.tobytes() for v in x.ends(place[first], place[last], doc[first]))
+        x = _Slice(docs.column("t").to_pylist() if anchors.num_rows else [], span, piece)
+        k = x.under(anchors.column("a").to_numpy()) if len(x.at) else x.at
+        if len(k):
+            ranks = docs.column("d").to_pylist()
+            first, last, doc = x.at[x.run[k]], x.at[x.run[k + 1] - 1], x.doc[x.run[k]]
+            before, after = (v.tobytes() for v in x.ends(first, last, doc))
             text_of: dict[int, int] = {}
-            for k, (lo, hi, i, a, pos) in enumerate(zip(*(v.tolist() for v in (place[first], place[last], doc[first], x.anchor[at[first]],
-                                                                                place[first] - x.start[doc[first]])), strict=True)):
+            for k, (lo, hi, i, a, pos) in enumerate(zip(*(v.tolist() for v in (first, last, doc, x.anchor[k], first - x.start[doc])), strict=True)):
                 key = before[8 * k:8 * k + 8] + x.node[lo:hi + 2].tobytes() + after[8 * k:8 * k + 8]
                 h = text_of.get(i)
                 if h is None:
-                    h = text_of[i] = xxhash.xxh3_64_intdigest(texts[i].encode()) >> 33
+                    h = text_of[i] = xxhash.xxh3_64_intdigest(x.texts[i]) >> 33
                 d, seen = ranks[i], out.get(key)
                 if seen is None:
                     out[key] = [a, d, h, pos, d]
@@ -286,13 +297,15 @@ def _paths(runs: DataFrame) -> DataFrame:
 
 def _heads(texts: DataFrame, known: DataFrame, paths: DataFrame, span: int, piece: int) -> DataFrame:
     """(slice, l, r, n, first, x): the paths whose first edge the slice has."""
-    hashes = _WordHashes()  # of a task
-
     def run(docs: pa.Table, anchors: pa.Table) -> pa.Table:
-        x = _Slice(docs.column("t").to_pylist() if anchors.num_rows else [], hashes, span, piece)
-        at = x.at[x.under(anchors.column("a").to_numpy())] if len(x.at) else x.at
-        l, r = x.node[at], x.node[at + 1]
-        once = np.unique(l * 31 + r, return_index=True)[1] if len(at) else at
+        x = _Slice(docs.column("t").to_pylist() if anchors.num_rows else [], span, piece)
+        l = r = once = np.zeros(0, np.int64)
+        if len(x.at):
+            k = x.under(anchors.column("a").to_numpy())
+            size = x.run[k + 1] - x.run[k]
+            at = x.at[np.arange(size.sum()) + np.repeat(x.run[k] - np.cumsum(size) + size, size)]
+            l, r = x.node[at], x.node[at + 1]
+            once = np.unique(l * 31 + r, return_index=True)[1]
         number = docs.column("slice")[0].as_py() if docs.num_rows else 0
         return pa.table([pa.array(np.full(len(once), number, np.int64)), pa.array(l[once]), pa.array(r[once])], names=["slice", "l", "r"])
 
@@ -308,9 +321,12 @@ def _spans(x: _Slice, ranks: np.ndarray, paths: pa.Table) -> tuple[np.ndarray, n
     order = np.argsort(l)
     l = l[order]
     node = x.node[x.at]
-    lo, hi = np.searchsorted(l, node, "left"), np.searchsorted(l, node, "right")
-    hit = np.repeat(np.arange(len(node)), hi - lo)
-    path = order[np.arange(len(hit)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[hit]]
+    lo = np.searchsorted(l, node)
+    some = np.flatnonzero(l[np.minimum(lo, len(l) - 1)] == node)
+    lo = lo[some]
+    size = np.searchsorted(l, node[some], "right") - lo  # paths that start in the same node
+    hit = np.repeat(some, size)
+    path = order[np.arange(len(hit)) + np.repeat(lo - np.cumsum(size) + size, size)]
     place, doc = x.at[hit], x.doc[hit]
     good = (r[path] == x.node[place + 1]) & (first[path] < ranks[doc]) & (place + n[path] - 1 <= x.last[doc])
     place, path = place[good], path[good]
@@ -328,11 +344,9 @@ def earlier_spans(docs: DataFrame, work, fields: dict[str, tuple[str, pa.DataTyp
     paths = cut_lineage(_paths(_runs(texts, known, span, piece)), "dbg-paths")
     heads = _heads(texts, known, paths, span, piece)
     kinds = [kind for _, kind in fields.values()]
-    hashes = _WordHashes()  # of a task
-
     def run(rows: pa.Table, found: pa.Table) -> pa.Table:
         ranks = rows.column("d").to_numpy()
-        x = _Slice(rows.column("t").to_pylist(), hashes, span, piece)
+        x = _Slice(rows.column("t").to_pylist(), span, piece)
         none = np.zeros(0, np.int64)
         spans = _spans(x, ranks, found) if found.num_rows and len(x.at) else (none, none, none)
         columns = list(zip(*work(x, *spans), strict=True)) or [[]] * len(kinds)
@@ -362,12 +376,11 @@ def remove_earlier(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Every row's id, n_words, n_removed and kept_sha256, after removal of each word that a window covers which an
     earlier document has; with ``keep_text`` also the kept words."""
     def work(x: _Slice, place: np.ndarray, n: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
-        edge = np.zeros(x.start[-1] + 1, np.int64)
-        np.add.at(edge, place, 1)
-        np.add.at(edge, place + n + span - 1, -1)
-        stays = np.cumsum(edge)[:-1] == 0
+        m = x.start[-1] + 1
+        stays = np.cumsum(np.bincount(place, minlength=m) - np.bincount(place + n + span - 1, minlength=m))[:-1] == 0
         gone = np.diff(np.concatenate([[0], np.cumsum(~stays)])[x.start])
-        for k, words in enumerate(x.words):
+        for k, text in enumerate(x.texts):
+            words = text.split()
             kept = b" ".join(compress(words, stays[x.start[k]:x.start[k + 1]].tolist()) if gone[k] else words)
             values = len(words), int(gone[k]), hashlib.sha256(kept).hexdigest()
             yield (*values, kept.decode()) if keep_text else values
