@@ -118,3 +118,32 @@ def test_stacked_specs_equal_separate_fits(spark):
         assert np.allclose(f.coef, one.coef, atol=1e-10) and np.allclose(f.se, one.se, atol=1e-10)
         assert np.allclose(f.se_clustered, one.se_clustered, atol=1e-10)
         assert (f.nobs, f.df_resid, f.n_entities, f.n_periods) == (one.nobs, one.df_resid, one.n_entities, one.n_periods)
+
+
+def test_fe_of_5000_periods(spark, monkeypatch):
+    """An unbalanced panel over 5,000 periods against a dense solve; what reaches the driver is vectors over the periods."""
+    rng = np.random.default_rng(21)
+    ne, nt, per = 400, 5000, 60
+    e = np.repeat(np.arange(ne), per)
+    t = np.concatenate([rng.choice(nt, per, replace=False) for _ in range(ne)])
+    x = rng.normal(size=(len(e), 2)) + 0.3 * np.sin(t / 50)[:, None] + 0.1 * (e % 7)[:, None]
+    y = 0.5 * x[:, 0] - 0.3 * x[:, 1] + np.cos(t / 30) + 0.2 * e + rng.normal(size=len(e))
+    pdf = pd.DataFrame({"entity": e, "date": t, "x1": x[:, 0], "x2": x[:, 1], "y": y})
+    passes = []
+    real = L._gram_times
+    monkeypatch.setattr(L, "_gram_times", lambda lists, p: passes.append(p.shape) or real(lists, p))
+    res = L.fe_twoway(spark.createDataFrame(pdf), "y", ["x1", "x2"])
+    periods, tt = np.unique(t, return_inverse=True)
+    z = np.column_stack([y, x])
+    z = z - (np.array([np.bincount(e, c) for c in z.T]) / per).T[e]
+    c = np.zeros((ne, len(periods)))
+    c[e, tt] = 1.0
+    gram = np.diag(c.sum(0)) - c.T @ c / per
+    gamma = np.linalg.solve(gram + 1.0 / len(periods), np.array([np.bincount(tt, col) for col in z.T]).T)
+    r = z - (gamma[tt] - (np.array([np.bincount(e, g) for g in gamma[tt].T]) / per).T[e])
+    beta = np.linalg.solve(r[:, 1:].T @ r[:, 1:], r[:, 1:].T @ r[:, 0])
+    u = r[:, 0] - r[:, 1:] @ beta
+    se = np.sqrt(np.diag(np.linalg.inv(r[:, 1:].T @ r[:, 1:])) * (u @ u) / (len(y) - 2 - (ne + len(periods) - 1)))
+    assert res.n_periods == len(periods) > 4900
+    assert np.allclose(res.coef, beta, atol=1e-9) and np.allclose(res.se, se, atol=1e-9)
+    assert 1 < len(passes) < 100 and set(passes) == {(len(periods), 3)}

@@ -2,17 +2,18 @@
 and entity-clustered errors, pooled OLS, Breusch-Pagan, VIF, residuals and
 Q-Q points.
 
-Every pass over rows is a Spark aggregate; only k x k (regressors) and
-T x T (periods) matrices reach the driver.
+Every pass over rows is a Spark aggregate; only k x k matrices (regressors)
+and vectors over the periods reach the driver.
 
 Two-way fixed effects, exact on unbalanced panels (Frisch-Waugh):
   1. subtract entity means (window over the entity's panel cells);
-  2. the time dummies after entity demeaning have Gram
-     D'D - sum_i c_i c_i' / n_i  (c_i = the entity's period indicators),
-     accumulated per partition from one row per entity holding its period
-     list (bounded by T) — a T x T table;
-  3. D'z for every column is a ``groupBy(period).sum``;
-  4. gamma = pinv(T x T) @ D'z on the driver, broadcast back (T rows);
+  2. D'z for every column is a ``groupBy(period).sum``;
+  3. the time dummies after entity demeaning have the Gram
+     A = D'D - sum_i c_i c_i' / n_i  (c_i = the entity's period indicators),
+     which is never formed: A p is one pass over the entities' period lists
+     (p at the entity's periods, less their mean, summed by period);
+  4. A gamma = D'z by conjugate gradients, preconditioned with the periods'
+     counts, all columns and specs in the same passes;
   5. residualise: z - (gamma_t - mean of gamma over the entity's periods);
   6. one Gram aggregate of the residualised columns -> beta and sums of
      squares; one grouped aggregate of scores -> clustered covariance.
@@ -24,6 +25,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +34,9 @@ from ..functions.tails import chi2_sf, f_sf, t_sf2
 from .joins import domain_values
 
 ABSORBED_TOL = 1e-9
-MAX_PERIODS = 2000
+#: Vectors over the periods (and specs) that the driver may hold: 8 bytes each a column.
+MAX_PERIODS = 1_000_000
+CG_TOL, CG_MAX_ITER = 1e-12, 1000
 
 
 def gram(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
@@ -66,24 +70,63 @@ def _grams_by(df: DataFrame, cols: Sequence[str], by: str, entity: str | None =
     return out
 
 
-def _period_pairs(n_periods: int):
-    """Per partition and spec: sum over entities of c_i c_i' / n_i in a dense
-    T x T accumulator (numpy), emitted as its non-zero upper-triangle entries."""
+def _gram_times(lists: DataFrame, p: np.ndarray) -> np.ndarray:
+    """A p for the period Gram A of ``lists`` (a row an entity: ``at``, its periods) and vectors ``p`` (periods x columns).
+
+    Tasks hand on a row for each period they met, with the sums of their entities.
+    """
+    n, k = p.shape
+
     def run(batches):
-        import pandas as pd
-        acc: dict = {}
-        for pdf in batches:
-            for spec, periods in zip(pdf["_spec"], pdf["periods"]):
-                m = acc.get(spec)
-                if m is None:
-                    m = acc[spec] = np.zeros((n_periods, n_periods))
-                # an entity may hold a period more than once
-                idx, times = np.unique(np.asarray(periods, dtype=np.int64), return_counts=True)
-                m[np.ix_(idx, idx)] += np.outer(times, times) / times.sum()
-        for spec, m in acc.items():
-            ii, jj = np.nonzero(np.triu(m))
-            yield pd.DataFrame({"_spec": spec, "i": ii.astype("int32"), "j": jj.astype("int32"), "v": m[ii, jj]})
-    return run
+        acc, met = np.zeros((n, k)), np.zeros(n, bool)
+        for b in batches:
+            at = b.column(0)
+            idx, cuts = at.flatten().to_numpy(), at.offsets.to_numpy()
+            cuts = cuts - cuts[0]
+            size = np.diff(cuts)
+            v = p[idx]
+            v -= np.repeat(np.add.reduceat(v, cuts[:-1]) / size[:, None], size, axis=0)
+            for j in range(k):
+                acc[:, j] += np.bincount(idx, v[:, j], n)
+            met[idx] = True
+        t = np.flatnonzero(met)
+        yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), *(pa.array(acc[t, j]) for j in range(k))],
+                                         names=["t", *(f"v{j}" for j in range(k))])
+
+    cols = [f"v{j}" for j in range(k)]
+    sums = (lists.mapInArrow(run, "t int, " + ", ".join(f"{c} double" for c in cols))
+            .groupBy("t").agg(*[F.sum(c).alias(c) for c in cols]))
+    out = np.zeros((n, k))
+    for row in sums.collect():  # at most a row a period and spec
+        out[row["t"]] = row[1:]
+    return out
+
+
+def _period_effects(lists: DataFrame, counts: np.ndarray, dz: np.ndarray, tol: float = CG_TOL, max_iter: int = CG_MAX_ITER) -> np.ndarray:
+    """gamma with A gamma = D'z, for every spec and column: ``counts`` (specs x periods), ``dz`` (specs x periods x columns).
+
+    A is singular by each connected part's constant, which the residuals do not
+    see; right-hand sides of demeaned columns lie in its range.
+    """
+    specs, nt, k = dz.shape
+    weight = np.where(counts > 0, 1.0 / np.maximum(counts, 1), 0.0)[:, :, None]
+    x, r = np.zeros_like(dz), dz.copy()
+    z = weight * r
+    p, rz = z, (r * z).sum(1)
+    goal = tol * tol * rz
+    for _ in range(max_iter):
+        if (rz <= goal).all():
+            return x
+        ap = _gram_times(lists, p.reshape(specs * nt, k)).reshape(dz.shape)
+        pap = (p * ap).sum(1)
+        alpha = np.where((rz > goal) & (pap > 0), rz / np.where(pap > 0, pap, 1.0), 0.0)
+        x += alpha[:, None, :] * p
+        r -= alpha[:, None, :] * ap
+        z = weight * r
+        new = (r * z).sum(1)
+        p = z + np.where(rz > 0, new / np.where(rz > 0, rz, 1.0), 0.0)[:, None, :] * p
+        rz = np.where(rz > goal, new, rz)
+    raise RuntimeError(f"period effects did not settle to {tol} in {max_iter} passes")
 
 
 @dataclass
@@ -133,37 +176,27 @@ class FitResult:
 def _residualize_exact(b: DataFrame, entity: str, cols, nt: int, we):
     """Exact removal of time effects from entity-demeaned columns ``_e_*``,
     for every spec at once."""
-    from ..session import ship_package
-    ship_package(b.sparkSession)
+    from ..session import cut_lineage, ship_package
     spark = b.sparkSession
+    ship_package(spark)
     kk = len(cols)
-    n_t: dict = {}
-    dz: dict = {}
-    for r in b.groupBy("_spec", "_t").agg(F.count(F.lit(1)).alias("n"),
-                                           *[F.sum(f"_e_{c}").alias(c) for c in cols]).collect():
-        sp = r["_spec"]
-        if sp not in n_t:
-            n_t[sp], dz[sp] = np.zeros(nt), np.zeros((nt, kk))
-        n_t[sp][r["_t"]] = r["n"]
-        dz[sp][r["_t"]] = [r[c] for c in cols]
-    lists = b.groupBy("_spec", entity).agg(F.collect_list("_t").alias("periods")).select("_spec", "periods")
-    pairs = (lists.mapInPandas(_period_pairs(nt), "_spec string, i int, j int, v double")
-             .groupBy("_spec", "i", "j").agg(F.sum("v").alias("v")))
-    dd = {sp: np.diag(v) for sp, v in n_t.items()}
-    for r in pairs.collect():
-        m = dd[r["_spec"]]
-        m[r["i"], r["j"]] -= r["v"]
-        if r["i"] != r["j"]:
-            m[r["j"], r["i"]] -= r["v"]
-    g_rows = []
-    for sp in dd:
-        gamma = np.linalg.pinv(dd[sp], hermitian=True) @ dz[sp]          # T x (k+1)
-        g_rows += [(sp, i, *[float(v) for v in gamma[i]]) for i in range(nt)]
-    gdf = spark.createDataFrame(g_rows, "_spec string, _t int, " + ", ".join(f"_g_{c} double" for c in cols))
-    r = b.join(F.broadcast(gdf), ["_spec", "_t"])
-    r = r.withColumns({f"_r_{c}": F.col(f"_e_{c}") - (F.col(f"_g_{c}") - F.avg(f"_g_{c}").over(we))
-                       for c in cols})
-    return r
+    sums = b.groupBy("_spec", "_t").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"_e_{c}").alias(c) for c in cols]).collect()
+    specs = sorted({row["_spec"] for row in sums}, key=lambda v: (v is not None, v))
+    place = {v: i for i, v in enumerate(specs)}
+    counts, dz = np.zeros((len(specs), nt)), np.zeros((len(specs), nt, kk))
+    for row in sums:  # a row a period and spec
+        i = place[row["_spec"]]
+        counts[i, row["_t"]] = row["n"]
+        dz[i, row["_t"]] = [row[c] for c in cols]
+    number = spark.createDataFrame([(v, i) for v, i in place.items()], "_spec string, _i int")
+    at = b.groupBy("_spec", entity).agg(F.collect_list("_t").alias("at"))
+    lists = cut_lineage(at.join(number, at["_spec"].eqNullSafe(number["_spec"]))
+                        .select(F.expr(f"transform(at, t -> cast(_i * {nt} + t as int))").alias("at")), "periods")
+    gamma = _period_effects(lists, counts, dz)
+    rows = [(v, t, *map(float, gamma[i, t])) for v, i in place.items() for t in np.flatnonzero(counts[i]).tolist()]
+    gdf = spark.createDataFrame(rows, "_spec string, _t int, " + ", ".join(f"_g_{c} double" for c in cols))
+    r = b.join(gdf, ["_spec", "_t"])
+    return r.withColumns({f"_r_{c}": F.col(f"_e_{c}") - (F.col(f"_g_{c}") - F.avg(f"_g_{c}").over(we)) for c in cols})
 
 
 def _residualize_alternating(b: DataFrame, time: str, cols, we, tol: float = 1e-10,
@@ -201,8 +234,9 @@ def fe_twoway_specs(df: DataFrame, y: str, xs: Sequence[str], spec: str | None =
     Rows carry the spec they belong to (a sweep stacks its subsamples); every
     pass — demeaning, period sums, the period Gram, the Gram, cluster scores —
     groups by spec as well, so a whole robustness sweep shares one set of
-    jobs.  ``method="exact"`` removes the time effects by one T x T solve per
-    spec and raises beyond ``max_periods`` periods; ``"alternating"`` projects
+    jobs.  ``method="exact"`` solves for the time effects by conjugate gradients
+    (vectors over at most ``max_periods`` periods on the driver, never their
+    Gram); ``"alternating"`` projects
     until all period means are below ``alt_tol`` and raises if they do not
     get there.  Returns {spec value: FitResult}.
     """
@@ -221,7 +255,7 @@ def fe_twoway_specs(df: DataFrame, y: str, xs: Sequence[str], spec: str | None =
         tmap = spark.createDataFrame([(t, i) for i, t in enumerate(times)],
                                      T.StructType([T.StructField(time, base.schema[time].dataType),
                                                    T.StructField("_t", T.IntegerType())]))
-        b = (base.join(F.broadcast(tmap), [time])
+        b = (base.join(tmap, [time])
              .withColumns({f"_e_{c}": F.col(c) - F.avg(c).over(we) for c in cols}))
         if materialize:
             b = cut_lineage(b)
