@@ -47,7 +47,7 @@ shock AS (
   SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(count(*) AS DOUBLE) AS shock_count,
          max(l_extendedprice) AS shock_max_price, min(l_discount) AS shock_min_discount,
          sum(l_extendedprice) / 1e6 AS shock_total
-  FROM lineitem WHERE l_returnflag = 'R' AND year(l_shipdate) % 2 = 0
+  FROM lineitem WHERE l_returnflag = 'R'
   GROUP BY 1),
 shock_long AS (
   {" UNION ALL ".join(f"SELECT year, '{m}' AS metric, {m} AS value FROM shock" for m in SHOCK_METRICS)})"""

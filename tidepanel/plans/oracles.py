@@ -29,7 +29,8 @@ PN = order_panel_ctes("nation", "pn")
 PN_WIDE_COLS = "entity, date, " + ", ".join(f"{z6(m)} AS {m}" for m in ORDER_METRICS)
 EVENTS_SQL = "(VALUES ('e1_1999_02', DATE '1999-02-01'), ('e2_tie_1997_06', DATE '1997-06-15'), ('e3_empty_2010', DATE '2010-01-01')) ev(event, event_date)"
 STATE = "state AS (SELECT date, avg(avg_price) AS value FROM pn_wide WHERE avg_price IS NOT NULL GROUP BY date)"
-YEARS = "yrs AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)"
+YEARS = ("yrs AS (SELECT CAST(unnest(range(min(year(o_orderdate)) - 1, max(year(o_orderdate)) + 2)) AS INTEGER) AS year "
+         "FROM orders)")
 SHOCK_GRID = ", ".join(f"('{m}')" for m in SHOCK_METRICS)
 
 ORACLES.update({
