@@ -81,3 +81,69 @@ def test_forest_importance_sums_to_one(spark):
     model = forest_regression(spark.createDataFrame(pdf), "y", ["a", "b", "c"], numTrees=20)
     imp = feature_importance(model, ["a", "b", "c"])
     assert sum(v for _, v in imp) == pytest.approx(1.0) and imp[0][0] == "a"
+
+
+def _wavy(rng, n, kind):
+    e = rng.normal(size=n)
+    if kind == "ar":
+        x = np.zeros(n)
+        for i in range(2, n):
+            x[i] = 0.6 * x[i - 1] - 0.3 * x[i - 2] + e[i]
+        return 50 + x
+    if kind == "walk":
+        return 1000 + np.cumsum(e)
+    if kind == "ma":
+        return e + 0.5 * np.concatenate([[0], e[:-1]])
+    if kind == "twice":
+        return np.cumsum(np.cumsum(e))
+    return np.full(n, 7.0)
+
+
+def _series_frame(spark, series):
+    rows = [(s, i, float(v)) for s, x in series.items() for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "series string, date int, y double").repartition(3)
+
+
+@pytest.mark.parametrize("slice_rows", [64, 16_384])
+def test_sliced_adf_and_forecast_equal_the_whole_array(spark, slice_rows):
+    """Slices of 64 values (several rounds of merging for the long series) against least squares on the whole array."""
+    import series_reference as ref
+    rng = np.random.default_rng(4)
+    series = {f"{k}{n}": _wavy(rng, n, k) for k in ("ar", "walk", "ma", "twice") for n in (40, 64, 65, 130, 700)}
+    series |= {"long": _wavy(rng, 5000, "ar"), "const": _wavy(rng, 90, "const"), "short": np.array([1.0, 2.0, 4.0]), "four": np.array([1.0, 3.0, 2.0, 5.0])}
+    df = _series_frame(spark, series)
+    got = {r["series"]: r for r in FC.adf_test(df, "series", "date", "y", slice_rows=slice_rows).collect()}
+    assert set(got) == set(series)
+    for name, x in series.items():
+        want = ref.adf(x)
+        if want is None:
+            assert got[name]["adf_stat"] is None, name
+        else:
+            assert (got[name]["used_lag"], got[name]["nobs"]) == want[1:3], name
+            assert got[name]["adf_stat"] == pytest.approx(want[0], rel=1e-8) and got[name]["ic_best"] == pytest.approx(want[3], rel=1e-9), name
+    pred = FC.grouped_forecast(df, "series", "date", "y", 12, slice_rows=slice_rows).toPandas()
+    assert len(pred) == sum(min(12, len(x)) for x in series.values())
+    for name, x in series.items():
+        one = pred[pred.series == name].sort_values("date")
+        want = ref.forecast(x[:-12], 12, 4, 4, 2, 8) if len(x) > 12 else None
+        if want is None:
+            assert one.forecast.isna().all() and (len(x) > 12) == one.naive.notna().all(), name
+            continue
+        assert (one.p.iat[0], one.d.iat[0], one.q.iat[0]) == want[:3], name
+        assert np.allclose(one.forecast, want[4], rtol=1e-7, atol=1e-7) and np.allclose((one.upper - one.lower) / 2, want[5], rtol=1e-6), name
+        assert (one.naive == x[-13]).all() and np.allclose(one.actual, x[-12:])
+
+
+def test_adf_of_a_million_points(spark):
+    """One series over many tasks equals the whole array's test."""
+    import series_reference as ref
+    from pyspark.sql import functions as F
+    n = 1_000_000
+    x = _wavy(np.random.default_rng(8), n, "ar")
+    df = spark.createDataFrame(pd.DataFrame({"date": np.arange(n), "y": x})).withColumn("series", F.lit("one"))
+    slices = FC._slices(FC._ranked_values(df, "series", "date", "y"), 0, FC.SLICE)
+    assert slices.agg(F.max(F.size("y"))).first()[0] < FC.SLICE + 200 and slices.count() == -(-n // FC.SLICE)
+    got = FC.adf_test(df, "series", "date", "y", max_lag=6).first()
+    want = ref.adf(x, 6)
+    assert (got["used_lag"], got["nobs"]) == want[1:3]
+    assert got["adf_stat"] == pytest.approx(want[0], rel=1e-9) and got["ic_best"] == pytest.approx(want[3], rel=1e-9)

@@ -7,8 +7,12 @@
   (p, q) by AIC; mean and 95% band from psi-weights.
 * ``naive_forecast`` (M14), ``forecast_eval`` and ``forecast_scores`` (M15).
 
-A series is one entity's time series, bounded by the calendar: Spark shuffles
-once by series, and each series is one small array in one task.
+A series of any length is cut into slices of at most SLICE values in date
+order, each with a halo of the values before it that its lags reach.  A slice
+gives the Gram of its rows of the regression (lags, and the left side); the
+Grams of a series are added up in groups of MERGE slices, round by round, and
+only the regressor-sized solves run per series.  All lag orders come from one
+factor of the Gram.  No series is ever one array.
 """
 
 from __future__ import annotations
@@ -21,75 +25,215 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tails import adf_pvalue
+from .quantile import global_rank
 
 Z95 = 1.959963984540054
+#: Values of a slice (the halo of ceil(12 (n/100)^1/4) + 3 values is shorter for any n up to 10^14), and slices added up by a task.
+SLICE, MERGE = 16_384, 64
+#: A column keeps this share of its length, at least, beside those before it; else they explain it.
+DEPENDENT = 1e-11
+
+
+def _most_lags(n: int, max_lag: int | None = None) -> int:
+    """Up to ceil(12 (n/100)^1/4) lags, at most half the series."""
+    most = max(0, min(math.ceil(12.0 * (max(n, 0) / 100.0) ** 0.25), n // 2 - 2))
+    return most if max_lag is None else min(most, max_lag)
+
+
+def _slices(ranked: DataFrame, skip: int, slice_rows: int, reach: int = 16) -> DataFrame:
+    """(s, b, n, mean, lo, y): the first ``n`` = rows - ``skip`` values of each series in slices ``b``; ``y`` starts with the
+    halo (``reach`` values at least), at rank ``lo``; ``mean`` is the series'."""
+    from ..session import cut_lineage
+    t = ranked.select("s", F.col("_rank").alias("r"), (F.col("_n") - skip).alias("n"), "y").where(F.col("r") < F.col("n"))
+    halo = F.greatest(F.ceil(12 * F.pow(F.col("n") / 100, F.lit(0.25))) + 3, F.lit(reach))
+    own = F.floor(F.col("r") / slice_rows)
+    also = (F.col("r") % slice_rows >= slice_rows - halo) & ((own + 1) * slice_rows < F.col("n"))
+    cut = (t.withColumn("b", F.explode(F.when(also, F.array(own, own + 1)).otherwise(F.array(own))))
+           .groupBy("s", "b", "n").agg(F.sort_array(F.collect_list(F.struct("r", "y"))).alias("v"))
+           .select("s", "b", "n", F.col("v")[0]["r"].alias("lo"), F.transform("v", lambda v: v["y"]).alias("y")))
+    mean = t.groupBy(F.col("s").alias("_s")).agg(F.avg("y").alias("mean"))
+    return cut_lineage(cut.join(mean, F.col("s").eqNullSafe(F.col("_s"))).drop("_s"), "slices")
+
+
+def _merged(parts: DataFrame, slice_rows: int) -> DataFrame:
+    """One row a series of ``parts`` (s, b, n, grams, edge): ``grams`` added up, ``edge`` the one that is there."""
+    slices = -(-(parts.agg(F.max("n")).first()[0] or 0) // slice_rows)
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        edge = next((e for e in pdf["edge"] if e is not None and len(e)), [])
+        out = pdf.iloc[:1].copy()
+        out["grams"] = [[np.sum(np.stack(g), axis=0) for g in zip(*pdf["grams"], strict=True)]]
+        out["edge"] = [edge]
+        return out
 
-
-def _ols(x: np.ndarray, y: np.ndarray):
-    """Least squares: coefficients, sum of squared residuals, (X'X)^+."""
-    beta = np.linalg.lstsq(x, y, rcond=None)[0]
-    u = y - x @ beta
-    return beta, float(u @ u), np.linalg.pinv(x.T @ x)
-
-
-def _lags(x: np.ndarray, n: int) -> np.ndarray:
-    """Columns x(t-1) .. x(t-n), NaN where they reach before the start."""
-    out = np.full((len(x), n), np.nan)
-    for j in range(1, min(n, len(x) - 1) + 1):
-        out[j:, j - 1] = x[:-j]
-    return out
-
-
-def _adf(x: np.ndarray, max_lag: int | None = None):
+    schema = parts.schema
+    while slices > 1:
+        parts = parts.withColumn("b", F.floor(F.col("b") / MERGE)).groupBy("s", "b").applyInPandas(add, schema)
+        slices = -(-slices // MERGE)
+    return parts
+
+
+def _lags(x: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Columns x(t-1) .. x(t-n) at the places ``at``."""
+    return x[at[:, None] - np.arange(1, n + 1)[None, :]]
+
+
+def _gram(*columns: np.ndarray) -> np.ndarray:
+    """Products of a constant and all columns, summed over the rows."""
+    z = np.column_stack([np.ones(len(columns[-1])), *columns])
+    return z.T @ z
+
+
+class _Level:
+    """A slice's values of the ``d``-fold difference: ``x``, the places of its own values ``own``, and the rank ``lo`` of the first."""
+
+    def __init__(self, y: np.ndarray, lo: int, start: int, d: int, mean: float):
+        self.x = np.diff(y, n=d) if d else y - mean
+        self.lo = lo  # x[i] is value lo + i of the difference
+        self.own = np.arange(max(start - d - lo, 0), len(self.x))
+
+    def adf(self, most: int) -> np.ndarray:
+        """Gram of 1, x(t-1), dx(t-1) .. dx(t-most), dx(t), over t that have all of them."""
+        at = self.own[self.own + self.lo >= most + 1]
+        dx = np.diff(self.x)
+        return _gram(self.x[at - 1], _lags(dx, at - 1, most), dx[at - 1])
+
+    def ar(self, order: int) -> np.ndarray:
+        """Gram of 1, x(t-1) .. x(t-order), x(t)."""
+        at = self.own[self.own + self.lo >= order]
+        return _gram(_lags(self.x, at, order), self.x[at])
+
+    def innovations(self, beta: np.ndarray) -> np.ndarray:
+        """What the autoregression ``beta`` (constant first) leaves of x; NaN where its lags are not at hand."""
+        order = len(beta) - 1
+        e = np.full(len(self.x), np.nan)
+        at = np.arange(order, len(self.x))
+        if len(at):
+            e[at] = self.x[at] - beta[0] - _lags(self.x, at, order) @ beta[1:]
+        return e
+
+
+def _factor(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower factor of the Gram scaled to a unit diagonal, and the scale; a column that those before it explain has a zero pivot."""
+    scale = np.sqrt(np.diag(gram))
+    scale[scale == 0] = 1.0
+    a = gram / scale[:, None] / scale[None, :]
+    low = np.zeros_like(a)
+    for j in range(len(a)):
+        c = a[j:, j] - low[j:, :j] @ low[j, :j]
+        if c[0] > DEPENDENT:
+            low[j:, j] = c / math.sqrt(c[0])
+    return low, scale
+
+
+def _regress(gram: np.ndarray, columns: list[int]) -> tuple[np.ndarray, float]:
+    """Coefficients of ``columns`` for the last one, and the sum of squared residuals."""
+    yy = gram[-1, -1]
+    if not columns:
+        return np.zeros(0), float(yy)
+    scale = np.sqrt(np.diag(gram)[columns])
+    scale[scale == 0] = 1.0
+    a = gram[np.ix_(columns, columns)] / scale[:, None] / scale[None, :]
+    b = gram[columns, -1] / scale
+    beta = np.linalg.lstsq(a, b, rcond=DEPENDENT)[0]
+    return beta / scale, float(max(yy - beta @ b, 0.0))
+
+
+def _adf_stat(gram: np.ndarray, n: int, most: int, first: np.ndarray):
     """(stat, used lag, nobs, AIC), or None if the series is too short or constant.
 
-    Up to ceil(12 (n/100)^1/4) lags, at most half the series.  The test does
-    not depend on the level, so the series is centred first.
+    ``gram``: 1, x(t-1), lags 1 to ``most`` and dx(t) on the sample all lags have; ``first``: the values x(0) .. x(most).
     """
-    n = len(x)
-    most = max(0, min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2))
-    if max_lag is not None:
-        most = min(most, max_lag)
     if n < 4:
         return None
-    x = x - x.mean()
-    dx = np.diff(x)
-    full = np.column_stack([np.ones(n - 1), x[:-1], _lags(dx, most)])
-    best, ic = 0, math.inf
     nobs = n - 1 - most
+    low, scale = _factor(gram)
+    ssr = scale[-1] ** 2 * (1.0 - np.cumsum(low[-1, :-1] ** 2))
+    best, ic = 0, math.inf
     for p in range(most + 1):
-        _, ssr, _ = _ols(full[most:, :2 + p], dx[most:])
-        aic = nobs * (math.log(2 * math.pi) + math.log(max(ssr, 1e-300) / nobs) + 1) + 2 * (2 + p)
+        aic = nobs * (math.log(2 * math.pi) + math.log(max(ssr[1 + p], 1e-300) / nobs) + 1) + 2 * (2 + p)
         if aic < ic - 1e-12:
             best, ic = p, aic
-    beta, ssr, inv = _ols(full[best:, :2 + best], dx[best:])
+    keep = [*range(2 + best), len(gram) - 1]
+    g = gram[np.ix_(keep, keep)]
+    at = np.arange(best + 1, most + 1)  # the rows that fewer lags add at the start
+    if len(at):
+        dx = np.diff(first)
+        g = g + _gram(first[at - 1], _lags(dx, at - 1, best), dx[at - 1])
     free = n - 1 - best - (2 + best)
-    var = ssr / free * inv[1, 1] if free > 0 else 0.0
+    if free <= 0:
+        return None
+    beta, left = _regress(g, list(range(2 + best)))
+    scale = np.sqrt(np.diag(g)[:-1])
+    scale[scale == 0] = 1.0
+    var = left / free * np.linalg.pinv(g[:-1, :-1] / scale[:, None] / scale[None, :], rcond=DEPENDENT, hermitian=True)[1, 1] / scale[1] ** 2
     if not var > 0:
         return None
     return float(beta[1] / math.sqrt(var)), best, n - 1 - best, float(ic)
 
 
-def adf_test(df: DataFrame, series: str, date: str, value: str, max_lag: int | None = None) -> DataFrame:
+_PARTS = "b long, n long, mean double, grams array<array<double>>, edge array<double>"
+
+
+def _square(flat) -> np.ndarray:
+    flat = np.asarray(flat, dtype=np.float64)
+    k = math.isqrt(len(flat))
+    return flat.reshape(k, k)
+
+
+def _unit_root_parts(slices: DataFrame, levels: int, max_lag: int | None, ar_order: int, slice_rows: int) -> DataFrame:
+    """Per series: for each difference its ADF Gram and (``ar_order`` > 0) its autoregression's; ``edge``: the first values."""
+    def run(batches):
+        for pdf in batches:
+            out = {c: [] for c in ("s", "b", "n", "mean", "grams", "edge")}
+            for row in pdf.itertuples(index=False):
+                y, grams = np.asarray(row.y), []
+                for d in range(levels):
+                    level = _Level(y, row.lo, row.b * slice_rows, d, row.mean)
+                    grams.append(level.adf(_most_lags(row.n - d, max_lag)).ravel())
+                    if ar_order:
+                        grams.append(level.ar(ar_order).ravel())
+                edge = y[:_most_lags(row.n) + levels + 1] if row.b == 0 else []
+                for c, v in zip(out, (row.s, row.b, row.n, row.mean, grams, edge), strict=True):
+                    out[c].append(v)
+            yield pd.DataFrame(out)
+
+    kind = slices.schema["s"].dataType.simpleString()
+    return _merged(slices.mapInPandas(run, f"s {kind}, {_PARTS}"), slice_rows)
+
+
+def _ranked_values(df: DataFrame, series: str, date: str, value: str) -> DataFrame:
+    """(s, t, y) with ``_rank`` by date and ``_n`` per series; rows without a value or a date take no part, ties go by value."""
+    from ..session import ship_package
+    ship_package(df.sparkSession)
+    src = df.select(F.col(series).alias("s"), F.col(date).alias("t"), F.col(value).cast("double").alias("y"))
+    return global_rank(src.where(F.col("y").isNotNull()), ["s"], "t")
+
+
+def adf_test(df: DataFrame, series: str, date: str, value: str, max_lag: int | None = None, slice_rows: int = SLICE) -> DataFrame:
     """Per series: adf_stat, pvalue, used_lag, nobs, ic_best (AIC).
 
-    One shuffle by series; a series (bounded by its calendar) is one array.
-    A series that is too short for the test, or constant, keeps its row with
+    The test does not depend on the level, so the series is centred first.  A
+    series that is too short for the test, or constant, keeps its row with
     nulls.
     """
-    from ..session import ship_package
-    ship_package(df.sparkSession)
-    src = df.select(F.col(series).alias("s"), F.col(date).alias("d"), F.col(value).cast("double").alias("y")).where(F.col("y").isNotNull())
+    parts = _unit_root_parts(_slices(_ranked_values(df, series, date, value), 0, slice_rows), 1, max_lag, 0, slice_rows)
 
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        got = _adf(pdf.sort_values("d")["y"].to_numpy(), max_lag)
-        stat, lag, nobs, ic = got or (None, None, None, None)
-        return pd.DataFrame({"s": pdf["s"].iloc[:1].to_numpy(), "adf_stat": [stat], "pvalue": [None if stat is None else adf_pvalue(stat)],
-                             "used_lag": pd.array([lag], "Int32"), "nobs": pd.array([nobs], "Int32"), "ic_best": [ic]})
+    def test(batches):
+        for pdf in batches:
+            rows = []
+            for row in pdf.itertuples(index=False):
+                most = _most_lags(row.n, max_lag)
+                got = _adf_stat(_square(row.grams[0]), row.n, most, np.asarray(row.edge)[:most + 1] - row.mean)
+                stat, lag, nobs, ic = got or (None, None, None, None)
+                rows.append((row.s, stat, None if stat is None else adf_pvalue(stat), lag, nobs, ic))
+            out = pd.DataFrame(rows, columns=["s", "adf_stat", "pvalue", "used_lag", "nobs", "ic_best"])
+            yield out.astype({"adf_stat": "float64", "pvalue": "float64", "ic_best": "float64", "used_lag": "Int32", "nobs": "Int64"})
 
-    kind = src.schema["s"].dataType.simpleString()
-    return src.groupBy("s").applyInPandas(test, f"s {kind}, adf_stat double, pvalue double, used_lag int, nobs int, ic_best double") \
-        .withColumnRenamed("s", series)
+    kind = parts.schema["s"].dataType.simpleString()
+    out = parts.mapInPandas(test, f"s {kind}, adf_stat double, pvalue double, used_lag int, nobs long, ic_best double")
+    nulls = [F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in ("adf_stat", "pvalue", "ic_best")]
+    return out.select(F.col("s").alias(series), *nulls[:2], "used_lag", F.col("nobs").cast("int").alias("nobs"), nulls[2])
 
 
 def split_holdout(df: DataFrame, series: str, date: str, holdout: int = 12) -> DataFrame:
@@ -147,88 +291,116 @@ def _psi_weights(phi, theta, d, h):
     return psi
 
 
-def _arma(w: np.ndarray, const: bool, max_p: int, max_q: int, ar_order: int):
-    """(p, q, c, phi, theta, sigma2, aic, innovations) by two regressions, or None if the series is too short.
-
-    A long autoregression gives the innovations; a regression on lags of both
-    then serves every order, and AIC picks one.
-    """
-    if len(w) <= 2 * ar_order + 2:
+def _difference_and_ar(row, max_d: int, ar_order: int):
+    """(d, autoregression of the d-fold difference, constant first), or None if the series is too short."""
+    first, tests = np.asarray(row.edge), []
+    for d in range(max_d + 1):
+        n, most = row.n - d, _most_lags(row.n - d)
+        x = np.diff(first, n=d) if d else first - row.mean
+        got = _adf_stat(_square(row.grams[2 * d]), n, most, x[:most + 1])
+        tests.append(got is not None and adf_pvalue(got[0]) < 0.05)
+    d = tests.index(True) if True in tests else max_d
+    if row.n - d <= 2 * ar_order + 2:
         return None
-    wl = _lags(w, max(ar_order, max_p))
-    one = np.ones((len(w), 1))
-    e = np.full(len(w), np.nan)
-    design = np.hstack([one, wl[:, :ar_order]])[ar_order:]
-    beta, _, _ = _ols(design, w[ar_order:])
-    e[ar_order:] = w[ar_order:] - design @ beta
-    start = ar_order + max_q
-    full, y = np.hstack([one, wl[:, :max_p], _lags(e, max_q)])[start:], w[start:]
-    m, best = len(y), None
+    return d, _regress(_square(row.grams[2 * d + 1]), list(range(1 + ar_order)))[0]
+
+
+def _orders(gram: np.ndarray, m: int, const: bool, max_p: int, max_q: int):
+    """(p, q, c, phi, theta, sigma2, aic) of the least AIC, by regressions on lags of the values and the innovations."""
+    best = None
     for p in range(max_p + 1):
         for q in range(max_q + 1):
             idx = ([0] if const else []) + list(range(1, 1 + p)) + list(range(1 + max_p, 1 + max_p + q))
             if m <= len(idx) + 1:
                 continue
-            beta, ssr = (_ols(full[:, idx], y)[:2] if idx else (np.zeros(0), float(y @ y)))
+            beta, ssr = _regress(gram, idx)
             aic = m * math.log(max(ssr, 1e-300) / m) + 2 * (len(idx) + 1)
             if best is None or aic < best[6] - 1e-12:
-                coef = dict(zip(idx, beta))
-                best = (p, q, coef.get(0, 0.0), [coef[j] for j in range(1, 1 + p)],
-                        [coef[1 + max_p + j] for j in range(q)], ssr / m, aic)
-    return None if best is None else (*best, np.nan_to_num(e))
-
-
-def _forecast(y: np.ndarray, h: int, max_p: int, max_q: int, max_d: int, ar_order: int):
-    """(p, d, q, aic, mean, half width of the 95 % band) for h steps after y, or None if y is too short."""
-    levels = [np.diff(y, n=d) for d in range(max_d + 1)]
-    tests = [_adf(x) for x in levels]
-    d = next((i for i, t in enumerate(tests) if t is not None and adf_pvalue(t[0]) < 0.05), max_d)
-    fit = _arma(levels[d], d == 0, max_p, max_q, ar_order)
-    if fit is None:
-        return None
-    p, q, c, phi, theta, sigma2, aic, e = fit
-    w, e = list(levels[d]), list(e)
+                coef = dict(zip(idx, beta, strict=True))
+                best = (p, q, coef.get(0, 0.0), [coef[j] for j in range(1, 1 + p)], [coef[1 + max_p + j] for j in range(q)], ssr / m, aic)
+    return best
+
+
+def _extrapolated(fit, d: int, beta: np.ndarray, last: np.ndarray, mean: float, h: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and half width of the 95 % band for the h steps after the values ``last``."""
+    p, q, c, phi, theta, sigma2, _ = fit
+    level = _Level(last, 0, 0, d, mean)
+    w, e = list(level.x), list(np.nan_to_num(level.innovations(beta)))
     for _ in range(h):
         w.append(c + sum(phi[i] * w[-1 - i] for i in range(p)) + sum(theta[j] * e[-1 - j] for j in range(q)))
         e.append(0.0)
-    mean = np.array(w[len(levels[d]):])
+    out = np.array(w[len(level.x):]) + (mean if d == 0 else 0.0)
     for i in range(d - 1, -1, -1):  # integrate from the last observed value of each level
-        mean = np.cumsum(mean) + levels[i][-1]
-    return p, d, q, float(aic), mean, Z95 * np.sqrt(sigma2 * np.cumsum(_psi_weights(phi, theta, d, h) ** 2))
+        out = np.cumsum(out) + (np.diff(last, n=i) if i else last)[-1]
+    return out, Z95 * np.sqrt(sigma2 * np.cumsum(_psi_weights(phi, theta, d, h) ** 2))
+
+
+def _order_parts(slices: DataFrame, max_p: int, max_q: int, ar_order: int, max_d: int, slice_rows: int) -> DataFrame:
+    """Per series (with ``d`` and ``beta``): Gram of 1, lags of the values, lags of the innovations, the value; ``edge``: the last values."""
+    reach = ar_order + max_q + max_d + max(max_p, 1)
+
+    def run(batches):
+        for pdf in batches:
+            out = {c: [] for c in ("s", "b", "n", "mean", "grams", "edge", "d", "beta")}
+            for row in pdf.itertuples(index=False):
+                y, beta = np.asarray(row.y), np.asarray(row.beta)
+                level = _Level(y, row.lo, row.b * slice_rows, row.d, row.mean)
+                at = level.own[level.own + level.lo >= ar_order + max_q]
+                e = level.innovations(beta)
+                gram = _gram(_lags(level.x, at, max_p), _lags(e, at, max_q), level.x[at])
+                edge = y[-reach:] if row.lo + len(y) == row.n else []
+                for c, v in zip(out, (row.s, row.b, row.n, row.mean, [gram.ravel()], edge, row.d, row.beta), strict=True):
+                    out[c].append(v)
+            yield pd.DataFrame(out)
+
+    kind = slices.schema["s"].dataType.simpleString()
+    return _merged(slices.mapInPandas(run, f"s {kind}, {_PARTS}, d int, beta array<double>"), slice_rows)
 
 
 def grouped_forecast(df: DataFrame, series: str, date: str, value: str, holdout: int = 12,
-                     max_p: int = 4, max_q: int = 4, max_d: int = 2, ar_order: int = 8) -> DataFrame:
+                     max_p: int = 4, max_q: int = 4, max_d: int = 2, ar_order: int = 8, slice_rows: int = SLICE) -> DataFrame:
     """Per series, order search and a forecast of the last ``holdout`` values, beside the naive one.
 
-    One shuffle by series.  Differences are taken until ADF rejects a unit
-    root (p < 0.05), at most ``max_d``; orders come from AIC, the band from
+    Differences are taken until ADF rejects a unit root (p < 0.05), at most
+    ``max_d``; a long autoregression gives the innovations, a regression on
+    lags of both serves every order, and AIC picks one; the band comes from
     psi-weights.  A series too short for the search keeps its rows, with null
     forecasts (and a null naive value if it is no longer than the holdout).
     """
-    from ..session import ship_package
-    ship_package(df.sparkSession)
-    src = df.select(F.col(series).alias("s"), F.col(date).alias("t"), F.col(value).cast("double").alias("y")).where(F.col("y").isNotNull())
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        train, test = pdf.iloc[:-holdout], pdf.iloc[-holdout:]
-        y = train["y"].to_numpy()
-        got = _forecast(y, len(test), max_p, max_q, max_d, ar_order) if len(y) else None
-        p, d, q, aic, mean, half = got or (None, None, None, None, np.full(len(test), np.nan), np.full(len(test), np.nan))
-        out = pd.DataFrame({"s": test["s"], "t": test["t"], "actual": test["y"], "forecast": mean, "lower": mean - half, "upper": mean + half,
-                            "naive": y[-1] if len(y) else np.nan})
-        for name, v in (("p", p), ("d", d), ("q", q)):
-            out[name] = pd.array([v] * len(test), "Int32")
-        out["aic"] = np.nan if aic is None else aic
-        return out
-
-    kinds = [src.schema[c].dataType.simpleString() for c in ("s", "t")]
-    out = src.groupBy("s").applyInPandas(run, f"s {kinds[0]}, t {kinds[1]}, actual double, forecast double, lower double, upper double, "
-                                              "naive double, p int, d int, q int, aic double")
-    nulls = [F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in ("forecast", "lower", "upper", "naive")]
-    return out.select(F.col("s").alias(series), F.col("t").alias(date), "actual", *nulls, "p", "d", "q",
-                      F.nanvl("aic", F.lit(None).cast("double")).alias("aic"))
+    ranked = _ranked_values(df, series, date, value)
+    slices = _slices(ranked, holdout, slice_rows, max(16, ar_order + max_q + max_d + max_p))
+    kind = slices.schema["s"].dataType.simpleString()
+
+    def difference(batches):
+        for pdf in batches:
+            got = [(row.s, *(_difference_and_ar(row, max_d, ar_order) or (None, None))) for row in pdf.itertuples(index=False)]
+            got = [g for g in got if g[1] is not None]
+            yield pd.DataFrame({"_s": [g[0] for g in got], "d": pd.array([g[1] for g in got], "Int32"), "beta": [g[2] for g in got]})
+
+    first = _unit_root_parts(slices, max_d + 1, None, ar_order, slice_rows)
+    order = first.mapInPandas(difference, f"_s {kind}, d int, beta array<double>")
+    parts = _order_parts(slices.join(order, F.col("s").eqNullSafe(F.col("_s"))).drop("_s"), max_p, max_q, ar_order, max_d, slice_rows)
+
+    def forecast(batches):
+        for pdf in batches:
+            out = {c: [] for c in ("_s", "p", "d", "q", "aic", "mean", "half")}
+            for row in pdf.itertuples(index=False):
+                fit = _orders(_square(row.grams[0]), row.n - row.d - ar_order - max_q, row.d == 0, max_p, max_q)
+                if fit is not None:
+                    mean, half = _extrapolated(fit, row.d, np.asarray(row.beta), np.asarray(row.edge), row.mean, holdout)
+                    for c, v in zip(out, (row.s, fit[0], row.d, fit[1], fit[6], mean, half), strict=True):
+                        out[c].append(v)
+            yield pd.DataFrame(out).astype({"p": "int32", "d": "int32", "q": "int32", "aic": "float64"})
+
+    fitted = parts.mapInPandas(forecast, f"_s {kind}, p int, d int, q int, aic double, mean array<double>, half array<double>")
+    n_train = F.greatest(F.col("_n") - holdout, F.lit(0))
+    test = ranked.where(F.col("_rank") >= n_train).select("s", "t", "y", (F.col("_rank") - n_train).cast("int").alias("step"))
+    last = ranked.where(F.col("_rank") == F.col("_n") - holdout - 1).select(F.col("s").alias("_ls"), F.col("y").alias("naive"))
+    rows = (test.join(last, F.col("s").eqNullSafe(F.col("_ls")), "left")
+            .join(fitted, F.col("s").eqNullSafe(F.col("_s")), "left"))
+    mean, half = F.col("mean")[F.col("step")], F.col("half")[F.col("step")]
+    return rows.select(F.col("s").alias(series), F.col("t").alias(date), F.col("y").alias("actual"), mean.alias("forecast"), (mean - half).alias("lower"),
+                       (mean + half).alias("upper"), "naive", "p", "d", "q", "aic")
 
 
 def forecast_scores(df: DataFrame, series: str, date: str, value: str, holdout: int = 12) -> DataFrame:
