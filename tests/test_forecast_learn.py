@@ -147,3 +147,11 @@ def test_adf_of_a_million_points(spark):
     want = ref.adf(x, 6)
     assert (got["used_lag"], got["nobs"]) == want[1:3]
     assert got["adf_stat"] == pytest.approx(want[0], rel=1e-9) and got["ic_best"] == pytest.approx(want[3], rel=1e-9)
+
+
+def test_series_all_too_short_and_none(spark):
+    df = _series_frame(spark, {f"s{i}": np.arange(float(i + 1)) for i in range(20)})
+    pred = FC.grouped_forecast(df, "series", "date", "y", 12).toPandas()
+    assert len(pred) == sum(min(12, i + 1) for i in range(20)) and pred.forecast.isna().all() and pred.p.isna().all()
+    none = df.limit(0)
+    assert FC.grouped_forecast(none, "series", "date", "y").count() == 0 and FC.adf_test(none, "series", "date", "y").count() == 0

@@ -172,6 +172,11 @@ def _adf_stat(gram: np.ndarray, n: int, most: int, first: np.ndarray):
     return float(beta[1] / math.sqrt(var)), best, n - 1 - best, float(ic)
 
 
+def _frame(columns: dict) -> pd.DataFrame:
+    """Columns of any values, lists among them, also where there is no row."""
+    return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in columns.items()})
+
+
 _PARTS = "b long, n long, mean double, grams array<array<double>>, edge array<double>"
 
 
@@ -196,7 +201,7 @@ def _unit_root_parts(slices: DataFrame, levels: int, max_lag: int | None, ar_ord
                 edge = y[:_most_lags(row.n) + levels + 1] if row.b == 0 else []
                 for c, v in zip(out, (row.s, row.b, row.n, row.mean, grams, edge), strict=True):
                     out[c].append(v)
-            yield pd.DataFrame(out)
+            yield _frame(out)
 
     kind = slices.schema["s"].dataType.simpleString()
     return _merged(slices.mapInPandas(run, f"s {kind}, {_PARTS}"), slice_rows)
@@ -351,7 +356,7 @@ def _order_parts(slices: DataFrame, max_p: int, max_q: int, ar_order: int, max_d
                 edge = y[-reach:] if row.lo + len(y) == row.n else []
                 for c, v in zip(out, (row.s, row.b, row.n, row.mean, [gram.ravel()], edge, row.d, row.beta), strict=True):
                     out[c].append(v)
-            yield pd.DataFrame(out)
+            yield _frame(out)
 
     kind = slices.schema["s"].dataType.simpleString()
     return _merged(slices.mapInPandas(run, f"s {kind}, {_PARTS}, d int, beta array<double>"), slice_rows)
@@ -375,7 +380,7 @@ def grouped_forecast(df: DataFrame, series: str, date: str, value: str, holdout:
         for pdf in batches:
             got = [(row.s, *(_difference_and_ar(row, max_d, ar_order) or (None, None))) for row in pdf.itertuples(index=False)]
             got = [g for g in got if g[1] is not None]
-            yield pd.DataFrame({"_s": [g[0] for g in got], "d": pd.array([g[1] for g in got], "Int32"), "beta": [g[2] for g in got]})
+            yield _frame({c: [g[k] for g in got] for k, c in enumerate(("_s", "d", "beta"))})
 
     first = _unit_root_parts(slices, max_d + 1, None, ar_order, slice_rows)
     order = first.mapInPandas(difference, f"_s {kind}, d int, beta array<double>")
@@ -390,7 +395,7 @@ def grouped_forecast(df: DataFrame, series: str, date: str, value: str, holdout:
                     mean, half = _extrapolated(fit, row.d, np.asarray(row.beta), np.asarray(row.edge), row.mean, holdout)
                     for c, v in zip(out, (row.s, fit[0], row.d, fit[1], fit[6], mean, half), strict=True):
                         out[c].append(v)
-            yield pd.DataFrame(out).astype({"p": "int32", "d": "int32", "q": "int32", "aic": "float64"})
+            yield _frame(out)
 
     fitted = parts.mapInPandas(forecast, f"_s {kind}, p int, d int, q int, aic double, mean array<double>, half array<double>")
     n_train = F.greatest(F.col("_n") - holdout, F.lit(0))
