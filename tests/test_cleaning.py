@@ -77,3 +77,41 @@ def test_sentinels_and_tolerant_cast(spark):
     df = spark.createDataFrame([("-99",), ("-999",), ("",), ("x",), ("35",)], "s string")
     assert [r[0] for r in df.select(sentinel_int("s")).collect()] == [None, None, None, None, 35]
     assert [r[0] for r in df.select(tolerant_double("s")).collect()] == [-99.0, -999.0, None, None, 35.0]
+
+
+def test_selection_of_awkward_values(spark):
+    """Heavy tails, ties, infinities, huge ranges, null and NaN values, null keys, a hot group, groups of any size."""
+    rng = np.random.default_rng(17)
+    groups = {
+        "hot": rng.normal(size=60_000), "heavy": np.exp(rng.normal(size=20_000) * 40), "ties": rng.integers(0, 3, 9000).astype(float),
+        "wide": np.concatenate([rng.normal(size=5000) * 1e-300, [1.7e308, -1.7e308]]), "inf": np.concatenate([np.full(1500, np.inf), rng.normal(size=3000), [-np.inf] * 900]),
+        "one": np.array([4.5]), "const": np.full(3000, -2.0), None: rng.normal(size=2500), "big": 1e15 + rng.integers(0, 7, 4000), "two": np.array([1.0, 2.0]),
+    } | {f"g{i}": rng.normal(size=i + 1) for i in range(40)}
+    pdf = pd.concat([pd.DataFrame({"g": [g] * len(v), "v": v}) for g, v in groups.items()], ignore_index=True)
+    extra = [("hot", None), ("none", None), ("two", float("nan"))]
+    df = spark.createDataFrame([*pdf.itertuples(index=False, name=None), *extra], "g string, v double").repartition(5)
+    probs = [0.0, 0.01, 0.25, 0.5, 0.613, 0.99, 1.0]
+    got = {r["g"]: r for r in quantile_table(df, ["g"], "v", probs, list("pqrstuv")).collect()}
+    assert set(got) == set(groups)
+    for g, v in groups.items():
+        v = np.sort(v)
+        assert got[g]["n"] == len(v)
+        for p, name in zip(probs, "pqrstuv"):
+            h = p * (len(v) - 1)
+            lo, hi = v[int(np.floor(h))], v[int(np.ceil(h))]
+            want = lo if lo == hi else lo + (hi - lo) * (h - np.floor(h))
+            assert got[g][name] == pytest.approx(want, rel=1e-12, abs=0), (g, p)
+    whole = quantile_table(df, [], "v", [0.5], ["m"]).first()
+    assert whole["m"] == pytest.approx(np.median(pdf.v)) and whole["n"] == len(pdf)
+    assert quantile_table(df.limit(0), ["g"], "v", [0.5]).count() == 0
+
+
+def test_selection_shuffles_counts_only(spark, tmp_path):
+    """Over a million rows in two groups, every exchange is of at most buckets and picked rows."""
+    path = str(tmp_path / "t")
+    spark.range(1_000_000).selectExpr("id % 2 as g", "pmod(xxhash64(id), 1000003) * 0.5 as v").write.parquet(path)
+    q = quantile_table(spark.read.parquet(path), ["g"], "v", [0.25, 0.5])
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+    want = spark.read.parquet(path).groupBy("g").agg(F.percentile("v", F.lit(0.25)), F.percentile("v", F.lit(0.5)))
+    assert sorted((r["g"], r["q25"], r["q50"]) for r in q.collect()) == sorted(map(tuple, want.collect()))
