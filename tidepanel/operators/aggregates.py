@@ -58,22 +58,52 @@ def min_distance_qualify(points: DataFrame, storm: str, distance: str, max_dista
     return points.join(q.select(storm), [storm], "left_semi")
 
 
+def period_bitmaps(long: DataFrame, entity: str, date: str, metric: str) -> DataFrame:
+    """(entity, metric, word, bits, c, lo, hi): the periods of each entity and metric as bits of 64-day words, and its rows.
+
+    Bits are or-ed by tasks before the shuffle, and again over groups by
+    whoever asks, so no distinct count expands the rows.  Dates and integers
+    share words; other period types are a word each.
+    """
+    kind = long.schema[date].dataType.typeName()
+    if kind in ("date", "integer", "long", "short", "byte"):
+        day = F.unix_date(date) if kind == "date" else F.col(date).cast("long")
+        word, bits = F.floor(day / 64), F.expr("bit_or(shiftleft(1L, cast(pmod(_day, 64) as int)))")
+    else:
+        day, word, bits = F.col(date), F.col(date), F.expr("bit_or(if(_day is null, null, 1L))")
+    return (long.select(F.col(entity).alias("_e"), F.col(metric).alias("_m"), day.alias("_day"), word.alias("_w"), F.col(date).alias("_d"))
+            .groupBy("_e", "_m", "_w").agg(bits.alias("bits"), F.count(F.lit(1)).alias("c"), F.min("_d").alias("lo"), F.max("_d").alias("hi")))
+
+
+def panel_counts(long: DataFrame, entity: str = "entity", date: str = "date", metric: str = "metric") -> DataFrame:
+    """One row: entities, periods, variables, rows, cells (entity x period), min/max periods per entity and rows per entity x
+    metric, first and last period.  Nulls are no entity, period or variable."""
+    from .joins import attach_scalar
+    w = period_bitmaps(long, entity, date, metric)
+    per_metric = w.groupBy("_e", "_m").agg(F.sum("c").alias("c"))
+    per_entity = (w.groupBy("_e", "_w").agg(F.expr("bit_or(bits)").alias("bits"))
+                  .groupBy("_e").agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).alias("p")))
+    periods = w.groupBy("_w").agg(F.expr("bit_or(bits)").alias("bits")).agg(F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).alias("n_periods"))
+    variables = w.groupBy("_m").agg(F.sum("c").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).agg(
+        F.count("_m").alias("n_variables"), F.coalesce(F.sum("c"), F.lit(0)).alias("n_obs"), F.min("lo").alias("time_min"), F.max("hi").alias("time_max"))
+    entities = per_entity.agg(F.count("_e").alias("n_entities"), F.min("p").alias("min_obs_entity"), F.max("p").alias("max_obs_entity"),
+                              F.coalesce(F.sum("p"), F.lit(0)).alias("n_cells"))
+    cells = per_metric.agg(F.min("c").alias("min_obs_entity_metric"), F.max("c").alias("max_obs_entity_metric"))
+    out = entities
+    for one in (periods, variables, cells):
+        out = attach_scalar(out, one)
+    return out
+
+
 def panel_shape(long: DataFrame, entity: str = "entity", date: str = "date",
                 metric: str = "metric") -> DataFrame:
     """One row: entities, periods, rows, min/max periods per entity and
     rows per entity x metric, whether all entities have equally many periods
     (``balanced``) and whether each has every period (``complete``)."""
-    per_ent = long.groupBy(entity).agg(F.count_distinct(date).alias("_c"))
-    per_em = long.groupBy(entity, metric).agg(F.count(F.lit(1)).alias("_c"))
-    tot = long.agg(F.count_distinct(entity).alias("n_entities"),
-                   F.count_distinct(date).alias("n_periods"),
-                   F.count(F.lit(1)).alias("n_obs"))
-    e = per_ent.agg(F.min("_c").alias("min_obs_entity"), F.max("_c").alias("max_obs_entity"))
-    m = per_em.agg(F.min("_c").alias("min_obs_entity_metric"), F.max("_c").alias("max_obs_entity_metric"))
-    from .joins import attach_scalar
-    out = attach_scalar(attach_scalar(tot, e), m)
-    return (out.withColumn("balanced", F.col("min_obs_entity") == F.col("max_obs_entity"))
-            .withColumn("complete", F.col("min_obs_entity") == F.col("n_periods")))
+    n = panel_counts(long, entity, date, metric)
+    return n.select("n_entities", "n_periods", "n_obs", "min_obs_entity", "max_obs_entity", "min_obs_entity_metric", "max_obs_entity_metric",
+                    (F.col("min_obs_entity") == F.col("max_obs_entity")).alias("balanced"),
+                    (F.col("min_obs_entity") == F.col("n_periods")).alias("complete"))
 
 
 def metric_profile(long: DataFrame, metric: str = "metric", value: str = "value") -> DataFrame:

@@ -393,6 +393,16 @@ def pooled_ols(df: DataFrame, y: str, xs: Sequence[str], const: bool = True) ->
     return OLSResult(names, coef, se, n, 1.0 - ssr / tss, ssr)
 
 
+def models_side_by_side(table: DataFrame, models: Sequence[str], variables: Sequence[str]) -> DataFrame:
+    """A long table (model, variable, coef, se, pvalue) with the models beside each other: a row per variable, in the
+    order given, and ``<model>_coef``, ``_se``, ``_pvalue``, ``_stars`` (null where a model has no such value)."""
+    from ..functions.scalar import sig_stars
+    cells = (table.withColumn("stars", sig_stars("pvalue")).groupBy("variable").pivot("model", list(models))
+             .agg(*[F.first(c).alias(c) for c in ("coef", "se", "pvalue", "stars")]))
+    order = F.array_position(F.array(*[F.lit(v) for v in variables]), F.col("variable"))
+    return cells.orderBy(order)
+
+
 def residual_column(y: str, names: Sequence[str], coef) -> "F.Column":
     u = F.col(y)
     for n, c in zip(names, coef):

@@ -24,6 +24,7 @@ from ..operators import linear as L
 from ..operators import reshape as R
 from ..operators import series as SE
 from ..operators import windows as W
+from ..operators.quantile import global_rank
 from ..session import scratch_path
 from ..sources import long as SL
 from ..sources import nested as SN
@@ -167,6 +168,20 @@ def q_sink_long(spark, d):
     return back.select("entity", "date", "metric", r6("value").alias("value"))
 
 
+@register("sink_long_csv")
+def q_sink_long_csv(spark, d):
+    """The sorted CSV and its alias, published together and read back by name: each row with its place in the file order."""
+    root = scratch_path(spark, "published")
+    SK.publish_long(pn_long(spark, d).select("entity", "date", "metric", "value"), root, "master", "panel", ["entity", "date", "metric"])
+    out = None
+    for name in ("master", "panel"):
+        back = SK.read_published(spark, root, name).withColumn("_at", F.struct("_file", "_place"))
+        ranked = global_rank(back, [], "_at")
+        part = ranked.select(F.lit(name).alias("name"), F.col("_rank").alias("row_no"), "entity", "date", "metric", r6("value").alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("dataset_metadata")
 def q_dataset_metadata(spark, d):
     return SK.dataset_metadata(pn_long(spark, d))
@@ -692,11 +707,16 @@ def q_pooled_ols(spark, d):
     return round_doubles(t.withColumn("r2", F.lit(float(fit.r2))).withColumn("nobs", F.lit(fit.nobs).cast("long")))
 
 
+BP_REGRESSORS = ("avg_qty", "avg_extprice", "order_count", "urgent_price")
+
+
 @register("breusch_pagan")
 def q_breusch_pagan(spark, d):
-    bp = L.breusch_pagan(pn_wide(spark, d), "avg_price", ["avg_qty"])
-    return round_doubles(spark.createDataFrame([(float(bp["lm"]), float(bp["f"]), int(bp["nobs"]))],
-                                               "lm double, f double, nobs long"))
+    """LM and F statistics with their p-values, on four regressors."""
+    bp = L.breusch_pagan(pn_wide(spark, d), "avg_price", BP_REGRESSORS)
+    cols = ("lm", "lm_pvalue", "f", "f_pvalue")
+    return round_doubles(spark.createDataFrame([(*[float(bp[c]) for c in cols], int(bp["nobs"]))],
+                                               ", ".join(f"{c} double" for c in cols) + ", nobs long"))
 
 
 @register("vif")
@@ -759,8 +779,8 @@ def q_robustness_sweep(spark, d):
 
 @register("regression_table")
 def q_regression_table(spark, d):
-    """Coefficient / SE / p-value / stars per variable and model, plus
-    N and adjusted within R^2 rows (long layout: model, variable, stat)."""
+    """A row per variable, and coefficient / SE / p-value / stars of each
+    model beside each other; N and adjusted within R^2 as rows."""
     mf = model_frame(spark, d)
     xs = ["drv_l1", *MODEL_CONTROLS]
     stacked = R.union_all_long(
@@ -779,8 +799,8 @@ def q_regression_table(spark, d):
                 rows.append((m, v, _num(f.coef[j]), _num(se[j]), _num(p[j])))
             rows.append((m, "N", float(f.nobs), None, None))
             rows.append((m, "adj_within_r2", _num(f.r2_within_adj), None, None))
-    df = spark.createDataFrame(rows, "model string, variable string, coef double, se double, pvalue double")
-    return df.withColumn("stars", S.sig_stars("pvalue"))
+    return L.models_side_by_side(spark.createDataFrame(rows, "model string, variable string, coef double, se double, pvalue double"),
+                                 ["base_unadjusted", "base_clustered", "exclude_window_clustered"], [*xs, "N", "adj_within_r2"])
 
 
 # ---------------------------------------------------------------------------
@@ -850,7 +870,7 @@ def _forest(spark, d):
     key = (session_key(spark), d)
     if key not in _FORESTS:
         train, test = ML.time_split(_ml_frame(spark, d), MODEL_Y, ML_FEATURES)
-        _FORESTS[key] = (ML.forest_regression(train, MODEL_Y, ML_FEATURES), test)
+        _FORESTS[key] = (ML.forest_regression(train, MODEL_Y, ML_FEATURES) if train.limit(1).count() else None, test)
     return _FORESTS[key]
 
 
@@ -859,6 +879,8 @@ def q_forest_regression(spark, d):
     """Forest predictions on the test split (time-ordered 80/20)."""
     from pyspark.ml.feature import VectorAssembler
     model, test = _forest(spark, d)
+    if model is None:  # nothing to learn from, nothing to predict
+        return test.select("date", F.col(MODEL_Y).alias("actual"), F.lit(None).cast("double").alias("predicted"))
     vec = VectorAssembler(inputCols=list(ML_FEATURES), outputCol="_features").transform(test)
     return model.transform(vec).select("date", F.col(MODEL_Y).alias("actual"), F.col("_pred").alias("predicted"))
 
@@ -866,12 +888,13 @@ def q_forest_regression(spark, d):
 @register("feature_importance")
 def q_feature_importance(spark, d):
     model, _ = _forest(spark, d)
-    return spark.createDataFrame(ML.feature_importance(model, ML_FEATURES), "feature string, importance double")
+    return spark.createDataFrame([] if model is None else ML.feature_importance(model, ML_FEATURES), "feature string, importance double")
 
 
 @register("ml_compare")
 def q_ml_compare(spark, d):
-    rows, _, _ = ML.ml_compare(_ml_frame(spark, d), MODEL_Y, ML_FEATURES, model=_forest(spark, d)[0])
+    model = _forest(spark, d)[0]
+    rows = [] if model is None else ML.ml_compare(_ml_frame(spark, d), MODEL_Y, ML_FEATURES, model=model)[0]
     return spark.createDataFrame(rows, "model string, r2 double, rmse double, n_train long, n_test long")
 
 

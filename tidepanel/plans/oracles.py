@@ -29,6 +29,30 @@ PN = order_panel_ctes("nation", "pn")
 PN_WIDE_COLS = "entity, date, " + ", ".join(f"{z6(m)} AS {m}" for m in ORDER_METRICS)
 EVENTS_SQL = "(VALUES ('e1_1999_02', DATE '1999-02-01'), ('e2_tie_1997_06', DATE '1997-06-15'), ('e3_empty_2010', DATE '2010-01-01')) ev(event, event_date)"
 STATE = "state AS (SELECT date, avg(avg_price) AS value FROM pn_wide WHERE avg_price IS NOT NULL GROUP BY date)"
+BP_X = ("avg_qty", "avg_extprice", "order_count", "urgent_price")
+
+
+def _swept(src: str, out: str, y: str) -> list:
+    """CTEs that take the regressors out of ``y`` and of each other, one after the other (each step with a constant)."""
+    ctes, cur, left = [], src, list(BP_X)
+    while left:
+        x, step = left.pop(0), f"{out}{len(BP_X) - len(left)}"
+        cols = [*left, y]
+        ctes.append(f"{step}_c AS (SELECT " + ", ".join(f"regr_slope({c}, {x}) AS b_{c}, regr_intercept({c}, {x}) AS a_{c}" for c in cols) + f" FROM {cur})")
+        ctes.append(f"{step} AS (SELECT entity, date, " + ", ".join(f"t.{c} - a_{c} - b_{c} * t.{x} AS {c}" for c in cols) + f" FROM {cur} t, {step}_c)")
+        cur = step
+    return ctes
+
+
+def _bp_ctes() -> list:
+    """Breusch-Pagan: squared residuals of avg_price on the regressors, regressed on them again (R^2 in ``bp_r2``)."""
+    some = " AND ".join(f"{c} IS NOT NULL" for c in ("avg_price", *BP_X))
+    return [f"bp AS (SELECT entity, date, avg_price, {', '.join(BP_X)} FROM pn_wide WHERE {some})", *_swept("bp", "bp_u", "avg_price"),
+            f"bp_sq AS (SELECT bp.entity, bp.date, {', '.join('bp.' + c for c in BP_X)}, pow(u.avg_price, 2) AS u2 FROM bp JOIN bp_u{len(BP_X)} u USING (entity, date))",
+            *_swept("bp_sq", "bp_v", "u2"),
+            f"bp_r2 AS (SELECT 1 - (SELECT sum(u2 * u2) FROM bp_v{len(BP_X)}) / (SELECT var_pop(u2) * count(*) FROM bp_sq) AS r2, (SELECT count(*) FROM bp_sq) AS n)"]
+
+
 YEARS = ("yrs AS (SELECT CAST(unnest(range(min(year(o_orderdate)) - 1, max(year(o_orderdate)) + 2)) AS INTEGER) AS year "
          "FROM orders)")
 SHOCK_GRID = ", ".join(f"('{m}')" for m in SHOCK_METRICS)
@@ -49,12 +73,15 @@ FROM events""",
     "scan_typed_long": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
     "schema_contract": with_(PN) + f"\nSELECT entity, date, {z6('avg_price')} AS avg_price, {z6('urgent_price')} AS urgent_price FROM pn_wide",
     "sink_long": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
+    "sink_long_csv": with_(PN) + """
+, r AS (SELECT row_number() OVER (ORDER BY entity, date, metric) - 1 AS row_no, * FROM pn_long)
+SELECT n.name, row_no, """ + ORDER_LONG_COLS + """ FROM r, (VALUES ('master'), ('panel')) n(name)""",
     "dataset_metadata": with_(PN) + """
 SELECT count(DISTINCT entity) AS n_entities, count(DISTINCT date) AS n_periods, count(*) AS n_obs,
        min(date) AS time_min, max(date) AS time_max, count(DISTINCT metric) AS n_variables,
        (SELECT count(*) FROM (SELECT DISTINCT entity, date FROM pn_long)) AS n_cells,
-       CASE WHEN (SELECT count(*) FROM (SELECT DISTINCT entity, date FROM pn_long))
-                 = count(DISTINCT entity) * count(DISTINCT date) THEN 'balanced' ELSE 'unbalanced' END AS panel_type
+       CASE WHEN (SELECT min(c) = max(c) FROM (SELECT count(DISTINCT date) AS c FROM pn_long GROUP BY entity))
+            THEN 'balanced' ELSE 'unbalanced' END AS panel_type
 FROM pn_long""",
     "column_dictionary": with_(PN) + "\n" + " UNION ALL ".join(
         [f"SELECT 'nation_panel' AS dataset, '{c}' AS column, '{t}' AS dtype, 'key' AS role, "
@@ -351,13 +378,10 @@ fit AS (SELECT 1 - sum(pow(p.avg_price - (b.my - b.b1 * b.m1 - b.b2 * b.m2) - b.
 SELECT v.variable, {z6('v.coef')} AS coef, {z6('fit.r2')} AS r2, b.n AS nobs
 FROM b, fit, (SELECT 'const' AS variable, my - b1 * m1 - b2 * m2 AS coef FROM b
               UNION ALL SELECT 'avg_qty', b1 FROM b UNION ALL SELECT 'avg_extprice', b2 FROM b) v""",
-    "breusch_pagan": with_(PN) + f"""
-, f AS (SELECT regr_slope(avg_price, avg_qty) AS b, regr_intercept(avg_price, avg_qty) AS a FROM pn_wide
-        WHERE avg_price IS NOT NULL AND avg_qty IS NOT NULL),
-u AS (SELECT avg_qty AS x, pow(avg_price - a - b * avg_qty, 2) AS u2 FROM pn_wide, f
-      WHERE avg_price IS NOT NULL AND avg_qty IS NOT NULL),
-r AS (SELECT pow(corr(u2, x), 2) AS r2, count(*) AS n FROM u)
-SELECT {z6('n * r2')} AS lm, {z6('r2 / (1 - r2) * (n - 2)')} AS f, n AS nobs FROM r""",
+    "breusch_pagan": with_(PN) + ", " + ", ".join(_bp_ctes()) + f"""
+SELECT {z6('n * r2')} AS lm, {z6('exp(-n * r2 / 2) * (1 + n * r2 / 2)')} AS lm_pvalue, {z6('f')} AS f,
+  {z6('pow(z, (n - 5) / 2.0) * (1 + (n - 5) / 2.0 * (1 - z))')} AS f_pvalue, n AS nobs
+FROM (SELECT *, (n - 5) / (n - 5 + 4 * f) AS z FROM (SELECT *, (r2 / 4) / ((1 - r2) / (n - 5)) AS f FROM bp_r2))""",
     "vif": with_(PN) + f"""
 , g AS (SELECT sum(avg_qty * avg_qty) AS a11, sum(avg_extprice * avg_extprice) AS a22, sum(avg_qty * avg_extprice) AS a12
         FROM pn_wide WHERE avg_qty IS NOT NULL AND avg_extprice IS NOT NULL)

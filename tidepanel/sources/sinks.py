@@ -3,12 +3,16 @@ measured column dictionary."""
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.joins import attach_scalar
+from ..operators.aggregates import panel_counts
 
 
 def sink_long(long: DataFrame, path: str, fmt: str = "parquet",
@@ -35,19 +39,48 @@ def sink_long(long: DataFrame, path: str, fmt: str = "parquet",
         write(back.select(*long.columns), alias)
 
 
+def publish_long(long: DataFrame, root: str, name: str, alias: str, sort_by: Sequence[str]) -> str:
+    """S6 as a checked result: the long table as sorted CSV under two names, which appear together or not at all.
+
+    Each publication is a folder of its own, sorted by a range shuffle; the
+    alias is copied from what was written.  The commit is one small file
+    appended to the manifest, after both are whole: readers
+    (``read_published``) see the last publication that was committed, and a
+    job that fails or is retried leaves at most a folder that no manifest row
+    names.  Returns the version.
+    """
+    spark = long.sparkSession
+    version = uuid.uuid4().hex
+    folder = f"{root}/versions/{version}"
+    sink_long(long, f"{folder}/{name}", "csv", sort_by=sort_by, alias=f"{folder}/{alias}")
+    row = [(version, [name, alias], long.schema.json(), time.time_ns())]
+    (spark.createDataFrame(row, "version string, names array<string>, schema string, published long").coalesce(1)
+     .write.mode("append").json(f"{root}/manifest"))
+    return version
+
+
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rows of the last committed publication that has ``name``, with ``_file`` and ``_place`` (where a row stands in it)."""
+    rows = spark.read.schema("version string, names array<string>, schema string, published long").json(f"{root}/manifest")
+    last = rows.where(F.array_contains("names", name)).orderBy(F.desc("published"), "version").first()
+    if last is None:
+        raise FileNotFoundError(f"nothing published as {name} under {root}")
+    schema = T.StructType.fromJson(json.loads(last["schema"]))
+    files = spark.read.schema(schema).option("header", True).csv(f"{root}/versions/{last['version']}/{name}")
+    return files.select("*", F.col("_metadata.file_name").alias("_file"),
+                        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("_place"))
+
+
 def dataset_metadata(long: DataFrame, entity: str = "entity", date: str = "date",
                      metric: str = "metric") -> DataFrame:
-    """One row describing the panel (one aggregate pass + one check)."""
-    base = long.agg(F.count_distinct(entity).alias("n_entities"),
-                    F.count_distinct(date).alias("n_periods"),
-                    F.count(F.lit(1)).alias("n_obs"),
-                    F.min(date).alias("time_min"), F.max(date).alias("time_max"),
-                    F.count_distinct(metric).alias("n_variables"))
-    cells = long.select(entity, date).distinct().agg(F.count(F.lit(1)).alias("n_cells"))
-    out = attach_scalar(base, cells)
-    return out.withColumn("panel_type", F.when(
-        F.col("n_cells") == F.col("n_entities") * F.col("n_periods"), F.lit("balanced"))
-        .otherwise(F.lit("unbalanced")))
+    """One row describing the panel, from period bitmaps.
+
+    ``panel_type``: balanced if all entities have equally many periods (not
+    necessarily the same, nor all; that would be ``n_cells`` = ``n_entities`` x ``n_periods``).
+    """
+    n = panel_counts(long, entity, date, metric)
+    return n.select("n_entities", "n_periods", "n_obs", "time_min", "time_max", "n_variables", "n_cells", F.when(
+        F.col("min_obs_entity") == F.col("max_obs_entity"), F.lit("balanced")).otherwise(F.lit("unbalanced")).alias("panel_type"))
 
 
 def column_dictionary(df: DataFrame, dataset: str, keys: Sequence[str] = (),
