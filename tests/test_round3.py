@@ -95,3 +95,73 @@ def test_breusch_pagan_of_four_regressors(spark):
     assert got["lm"] == pytest.approx(500 * r2) and got["f"] == pytest.approx(f)
     assert got["lm_pvalue"] == pytest.approx(chi2_sf(500 * r2, 4))
     assert got["f_pvalue"] == pytest.approx(f_sf(f, 4, 495)) and got["f_pvalue"] < 1e-3
+
+
+def test_audit_observes_the_passes_that_clean(spark):
+    """Duplicates with and without values, keep-first by ingest order (not by value), clips; the same counts as the staged audit."""
+    from tidepanel.operators import clean as C
+    rng = np.random.default_rng(12)
+    rows = [(f"e{rng.integers(5)}", int(rng.integers(8)), rng.choice(["x", "y"]).item(), i, None if rng.random() < .3 else float(rng.normal())) for i in range(400)]
+    df = spark.createDataFrame(rows, "entity string, date int, metric string, line int, value double").repartition(4)
+    keys = ["entity", "date", "metric"]
+    clean, audit = C.audited_clean(df, keys, ["line"])
+    kept = C.drop_null_measure(df)
+    dedup = C.dedupe_keep_first(kept, keys, ["line"])
+    win = C.winsorize(dedup, flag="clipped")
+    want = C.cleaning_audit({"raw": df, "non_null": kept, "deduped": dedup, "winsorized": win}, ["value"], keys, "clipped")
+    assert [tuple(r) for r in audit.collect()] == [tuple(r) for r in want.select(*audit.columns).collect()]
+    assert sorted(map(tuple, clean.select(*win.columns).collect())) == sorted(map(tuple, win.collect()))
+    firsts = {}
+    for e, d, m, line, v in rows:
+        if v is not None:
+            firsts.setdefault((e, d, m), line)
+    assert {(r["entity"], r["date"], r["metric"]): r["line"] for r in clean.collect()} == firsts
+    none, empty = C.audited_clean(df.limit(0), keys, ["line"])
+    assert none.count() == 0 and [r["n_rows"] for r in empty.collect()] == [0] * 4
+
+
+def test_wide_files_of_different_headers_in_one_scan(spark, tmp_path):
+    """Files with other columns, in another order, quoted cells, a byte order mark, carriage returns, short lines; last line wins."""
+    from tidepanel.sources.wide import read_wide_files
+    for metric, files in {
+        "price": {"a.csv": '﻿RegionID,RegionName,StateName,2000-01-31,2000-02-29\r\n1,"Tampa, FL",FL,1.5,2\r\n2,"Say ""x""",FL,,3\r\n3,Reno,NV,9,9\r\n4, ,FL,1,1\r\n',
+                  "b.csv": "StateName,2000-03-31,RegionName,notes\nFL,7,\"Tampa, FL\",1999\nFL,abc,Miami,1\nFL,5\nFL,8,\"Tampa, FL\",2\n"},
+        "rent": {"c.csv": "RegionName,StateName,2000-01-31\nMiami,FL,-4.25e1\n", "empty.csv": "", "head.csv": "RegionName,StateName,2001-01-31\n"}}.items():
+        (tmp_path / f"metric={metric}").mkdir()
+        for name, text in files.items():
+            (tmp_path / f"metric={metric}" / name).write_bytes(text.encode())
+    got = read_wide_files(spark, str(tmp_path), filters={"StateName": "FL"}).collect()
+    d = dt.date
+    assert sorted(map(tuple, (r[:4] for r in got))) == sorted([
+        ("Tampa, FL", d(2000, 1, 31), "price", 1.5), ("Tampa, FL", d(2000, 2, 29), "price", 2.0), ('Say "x"', d(2000, 2, 29), "price", 3.0),
+        ("Tampa, FL", d(2000, 3, 31), "price", 8.0), ("Miami", d(2000, 1, 31), "rent", -42.5)])
+
+
+def test_asof_of_100000_events(spark):
+    """Many events, one group with most of them, against numpy; a tie takes the later date."""
+    from tidepanel.operators.joins import asof_merge
+    rng = np.random.default_rng(9)
+    base = np.datetime64("1990-01-01")
+    groups = np.array(["hot"] * 8 + ["a", "b", "none"])
+    ev = pd.DataFrame({"event": np.arange(100_000), "g": rng.choice(groups, 100_000), "event_date": (base + rng.integers(0, 9000, 100_000)).astype("datetime64[D]").astype(object)})
+    points = {g: np.unique(rng.integers(100, 8900, 700)) for g in ("hot", "a", "b", "other")}
+    se = pd.DataFrame([(g, (base + p).astype(object), float(p)) for g, ps in points.items() for p in ps.tolist()], columns=["g", "date", "value"])
+    se = pd.concat([se, pd.DataFrame([("hot", None, 1.0), ("a", dt.date(1990, 1, 2), None)], columns=se.columns)])
+    series = spark.createDataFrame([tuple(None if v != v else v for v in r) for r in se.itertuples(index=False, name=None)], "g string, date date, value double")
+    got = asof_merge(spark.createDataFrame(ev, "event long, g string, event_date date").repartition(8), series, ["g"]).toPandas().sort_values("event")
+    assert len(got) == 100_000
+    t = (ev.event_date.to_numpy().astype("datetime64[D]") - base).astype(int)
+    for g, ps in points.items():
+        mine = np.flatnonzero(ev.g.to_numpy() == g)
+        if not len(mine):
+            continue
+        i = np.searchsorted(ps, t[mine])
+        lo, hi = ps[np.maximum(i - 1, 0)], ps[np.minimum(i, len(ps) - 1)]
+        want = np.where(np.abs(t[mine] - lo) < np.abs(hi - t[mine]), lo, hi)
+        assert (got.base_value.to_numpy()[mine] == want).all()
+    assert got[got.g == "none"].base_value.isna().all()
+    far = asof_merge(spark.createDataFrame([(1, "a", dt.date(2030, 1, 1)), (2, None, dt.date(1990, 1, 1))], "event int, g string, event_date date"), series, ["g"], max_days=30)
+    assert [tuple(r)[3:] for r in far.collect()] == [(None, None)] * 2
+    one = asof_merge(spark.createDataFrame([(1, dt.date(2000, 1, 3))], "event int, event_date date"),
+                     spark.createDataFrame([(dt.date(2000, 1, 1), 1.0), (dt.date(2000, 1, 5), 2.0)], "date date, value double")).first()
+    assert one["base_date"] == dt.date(2000, 1, 5)

@@ -11,8 +11,9 @@ measured shuffle size is under the threshold.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import upper_trim
@@ -144,3 +145,46 @@ def nearest_asof(windowed: DataFrame, value: str, event: str = "event",
     return (windowed.groupBy(event)
             .agg(F.min_by(F.col(value), key).alias("base_value"),
                  F.min_by(F.col(date), key).alias("base_date")))
+
+
+def asof_merge(events: DataFrame, series: DataFrame, by: Sequence[str] = (), event_date: str = "event_date", date: str = "date",
+               value: str = "value", max_days: int | None = None) -> DataFrame:
+    """J9 for many events: each event with the value of its ``by`` group at the date nearest to it (``base_value``, ``base_date``).
+
+    Events and dates are sorted together by sampled ranges, so a group that
+    holds most of the rows is cut over many tasks; within a range an event
+    takes the last date up to it and the first one from it on, and beyond the
+    range's ends the edges carried over from the other ranges of its group.
+    A tie takes the later date; of repeated dates the largest value counts.
+    An event without a date in reach (``max_days``, if given) keeps its row
+    with nulls.  Rows of ``series`` without a value take no part.
+    """
+    from ..session import cut_lineage
+    by = list(by)
+    point = F.struct(F.col(date).alias("date"), F.col(value).alias("value"))
+    marks = (series.where(F.col(value).isNotNull() & F.col(date).isNotNull())
+             .groupBy(*by, date).agg(F.max(value).alias(value))
+             .select(*by, F.col(date).alias("_t"), F.lit(0).alias("_kind"), point.alias("_point"), F.lit(None).alias("_event")))
+    asked = events.select(*by, F.col(event_date).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast(marks.schema["_point"].dataType).alias("_point"),
+                          F.struct(*[F.col(c) for c in events.columns]).alias("_event"))
+    both = marks.withColumn("_event", F.lit(None).cast(asked.schema["_event"].dataType)).unionByName(asked)
+    order = [*by, "_t", "_kind"]
+    dealt = cut_lineage(both.repartitionByRange(*order).sortWithinPartitions(*order)
+                        .withColumn("_place", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_place", 33)), "asof")
+    edges = (dealt.groupBy(*by, "_range").agg(F.max("_point").alias("_last"), F.min("_point").alias("_first")))
+    ranges = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_range")  # a row a range
+    carried = edges.select(*[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], F.col("_range").alias("_r"),
+                           F.last("_last", ignorenulls=True).over(ranges.rowsBetween(Window.unboundedPreceding, -1)).alias("_from"),
+                           F.first("_first", ignorenulls=True).over(ranges.rowsBetween(1, Window.unboundedFollowing)).alias("_upto"))
+    here = Window.partitionBy(*by, "_range").orderBy("_place")
+    near = (dealt.withColumn("_before", F.last("_point", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_after", F.first("_point", ignorenulls=True).over(here.rowsBetween(0, Window.unboundedFollowing)))
+            .where("_kind = 1"))
+    on = reduce(lambda a, b: a & b, [F.col("_range") == F.col("_r"), *[F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)]])
+    near = near.join(carried, on).select("_event", "_t", F.coalesce("_before", "_from").alias("p"), F.coalesce("_after", "_upto").alias("q"))
+    back, ahead = F.datediff("_t", F.col("p.date")), F.datediff(F.col("q.date"), "_t")
+    pick = F.when(F.col("q").isNull() | (back < ahead), F.col("p")).otherwise(F.col("q"))
+    out = near.withColumn("b", pick)
+    if max_days is not None:
+        out = out.withColumn("b", F.when(F.abs(F.datediff("_t", F.col("b.date"))) <= max_days, F.col("b")))
+    return out.select("_event.*", F.col("b.value").alias("base_value"), F.col("b.date").alias("base_date"))

@@ -118,19 +118,30 @@ def located_points(spark, d):
 # ---------------------------------------------------------------------------
 @register("scan_wide_dates")
 def q_scan_wide_dates(spark, d):
-    """Every order metric as wide CSV files (a row per entity, a column per
-    month) and back through the reader, a folder of files per metric."""
-    long = pn_long(spark, d)
-    span = long.agg(F.explode(F.sequence(F.trunc(F.min("date"), "month"), F.trunc(F.max("date"), "month"),
-                                         F.expr("interval 1 month"))).alias("m"))
-    dates = [r[0] for r in span.select(F.last_day("m")).collect()]  # the calendar, not the rows
-    mats = (long.groupBy(F.col("entity").alias("RegionName"), "metric").pivot("date", dates)
-            .agg(F.first(F.col("value").cast("string"))))
-    mats = mats.select("metric", "RegionName", F.lit("nation").alias("RegionType"), *[F.col(f"`{dt}`") for dt in dates])
+    """Every order metric as wide CSV files (a row per entity, a column per month, each file with the months it has)
+    and back by one text scan of all of them."""
     path = scratch_path(spark, "wide")
-    mats.repartition(4).write.partitionBy("metric").option("header", True).csv(path)
-    files = {m: f"{path}/metric={m}" for m in ORDER_METRICS}
-    return SW.read_wide_dates(spark, files).withColumn("value", r6("value"))
+    wide_csv_lines(pn_long(spark, d)).repartition("metric", "part").sortWithinPartitions("metric", "part", "at") \
+        .select("metric", "part", "line").write.partitionBy("metric", "part").text(path)
+    return SW.read_wide_files(spark, path).withColumn("value", r6("value"))
+
+
+def wide_csv_lines(long):
+    """(metric, part, at, line): the lines of wide CSV files, one file a metric and part of the entities; the header comes first."""
+    spark = long.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = long.withColumn("part", F.pmod(F.xxhash64("entity"), F.lit(parts)).cast("int"))
+    heads = rows.groupBy("metric", "part").agg(F.sort_array(F.collect_set("date")).alias("dates"))  # the calendar of a file
+
+    def quoted(c):
+        return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    cells = (rows.groupBy("metric", "part", "entity").agg(F.map_from_entries(F.collect_list(F.struct("date", F.col("value").cast("string")))).alias("m"))
+             .join(heads, ["metric", "part"])
+             .select("metric", "part", F.lit(1).alias("at"), F.concat_ws(",", quoted(F.col("entity")), F.lit("nation"), F.transform(
+                 "dates", lambda t: F.coalesce(F.try_element_at("m", t), F.lit("")))).alias("line")))
+    return cells.unionByName(heads.select("metric", "part", F.lit(0).alias("at"), F.concat_ws(
+        ",", F.lit("RegionName"), F.lit("RegionType"), F.transform("dates", lambda t: t.cast("string"))).alias("line")))
 
 
 @register("scan_header_detail")
@@ -284,11 +295,19 @@ def q_winsorize(spark, d):
 @register("cleaning_audit")
 def q_cleaning_audit(spark, d):
     raw = R.unpivot_long(pn_wide(spark, d), ["entity", "date"], list(ORDER_METRICS))
-    kept = C.drop_null_measure(raw)
-    dedup = C.dedupe_keep_first(kept, ["entity", "date", "metric"], ["value"])
-    win = C.winsorize(dedup, flag="clipped")
-    return round_doubles(C.cleaning_audit({"raw": raw, "non_null": kept, "deduped": dedup, "winsorized": win},
-                                          ["value"], ["entity", "date", "metric"], "clipped"))
+    return round_doubles(C.audited_clean(raw, ["entity", "date", "metric"], ["value"])[1])
+
+
+@register("cleaning_audit_orders")
+def q_cleaning_audit_orders(spark, d):
+    """The audit of order-level observations, where keys repeat: of a nation, month and metric the first order stays."""
+    o = (table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+         .select(F.col("c_nationkey").alias("entity"), F.last_day("o_orderdate").alias("date"), "o_orderkey",
+                 F.col("o_totalprice").alias("price"), F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")).alias("urgent")))
+    raw = R.unpivot_long(o, ["entity", "date", "o_orderkey"], ["price", "urgent"])
+    clean, audit = C.audited_clean(raw, ["entity", "date", "metric"], ["o_orderkey"])
+    total = clean.agg(F.sum("o_orderkey").alias("keys_kept"), F.avg("value").alias("mean_kept"))
+    return round_doubles(J.attach_scalar(audit, total))
 
 
 @register("key_not_null_check")
@@ -377,6 +396,16 @@ def q_nearest_asof(spark, d):
     return J.nearest_asof(win, "value").withColumn("base_value", r6("base_value"))
 
 
+@register("nearest_asof_orders")
+def q_nearest_asof_orders(spark, d):
+    """Each order with its nation's average price at the month end nearest to it."""
+    o = (table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+         .join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+         .select(F.col("o_orderkey").alias("event"), F.col("n_name").alias("entity"), F.to_date("o_orderdate").alias("event_date")))
+    near = J.asof_merge(o, pn_wide(spark, d).select("entity", "date", F.col("avg_price").alias("value")), ["entity"], max_days=10)
+    return near.select("event", "event_date", r6("base_value").alias("base_value"), "base_date")
+
+
 # ---------------------------------------------------------------------------
 # 2.4 aggregations
 # ---------------------------------------------------------------------------

@@ -127,6 +127,22 @@ FROM wz w JOIN pn_long p ON w.entity = p.entity AND w.date = p.date AND w.metric
         f"count(*) - count(DISTINCT (entity, date, metric)) AS n_duplicates, {clip} AS n_clipped FROM {src}"
         for st, src, clip in (("raw", "raw", "0"), ("non_null", "pn_long", "0"), ("deduped", "pn_long", "0"),
                               ("winsorized", "wz", "(SELECT count(*) FROM wz w JOIN pn_long p USING (entity, date, metric) WHERE w.value <> p.value)"))),
+    "cleaning_audit_orders": f"""
+WITH o AS (SELECT c_nationkey AS entity, last_day(CAST(o_orderdate AS DATE)) AS date, o_orderkey, o_totalprice AS price,
+             CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END AS urgent
+           FROM orders JOIN customer ON o_custkey = c_custkey),
+raw AS (SELECT entity, date, o_orderkey, 'price' AS metric, price AS value FROM o UNION ALL SELECT entity, date, o_orderkey, 'urgent', urgent FROM o),
+nn AS (SELECT * FROM raw WHERE value IS NOT NULL),
+dd AS (SELECT entity, date, metric, min(o_orderkey) AS o_orderkey, arg_min(value, o_orderkey) AS value FROM nn GROUP BY entity, date, metric),
+q AS (SELECT metric, quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.99) AS hi, count(*) AS n FROM dd GROUP BY metric),
+wz AS (SELECT dd.* EXCLUDE (value), value AS was, CASE WHEN n >= 10 THEN least(greatest(value, lo), hi) ELSE value END AS value FROM dd JOIN q USING (metric)),
+st AS (
+  SELECT 'raw' AS stage, count(*) AS n_rows, count(*) - count(value) AS value_missing, count(*) - count(DISTINCT (entity, date, metric)) AS n_duplicates, 0 AS n_clipped FROM raw
+  UNION ALL SELECT 'non_null', count(*), 0, count(*) - count(DISTINCT (entity, date, metric)), 0 FROM nn
+  UNION ALL SELECT 'deduped', count(*), 0, 0, 0 FROM dd
+  UNION ALL SELECT 'winsorized', count(*), 0, 0, CAST(sum(CASE WHEN was <> value THEN 1 ELSE 0 END) AS BIGINT) FROM wz)
+SELECT stage, n_rows, value_missing, {z6('value_missing * 100.0 / n_rows')} AS value_missing_pct, n_duplicates, n_clipped,
+  (SELECT CAST(sum(o_orderkey) AS BIGINT) FROM wz) AS keys_kept, (SELECT {z6('avg(value)')} FROM wz) AS mean_kept FROM st""",
     "key_not_null_check": with_(PN) + f"\nSELECT {ORDER_LONG_COLS} FROM pn_long",
     "threshold_category": with_(PN) + f"""
 , per AS (SELECT entity, avg(avg_price) AS m FROM pn_wide GROUP BY entity)
@@ -167,6 +183,14 @@ SELECT {ORDER_LONG_COLS} FROM pn_long WHERE entity IN (SELECT entity FROM high)"
     "range_join_window": with_(PN, STATE) + f"""
 SELECT ev.event, s.date, {z6('s.value')} AS value FROM state s, {EVENTS_SQL}
 WHERE s.date BETWEEN ev.event_date - INTERVAL 24 MONTH AND ev.event_date + INTERVAL 24 MONTH""",
+    "nearest_asof_orders": with_(PN) + f"""
+, ev AS (SELECT o_orderkey AS event, n_name AS entity, CAST(o_orderdate AS DATE) AS event_date
+         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+near AS (SELECT event, event_date, date, avg_price,
+           row_number() OVER (PARTITION BY event ORDER BY abs(date - event_date), date DESC) AS rn
+         FROM ev JOIN pn_wide p ON p.entity = ev.entity AND abs(p.date - ev.event_date) <= 10 AND avg_price IS NOT NULL)
+SELECT ev.event, ev.event_date, {z6('avg_price')} AS base_value, date AS base_date
+FROM ev LEFT JOIN near ON near.event = ev.event AND rn = 1""",
     "nearest_asof": with_(PN, STATE) + f"""
 , win AS (SELECT ev.event, ev.event_date, s.date, s.value FROM state s, {EVENTS_SQL}
           WHERE s.date BETWEEN ev.event_date - INTERVAL 24 MONTH AND ev.event_date + INTERVAL 24 MONTH),
