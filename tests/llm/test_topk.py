@@ -44,3 +44,15 @@ def test_products_beyond_doubles_and_few_rows(spark):
     got = run(spark, rows, every=1)
     assert [x[:3] for x in got if x[0] == 0] == [(0, 1, 2), (0, 2, 1)]
     assert run(spark, [(0, [1.0])], every=1) == [] and run(spark, [], every=1) == []
+
+
+def test_products_under_and_over_a_long(spark):
+    """Ranks follow the whole products, also where the scores shown are the ends of a long."""
+    r = random.Random(8)
+    rows = [(i, [r.choice([-1, 1]) * r.randrange(1, 10) * 10.0 ** r.choice([0, 3, 7, 7.3, 8, 9]) + 1 / 256 * r.randrange(256) for _ in range(3)]) for i in range(150)]
+    rows += [(200, [1e9, 1e9, 1e9]), (201, [1e9, 1e9, 1e9]), (203, [-1e9, -1e9, -1e9]), (210, [1e9, 1e9, 1e9 + 1 / 256])]
+    ends = (-(1 << 63), (1 << 63) - 1)
+    for block_rows, k in ((None, 5), (8, 5), (16, 200)):
+        got = run(spark, rows, k=k, block_rows=block_rows)
+        want = [(q, n, v, min(max(s, ends[0]), ends[1])) for q, n, v, s in brute(rows, k, 7)]
+        assert got == want and any(x[3] in ends for x in got) and any(abs(x[3]) < 2**53 for x in got)

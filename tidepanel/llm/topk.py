@@ -62,15 +62,17 @@ class Block:
         self.largest = float(np.abs(x).max(initial=0))
 
     def top(self, q_ids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int, chunk: int = 1024) -> tuple[np.ndarray, ...]:
-        """(query position, id, score) of the k best per query among those of at least its ``floor``."""
+        """(query position, id, score) of the k best per query among those of at least its ``floor``; scores are Python integers
+        where a product may be beyond 2**53."""
         turned = q @ self.axes
         head, rest, length = turned[:, :self.first], np.sqrt((turned[:, self.first:] ** 2).sum(1)), np.sqrt((q * q).sum(1))
         # whatever rounding the bounds carry is far below this
         slack = 1e-9 * length * (self.length[0] if len(self.length) else 0) + 1e-6
         exact = float(np.abs(q).max(initial=0)) * self.largest * max(1, q.shape[1]) < EXACT
-        thr = floor.astype(np.float64)
+        # a threshold beyond 2**53 may have been rounded up; so may a score where it becomes one
+        thr = floor = np.where(np.abs(floor) >= EXACT, np.nextafter(floor, -np.inf), floor)
         none = np.zeros(0, np.int64)
-        at, ids, score = none, none, none
+        at, ids, score = none, none, none if exact else none.astype(object)
         for s in range(0, len(self.ids), chunk):
             part = slice(s, s + chunk)
             if (length * self.length[s] + slack < thr).all():
@@ -81,8 +83,8 @@ class Block:
             if not len(qi):
                 continue
             if not exact:
-                new = np.array([int(sum(int(a) * int(b) for a, b in zip(q[i], self.x[s + j], strict=True))) for i, j in zip(qi, xi, strict=True)], object)
-                new = np.clip(new, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+                new = np.empty(len(qi), object)
+                new[:] = [sum(int(a) * int(b) for a, b in zip(q[i], self.x[s + j], strict=True)) for i, j in zip(qi, xi, strict=True)]
             elif len(qi) * 4 > keep.size:
                 new = (q @ self.x[part].T)[qi, xi].astype(np.int64)
             else:
@@ -94,7 +96,8 @@ class Block:
             stay = rank < k
             at, ids, score = at[stay], ids[stay], score[stay]
             full = rank[stay] == k - 1
-            thr[at[full]] = np.maximum(thr[at[full]], score[full])
+            thr = thr.copy()
+            thr[at[full]] = np.maximum(thr[at[full]], np.nextafter(score[full].astype(np.float64), -np.inf))
         good = score >= floor[at] if len(at) else np.zeros(0, bool)
         return at[good], ids[good], score[good]
 
@@ -142,14 +145,24 @@ def _scan(cands: DataFrame, queries: DataFrame, axes: np.ndarray, first: int, k:
                 thr = np.nan_to_num(thr.astype(np.float64), nan=-np.inf, neginf=-np.inf)
                 for s in range(0, hi - lo, 1024):
                     at, found, score = block.top(v[s:s + 1024], x[s:s + 1024], thr[s:s + 1024], k)
-                    yield pa.RecordBatch.from_pydict({"query_id": pa.array(v[s:s + 1024][at], pa.int64()),
-                                                      "vec_id": pa.array(found, pa.int64()), "score": pa.array(score, pa.int64())})
+                    held, beyond = _as_longs(score)
+                    yield pa.RecordBatch.from_pydict({"query_id": pa.array(v[s:s + 1024][at], pa.int64()), "vec_id": pa.array(found, pa.int64()),
+                                                      "score": held, "beyond": beyond})
 
-    return rows.mapInArrow(run, "query_id long, vec_id long, score long")
+    return rows.mapInArrow(run, "query_id long, vec_id long, score long, beyond string")
+
+
+def _as_longs(score: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Scores held at the ends of a long, and for those at an end the whole number as text that sorts like it."""
+    if score.dtype != object:
+        return pa.array(score, pa.int64()), pa.nulls(len(score), pa.string())
+    held = [min(max(s, -(1 << 63)), (1 << 63) - 1) for s in score]
+    return pa.array(held, pa.int64()), pa.array([f"{(1 << 190) + s:048x}" if h in (-(1 << 63), (1 << 63) - 1) else None
+                                                 for s, h in zip(score, held, strict=True)], pa.string())
 
 
 def _rank(found: DataFrame, k: int) -> DataFrame:
-    w = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    w = W.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -161,7 +174,8 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
     smaller id; with fewer than ``k`` other rows all come.  Vectors shorter
     than the longest count as padded with zeros.  Ids are integers; rows that
     take no part: see :func:`integer_vectors`.  Products beyond 2**53 are
-    computed in Python integers (and held at the ends of a long).
+    computed and ranked as whole Python integers; ``score`` shows the end of a
+    long for those that do not fit.
     ``block_rows`` bounds a block (default: a 64th of the rows, between 1,024
     and 65,536); every block of a length class is a hashed part of it, so
     copies of one vector spread over blocks.
@@ -199,10 +213,11 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
 
     is_head = F.col("cls") >= head
     begun = cut_lineage(_rank(_scan(cands.filter(is_head), sent(queries.withColumn("lo", F.lit(head)).withColumn("thr", F.lit(None).cast("long")), is_head), axes, first, k), k), "topk-head")
-    thr = begun.filter(F.col("rank") == k).select(F.col("query_id").alias("v"), F.col("score").alias("thr"))
+    # a score held at the lower end of a long is no threshold: the true one lies below it
+    thr = begun.filter((F.col("rank") == k) & (F.col("score") > -(1 << 63))).select(F.col("query_id").alias("v"), F.col("score").alias("thr"))
     # a class reaches a threshold t > 0 if its longest norm times the query's does; a hair lower for rounding
     reach = F.col("thr") / F.sqrt("n2") * (1 - 1e-9)
     lo = F.when(F.col("thr") > 0, F.floor(F.log2(reach * reach + 1) * CLASSES).cast("int") - 1).otherwise(F.lit(-1))
     later = _scan(cands.filter(~is_head), sent(queries.join(thr, "v", "left").withColumn("lo", F.coalesce(lo, F.lit(-1))), ~is_head), axes, first, k)
-    done = _rank(begun.select("query_id", "vec_id", "score").unionByName(later), k)
+    done = _rank(begun.select("query_id", "vec_id", "score", "beyond").unionByName(later), k)
     return done.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
