@@ -16,6 +16,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataF
     return df.select(*cols) if cols else df
 
 
+def column(name: str) -> Column:
+    """The column of that very name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with plain names for all columns but ``used``, so that none clashes with an operator's own; and the names in order."""
+    names = [c if c in used else f"col{i}_" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
+def together(df: DataFrame, names: list[str], docs: DataFrame, *more: str | Column) -> DataFrame:
+    """The columns of ``docs`` under their own names again, and ``more``."""
+    return df.select(*[column(n).alias(c) for n, c in zip(names, docs.columns, strict=True)], *more)
+
+
 def bucket_of(col: str, modulus: int) -> Column:
     """crc32 of the decimal text of an id, modulo ``modulus`` (null id: null)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % modulus

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import cut_lineage
+from .common import apart, column, together, cut_lineage
 
 #: Exponents tried at once in a round, and rounds: the bracket shrinks to 16**-12.
 WAYS, ROUNDS = 16, 12
@@ -142,11 +142,18 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     smallest is read ``max_repeats`` times.  Null and empty texts have no
     tokens: they go with every pass of their source, and a source without any
     token is kept once.  Null sources are one source.  An empty table gives
-    no rows.
+    no rows.  Other columns stay as they are, whatever their names; one called
+    like a result (``mix_epoch``, ``mix_place``, ``mix_weight``) gives way.
     """
-    plan = mix_plan(docs, id_col, source_col, tokens, text_col, max_repeats, target_entropy, budget_tokens, seed).select(
+    results = ("mix_epoch", "mix_place", "mix_weight")
+    counted = docs.select(*[column(c) for c in docs.columns if c not in results], (word_count(text_col) if tokens is None else tokens).alias("mix_weight"))
+    docs = counted.drop("mix_weight")
+    plain, _ = apart(counted, id_col, source_col, "mix_weight")
+    names = plain.columns[:-1]
+    tokens = F.col("mix_weight")
+    plan = mix_plan(plain, id_col, source_col, tokens, text_col, max_repeats, target_entropy, budget_tokens, seed).select(
         "_mix_s", F.col("weight").alias("_mix_w"), F.col("full").alias("_mix_full"), F.col("cut").alias("_mix_cut"))
-    rows = with_places(docs, source_col, id_col, seed)
+    rows = with_places(plain.drop("mix_weight"), source_col, id_col, seed)
     if plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         j = rows.join(F.broadcast(plan), "_mix_s", "left")
     else:
@@ -158,5 +165,5 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     out = (j.withColumn("_mix_c", copies.cast("long")).filter("_mix_c > 0")
            .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_mix_c") - 1))))
     place = at(F.col("mix_epoch"))
-    return (out.withColumn("mix_place", F.concat(F.substring(place["p1"], 1, 8), F.substring(place["p2"], 1, 8), F.substring("_mix_k", 1, 16)))
-            .withColumn("mix_weight", F.col("_mix_w")).drop("_mix_s", "_mix_k", "_mix_b1", "_mix_b2", "_mix_c", "_mix_w", "_mix_full", "_mix_cut"))
+    out = out.withColumn("mix_place", F.concat(F.substring(place["p1"], 1, 8), F.substring(place["p2"], 1, 8), F.substring("_mix_k", 1, 16)))
+    return together(out, names, docs, "mix_epoch", "mix_place", F.col("_mix_w").alias("mix_weight"))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, ship_package, slices
+from .common import apart, together, cut_lineage, ship_package, slices
 from .graph import components, with_group_min
 
 WORDS, SKETCHES, LENGTH, THRESHOLD = 5, 20, 4, 0.8
@@ -317,15 +317,17 @@ def salted_lookup(rows: DataFrame, look: DataFrame, key: str, look_key: str, sal
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The first row of each class by id (null ids last): one document of each group stays.
 
-    Of rows that repeat both id and text one stays.
+    Of rows that repeat both id and text one stays.  Other columns stay as
+    they are, whatever their names; they play no part.
     """
+    whole, (docs, names) = docs, apart(docs, id_col, text_col)
     first = (_first_rows(docs, id_col, text_col, **how).select(F.col("first.d").alias("_omh_d"), F.col("first.h").alias("_omh_h")).distinct())
     hashed = docs.withColumn("_omh_text", F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")))
     kept = hashed.join(first, (F.col("_omh_text") == F.col("_omh_h")) & F.col(id_col).eqNullSafe(F.col("_omh_d")), "left_semi")
     # repeated rows are rare, so that only they pay for a look at each other
     again = docs.groupBy(F.col(id_col).alias("_omh_d")).agg(F.count("*").alias("_omh_n")).filter("_omh_n > 1").select("_omh_d")
     if again.isEmpty():
-        return kept.drop("_omh_text")
+        return together(kept, names, whole)
     same = F.col(id_col).eqNullSafe(F.col("_omh_d"))
     once = kept.join(again, same, "left_semi").dropDuplicates([id_col, "_omh_text"])
-    return kept.join(again, same, "left_anti").unionByName(once).drop("_omh_text")
+    return together(kept.join(again, same, "left_anti").unionByName(once), names, whole)

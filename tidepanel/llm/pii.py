@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, slices
+from .common import column, ship_package, slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents the model is trained on, at most, and their length, at most (those of smallest hash).
-SAMPLE_DOCS, SAMPLE_CHARS = 600, 20_000
+SAMPLE_DOCS, SAMPLE_CHARS = 1_500, 20_000
 WINDOW, STRIDE = 192, 128
 MARGIN = (WINDOW - STRIDE) // 2
 
@@ -41,6 +41,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]+")
+DATE = re.compile(r"(?:[0-9]{4}([-./ ])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./ ])[0-9]{1,2}\2[0-9]{4})")
 
 
 def luhn(digits: str) -> bool:
@@ -94,7 +95,7 @@ def plausible(kind: int, s: str) -> bool:
         return bool(re.fullmatch(r"[0-9]+(?:[. ]+[0-9]+){3}", s)) and small_parts(re.sub(r"[. ]+", ".", s))
     if kind == 2:
         return 13 <= len(d) <= 19 and luhn(d) and bool(re.fullmatch(r"[0-9][0-9 .\-/]*[0-9]", s))
-    return 10 <= len(d) <= 15 and bool(re.fullmatch(r"[+(]?[0-9][0-9 ().\-/]*[0-9]", s))
+    return 8 <= len(d) <= 15 and not DATE.fullmatch(s) and bool(re.fullmatch(r"[+(]?[0-9][0-9 ().\-/]*[0-9]", s))
 
 
 # ---- model
@@ -233,21 +234,46 @@ def loss_and_gradients(m: Tagger, x: np.ndarray, y: np.ndarray) -> tuple[float,
     return float(z.sum() - gold) / n, grad
 
 
+def _letters(rng: np.random.Generator, least: int, most: int) -> str:
+    return "".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(least, most + 1))))
+
+
 def rewritten(kind: int, s: str, rng: np.random.Generator) -> str:
     """Another way to write a labelled span, mostly one the patterns miss."""
     d = digits_of(s)
     if kind == 0:
-        return s.replace("@", (" @ ", "@ ", " @")[rng.integers(3)])
+        name, host = s.split("@")
+        if rng.random() < 0.6:
+            name = _letters(rng, 2, 9) + (("." + _letters(rng, 2, 9)) if rng.random() < 0.4 else "")
+        if rng.random() < 0.6:
+            host = _letters(rng, 3, 10) + "." + ("com", "org", "net", "de", "co.uk")[rng.integers(5)]
+        return name + (" @ ", "@ ", " @")[rng.integers(3)] + host
+    if kind == 1:
+        return (". ", " . ", " .")[rng.integers(3)].join(s.split("."))
     if kind == 2:
-        return (".", "/", " ", "-")[rng.integers(4)].join(d[i:i + 4] for i in range(0, len(d), 4))
-    if kind == 3 and len(d) >= 10:
+        return (".", "/", ".", "/", " ", "-")[rng.integers(6)].join(d[i:i + 4] for i in range(0, len(d), 4))
+    form = rng.integers(8)
+    if len(d) >= 10 and form < 6:
         a, b, c = d[-10:-7], d[-7:-4], d[-4:]
-        return (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"({a}) {b} {c}")[rng.integers(4)]
-    return s
+        return (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"({a}) {b} {c}", f"{a} {b} {c}", f"({a}){b}-{c}")[form]
+    mark = ("-", " ", ".")[rng.integers(3)]
+    if form % 2 or len(d) < 9:
+        return d[-8:-4] + mark + d[-4:]
+    return mark.join((d[-9:-6], d[-6:-3], d[-3:]))
+
+
+def decoy(rng: np.random.Generator) -> str:
+    """Digits that are nobody's: dates, times, amounts, versions, numbers of things."""
+    n = rng.integers(0, 10, 12)
+    d = "".join(map(str, n))
+    return (f"20{d[:2]}-0{1 + n[2] % 9}-1{d[3]}", f"1{d[0]}.0{1 + n[1] % 9}.20{d[2:4]}", f"0{1 + n[0] % 9}/1{d[1]}/19{d[2:4]}", f"1{n[0] % 10}:{n[1] % 6}{d[2]}",
+            f"{d[:1]},{d[1:4]},{d[4:7]}", f"{d[:4]}.{d[4:6]}", f"v{d[0]}.{d[1]}.{d[2]}", f"{d[:7]}", f"No. {d[:8]}", f"{d[:2]} %", f"19{d[:2]}-20{d[2:4]}",
+            f"{d[:4]} {d[4:6]}", f"@{_letters(rng, 3, 8)}", f"{d[:3]}-{d[3:5]}")[rng.integers(14)]
 
 
 def training_windows(texts: list[str], rng: np.random.Generator, size: int, per_text: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """(x, y), each (windows, size): around labelled spans, as found and rewritten, around other digits, and anywhere."""
+    """(x, y), each (windows, size): around labelled spans, as found and rewritten (some twice in a row), with decoys in their
+    place, around other digits, and anywhere.  ``per_text`` bounds the spans, and the other digits, that one text gives."""
     xs, ys = [], []
 
     def add(text: str, spans: list[Span], at: int) -> None:
@@ -265,11 +291,17 @@ def training_windows(texts: list[str], rng: np.random.Generator, size: int, per_
         inside = [(a, b) for _, a, b in spans]
         for k, a, b in spans[:per_text]:
             add(text, spans, a - int(rng.integers(4, size // 2)))
-            new = rewritten(k, text[a:b], rng)
-            other = text[:a] + new + text[b:]
-            shift = len(new) - (b - a)
-            moved = [(q, s + shift * (s >= b), e + shift * (s >= b)) for q, s, e in spans if e <= a or s >= b]
-            add(other, [*moved, (k, a, a + len(new))], a - int(rng.integers(4, size // 2)))
+            for real in (True, True, False):
+                new = rewritten(k, text[a:b], rng) if real else decoy(rng)
+                own = [(k, a, a + len(new))] if real else []
+                if rng.random() < 0.25:
+                    mark = (" or ", ", ", " / ", " ")[rng.integers(4)]
+                    more = rewritten(k, text[a:b], rng) if real else decoy(rng)
+                    own += [(k, a + len(new) + len(mark), a + len(new) + len(mark) + len(more))] if real else []
+                    new += mark + more
+                shift = len(new) - (b - a)
+                moved = [(q, s + shift * (s >= b), e + shift * (s >= b)) for q, s, e in spans if e <= a or s >= b]
+                add(text[:a] + new + text[b:], [*moved, *own], a - int(rng.integers(4, size // 2)))
         loose = [m.start() for m in TRIGGER.finditer(text) if not any(a <= m.start() < b for a, b in inside)]
         for at in loose[:per_text]:
             add(text, spans, at - int(rng.integers(4, size // 2)))
@@ -277,7 +309,7 @@ def training_windows(texts: list[str], rng: np.random.Generator, size: int, per_
     return np.array(xs).reshape(-1, size), np.array(ys).reshape(-1, size)
 
 
-def train(texts: list[str], hidden: int = 24, steps: int = 260, batch: int = 64, size: int = 72, rate: float = 0.012, seed: int = 3) -> Tagger:
+def train(texts: list[str], hidden: int = 28, steps: int = 800, batch: int = 64, size: int = 72, rate: float = 0.015, seed: int = 3) -> Tagger:
     """Adam on the CRF likelihood; without any labelled span the tagger says "none" everywhere."""
     rng = np.random.default_rng(seed)
     m = new_tagger(hidden, rng)
@@ -437,7 +469,7 @@ def redact(docs: DataFrame, tagger: Tagger, text_col: str = "text") -> DataFrame
     """
     ship_package(docs.sparkSession)
     at = docs.columns.index(text_col)
-    src = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    src = docs.select(*[column(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
 
     def hidden(text: str, spans: list[Span]) -> str:
         out, end = [], 0

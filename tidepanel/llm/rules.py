@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_of
+from .common import apart, bucket_of, column, together
 
 #: Labelled rows the model is fitted on, at most: those with the smallest hash of their id.
 MAX_TRAINING_ROWS = 20_000
@@ -187,7 +187,12 @@ def score_quality(docs: DataFrame, model: RuleModel, text_col: str = "text", thr
     The score passes through a one-element ``explode``: a later filter on it
     is then not pushed below, where every rule would compute its statistics
     anew.
+
+    Null and empty texts have a score like any other; repeated rows are each
+    scored; an empty table gives no rows; other columns stay as they are,
+    whatever their names, but one called ``score_col`` or ``class_col`` gives way.
     """
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (score_col, class_col)]
-    scored = with_features(docs, text_col).select(*kept, F.explode(F.array(model.column())).alias(score_col))
-    return scored.withColumn(class_col, (F.col(score_col) >= threshold).cast("int"))
+    docs = docs.select(*[column(c) for c in docs.columns if c not in (score_col, class_col)])
+    plain, names = apart(docs, text_col)
+    scored = with_features(plain, text_col).select(*names, F.explode(F.array(model.column())).alias("_q_score"))
+    return together(scored, names, docs, F.col("_q_score").alias(score_col), (F.col("_q_score") >= threshold).cast("int").alias(class_col))
