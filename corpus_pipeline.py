@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepanel.llm import bpe, mixing, order_minhash, pii, rules
-from tidepanel.llm.common import read_table, scratch_path
+from tidepanel.llm.common import apart, column, read_table, scratch_path, together
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = rules.fit_quality(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
     if not model.rules:
         return docs
-    scored = rules.score_quality(docs, model, score_col="_q_score", class_col="_q_class")
-    return scored.filter("_q_class = 1").select(*docs.columns)
+    plain, names = apart(docs, "text")
+    scored = rules.score_quality(plain, model, score_col="score", class_col="good")
+    return together(scored.filter("good = 1"), names, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,20 +39,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data replaced by its kind; n_chars follows."""
     clean = pii.redact(docs, pii.fit_tagger(docs))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else clean
+    return clean.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else column(c) for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at tempered weights, in permuted block order: the largest is read once, the smallest twice."""
-    mixed = mixing.mix_sources(docs, max_repeats=2.0)
+    plain, names = apart(docs, "doc_id", "source", "text")
     order = ["mix_epoch", "mix_place"]
-    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    mixed = mixing.mix_sources(plain, max_repeats=2.0).repartitionByRange(*order).sortWithinPartitions(*order)
+    return together(mixed, names, docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The columns of documents without the text, and n_tokens and ids of the whole text."""
-    keep = tuple(c for c in docs.columns if c != "text")
-    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), keep=keep)
+    """The columns of documents without the text (and any called like the results), and n_tokens and ids of the whole text."""
+    keep = [c for c in docs.columns if c not in ("text", "n_tokens", "ids")]
+    plain, names = apart(docs.select(*[column(c) for c in (*keep, "text")]), "doc_id", "text")
+    ids = bpe.encode_documents(plain, public_tokenizers.path("byte_bpe_50k.json"), keep=tuple(names[:-1]))
+    return ids.select(*[column(n).alias(c) for n, c in zip(names[:-1], keep, strict=True)], "n_tokens", "ids")
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal_data", personal_data),
