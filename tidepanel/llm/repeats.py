@@ -34,6 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import scratch_path, ship_package, slices
+from .order_minhash import salted_lookup
 
 MIN_BYTES, ANCHOR_BYTES = 400, 160
 #: Contexts of one anchor (640 bytes each) that are compared in one task; beyond that its strings are counted by a shuffle.
@@ -493,7 +494,7 @@ class Repeats:
         # most anchors are seen once and end here
         again = (found.groupBy("a").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).filter("n > 1")
                  .select("a", (F.col("lo") != F.col("hi")).alias("differ")))
-        self.anchors = _store(found.join(again, "a"), "repeat-hits")
+        self.anchors = _store(salted_lookup(found, again.withColumnRenamed("a", "a2"), "a", "a2", "d"), "repeat-hits")
         classes = self.anchors.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("d", "z", "p")).alias("one"),
                                                      F.first("l").alias("l"), F.first("r").alias("r"), F.first("differ").alias("differ"))
         classes = _store(classes.select("a", "c", "n", "one.*", "l", "r", "differ"), "repeat-contexts")
