@@ -172,13 +172,15 @@ def asof_merge(events: DataFrame, series: DataFrame, by: Sequence[str] = (), eve
     dealt = cut_lineage(both.repartitionByRange(*order).sortWithinPartitions(*order)
                         .withColumn("_place", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_place", 33)), "asof")
     edges = (dealt.groupBy(*by, "_range").agg(F.max("_point").alias("_last"), F.min("_point").alias("_first")))
-    ranges = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_range")  # a row a range
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # a row a range
+    # what follows is what comes before in the opposite order: a frame to the group's end would be read anew for every row
+    ranges, ranges_back = (group.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in ("_range", F.desc("_range")))
     carried = edges.select(*[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)], F.col("_range").alias("_r"),
-                           F.last("_last", ignorenulls=True).over(ranges.rowsBetween(Window.unboundedPreceding, -1)).alias("_from"),
-                           F.first("_first", ignorenulls=True).over(ranges.rowsBetween(1, Window.unboundedFollowing)).alias("_upto"))
-    here = Window.partitionBy(*by, "_range").orderBy("_place")
-    near = (dealt.withColumn("_before", F.last("_point", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("_after", F.first("_point", ignorenulls=True).over(here.rowsBetween(0, Window.unboundedFollowing)))
+                           F.last("_last", ignorenulls=True).over(ranges).alias("_from"),
+                           F.last("_first", ignorenulls=True).over(ranges_back).alias("_upto"))
+    here, here_back = (Window.partitionBy(*by, "_range").orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in ("_place", F.desc("_place")))
+    near = (dealt.withColumn("_before", F.last("_point", ignorenulls=True).over(here))
+            .withColumn("_after", F.last("_point", ignorenulls=True).over(here_back))
             .where("_kind = 1"))
     on = reduce(lambda a, b: a & b, [F.col("_range") == F.col("_r"), *[F.col(c).eqNullSafe(F.col(f"_by_{i}")) for i, c in enumerate(by)]])
     near = near.join(carried, on).select("_event", "_t", F.coalesce("_before", "_from").alias("p"), F.coalesce("_after", "_upto").alias("q"))
