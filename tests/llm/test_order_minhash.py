@@ -98,14 +98,45 @@ def test_classes_against_all_pairs(spark):
     assert kept == set(want.values())
 
 
-def test_blocks_give_the_same_links(spark, monkeypatch):
+@pytest.mark.parametrize("stars", [0, 1, 3])
+def test_large_groups_give_the_same_classes(spark, monkeypatch, stars):
     rows = near_copies(random.Random(9), 60)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = {r["doc_id"]: r["class_id"] for r in omh.near_duplicate_classes(df).collect()}
+    assert want == classes_of(rows)
     monkeypatch.setattr(omh, "BLOCK_TEXTS", 3)
+    monkeypatch.setattr(omh, "STARS", stars)
     assert {r["doc_id"]: r["class_id"] for r in omh.near_duplicate_classes(df).collect()} == want
 
 
+def test_a_passage_in_most_texts(spark, monkeypatch):
+    """Texts that share a long passage meet under one leader; chains of near copies among them stay connected."""
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(2000)]
+    passage = [r.choice(words) for _ in range(60)]
+    rows = []
+    for g in range(12):
+        own = [r.choice(words) for _ in range(60)]
+        for step in range(6):  # each step is near the one before, the last far from the first
+            at = r.randrange(len(own) - 4)
+            own = own[:at] + [r.choice(words) for _ in range(3)] + own[at + 3:]
+            rows.append((len(rows), " ".join(passage + own)))
+    rows += [(len(rows) + i, " ".join(passage + [r.choice(words) for _ in range(i % 9)])) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(omh, "BLOCK_TEXTS", 4)
+    assert {x["doc_id"]: x["class_id"] for x in omh.near_duplicate_classes(df).collect()} == classes_of(rows)
+
+
+def test_similar_texts_share_a_prefix_shingle():
+    r = np.random.default_rng(4)
+    for _ in range(300):
+        x = np.unique(r.integers(0, 2 ** 31, r.integers(1, 80), dtype=np.uint32))
+        y = np.unique(np.concatenate([x[r.random(len(x)) > 0.1], r.integers(0, 2 ** 31, r.integers(0, 8), dtype=np.uint32)]))
+        last = np.unique(np.concatenate([x[r.random(len(x)) > 0.5], y[r.random(len(y)) > 0.5]]))
+        if len(np.intersect1d(x, y)) >= 0.8 * len(np.union1d(x, y)):
+            assert set(omh.prefix(x, last).tolist()) & set(omh.prefix(y, last).tolist())
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     text = "one two three four five six seven eight"
     rows = [(1, text), (1, text), (None, text), (None, "only here and nowhere else at all"), (2, "else"), (2, "other words")]

@@ -14,6 +14,14 @@ that may reach the threshold is aligned, unless links found before connect it
 already.  What comes out is a spanning set of links, at most one per text and
 group, from which connected components make the classes.
 
+A group of more than a block is first held against its leader, one alignment
+a text.  The texts linked to it are connected and never meet each other.  The
+rest is regrouped by shingle prefixes: in an order that puts the leader's
+shingles last, two texts that reach the threshold share one of their first
+(1 - threshold) n + 1 shingles, so no link is lost.  Linked texts meet the
+rest by the same prefixes, where the triangle inequality of the Jaccard
+distance lets a link exist at all.
+
 Similarity is that of the aligned shingles: L / (n1 + n2 - L) for the longest
 common subsequence L.  It never exceeds the Jaccard similarity of the
 shingles, and equals it where nothing was moved.
@@ -26,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import apart, together, cut_lineage, ship_package, slices
@@ -35,6 +43,10 @@ from .graph import components, with_group_min
 WORDS, SKETCHES, LENGTH, THRESHOLD = 5, 20, 4, 0.8
 #: A group is compared in pairs of blocks of at most so many texts and shingles.
 BLOCK_TEXTS, BLOCK_SHINGLES = 512, 2_000_000
+#: Groups of more than a block are split by leaders so many times; what is then still larger is compared in pairs of blocks.
+STARS = 3
+#: Shingles are compared by 32 bits; distances and prefixes leave room for so large a share of chance equals.
+SLACK = 1e-3
 
 MULT = np.uint64(0x9E3779B97F4A7C15)
 SALT = np.uint64(0xD6E8FEB86659FD93)
@@ -154,10 +166,11 @@ def similar(x: list[int], y: list[int], threshold: float = THRESHOLD) -> bool:
 
 
 def group_links(ids: np.ndarray, seqs: list[np.ndarray], side: np.ndarray | None = None,
-                threshold: float = THRESHOLD) -> list[tuple[int, int]]:
+                threshold: float = THRESHOLD, one: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect what the similar pairs of a group connect.
 
-    With ``side`` only pairs of different sides are compared.  Shared
+    With ``side`` only pairs of different sides are compared; the texts of
+    which ``one`` is true count as connected from the start.  Shared
     shingles of every pair come from a product of the texts-by-shingles
     matrix, built in column chunks from the shingles that occur twice.
     """
@@ -186,6 +199,8 @@ def group_links(ids: np.ndarray, seqs: list[np.ndarray], side: np.ndarray | None
     if side is not None:
         may &= side[:, None] != side[None, :]
     comp, lists, out = np.arange(n), {}, []
+    if one is not None and one.any():
+        comp[one] = np.flatnonzero(one)[0]
     for i in np.argsort(-may.sum(1), kind="stable"):  # the best connected first
         row = may[i].copy()
         while True:
@@ -223,32 +238,141 @@ def sketch_texts(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS
 
 
 def _compare(rows: DataFrame, threshold: float) -> DataFrame:
-    """Links (u, v) of groups: ``rows`` has lead, i, j (pair of blocks), side, r (text), x (shingles)."""
-    rows = rows.repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
+    """Links (u, v) of groups: ``rows`` has g (group), i, j (pair of blocks), side, one (connected already), r (text), x (shingles)."""
+    rows = rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
 
-    def links(ids: list, xs: list, sides: list, cross: bool) -> pa.RecordBatch | None:
+    def links(ids: list, xs: list, sides: list, ones: list, cross: bool) -> pa.RecordBatch | None:
         at = {r: k for k, r in enumerate(ids)}  # a repeated row counts once
         if len(at) < 2:
             return None
         k = list(at.values())
-        got = group_links(np.array(ids)[k], [np.frombuffer(xs[a], "<u4") for a in k], np.array(sides)[k] if cross else None, threshold)
+        got = group_links(np.array(ids)[k], [np.frombuffer(xs[a], "<u4") for a in k], np.array(sides)[k] if cross else None, threshold,
+                          np.array(ones)[k])
         return pa.RecordBatch.from_pydict({"u": pa.array([a for a, _ in got], pa.int64()), "v": pa.array([b for _, b in got], pa.int64())}) if got else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, ids, xs, sides = None, [], [], []
+        key, ids, xs, sides, ones = None, [], [], [], []
         for b in batches:
-            for lead, i, j, side, r, x in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                if (lead, i, j) != key:
-                    if key is not None and (out := links(ids, xs, sides, key[1] != key[2])) is not None:
+            for g, i, j, side, one, r, x in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if (g, i, j) != key:
+                    if key is not None and (out := links(ids, xs, sides, ones, key[1] != key[2])) is not None:
                         yield out
-                    key, ids, xs, sides = (lead, i, j), [], [], []
+                    key, ids, xs, sides, ones = (g, i, j), [], [], [], []
                 ids.append(r)
                 xs.append(x)
                 sides.append(side)
-        if key is not None and (out := links(ids, xs, sides, key[1] != key[2])) is not None:
+                ones.append(one)
+        if key is not None and (out := links(ids, xs, sides, ones, key[1] != key[2])) is not None:
             yield out
 
-    return rows.select("lead", "i", "j", "side", "r", "x").mapInArrow(run, "u long, v long")
+    return rows.select("g", "i", "j", "side", "one", "r", "x").mapInArrow(run, "u long, v long")
+
+
+def prefix(x: np.ndarray, last: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """First shingles of the set ``x`` in the order (is in ``last``, value); similar texts share one of theirs."""
+    n = int((1 - threshold + SLACK) * len(x)) + 2
+    common = np.isin(x, last, assume_unique=True)
+    return np.concatenate([x[~common][:n], x[common]])[:n]
+
+
+def _stars(dealt: DataFrame, packed: DataFrame, threshold: float) -> DataFrame:
+    """(g, lead, chain, r, n, linked, near, keys): every text of a group held against the group's leader.
+
+    ``dealt`` has g, chain (the leaders that led here, this group's last), r,
+    n, blocks, side.  A task streams one block of a group past the leader.
+    ``near`` tells if a text can be similar to one that is linked: twice the
+    distance of a link away at most.  ``keys`` is the text's prefix.
+    """
+    heads = (dealt.select("g", "chain", "blocks").distinct().withColumn("side", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("g", "chain", "side", F.posexplode("chain").alias("place", "r")))
+    rows = (heads.withColumn("n", F.lit(0).cast("long"))
+            .unionByName(dealt.select("g", "chain", "side", F.lit(None).cast("int").alias("place"), "r", "n"))
+            .join(packed, "r").repartition("g", "side").sortWithinPartitions("g", "side", F.asc_nulls_last("place")))
+    reach = 2 * (1 - threshold + SLACK)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, leaders = None, []
+        for b in slices(batches, 6):
+            out = []
+            for g, side, chain, place, r, n, x in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if (g, side) != key:
+                    key, leaders = (g, side), []
+                x = np.frombuffer(x, "<u4")
+                if place is not None:
+                    leaders.append(x)
+                    if len(leaders) == len(chain):
+                        head, head_list, last = np.unique(x), x.tolist(), np.unique(np.concatenate(leaders))
+                    continue
+                u = np.unique(x)
+                both = len(np.intersect1d(u, head, assume_unique=True))
+                apart_by = 1 - both / (len(u) + len(head) - both)
+                linked = r == chain[-1] or (2 * apart_by <= reach and similar(x.tolist(), head_list, threshold))
+                out.append((g, chain[-1], chain, r, n, linked, apart_by <= reach, prefix(u, last, threshold).astype(np.int64)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+    names = ["g", "lead", "chain", "r", "n", "linked", "near", "keys"]
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64())]
+    return rows.select("g", "side", "chain", "place", "r", "n", "x").mapInArrow(
+        run, "g long, lead long, chain array<long>, r long, n long, linked boolean, near boolean, keys array<long>")
+
+
+def _elect(member: DataFrame, may_lead: str = "true") -> DataFrame:
+    """``member`` (b: bucket, c: its size, r, n, ...) with ``lead``: of its bucket's texts that may lead, the most popular."""
+    popular = member.groupBy("r").agg(F.sum("c").alias("pop")).withColumnRenamed("r", "r2")
+    # of equally popular texts the one with the smaller number
+    rank = F.when(F.expr(may_lead), F.struct((-F.col("pop")).alias("pop"), F.col("r").alias("lead")))
+    ranked = member.join(popular, F.col("r") == F.col("r2")).withColumn("rank", rank).drop("c", "pop", "r2")
+    return with_group_min(ranked, "b", "rank", "first", "r").withColumn("lead", F.col("first.lead")).drop("first", "rank", "b")
+
+
+def _block_count(texts: str, shingles_: str) -> Column:
+    return F.greatest(F.ceil(F.expr(texts) / BLOCK_TEXTS), F.ceil(F.expr(shingles_) / BLOCK_SHINGLES)).cast("int")
+
+
+def _linked_to_rest(stars: DataFrame, packed: DataFrame, threshold: float) -> DataFrame:
+    """Links between the texts linked to a leader and the rest of its group that is near enough."""
+    groups = stars.filter("not linked and near").select("g").distinct()
+    member = (stars.filter("linked or near").join(groups, "g", "left_semi").select("g", "r", "n", "linked", F.explode("keys").alias("key"))
+              .select("g", F.xxhash64("g", "key").alias("b"), "r", "n", "linked"))
+    member = cut_lineage(member, "omh-cross")
+    size = member.groupBy(F.col("b").alias("b2")).agg(F.count_if("linked").alias("a"), F.count_if(~F.col("linked")).alias("c")).filter("a > 0 and c > 0")
+    met = _elect(salted_lookup(member, size, "b", "b2", "r").drop("a"), "not linked")
+    met = cut_lineage(met.select(F.xxhash64("g", "lead").alias("g"), "r", "n", "linked").distinct(), "omh-met")
+    totals = met.groupBy(F.col("g").alias("g2")).agg(
+        _block_count("count_if(not linked)", "sum(if(linked, 0, n))").alias("rest"), _block_count("count_if(linked)", "sum(if(linked, n, 0))").alias("blocks"))
+    # a text of one side meets every block of the other
+    own = F.pmod(F.xxhash64("r"), F.when(F.col("linked"), F.col("blocks")).otherwise(F.col("rest"))).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.when(F.col("linked"), F.col("rest")).otherwise(F.col("blocks")) - 1))
+    rows = (salted_lookup(met, totals, "g", "g2", "r").withColumn("own", own).withColumn("o", other)
+            .select("g", "r", F.when(F.col("linked"), F.col("o")).otherwise(F.col("own")).alias("i"),
+                    (F.col("rest") + F.when(F.col("linked"), F.col("own")).otherwise(F.col("o"))).alias("j"),
+                    F.col("linked").cast("int").alias("side"), F.col("linked").alias("one")))
+    return _compare(rows.join(packed, "r"), threshold)
+
+
+def _links(led: DataFrame, packed: DataFrame, threshold: float, stars_left: int) -> DataFrame:
+    """Links of groups: ``led`` has g, chain, r, n (once for each text and group)."""
+    totals = led.groupBy(F.col("g").alias("g2")).agg(_block_count("count(*)", "sum(n)").alias("blocks"))
+    dealt = salted_lookup(led, totals, "g", "g2", "r").withColumn("side", F.pmod(F.xxhash64("r"), F.col("blocks")).cast("int"))
+    dealt = cut_lineage(dealt, "omh-dealt")
+    large = dealt.filter("blocks > 1")
+    split = stars_left > 0 and not large.isEmpty()
+    # a text goes to every pair of blocks that its own block is part of
+    blocks = ((dealt.filter("blocks = 1") if split else dealt).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("g", "r", "side", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j"), F.lit(False).alias("one")))
+    links = _compare(blocks.join(packed, "r"), threshold)
+    if not split:
+        return links
+    stars = cut_lineage(_stars(large, packed, threshold), "omh-stars")
+    links = links.unionByName(stars.filter("linked and r <> lead").select(F.col("lead").alias("u"), F.col("r").alias("v")))
+    links = cut_lineage(links.unionByName(_linked_to_rest(stars, packed, threshold)), "omh-links")
+    rest = stars.filter("not linked").select("chain", F.explode("keys").alias("key"), "r", "n").withColumn("b", F.xxhash64("chain", "key")).drop("key")
+    rest = cut_lineage(rest, "omh-rest")
+    size = rest.groupBy(F.col("b").alias("b2")).agg(F.count("*").alias("c")).filter("c > 1")
+    again = (_elect(salted_lookup(rest, size, "b", "b2", "r")).withColumn("chain", F.concat("chain", F.array("lead")))
+             .select(F.xxhash64("chain").alias("g"), "chain", "r", "n").distinct())
+    return links.unionByName(_links(cut_lineage(again, "omh-again"), packed, threshold, stars_left - 1))
 
 
 def _first_rows(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS, sketches: int = SKETCHES,
@@ -261,12 +385,7 @@ def _first_rows(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS,
     member = texts.select("r", "n", F.explode("s").alias("b"))
     size = member.groupBy("b").agg(F.count("*").alias("c")).filter("c > 1")
     member = cut_lineage(member.join(size, "b"), "omh-members")
-    popular = member.groupBy("r").agg(F.sum("c").alias("pop"))
-    # the most popular text leads; of equals the one with the smaller number
-    ranked = member.select("b", "r", "n").join(popular, "r").withColumn("rank", F.struct((-F.col("pop")).alias("pop"), F.col("r").alias("lead")))
-    led = cut_lineage(with_group_min(ranked, "b", "rank", "first", "r").select(F.col("first.lead").alias("lead"), "r", "n").distinct(), "omh-led")
-
-    totals = led.groupBy("lead").agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    led = cut_lineage(_elect(member).select(F.col("lead").alias("g"), F.array("lead").alias("chain"), "r", "n").distinct(), "omh-led")
     wanted = texts.join(led.select("r").distinct(), "r", "left_semi").select("r", "h", "d")
     src = docs.select(F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")).alias("h2"), F.col(id_col).alias("d2"),
                       F.col(text_col).cast("string").alias("t"))
@@ -278,11 +397,7 @@ def _first_rows(docs: DataFrame, id_col: str, text_col: str, words: int = WORDS,
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.binary())], names=["r", "x"])
 
     packed = cut_lineage(found.mapInArrow(pack, "r long, x binary"), "omh-shingles")
-    # a text goes to every pair of blocks that its own block is part of
-    blocks = (with_group_join(led, totals).withColumn("side", F.pmod(F.xxhash64("r"), F.col("blocks")).cast("int"))
-              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("lead", "r", "side", F.least("side", "o").alias("i"), F.greatest("side", "o").alias("j")))
-    links = _compare(blocks.join(packed, "r"), threshold)
+    links = _links(led, packed, threshold, STARS)
     roots = components(links)
 
     named = (texts.select("h", "r", F.struct(F.col("d").isNull().alias("null"), "d", "h").alias("me"))
@@ -302,10 +417,6 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return _first_rows(docs, id_col, text_col, **how).select(F.col("d").alias(id_col), F.col("first.d").alias("class_id"))
 
 
-def with_group_join(led: DataFrame, totals: DataFrame) -> DataFrame:
-    return salted_lookup(led, totals.withColumnRenamed("lead", "lead2"), "lead", "lead2", "r")
-
-
 def salted_lookup(rows: DataFrame, look: DataFrame, key: str, look_key: str, salt_of: str, salts: int = 64) -> DataFrame:
     """Inner join of ``rows`` to one row per key, by (key, salt): only salts that occur are made."""
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_of), F.lit(salts)).cast("int"))
