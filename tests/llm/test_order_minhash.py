@@ -98,7 +98,7 @@ def test_classes_against_all_pairs(spark):
     assert kept == set(want.values())
 
 
-@pytest.mark.parametrize("stars", [0, 1, 3])
+@pytest.mark.parametrize("stars", [0, 1, 2])
 def test_large_groups_give_the_same_classes(spark, monkeypatch, stars):
     rows = near_copies(random.Random(9), 60)
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -18,9 +18,9 @@ A group of more than a block is first held against its leader, one alignment
 a text.  The texts linked to it are connected and never meet each other.  The
 rest is regrouped by shingle prefixes: in an order that puts the leader's
 shingles last, two texts that reach the threshold share one of their first
-(1 - threshold) n + 1 shingles, so no link is lost.  Linked texts meet the
-rest by the same prefixes, where the triangle inequality of the Jaccard
-distance lets a link exist at all.
+(1 - threshold) n + 1 shingles, so no link is lost.  Linked texts meet those
+of the rest that the triangle inequality of the Jaccard distance allows: the
+distances of two similar texts from the leader differ by no more than theirs.
 
 Similarity is that of the aligned shingles: L / (n1 + n2 - L) for the longest
 common subsequence L.  It never exceeds the Jaccard similarity of the
@@ -44,7 +44,9 @@ WORDS, SKETCHES, LENGTH, THRESHOLD = 5, 20, 4, 0.8
 #: A group is compared in pairs of blocks of at most so many texts and shingles.
 BLOCK_TEXTS, BLOCK_SHINGLES = 512, 2_000_000
 #: Groups of more than a block are split by leaders so many times; what is then still larger is compared in pairs of blocks.
-STARS = 3
+STARS = 2
+#: Bands of distance from a leader in which linked texts wait for the rest.
+BANDS = 4
 #: Shingles are compared by 32 bits; distances and prefixes leave room for so large a share of chance equals.
 SLACK = 1e-3
 
@@ -276,19 +278,19 @@ def prefix(x: np.ndarray, last: np.ndarray, threshold: float = THRESHOLD) -> np.
 
 
 def _stars(dealt: DataFrame, packed: DataFrame, threshold: float) -> DataFrame:
-    """(g, lead, chain, r, n, linked, near, keys): every text of a group held against the group's leader.
+    """(g, lead, chain, r, n, linked, far, keys): every text of a group held against the group's leader.
 
     ``dealt`` has g, chain (the leaders that led here, this group's last), r,
     n, blocks, side.  A task streams one block of a group past the leader.
-    ``near`` tells if a text can be similar to one that is linked: twice the
-    distance of a link away at most.  ``keys`` is the text's prefix.
+    ``far`` is the Jaccard distance from it, ``keys`` the prefix of a text
+    that is not linked.
     """
     heads = (dealt.select("g", "chain", "blocks").distinct().withColumn("side", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("g", "chain", "side", F.posexplode("chain").alias("place", "r")))
     rows = (heads.withColumn("n", F.lit(0).cast("long"))
             .unionByName(dealt.select("g", "chain", "side", F.lit(None).cast("int").alias("place"), "r", "n"))
             .join(packed, "r").repartition("g", "side").sortWithinPartitions("g", "side", F.asc_nulls_last("place")))
-    reach = 2 * (1 - threshold + SLACK)
+    reach = 1 - threshold + SLACK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, leaders = None, []
@@ -305,24 +307,24 @@ def _stars(dealt: DataFrame, packed: DataFrame, threshold: float) -> DataFrame:
                     continue
                 u = np.unique(x)
                 both = len(np.intersect1d(u, head, assume_unique=True))
-                apart_by = 1 - both / (len(u) + len(head) - both)
-                linked = r == chain[-1] or (2 * apart_by <= reach and similar(x.tolist(), head_list, threshold))
-                out.append((g, chain[-1], chain, r, n, linked, apart_by <= reach, prefix(u, last, threshold).astype(np.int64)))
+                far = 1 - both / (len(u) + len(head) - both)
+                linked = r == chain[-1] or (far <= reach and similar(x.tolist(), head_list, threshold))
+                out.append((g, chain[-1], chain, r, n, linked, far, None if linked else prefix(u, last, threshold).astype(np.int64)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    names = ["g", "lead", "chain", "r", "n", "linked", "near", "keys"]
-    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int64())]
+    names = ["g", "lead", "chain", "r", "n", "linked", "far", "keys"]
+    types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.list_(pa.int64())]
     return rows.select("g", "side", "chain", "place", "r", "n", "x").mapInArrow(
-        run, "g long, lead long, chain array<long>, r long, n long, linked boolean, near boolean, keys array<long>")
+        run, "g long, lead long, chain array<long>, r long, n long, linked boolean, far double, keys array<long>")
 
 
-def _elect(member: DataFrame, may_lead: str = "true") -> DataFrame:
-    """``member`` (b: bucket, c: its size, r, n, ...) with ``lead``: of its bucket's texts that may lead, the most popular."""
+def _elect(member: DataFrame) -> DataFrame:
+    """``member`` (b: bucket, c: its size, r, n, ...) with ``lead``: the most popular of its bucket's texts."""
     popular = member.groupBy("r").agg(F.sum("c").alias("pop")).withColumnRenamed("r", "r2")
     # of equally popular texts the one with the smaller number
-    rank = F.when(F.expr(may_lead), F.struct((-F.col("pop")).alias("pop"), F.col("r").alias("lead")))
-    ranked = member.join(popular, F.col("r") == F.col("r2")).withColumn("rank", rank).drop("c", "pop", "r2")
+    ranked = (member.join(popular, F.col("r") == F.col("r2")).withColumn("rank", F.struct((-F.col("pop")).alias("pop"), F.col("r").alias("lead")))
+              .drop("c", "pop", "r2"))
     return with_group_min(ranked, "b", "rank", "first", "r").withColumn("lead", F.col("first.lead")).drop("first", "rank", "b")
 
 
@@ -331,16 +333,21 @@ def _block_count(texts: str, shingles_: str) -> Column:
 
 
 def _linked_to_rest(stars: DataFrame, packed: DataFrame, threshold: float) -> DataFrame:
-    """Links between the texts linked to a leader and the rest of its group that is near enough."""
-    groups = stars.filter("not linked and near").select("g").distinct()
-    member = (stars.filter("linked or near").join(groups, "g", "left_semi").select("g", "r", "n", "linked", F.explode("keys").alias("key"))
-              .select("g", F.xxhash64("g", "key").alias("b"), "r", "n", "linked"))
-    member = cut_lineage(member, "omh-cross")
-    size = member.groupBy(F.col("b").alias("b2")).agg(F.count_if("linked").alias("a"), F.count_if(~F.col("linked")).alias("c")).filter("a > 0 and c > 0")
-    met = _elect(salted_lookup(member, size, "b", "b2", "r").drop("a"), "not linked")
-    met = cut_lineage(met.select(F.xxhash64("g", "lead").alias("g"), "r", "n", "linked").distinct(), "omh-met")
+    """Links between the texts linked to a leader and the rest of its group that is near enough.
+
+    Linked texts lie in BANDS + 1 bands by distance from the leader, up to
+    that of a link; a text further away meets only the bands from its own
+    distance less that of a link.
+    """
+    reach = 1 - threshold + SLACK
+    band = lambda c: F.floor(c * (BANDS / reach)).cast("int")
+    bands = F.when(F.col("linked"), F.array(F.least(band(F.col("far")), F.lit(BANDS)))).otherwise(
+        F.sequence(F.greatest(band(F.col("far") - reach), F.lit(0)), F.lit(BANDS)))
+    met = (stars.filter(F.col("linked") | (F.col("far") <= 2 * reach)).withColumn("band", F.explode(bands))
+           .select(F.xxhash64("g", "band").alias("g"), "r", "n", "linked"))
     totals = met.groupBy(F.col("g").alias("g2")).agg(
-        _block_count("count_if(not linked)", "sum(if(linked, 0, n))").alias("rest"), _block_count("count_if(linked)", "sum(if(linked, n, 0))").alias("blocks"))
+        _block_count("count_if(not linked)", "sum(if(linked, 0, n))").alias("rest"),
+        _block_count("count_if(linked)", "sum(if(linked, n, 0))").alias("blocks")).filter("rest > 0 and blocks > 0")
     # a text of one side meets every block of the other
     own = F.pmod(F.xxhash64("r"), F.when(F.col("linked"), F.col("blocks")).otherwise(F.col("rest"))).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.when(F.col("linked"), F.col("rest")).otherwise(F.col("blocks")) - 1))
@@ -366,11 +373,11 @@ def _links(led: DataFrame, packed: DataFrame, threshold: float, stars_left: int)
         return links
     stars = cut_lineage(_stars(large, packed, threshold), "omh-stars")
     links = links.unionByName(stars.filter("linked and r <> lead").select(F.col("lead").alias("u"), F.col("r").alias("v")))
-    links = cut_lineage(links.unionByName(_linked_to_rest(stars, packed, threshold)), "omh-links")
+    links = links.unionByName(_linked_to_rest(stars, packed, threshold))
     rest = stars.filter("not linked").select("chain", F.explode("keys").alias("key"), "r", "n").withColumn("b", F.xxhash64("chain", "key")).drop("key")
-    rest = cut_lineage(rest, "omh-rest")
     size = rest.groupBy(F.col("b").alias("b2")).agg(F.count("*").alias("c")).filter("c > 1")
-    again = (_elect(salted_lookup(rest, size, "b", "b2", "r")).withColumn("chain", F.concat("chain", F.array("lead")))
+    rest = cut_lineage(salted_lookup(rest, size, "b", "b2", "r"), "omh-rest")
+    again = (_elect(rest).withColumn("chain", F.concat("chain", F.array("lead")))
              .select(F.xxhash64("chain").alias("g"), "chain", "r", "n").distinct())
     return links.unionByName(_links(cut_lineage(again, "omh-again"), packed, threshold, stars_left - 1))
 
