@@ -66,6 +66,37 @@ def test_header_carry_across_blocks(spark):
     assert got == [("AL012000", 0.0)] * 2 + [("AL012000", 1.0)] * 2 + [("AL012000", 2.0)] * 2 + [("AL022000", 9.0)]
 
 
+def test_header_carry_in_scan_order(spark, tmp_path):
+    """Lines of a scan keep their tasks: no line is shuffled or sorted, and the points are those of the windowed way, in
+    files of one block and of many, with headers blocks away, at block ends, twice in a row or missing."""
+    detail = "200001{:02d}, 0000, , TD, {}.0N, 1.0W, 10, 1000\n"
+    for f in range(3):
+        text = detail.format(1, 59) if f == 1 else ""  # before any header
+        for h in range(40):
+            text += f"AL{f}{h:02d}2000, N{h}, 1,\n" + "".join(detail.format(d % 28 + 1, (h + d) % 60) for d in range([0, 1, 3, 40, 7][h % 5]))
+        _write(tmp_path / f"t{f}.txt", text)
+    _write(tmp_path / "no_header.txt", detail.format(2, 5) * 30)
+    _write(tmp_path / "empty.txt", "")
+
+    def points(in_order):
+        got = parse_header_detail(read_lines(spark, str(tmp_path)), in_order=in_order)
+        return got, sorted(map(str, got.collect()))
+
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for split in ("128m", "700b", "90b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000" if split == "700b" else "7")
+            plain, want = points(False)
+            got, have = points(True)
+            assert have == want and len(have) == 3 * 8 * 51
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "Sort " not in plan
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old[1])
+
+
 def test_nested_json_defaults(spark, tmp_path):
     doc = {"data": [
         {"name": "Hurricane X (May 2001)", "begDate": 20010501, "endDate": 20010503, "adjCost": 1500.0, "deaths": 3},

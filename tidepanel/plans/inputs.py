@@ -145,19 +145,20 @@ def padded(key):
 
 
 ORDERS_PER_FILE = 1 << 15   # order keys per generated text file
+LINES_PER_TASK = 1 << 19    # detail lines that a task sorts into files, on average
 
 
 def track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file, pos, line): header/detail text for every order.
 
-    Files hold consecutive order-key ranges, so a detail line finds its file
-    from its own order key (no join back to orders)."""
+    Files hold consecutive order-key ranges and go by the range's number, so a
+    detail line finds its file from its own order key (no join back to orders)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     oc = o.join(c, o.o_custkey == c.c_custkey)
 
     def file_of(key):
-        return F.concat(F.lit("tracks_"), F.floor(key / F.lit(ORDERS_PER_FILE)).cast("string"), F.lit(".txt"))
+        return F.floor(key / F.lit(ORDERS_PER_FILE))
 
     head = oc.select(file_of(F.col("o_orderkey")).alias("file"), (F.col("o_orderkey") * LINE_SLOTS).alias("pos"),
                      F.concat(F.lit("AL"), padded(F.col("o_orderkey")), F.lit(", "),
@@ -182,10 +183,11 @@ def track_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         path = scratch_path(spark, "tracks")
         lines = track_lines(spark, sf_dir).select("file", "pos", "line")
-        # a file's lines go to one task, in order
-        (lines.repartition("file").sortWithinPartitions("file", "pos").select("file", F.col("line").alias("value"))
+        # a file's lines go to one task, in order; the tasks grow in number with the lines, so none sorts more than fits
+        tasks = 1 + table(spark, sf_dir, "lineitem").count() // LINES_PER_TASK
+        (lines.repartition(tasks, "file").sortWithinPartitions("file", "pos").select("file", F.col("line").alias("value"))
          .write.partitionBy("file").text(path))
-        return parse_header_detail(read_lines(spark, path))
+        return parse_header_detail(read_lines(spark, path), in_order=True)
     return materialized(spark, ("track_points", sf_dir), build)
 
 
