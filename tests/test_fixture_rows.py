@@ -27,6 +27,20 @@ def test_storm_distance_uses_in_range_points_only(spark):
         ("B", 1999, 90, 950, True, 30.0)
 
 
+def test_storm_points_are_not_sorted_to_qualify(spark):
+    pts = spark.range(1000).selectExpr("concat('S', id % 50) storm_id", "id date", "cast(id % 50 as double) dist", "id % 3 = 0 in_range")
+    pts = pts.union(spark.createDataFrame([(None, 1, 1.0, True), ("T", 2, None, True)], pts.schema))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        q = A.min_distance_qualify(pts, "storm_id", "dist", 9.0, "in_range")
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "Sort " not in plan
+        assert sorted({r.storm_id for r in q.collect()}) == sorted(f"S{i}" for i in range(10)) and q.count() == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_event_name_normalisation(spark):
     df = spark.createDataFrame([("Hurricane X (May 2001)",), ("Tropical Storm Y",), (" plain name ",),
                                 ("Tropical Cyclone Z",)], "n string")

@@ -52,10 +52,13 @@ def storm_summary(points: DataFrame, storm: str, order: str, name: str, year: st
 def min_distance_qualify(points: DataFrame, storm: str, distance: str, max_distance: float,
                          in_range: str | None = None) -> DataFrame:
     """A4: storms with any (in-range) point within ``max_distance``; semi-join
-    the result back to keep *all* points of a qualifying storm."""
+    the result back to keep *all* points of a qualifying storm.
+
+    Each task holds its share of the qualifying storms as a hash table, so the
+    points move once and are not sorted."""
     d = F.col(distance) if in_range is None else F.when(F.col(in_range), F.col(distance))
     q = points.groupBy(storm).agg(F.min(d).alias("_min_d")).where(F.col("_min_d") <= max_distance)
-    return points.join(q.select(storm), [storm], "left_semi")
+    return points.join(q.select(storm).hint("shuffle_hash"), [storm], "left_semi")
 
 
 def period_bitmaps(long: DataFrame, entity: str, date: str, metric: str) -> DataFrame:
