@@ -90,18 +90,45 @@ def fill_headers(file: str, block: str, names: list[str]) -> Callable[[Iterator[
     return run
 
 
-def carry_in_order(lines: DataFrame, is_header, header_cols: dict, file: str, block: str, pos: str) -> DataFrame:
+def block_ends(file: str, block: str, names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function: of ``fill_headers``' lines, the last of each block."""
+    fill = fill_headers(file, block, names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = None  # the last line so far
+        for b in fill(batches):
+            keys = [b.column(file), b.column(block)]
+            if end is not None and any(end.column(c)[0].as_py() != k[0].as_py() for c, k in zip((file, block), keys)):
+                yield end
+            last = np.zeros(b.num_rows - 1, bool)
+            for k in keys:
+                code = k.dictionary_encode(null_encoding="encode").indices.to_numpy()
+                last |= code[1:] != code[:-1]
+            if last.any():
+                yield b.take(pa.array(np.flatnonzero(last)))
+            end = b.slice(b.num_rows - 1, 1)
+        if end is not None:
+            yield end
+    return run
+
+
+def carry_in_order(lines: DataFrame, is_header, header_cols: dict, file: str, block: str) -> DataFrame:
     """``carry_forward`` for lines as ``read_lines`` gives them: each block whole in one task, in order."""
     from ..operators.joins import broadcast_if_small
     spark = lines.sparkSession
     names = list(header_cols)
-    heads = lines.select(file, block, pos, is_header.alias("_is_hdr"),
-                         F.when(is_header, F.struct(*[c.alias(n) for n, c in header_cols.items()])).alias("_hdr"))
-    # blocks that begin below an earlier header; files of one block have none
-    prev = cut_lineage(headers_before(heads, file, block, pos).where(F.col("_hdr_prev").isNotNull()), "headers-before")
     t = lines.select("*", is_header.alias("_is_hdr"), *[F.when(is_header, c).alias(n) for n, c in header_cols.items()])
     ship_package(spark)
-    t = t.mapInArrow(fill_headers(file, block, names), T.StructType([*t.schema.fields, T.StructField("_found", T.BooleanType())]))
+
+    def in_tasks(df: DataFrame, run) -> DataFrame:
+        return df.mapInArrow(run(file, block, names), T.StructType([*df.schema.fields, T.StructField("_found", T.BooleanType())]))
+
+    # blocks that begin below an earlier header; files of one block have none
+    prior = Window.partitionBy(file).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    ends = in_tasks(t.select(file, block, "_is_hdr", *names), block_ends)
+    ends = ends.select(file, block, F.last(F.when(F.col("_found"), F.struct(*names)), ignorenulls=True).over(prior).alias("_hdr_prev"))
+    prev = cut_lineage(ends.where(F.col("_hdr_prev").isNotNull()), "headers-before")
+    t = in_tasks(t, fill_headers)
     t = t.join(broadcast_if_small(prev), [file, block], "left")
     return t.select(*lines.columns, "_is_hdr",
                     *[F.when(F.col("_found"), F.col(n)).otherwise(F.col(f"_hdr_prev.{n}")).alias(n) for n in names])
@@ -115,7 +142,7 @@ def carry_forward(lines: DataFrame, is_header, header_cols: dict, file: str = "f
     sort since), so no line needs to move.
     """
     if in_order:
-        return carry_in_order(lines, is_header, header_cols, file, block, pos)
+        return carry_in_order(lines, is_header, header_cols, file, block)
     hdr = F.when(is_header, F.struct(*[c.alias(n) for n, c in header_cols.items()]))
     t = lines.withColumn("_hdr", hdr).withColumn("_is_hdr", is_header)
     in_block = Window.partitionBy(file, block).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
