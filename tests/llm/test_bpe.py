@@ -30,6 +30,18 @@ def test_words_are_independent_of_the_cache(monkeypatch):
         assert m.encode(t).tolist() == LIB.encode(t, add_special_tokens=False).ids
 
 
+def test_what_a_worker_remembers_is_bounded_by_words_bytes_and_pairs(monkeypatch):
+    monkeypatch.setattr(bpe, "WORD_CACHE", 50)
+    monkeypatch.setattr(bpe, "PAIR_CACHE", 101)
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdeinorst", k=rnd.randint(2, 9))) for _ in range(3000)] + ["ab" * 400 + str(i) for i in range(20)]
+    m = bpe.BytePairModel(PATH)
+    for text in (" ".join(words), " ".join(words[:40]), " ".join(reversed(words))):
+        assert m.encode(text).tolist() == LIB.encode(text, add_special_tokens=False).ids
+        assert len(m.words) <= 50 and len(m.words.older) <= 50 and len(m.pairs) == 101
+        assert max(map(len, [*m.words, *m.words.older])) <= bpe.WORD_LENGTH
+
+
 def test_documents_with_nulls_repeats_and_other_columns(spark):
     rows = [(1, "Hello", "k"), (1, "Hello", "k"), (None, "x y", "k"), (3, None, "k"), (4, "", "k"), (5, TEXTS[7], "k")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n long" if False else "doc_id long, text string, n string")

@@ -32,8 +32,11 @@ from .common import ship_package, slices
 
 # Fixed value: the word-splitting pattern of byte-level BPE vocabularies of this family.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words whose ids a worker remembers in each of two generations (results do not depend on it).
-WORD_CACHE = 150_000
+# What a worker remembers between words; results do not depend on it, and it is all bounded, whatever the texts.
+#: Words whose ids are kept in each of two generations, and the length of the longest kept.
+WORD_CACHE, WORD_LENGTH = 100_000, 40
+#: Pairs of tokens whose compatibility is kept, eight bytes each (a prime, as pairs are placed by remainder).
+PAIR_CACHE = 524_287
 
 
 def byte_letters() -> dict[str, int]:
@@ -88,7 +91,8 @@ class BytePairModel:
         self.offsets = np.zeros(size + 1, np.int64)
         np.cumsum([len(t) for t in self.tokens], out=self.offsets[1:])
         self.blob = np.frombuffer(b"".join(self.tokens), np.uint8)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # at its remainder, a pair as (left * size + right) * 2 + compatible; a later pair takes the place of an earlier
+        self.pairs = array("q", [-1]) * PAIR_CACHE
         self.split = regex.compile(SPLIT_PATTERN)
         self.special_re = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words = _Words(self)
@@ -101,9 +105,11 @@ class BytePairModel:
         border.  If at any such moment the two border parts could merge at a
         lower rank than what was done next, BPE would have merged across.
         """
-        known = self.pairs.get((left, right))
-        if known is not None:
-            return known
+        pair = left * len(self.tokens) + right
+        place = pair % PAIR_CACHE
+        known = self.pairs[place]
+        if known >> 1 == pair:
+            return known & 1 == 1
         a, b, ok = left, right, True
         limit, across_wins_ties = len(self.tokens) + 1, False
         while True:
@@ -121,9 +127,7 @@ class BytePairModel:
                 limit, across_wins_ties, a = ra, False, self.parts[a][1]
             else:
                 limit, across_wins_ties, b = rb, True, self.parts[b][0]
-        if len(self.pairs) > 1_000_000:
-            self.pairs.clear()
-        self.pairs[(left, right)] = ok
+        self.pairs[place] = pair * 2 + ok
         return ok
 
     def encode_word(self, data: bytes) -> list[int]:
@@ -159,8 +163,6 @@ class BytePairModel:
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text (little-endian unsigned 32-bit)."""
         words, find = self.words, self.split.findall
-        if len(words) > WORD_CACHE:
-            words.turn_over()
         if self.special_re is None or not any(s in text for s in self.special):
             return np.frombuffer(b"".join(map(words.__getitem__, find(text))), "<u4")
         out = []
@@ -182,7 +184,7 @@ class BytePairModel:
 
 
 class _Words(dict):
-    """Word -> its ids as bytes, filled on demand; words in use outlive a turn-over."""
+    """Word -> its ids as bytes, filled on demand; words in use outlive a turn-over, long ones are not kept."""
 
     def __init__(self, model: BytePairModel):
         super().__init__()
@@ -193,6 +195,10 @@ class _Words(dict):
         out = self.older.get(word)
         if out is None:
             out = array("I", self.model.encode_word(word.encode())).tobytes()
+            if len(word) > WORD_LENGTH:
+                return out
+        if len(self) >= WORD_CACHE:
+            self.turn_over()
         self[word] = out
         return out
 
@@ -228,7 +234,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(path)
-        for b in slices(batches, at):
+        for b in slices(batches, at, 1 << 20):
             ids = [m.encode(t or "") for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(i) for i in range(at)], pa.array([len(x) for x in ids], pa.int64()),
